@@ -6,6 +6,8 @@ shuffles, so parallelism is that of the source.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from wattline import contracts as C
 from wattline.contracts import Feed, Table
 from wattline.functions import default_text, partition_date
 from wattline.operators.conform import check_contract, conform
-from wattline.operators.decode import ERROR, META, PAYLOAD, decode, decode_checked
+from wattline.operators.decode import ERROR, META, PAYLOAD, decode, decode_checked, needed
 from wattline.operators.project import explode_rows, pick, split_change
 
 
@@ -22,7 +24,7 @@ def rows(feed: Feed, messages: DataFrame, *, meta: bool = False, outer: bool = F
 
     ``meta`` keeps the message coordinates, which order writes; ``outer`` keeps messages with no elements.
     """
-    records = decode(messages, feed.message)
+    records = decode(messages, _used(feed))
     if feed.repeat:
         records = explode_rows(records, f"data.{feed.repeat}", outer=outer)
     flat = _projected(feed, records, [name for name in META.values() if meta and name in records.columns])
@@ -38,7 +40,8 @@ def checked(
     column; its payload is found by the coordinates. ``position`` adds the element number and the flags that
     the audit counts.
     """
-    records = decode_checked(messages, feed.message, feed.required, strict=strict)
+    message = feed.message if strict else _used(feed, feed.required)
+    records = decode_checked(messages, message, feed.required, strict=strict)
     made = F.lit(True)
     if feed.repeat:
         records = explode_rows(records, f"data.{feed.repeat}", outer=True, position="_pos")
@@ -58,6 +61,12 @@ def checked(
     return conform(_projected(feed, records, passed), feed.table, errors=True)
 
 
+def _used(feed: Feed, also: Iterable[str] = ()) -> str:
+    """The part of the feed's message schema that its columns come from."""
+    paths = [path.replace("element.", f"{feed.repeat}.") for path in feed.projection.values()]
+    return needed(feed.message, [*paths, *also])
+
+
 def _projected(feed: Feed, records: DataFrame, passed: list[str]) -> DataFrame:
     paths = {
         name: path if path.startswith("element.") else f"data.{path}"
@@ -118,7 +127,7 @@ PROCESS_TEXT_TIMES = C.PROCESS.using(message=C.PROCESS.message.replace(" timesta
 def process_text_times(messages: DataFrame, **kw) -> DataFrame:
     """``process`` for payload times that may not be valid instants; a bad one is null, the rest is kept."""
     feed = PROCESS_TEXT_TIMES
-    records = decode(messages, feed.message)
+    records = decode(messages, _used(feed))
     flat = _projected(
         feed.using(date=None),
         records,
@@ -170,7 +179,8 @@ def metering_point_from_files(changes: DataFrame) -> DataFrame:
 
 def metering_point_devices(messages: DataFrame, side: str = "current") -> DataFrame:
     """One row per device assigned to a metering point in one image of a change record."""
-    return _image_group(messages, side, "devices", {"device": "device", "assigntime": "assignTime", "removetime": "removeTime"})
+    fields = {"device": "device", "assigntime": "assignTime", "removetime": "removeTime"}
+    return _image_group(messages, side, "devices", fields)
 
 
 def metering_point_states(messages: DataFrame, side: str = "current") -> DataFrame:
@@ -179,7 +189,8 @@ def metering_point_states(messages: DataFrame, side: str = "current") -> DataFra
 
 
 def _image_group(messages: DataFrame, side: str, group: str, fields: dict[str, str]) -> DataFrame:
-    records = decode(messages, C.METERING_POINT.message)
+    paths = ["persistTime", f"{side}.meteringPoint", f"{side}.{group}"]
+    records = decode(messages, needed(C.METERING_POINT.message, paths))
     elements = explode_rows(records, f"data.{side}.{group}", position="_pos")
     return pick(
         elements,

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline import feeds
@@ -12,14 +12,42 @@ from wattline.contracts import Feed
 from wattline.operators.decode import ERROR
 
 
-def key_collisions(rows: DataFrame, key: Sequence[str]) -> DataFrame:
-    """One row: rows in, rows a table with this key keeps, rows it loses, and the largest single collision."""
-    groups = rows.groupBy(*key).agg(F.count("*").alias("_n"))
-    return groups.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_in"),
-        F.count("*").alias("rows_kept"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("rows_lost"),
-        F.coalesce(F.max("_n"), F.lit(0)).alias("largest_collision"),
+def key_collisions(rows: DataFrame, keys: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Per named key: rows in, rows a table with this key keeps, rows it loses, and the largest single collision.
+
+    All keys are counted in one pass over the rows, each task reducing its rows to one per key before the shuffle.
+    """
+    columns = list(dict.fromkeys(name for key in keys.values() for name in key))
+    sets = list(dict.fromkeys(tuple(sorted(key, key=columns.index)) for key in keys.values()))
+    groups = (
+        rows.select(*columns)
+        .groupingSets([list(key) for key in sets], *columns)
+        .agg(F.count("*").alias("_n"), F.grouping_id().alias("_set"))
+    )
+    counted = groups.agg(
+        *[_collisions(_set_id(columns, key)).alias(name) for name, key in keys.items()],
+    )
+    measures = ("rows_in", "rows_kept", "rows_lost", "largest_collision")
+    report = [
+        F.struct(F.lit(name).alias("table"), *[F.col(f"`{name}`.{measure}") for measure in measures])
+        for name in keys
+    ]
+    return counted.select(F.inline(F.array(*report)))
+
+
+def _set_id(columns: Sequence[str], key: Sequence[str]) -> int:
+    """Spark's ``grouping_id`` of a grouping set: a bit per column, set where the column is not in the set."""
+    return sum(1 << place for place, name in enumerate(reversed(columns)) if name not in key)
+
+
+def _collisions(set_id: int) -> Column:
+    n = F.when(F.col("_set") == set_id, F.col("_n"))
+    zero = F.lit(0).cast("bigint")
+    return F.struct(
+        F.coalesce(F.sum(n), zero).alias("rows_in"),
+        F.count(n).alias("rows_kept"),
+        F.coalesce(F.sum(n - 1), zero).alias("rows_lost"),
+        F.coalesce(F.max(n), zero).alias("largest_collision"),
     )
 
 

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
 ERROR = "_error"
@@ -19,6 +20,36 @@ def payload_text(messages: DataFrame, column: str = "value") -> DataFrame:
     return messages.withColumn(column, F.col(column).cast("string"))
 
 
+def needed(message: str, paths: Iterable[str]) -> str:
+    """The part of a message schema that the given dotted paths use.
+
+    Fields that are not declared are skipped by the JSON parser, which saves converting them. (Catalyst does this
+    itself only when a single field is used.) Paths go through arrays as if they were structs.
+    """
+    wanted = [path.split(".") for path in paths]
+    return ", ".join(
+        f"`{field.name}` {field.dataType.simpleString()}" for field in _pruned(T.StructType.fromDDL(message), wanted)
+    )
+
+
+def _pruned(struct: T.StructType, paths: list[list[str]]) -> T.StructType:
+    fields = []
+    for field in struct.fields:
+        rest = [path[1:] for path in paths if path[0] == field.name]
+        if rest:
+            kind = field.dataType if [] in rest else _pruned_type(field.dataType, rest)
+            fields.append(T.StructField(field.name, kind))
+    return T.StructType(fields)
+
+
+def _pruned_type(kind: T.DataType, paths: list[list[str]]) -> T.DataType:
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_pruned_type(kind.elementType, paths))
+    if isinstance(kind, T.MapType):
+        return kind
+    return _pruned(kind, paths)
+
+
 def decode(
     messages: DataFrame,
     message: str,

@@ -228,7 +228,7 @@ def feed_metering_point(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("metering_point_json_files", METERING_POINT_ROWS)
 def metering_point_json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = wire.table(spark, sf_dir, "orders")
+    orders = wire.source(spark, sf_dir, "orders")
     path = run_dir(spark, "metering-point-json")
     orders.select(wire.metering_point_json(orders)).write.text(path)
     return feeds.metering_point_from_files(json_files(spark, path, C.METERING_POINT.message))

@@ -9,10 +9,10 @@ from wattline import contracts as C
 from wattline import feeds
 from wattline.operators import joins, keyed
 from wattline.operators.conform import conform
-from wattline.operators.decode import decode, expand
-from wattline.operators.project import pick
+from wattline.operators.decode import decode, expand, needed
 from wattline.plans import wire
 from wattline.plans.registry import query
+from wattline.streaming.storage import run_dir
 
 DEVICE_SIDE = """
     select 'D' || c_custkey as device, timestamp '2024-01-01' + to_seconds(c_custkey) as persisttime,
@@ -58,19 +58,25 @@ _CHANGED = "o_orderdate + INTERVAL 1 DAY + to_seconds(o_orderkey % 86400)"
     using (persisttime, meteringpoint)""",
 )
 def join_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Previous images (none for open orders) with current images of unfinished orders, by point and time."""
-    records = expand(decode(wire.metering_point_messages(spark, sf_dir), C.METERING_POINT.message))
+    """Previous images (none for open orders) with current images of unfinished orders, by point and time.
+
+    Both sides come from one decode, written once: the join reads each side several times.
+    """
+    point = C.METERING_POINT
+    paths = [f"{side}.{field}" for side in ("previous", "current") for field in ("meteringPoint", "group")]
+    schema = needed(point.message, ["persistTime", "current.devices.device", *paths])
+    records = expand(decode(wire.metering_point_messages(spark, sf_dir), schema))
+    sides = run_dir(spark, "metering-point-sides")
+    records.select(
+        F.col("persistTime").alias("persisttime"),
+        F.col("previous.meteringPoint").alias("previous_point"),
+        F.col("previous.group").alias("previous_group"),
+        F.when(F.size("current.devices") == 1, F.col("current.meteringPoint")).alias("current_point"),
+        F.col("current.group").alias("current_group"),
+    ).write.parquet(sides)
 
     def side(name: str) -> DataFrame:
-        return pick(
-            records,
-            {"persisttime": "persistTime", "meteringpoint": f"{name}.meteringPoint", f"{name}_group": f"{name}.group"},
-        )
+        rows = spark.read.parquet(sides).filter(F.col(f"{name}_point").isNotNull())
+        return rows.select("persisttime", F.col(f"{name}_point").alias("meteringpoint"), f"{name}_group")
 
-    previous = side("previous").filter(F.col("meteringpoint").isNotNull())
-    unfinished = F.size("current.devices") == 1
-    current = pick(
-        records.filter(unfinished),
-        {"persisttime": "persistTime", "meteringpoint": "current.meteringPoint", "current_group": "current.group"},
-    )
-    return joins.full_outer(previous, current, ["persisttime", "meteringpoint"])
+    return joins.full_outer(side("previous"), side("current"), ["persisttime", "meteringpoint"])

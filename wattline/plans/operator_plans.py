@@ -22,7 +22,7 @@ from wattline.sources import read_feed
     "select event_id, cast(json_extract(props, '$.k') as integer) as k from events",
 )
 def decode_json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = wire.table(spark, sf_dir, "events").select("props", F.col("event_id").alias("offset"))
+    rows = wire.source(spark, sf_dir, "events").select("props", F.col("event_id").alias("offset"))
     return expand(decode(rows, "k int", column="props")).withColumnRenamed("_offset", "event_id")
 
 
@@ -100,7 +100,7 @@ def expand_sibling_structs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _maybe_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as records with a group that is missing, empty, or has one or two elements."""
-    events = wire.table(spark, sf_dir, "events")
+    events = wire.source(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("int")
     group = (
         F.when(F.col("event_type") == "error", F.lit(None))
@@ -223,7 +223,7 @@ _TEXT = "case when event_type = 'error' then 'bad' when event_type = 'view' then
     from (select *, cast(json_extract(props, '$.k') as double) as k from events)""",
 )
 def try_cast_bad_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = wire.table(spark, sf_dir, "events")
+    events = wire.source(spark, sf_dir, "events")
     text = F.expr(_TEXT.format(k="get_json_object(props, '$.k')"))
     return events.select("event_id", to_number(text).alias("number"), to_float(text).alias("reading"))
 
@@ -239,7 +239,7 @@ def try_cast_bad_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def try_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Instants as text with no, three and six fraction digits, and text that is none; with and without pattern."""
-    events = wire.table(spark, sf_dir, "events")
+    events = wire.source(spark, sf_dir, "events")
     text = F.expr(
         """case event_type when 'error' then 'not a time'
            when 'view' then date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")

@@ -138,19 +138,18 @@ _AUDITED = {
     ),
 )
 def key_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = feeds.events(wire.event_messages(spark, sf_dir))
-    audited = {
-        "events": (events, C.EVENT.table.key),
-        "measurement": (
+    reports = [
+        audit.key_collisions(
+            feeds.events(wire.event_messages(spark, sf_dir)),
+            {"events": C.EVENT.table.key, "dev_event": C.EARLIER_KEYS["dev_event"][1]},
+        ),
+        audit.key_collisions(
             feeds.measurement(wire.measurement_messages(spark, sf_dir)),
-            C.MEASUREMENT.table.key,
+            {"measurement": C.MEASUREMENT.table.key},
+        ),
+        audit.key_collisions(
+            feeds.parameter(wire.parameter_messages(spark, sf_dir)), {"parameter": C.PARAMETER.table.key}
         ),
-        "parameter": (feeds.parameter(wire.parameter_messages(spark, sf_dir)), C.PARAMETER.table.key),
-        "dev_event": (events, C.EARLIER_KEYS["dev_event"][1]),
-    }
-    reports = [
-        audit.key_collisions(rows, key).select(F.lit(name).alias("table"), "*")
-        for name, (rows, key) in audited.items()
     ]
     return reduce(DataFrame.unionByName, reports)
 

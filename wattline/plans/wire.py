@@ -14,17 +14,24 @@ from pyspark.sql import functions as F
 
 from wattline import contracts as C
 from wattline.sources import envelope_columns
+from wattline.streaming.storage import size
 
 # Instants with all six fraction digits; the default would cut them to milliseconds.
 _JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *, stream: bool = False) -> DataFrame:
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if not stream:
-        return rows
-    # A stream's plain path must be a directory; as a pattern it may be one file or a directory of files.
-    return spark.readStream.schema(rows.schema).parquet(f"{sf_dir}/{{{name}}}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def source(spark: SparkSession, sf_dir: str, name: str, *, stream: bool = False) -> DataFrame:
+    """A table to make messages of, spread over the cores when it is small."""
+    rows = table(spark, sf_dir, name)
+    if stream:
+        # A stream's plain path must be a directory; as a pattern it may be one file or a directory of files.
+        rows = spark.readStream.schema(rows.schema).parquet(f"{sf_dir}/{{{name}}}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if size(spark, f"{sf_dir}/{name}.parquet") < cores * _SMALL else rows
 
 
 def obj(fields: Mapping[str, Column]) -> Column:
@@ -48,12 +55,16 @@ def small_id(column: str) -> Column:
     return (F.col(column) % 2147483647).cast("int")
 
 
+# Below this many bytes per core a table is dealt out to all cores before the costly JSON work, since a small
+# file is one task however many cores there are. Larger tables are read as they are split, without a shuffle.
+_SMALL = 16 * 1024 * 1024
+
 _K = F.get_json_object
 _CHANGED = "o_orderdate + make_dt_interval(1, 0, 0, o_orderkey % 86400)"
 
 
 def event_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) -> DataFrame:
-    rows = table(spark, sf_dir, "events", stream=stream)
+    rows = source(spark, sf_dir, "events", stream=stream)
     value = json(
         {
             "device": coded("D", "user_id"),
@@ -71,13 +82,13 @@ def event_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) ->
 
 
 def telemetry_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) -> DataFrame:
-    rows = table(spark, sf_dir, "events", stream=stream)
+    rows = source(spark, sf_dir, "events", stream=stream)
     value = json({"device": coded("D", "user_id"), "lastReceiveTime": F.col("ts")})
     return _events_envelope(rows, value, C.TELEMETRY.topic)
 
 
 def parameter_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) -> DataFrame:
-    rows = table(spark, sf_dir, "events", stream=stream)
+    rows = source(spark, sf_dir, "events", stream=stream)
     value = json(
         {
             "device": coded("D", "user_id"),
@@ -93,7 +104,7 @@ def parameter_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False
 
 
 def profile_facts_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) -> DataFrame:
-    rows = table(spark, sf_dir, "events", stream=stream)
+    rows = source(spark, sf_dir, "events", stream=stream)
     value = json(
         {
             "device": coded("D", "user_id"),
@@ -117,7 +128,7 @@ def _events_envelope(rows: DataFrame, value: Column, topic: str) -> DataFrame:
 
 def device_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) -> DataFrame:
     rows = (
-        table(spark, sf_dir, "customer", stream=stream)
+        source(spark, sf_dir, "customer", stream=stream)
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
@@ -161,7 +172,7 @@ def device_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) -
 
 
 def measurement_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem", stream=stream)
+    rows = source(spark, sf_dir, "lineitem", stream=stream)
     received = F.expr("l_shipdate + make_dt_interval(0, 0, l_linenumber, 0)")
     points = [
         obj(
@@ -193,7 +204,7 @@ def measurement_messages(spark: SparkSession, sf_dir: str, *, stream: bool = Fal
 
 
 def register_statistic_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem", stream=stream)
+    rows = source(spark, sf_dir, "lineitem", stream=stream)
     reads = {
         "expected": F.lit(24), "received": F.col("l_quantity").cast("int"), "edited": F.col("l_linenumber"),
         "invalidated": F.when(F.col("l_returnflag") == "R", F.col("l_linenumber")),
@@ -216,7 +227,7 @@ def register_statistic_messages(spark: SparkSession, sf_dir: str, *, stream: boo
 
 
 def topology_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem", stream=stream)
+    rows = source(spark, sf_dir, "lineitem", stream=stream)
     children = [
         obj({"childDevice": child, "addTime": F.col("l_shipdate"), "dataSource": F.lit(origin)})
         for child, origin in ((coded("P", "l_partkey"), "part"), (coded("S", "l_suppkey"), "supplier"))
@@ -233,7 +244,7 @@ def topology_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False)
 
 
 def derived_measurement_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem", stream=stream)
+    rows = source(spark, sf_dir, "lineitem", stream=stream)
     points = [
         obj({"time": after("l_shipdate", f"{hour} hours"), "value": value, "quality": F.col("l_returnflag")})
         for hour, value in enumerate(
@@ -261,7 +272,7 @@ def process_messages(
     spark: SparkSession, sf_dir: str, *, stream: bool = False, text_times: bool = False
 ) -> DataFrame:
     """``text_times`` puts text that is no instant into the start time of orders in progress."""
-    rows = table(spark, sf_dir, "orders", stream=stream)
+    rows = source(spark, sf_dir, "orders", stream=stream)
     started = after("o_orderdate", "1 hour")
     if text_times:
         started = F.when(F.col("o_orderstatus") == "P", "not yet").otherwise(
@@ -296,7 +307,7 @@ def process_messages(
 
 
 def operational_process_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) -> DataFrame:
-    rows = table(spark, sf_dir, "orders", stream=stream)
+    rows = source(spark, sf_dir, "orders", stream=stream)
     value = json(
         {
             "id": small_id("o_orderkey"),
@@ -352,7 +363,7 @@ def metering_point_json(rows: DataFrame) -> Column:
 
 
 def metering_point_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) -> DataFrame:
-    rows = table(spark, sf_dir, "orders", stream=stream)
+    rows = source(spark, sf_dir, "orders", stream=stream)
     return _orders_envelope(rows, metering_point_json(rows), C.METERING_POINT.topic)
 
 
@@ -364,7 +375,7 @@ def _orders_envelope(rows: DataFrame, value: Column, topic: str) -> DataFrame:
 
 def text_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole document texts as payloads: well-formed envelopes around what is not JSON."""
-    rows = table(spark, sf_dir, "documents")
+    rows = source(spark, sf_dir, "documents")
     return envelope_columns(
         rows,
         F.col("text"),

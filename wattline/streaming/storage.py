@@ -33,6 +33,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes under a file or folder."""
+    fs, where = _hadoop(spark, path)
+    return fs.getContentSummary(where).getLength()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, where = _hadoop(spark, path)
     fs.delete(where, True)

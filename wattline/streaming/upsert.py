@@ -78,7 +78,7 @@ class KeyedTable:
 
     def _merged(self, spark: SparkSession, incoming: DataFrame) -> DataFrame:
         if not exists(spark, self.path):
-            return incoming
+            return self._reduced(incoming)
         directories = incoming.select(self.directory).distinct()
         touched = [row[0] for row in directories.limit(_MANY_DIRECTORIES + 1).collect()]
         stored = self._stored(spark)
@@ -102,7 +102,7 @@ class KeyedTable:
         if self.nulls == KEEP:
             own = F.lit(None).cast(rows.schema[_ORDER].dataType)
             rows = rows.withColumn(_STAMPS, F.struct(*[own.alias(name) for name in self.values]))
-        return self._reduced(rows)
+        return rows
 
     def _stored(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path)
