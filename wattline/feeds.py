@@ -203,15 +203,26 @@ def _image_group(messages: DataFrame, side: str, group: str, fields: dict[str, s
     )
 
 
-DEVICE_JOIN_COLUMNS = (
-    "device", "persisttime", "type", "inventorystate", "managementstate", "communicationid", "manufacturer",
+# The seven device columns that the device/telemetry join carries; the rest is not even parsed.
+DEVICE_FOR_JOIN = C.DEVICE.using(
+    columns=(
+        "persistTime", "current.device", "current.type", "current.inventoryState", "current.managementState",
+        "current.communicationId", "current.manufacturer",
+    ),
+    date=None,
+    table=Table(
+        "device_for_join",
+        "device string, persisttime timestamp, type string, inventorystate string, managementstate string, "
+        "communicationid string, manufacturer string",
+        partition=("device",),
+        clustering=("persisttime",),
+    ),
 )
 
 
-def device_for_join(messages: DataFrame) -> DataFrame:
-    """The seven device columns that the device/telemetry join carries; pruned before the join's state."""
-    return device(messages).select(*DEVICE_JOIN_COLUMNS)
+def device_for_join(messages: DataFrame, **kw) -> DataFrame:
+    return rows(DEVICE_FOR_JOIN, messages, **kw)
 
 
-def telemetry_for_join(messages: DataFrame) -> DataFrame:
-    return telemetry(messages).withColumnRenamed("lastreceivetime", "last_telemetry")
+def telemetry_for_join(messages: DataFrame, **kw) -> DataFrame:
+    return telemetry(messages, **kw).withColumnRenamed("lastreceivetime", "last_telemetry")

@@ -14,7 +14,8 @@ def join_versions(versions: DataFrame, readings: DataFrame, on: str, *, salts: i
 
     On two streams without watermarks the join state is unbounded: use ``join_versions_within`` unless that is
     wanted. ``salts`` splits each key's readings over that many partitions and copies the (few) versions to all
-    of them, for keys too large for one task; a stream join cannot split a hot key at run time.
+    of them, for keys too large for one task. A stream join needs it, since it cannot split a hot key at run time;
+    a batch join is split by adaptive execution.
     """
     versions, readings, keys = _salted(versions, readings, on, salts)
     return versions.join(readings, keys).drop("_salt")

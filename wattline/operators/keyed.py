@@ -17,14 +17,15 @@ _GROUP_LIMIT = 1000
 
 
 def latest_row(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The newest whole row of each key, its nulls included.
+    """The newest whole row of each key, its nulls included; of equally new rows, the largest by value.
 
     One aggregation: each task reduces a key to one row before the shuffle, so a key that holds a large share
-    of all rows costs one row per task, not one giant group.
+    of all rows costs one row per task, not one giant group. The maximum of (order, values) needs a single
+    buffer, which makes it cheaper than ``max_by`` and than a ranking window.
     """
-    values = [name for name in rows.columns if name not in key]
-    newest = F.max_by(F.struct(*values), F.struct(*order)).alias("_newest")
-    merged = rows.groupBy(*key).agg(newest)
+    rank = _beyond(key, order)
+    newest = F.max(F.struct(*rank, *[name for name in rows.columns if name not in key and name not in rank]))
+    merged = rows.groupBy(*key).agg(newest.alias("_newest"))
     return merged.select(*[_placed(name, key) for name in rows.columns])
 
 
@@ -33,11 +34,18 @@ def latest_values(rows: DataFrame, key: Sequence[str], order: Sequence[str]) ->
 
     The order columns themselves come from the newest row.
     """
-    values = [name for name in rows.columns if name not in key and name not in order]
-    rank = F.struct(*order)
-    kept = [_newest_present(name, rank) for name in values]
-    merged = rows.groupBy(*key).agg(F.max(rank).alias("_newest"), *kept)
-    return merged.select(*[name if name in values else _placed(name, key) for name in rows.columns])
+    rank = _beyond(key, order)
+    values = [name for name in rows.columns if name not in key and name not in rank]
+    kept = [newest_present(F.col(name), F.struct(*rank)).alias(name) for name in values]
+    merged = rows.groupBy(*key).agg(F.max(F.struct(*rank)).alias("_newest"), *kept)
+    return merged.select(
+        *[F.col(f"{name}.value").alias(name) if name in values else _placed(name, key) for name in rows.columns]
+    )
+
+
+def newest_present(value: Column, rank: Column) -> Column:
+    """Aggregate: the (rank, value) pair of the newest row that has the value, null if none has."""
+    return F.max(F.when(value.isNotNull(), F.struct(rank.alias("rank"), value.alias("value"))))
 
 
 def latest(rows: DataFrame, key: Sequence[str], order: Sequence[str], nulls: str) -> DataFrame:
@@ -81,8 +89,8 @@ def slice_by(rows: DataFrame, **equals) -> DataFrame:
     return rows
 
 
-def _newest_present(name: str, rank: Column) -> Column:
-    return F.max_by(F.col(name), F.when(F.col(name).isNotNull(), rank)).alias(name)
+def _beyond(key: Sequence[str], order: Sequence[str]) -> list[str]:
+    return [name for name in order if name not in key]
 
 
 def _placed(name: str, key: Sequence[str]) -> Column:

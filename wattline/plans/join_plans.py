@@ -29,7 +29,7 @@ JOINED = f"select * from ({DEVICE_SIDE}) join ({TELEMETRY_SIDE}) using (device)"
 def join_inner_device_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     devices = feeds.device_for_join(wire.device_messages(spark, sf_dir))
     telemetry = feeds.telemetry_for_join(wire.telemetry_messages(spark, sf_dir))
-    return conform(joins.join_versions(devices, telemetry, "device", salts=16), C.DEVICE_TELEMETRY)
+    return conform(joins.join_versions(devices, telemetry, "device"), C.DEVICE_TELEMETRY)
 
 
 @query(

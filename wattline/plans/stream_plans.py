@@ -213,10 +213,10 @@ def join_inner_bounded_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def join_stream_static(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A telemetry stream enriched from the latest-device view, which a batch wrote before."""
     run = run_dir(spark, "device-state")
-    feed = C.DEVICE
-    devices = feeds.device(wire.device_messages(spark, sf_dir), meta=True)
+    feed = feeds.DEVICE_FOR_JOIN
+    devices = feeds.device_for_join(wire.device_messages(spark, sf_dir), meta=True)
     state = keyed.latest(devices, feed.state_key, [feed.order, "_partition", "_offset"], feed.table.nulls)
-    state.select(*feeds.DEVICE_JOIN_COLUMNS).write.parquet(run)
+    state.select(*feed.table.columns).write.parquet(run)
     telemetry = feeds.telemetry_for_join(wire.telemetry_messages(spark, sf_dir, stream=True))
 
     out = run_dir(spark, "enriched")

@@ -84,8 +84,9 @@ def run_available(spark: SparkSession, jobs: Iterable[Job], checkpoint_root: str
     """Process what the sources hold now, all jobs at once, and return; raises if any query failed."""
     running = start(spark, jobs, checkpoint_root, trigger={"availableNow": True})
     try:
-        for query in running:
-            query.awaitTermination()
+        waiting = running
+        while waiting:  # awaitTermination raises the error of a query that failed
+            waiting = [query for query in waiting if not query.awaitTermination(1)]
     finally:
         stop(running)
 
@@ -94,6 +95,7 @@ def run_until_stopped(
     spark: SparkSession, jobs: Iterable[Job], checkpoint_root: str, *, trigger: Mapping | None = None
 ) -> None:
     """Run until any query ends, then stop the others; raises if it ended with an error."""
+    spark.streams.resetTerminated()
     running = start(spark, jobs, checkpoint_root, trigger=trigger)
     try:
         spark.streams.awaitAnyTermination()

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.contracts import KEEP, OVERWRITE
-from wattline.operators.keyed import latest_row
+from wattline.operators.keyed import latest_row, newest_present
 from wattline.streaming.sinks import gathered
 from wattline.streaming.storage import delete, exists
 
@@ -29,6 +29,8 @@ class KeyedTable:
     so it suits feeds whose batches fall in few of them; for others append with ``files_sink`` and read through
     ``operators.keyed.latest``.
 
+    ``stage`` belongs to one query: keep it with that query's checkpoint and drop both together.
+
     Each row keeps the order it was written under, and with ``nulls="keep"`` each cell that is older than its
     row does too. A merge is then the same whatever the batches are and however often one is replayed.
     """
@@ -63,36 +65,38 @@ class KeyedTable:
         """
         spark = batch.sparkSession
         stage = f"{self.stage}/batch_id={batch_id}"
+        incoming = self._incoming(batch)
         if not exists(spark, f"{stage}/_SUCCESS"):
-            incoming = self._incoming(batch).persist()
-            try:
-                merged = self._merged(spark, incoming)
-                merged.write.mode("overwrite").parquet(stage)
-            finally:
-                incoming.unpersist()
-        staged = gathered(spark.read.parquet(stage), [self.directory])
+            if exists(spark, self.path):
+                self._stage_with_stored(spark, incoming, stage)
+            else:
+                self._reduced(incoming).write.mode("overwrite").parquet(stage)
+        staged = gathered(spark.read.schema(incoming.schema).parquet(stage), [self.directory])
         staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             self.directory
         ).parquet(self.path)
         delete(spark, stage)
 
-    def _merged(self, spark: SparkSession, incoming: DataFrame) -> DataFrame:
-        if not exists(spark, self.path):
-            return self._reduced(incoming)
-        directories = incoming.select(self.directory).distinct()
-        touched = [row[0] for row in directories.limit(_MANY_DIRECTORIES + 1).collect()]
-        stored = self._stored(spark)
-        if len(touched) > _MANY_DIRECTORIES:
-            stored = stored.join(directories, stored[self.directory].eqNullSafe(directories[self.directory]), "semi")
-        else:
-            here = F.col(self.directory)
-            wanted = here.isin([value for value in touched if value is not None])
-            stored = stored.filter(wanted | here.isNull() if None in touched else wanted)
-        return self._reduced(stored.unionByName(incoming))
+    def _stage_with_stored(self, spark: SparkSession, incoming: DataFrame, stage: str) -> None:
+        incoming = incoming.persist()
+        try:
+            directories = incoming.select(self.directory).distinct()
+            touched = [row[0] for row in directories.limit(_MANY_DIRECTORIES + 1).collect()]
+            stored = spark.read.schema(incoming.schema).parquet(self.path)
+            if len(touched) > _MANY_DIRECTORIES:
+                same = stored[self.directory].eqNullSafe(directories[self.directory])
+                stored = stored.join(directories, same, "semi")
+            else:
+                here = F.col(self.directory)
+                wanted = here.isin([value for value in touched if value is not None])
+                stored = stored.filter(wanted | here.isNull() if None in touched else wanted)
+            self._reduced(stored.unionByName(incoming)).write.mode("overwrite").parquet(stage)
+        finally:
+            incoming.unpersist()
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The stored rows; a filter on the partition column prunes directories."""
-        return self._stored(spark).select(*self.columns)
+        return spark.read.parquet(self.path).select(*self.columns)
 
     def _incoming(self, batch: DataFrame) -> DataFrame:
         rows = batch.select(*self.columns, F.struct(*self.order).alias(_ORDER))
@@ -101,27 +105,22 @@ class KeyedTable:
             rows = rows.withColumn(_BUCKET, bucket)
         if self.nulls == KEEP:
             own = F.lit(None).cast(rows.schema[_ORDER].dataType)
-            rows = rows.withColumn(_STAMPS, F.struct(*[own.alias(name) for name in self.values]))
+            cells = [own.alias(name) for name in self.values if name != self.partition]
+            rows = rows.withColumn(_STAMPS, F.struct(*cells))
         return rows
 
-    def _stored(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path)
-
     def _reduced(self, rows: DataFrame) -> DataFrame:
         by = list(dict.fromkeys([*self.key, self.directory]))
         if self.nulls != KEEP:
             return latest_row(rows, by, [_ORDER])
-        cells = [self._newest_cell(name).alias(name) for name in self.values if name not in by]
-        merged = rows.groupBy(*by).agg(F.max(_ORDER).alias(_ORDER), *cells)
         values = [name for name in self.values if name not in by]
+        cells = [newest_present(F.col(name), self._stamp(name)).alias(name) for name in values]
+        merged = rows.groupBy(*by).agg(F.max(_ORDER).alias(_ORDER), *cells)
         stamps = [
-            F.when(F.col(f"{name}.stamp") != F.col(_ORDER), F.col(f"{name}.stamp")).alias(name) for name in values
+            F.when(F.col(f"{name}.rank") != F.col(_ORDER), F.col(f"{name}.rank")).alias(name) for name in values
         ]
-        return merged.select(
-            *by, _ORDER, F.struct(*stamps).alias(_STAMPS), *[F.col(f"{name}.value").alias(name) for name in values]
-        ).select(*rows.columns)
-
-    def _newest_cell(self, name: str) -> Column:
-        stamp = F.coalesce(F.col(f"{_STAMPS}.{name}"), F.col(_ORDER))
-        cell = F.struct(F.col(name).alias("value"), stamp.alias("stamp"))
-        return F.max_by(cell, F.when(F.col(name).isNotNull(), stamp))
+        kept = [F.col(f"{name}.value").alias(name) for name in values]
+        return merged.select(*by, _ORDER, F.struct(*stamps).alias(_STAMPS), *kept).select(*rows.columns)
+
+    def _stamp(self, name: str) -> Column:
+        return F.coalesce(F.col(f"{_STAMPS}.{name}"), F.col(_ORDER))
