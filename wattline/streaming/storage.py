@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -18,9 +19,12 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    fallback = tempfile.mkdtemp(prefix="wattline-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return _local_fallback()
+
+
+@cache
+def _local_fallback() -> str:
+    return tempfile.mkdtemp(prefix="wattline-")
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
