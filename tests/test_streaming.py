@@ -16,7 +16,7 @@ from wattline.sources import message_files
 from wattline.streaming import storage, upsert
 from wattline.streaming.jobs import device_telemetry_job, feed_jobs
 from wattline.streaming.runner import Job, console, plan, run_available, run_until_stopped, start, stop
-from wattline.streaming.sinks import external_sink, files_sink, guarded, split_sink
+from wattline.streaming.sinks import external_sink, files_sink, guarded, outcome_sink, split_sink
 from wattline.streaming.upsert import KeyedTable
 
 # --- storage
@@ -336,10 +336,23 @@ def test_standing_jobs_write_tables_and_dead_letters(spark, scratch, messages):
     assert spark.read.parquet(f"{scratch}/out/telemetry").count() == 1
     dead = {row["_error"] for name in ("event", "telemetry") for row in spark.read.parquet(f"{scratch}/dead/{name}").collect()}
     assert dead == {"not one JSON object", "missing lastReceiveTime"}
+    progress = start(spark, feed_jobs(sources, sink_for, dead_letters=f"{scratch}/dead2"), f"{scratch}/ck2")
+    for query in progress:
+        query.processAllAvailable()
+    counts = {q.name: q.recentProgress[0]["observedMetrics"][q.name].asDict() for q in progress}
+    stop(progress)
+    assert counts == {name: {"rows": 2, "errors": 1, "good": 1} for name in ("event", "telemetry")}
     with pytest.raises(ValueError, match="dead-letter folder"):
         feed_jobs(sources, sink_for, keep_failed_batches=True)
 
 
+def test_outcome_sink_writes_both_in_one_pass(spark, scratch):
+    rows = spark.range(10).withColumn("_error", F.when(F.col("id") < 3, "bad"))
+    outcome_sink(f"{scratch}/rows")(rows, 0)
+    stored = spark.read.parquet(f"{scratch}/rows")
+    assert {row.outcome: row["count"] for row in stored.groupBy("outcome").count().collect()} == {"good": 7, "bad": 3}
+
+
 def test_split_sink_evaluates_a_batch_once(spark, scratch):
     counted = spark.sparkContext.accumulator(0)
 

@@ -51,6 +51,17 @@ def _collisions(set_id: int) -> Column:
     )
 
 
+def observed(rows: DataFrame, name: str) -> DataFrame:
+    """The same rows, counted on their way to a sink without another pass.
+
+    For a frame with an ``_error`` column, batch or stream; a running query reports the counts of each
+    micro-batch under ``name`` in its progress.
+    """
+    return rows.observe(
+        name, F.count("*").alias("rows"), F.count(ERROR).alias("errors"), F.count_if(F.col(ERROR).isNull()).alias("good")
+    )
+
+
 def reconcile(feed: Feed, messages: DataFrame, key: Sequence[str] | None = None) -> DataFrame:
     """One row of counts for a feed: messages read, decoded, dead-lettered, rows produced, rejected, kept by key.
 

@@ -24,8 +24,10 @@ def latest_row(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> Dat
     buffer, which makes it cheaper than ``max_by`` and than a ranking window.
     """
     rank = _beyond(key, order)
-    newest = F.max(F.struct(*rank, *[name for name in rows.columns if name not in key and name not in rank]))
-    merged = rows.groupBy(*key).agg(newest.alias("_newest"))
+    values = [*rank, *[name for name in rows.columns if name not in key and name not in rank]]
+    if len(values) == 1:  # a plain maximum, which Spark can aggregate by hash instead of by sort
+        return rows.groupBy(*key).agg(F.max(values[0]).alias(values[0])).select(*rows.columns)
+    merged = rows.groupBy(*key).agg(F.max(F.struct(*values)).alias("_newest"))
     return merged.select(*[_placed(name, key) for name in rows.columns])
 
 

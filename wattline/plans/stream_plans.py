@@ -15,7 +15,7 @@ from wattline.plans.join_plans import DEVICE_SIDE, JOINED, TELEMETRY_SIDE
 from wattline.plans.registry import query
 from wattline.sources import message_files
 from wattline.streaming.runner import Job, run_available
-from wattline.streaming.sinks import files_sink, guarded, split_sink
+from wattline.streaming.sinks import files_sink, guarded, outcome_sink
 from wattline.streaming.storage import run_dir
 from wattline.streaming.upsert import KeyedTable
 
@@ -36,11 +36,11 @@ def _session(spark: SparkSession) -> SparkSession:
 
 
 def _topic(spark: SparkSession, messages: DataFrame, path: str, batches: int) -> DataFrame:
-    """The messages as a file topic that a stream reads in about ``batches`` micro-batches."""
-    parts = spark.sparkContext.defaultParallelism
-    messages.repartition(parts).write.option("maxRecordsPerFile", 5_000_000).parquet(path)
+    """The messages as a file topic, read in ``batches`` micro-batches or more: at most two files per core each."""
+    messages.write.option("maxRecordsPerFile", 1_000_000).parquet(path)
     files = len(spark.read.parquet(path).inputFiles())
-    return message_files(spark, path, stream=True, max_files_per_trigger=max(1, -(-files // batches)))
+    each = min(-(-files // batches), 2 * spark.sparkContext.defaultParallelism)
+    return message_files(spark, path, stream=True, max_files_per_trigger=max(1, each))
 
 
 @query("stream_append_events", EVENT_ROWS)
@@ -138,15 +138,24 @@ def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = run_dir(spark, "dead-letters")
     messages = wire.event_messages(spark, sf_dir).unionByName(wire.text_payloads(spark, sf_dir))
     source = _topic(spark, messages, f"{run}/topic", batches=2)
-    sink = split_sink(files_sink(f"{run}/good"), files_sink(f"{run}/bad"))
-    run_available(spark, [Job("event", feeds.checked(C.EVENT, source), sink=sink)], f"{run}/checkpoints")
-    counted = [
-        spark.read.parquet(f"{run}/{outcome}").agg(F.count("*").alias("messages")).select(
-            F.lit(outcome).alias("outcome"), "messages"
-        )
-        for outcome in ("good", "bad")
-    ]
-    return counted[0].unionByName(counted[1])
+    job = Job("event", feeds.checked(C.EVENT, source), sink=outcome_sink(f"{run}/rows"))
+    run_available(spark, [job], f"{run}/checkpoints")
+    return spark.read.parquet(f"{run}/rows").groupBy("outcome").agg(F.count("*").alias("messages"))
+
+
+@query(
+    "append_log_latest_view",
+    "select 'D' || user_id as device, max(ts) as lastreceivetime from events group by user_id",
+)
+def append_log_latest_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Telemetry touches every device all the time: batches are only appended, and the view reads the log."""
+    run = run_dir(spark, "telemetry-log")
+    source = _topic(spark, wire.telemetry_messages(spark, sf_dir), f"{run}/topic", batches=2)
+    job = Job("telemetry", feeds.telemetry(source), sink=files_sink(f"{run}/log"))
+    run_available(spark, [job], f"{run}/checkpoints")
+    feed = C.TELEMETRY
+    log = spark.read.parquet(f"{run}/log").select(*feed.table.columns)
+    return keyed.latest(log, feed.state_key, [feed.order], feed.table.nulls)
 
 
 @query(

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from wattline import contracts as C
 from wattline import feeds
 from wattline.operators import audit, keyed
+from wattline.operators.conform import conform
+from wattline.operators.decode import PAYLOAD, split_errors
 from wattline.plans import wire
 from wattline.plans.feed_plans import EVENT_ROWS, MEASUREMENT_ROWS, PARAMETER_ROWS
 from wattline.plans.registry import query
@@ -62,6 +64,25 @@ def merge_keep_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(keyed.latest_values(rows, ["device", "event"], _ARRIVAL))
 
 
+@query(
+    "latest_by_manufacturer",
+    """
+    select manufacturer, arg_max(c_custkey, c_custkey) as last_id, arg_max('D' || c_custkey, c_custkey) as device,
+           arg_max(cast(c_nationkey || '.5' as double), c_custkey) as latitude,
+           max(timestamp '2024-01-01' + to_seconds(c_custkey)) as persisttime
+    from (select *, case when c_acctbal >= 1000 then 'M' || c_nationkey when c_acctbal >= 0 then '' end as manufacturer
+          from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey)
+    where manufacturer is not null group by manufacturer""",
+)
+def latest_by_manufacturer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The earlier device table: keyed by manufacturer, coordinates as numbers, devices without the key refused."""
+    table = C.earlier_table("device_by_manufacturer")
+    devices = feeds.device(wire.device_messages(spark, sf_dir), meta=True)
+    good, _ = split_errors(conform(devices, table, errors=True).withColumn(PAYLOAD, F.lit(None)))
+    newest = keyed.latest(good, table.key, _ARRIVAL, table.nulls)
+    return newest.select("manufacturer", F.col("_offset").alias("last_id"), "device", "latitude", "persisttime")
+
+
 @query(
     "latest_register_stat",
     """

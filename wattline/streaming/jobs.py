@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from wattline import contracts as C
 from wattline import feeds
 from wattline.contracts import Table, feed
+from wattline.operators.audit import observed
 from wattline.operators.conform import conform
 from wattline.operators.joins import join_versions, join_versions_within
 from wattline.streaming.runner import Job
@@ -38,7 +39,7 @@ def feed_jobs(
     """One job per feed name in ``messages``.
 
     With ``dead_letters`` unreadable messages and rows that do not fit their table go to ``<dead_letters>/<query>``
-    instead of being written with nulls. ``keep_failed_batches`` keeps a batch whose sink fails for good there
+    instead of being written with nulls, and the query's progress counts both. ``keep_failed_batches`` keeps a batch whose sink fails for good there
     too, and goes on; otherwise the query stops and its restart replays the batch.
     """
     if keep_failed_batches and dead_letters is None:
@@ -50,7 +51,7 @@ def feed_jobs(
         sink = sink_for(which.table)
         rows = feeds.rows(which, source, meta=True)
         if dead_letters is not None:
-            rows = feeds.checked(which, source)
+            rows = observed(feeds.checked(which, source), query)
             sink = split_sink(sink, files_sink(f"{dead_letters}/{query}"))
         failed = f"{dead_letters}/{query}_failed" if keep_failed_batches else None
         jobs.append(Job(query, rows, sink=guarded(sink, attempts=attempts, dead_letters=failed)))

@@ -10,26 +10,45 @@ import time
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from wattline.contracts import KEEP, Table
 from wattline.operators.conform import check_contract
-from wattline.operators.decode import split_errors
+from wattline.operators.decode import ERROR, split_errors
 
 log = logging.getLogger(__name__)
 
 Sink = Callable[[DataFrame, int], None]
 
 
-def files_sink(path: str, *, partition_by: Sequence[str] = ()) -> Sink:
-    """Append log: each batch owns ``batch_id=N`` and replaces it, so a replayed batch is written once."""
+def files_sink(path: str, *, partition_by: Sequence[str] = (), gather: bool = True) -> Sink:
+    """Append log: each batch owns ``batch_id=N`` and replaces it, so a replayed batch is written once.
+
+    ``gather`` shuffles rows to their directories first, for batches that span many of them; without it every
+    task writes its own files, which is cheaper when a batch falls in one or two.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         target = f"{path}/batch_id={batch_id}"
-        gathered(batch, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+        rows = gathered(batch, partition_by) if gather else batch
+        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
 
     return write
 
 
+def outcome_sink(path: str) -> Sink:
+    """Good and bad rows of a frame with an ``_error`` column in one pass, under ``outcome=good`` and ``=bad``.
+
+    One write needs neither a second evaluation of the batch nor room to keep it.
+    """
+    write = files_sink(path, partition_by=["outcome"], gather=False)
+
+    def outcome(batch: DataFrame, batch_id: int) -> None:
+        write(batch.withColumn("outcome", F.when(F.col(ERROR).isNull(), "good").otherwise("bad")), batch_id)
+
+    return outcome
+
+
 def gathered(rows: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows of one directory brought together so that it gets few files, large ones split over tasks."""
     return rows.hint("rebalance", *partition_by) if partition_by else rows
@@ -56,7 +75,10 @@ def external_sink(
 
 
 def split_sink(good: Sink, bad: Sink) -> Sink:
-    """Rows with an ``_error`` to one sink, the others to another, from one evaluation of the batch."""
+    """Rows with an ``_error`` to one sink, the others to another, from one evaluation of the batch.
+
+    The batch is kept on the executors meanwhile, so bound its size at the source; for files see ``outcome_sink``.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
