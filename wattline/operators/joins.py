@@ -62,14 +62,17 @@ def join_state(readings: DataFrame, state: DataFrame, on: str, *, how: str = "in
     return readings.join(state, on, how)
 
 
-def full_outer(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+def full_outer(left: DataFrame, right: DataFrame, on: Sequence[str], *, skewed: bool = True) -> DataFrame:
     """Batch full outer equi-join with the key coalesced; rows with a null key are kept and match nothing.
 
     Adaptive execution cannot split a hot key of a full outer join, and all null keys would meet in one task.
-    So matches, left rows without a partner and right rows without one are three joins that it can split, over
-    reused shuffles, and null keys do not take part.
+    So matches, left rows without a partner and right rows without one are three joins that it can split, and
+    null keys do not take part. Each side is read more than once: give it stored tables. Where no key is hot,
+    ``skewed=False`` is a single join.
     """
     on = list(on)
+    if not skewed:
+        return left.join(right, on, "full")
     complete = reduce(Column.__and__, [F.col(name).isNotNull() for name in on])
     keyed_left, keyed_right = left.filter(complete), right.filter(complete)
     alone = [

@@ -31,7 +31,8 @@ def source(spark: SparkSession, sf_dir: str, name: str, *, stream: bool = False)
         # A stream's plain path must be a directory; as a pattern it may be one file or a directory of files.
         rows = spark.readStream.schema(rows.schema).parquet(f"{sf_dir}/{{{name}}}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if size(spark, f"{sf_dir}/{name}.parquet") < cores * _SMALL else rows
+    small = size(spark, f"{sf_dir}/{name}.parquet") < cores * _SMALL
+    return rows.repartition(cores, *_SPREAD[name]) if small else rows
 
 
 def obj(fields: Mapping[str, Column]) -> Column:
@@ -58,6 +59,14 @@ def small_id(column: str) -> Column:
 # Below this many bytes per core a table is dealt out to all cores before the costly JSON work, since a small
 # file is one task however many cores there are. Larger tables are read as they are split, without a shuffle.
 _SMALL = 16 * 1024 * 1024
+# By a hash of near-unique columns: unlike dealing out rows in turn it needs no sort to be repeatable.
+_SPREAD = {
+    "customer": ["c_custkey"],
+    "documents": ["doc_id"],
+    "events": ["event_id"],
+    "lineitem": ["l_shipdate", "l_partkey", "l_linenumber"],
+    "orders": ["o_orderkey"],
+}
 
 _K = F.get_json_object
 _CHANGED = "o_orderdate + make_dt_interval(1, 0, 0, o_orderkey % 86400)"
