@@ -66,7 +66,8 @@ def test_drop_reaches_into_structs(nested):
 
 
 def test_require_and_split_change(spark):
-    rows = spark.createDataFrame([(1, None, ("a",)), (2, ("b",), ("c",))], "t int, previous struct<s: string>, current struct<s: string>")
+    schema = "t int, previous struct<s: string>, current struct<s: string>"
+    rows = spark.createDataFrame([(1, None, ("a",)), (2, ("b",), ("c",))], schema)
     assert project.require(rows, "previous").count() == 1
     split = project.split_change(rows, {"status": "s"}, keep=["t"])
     assert tuples(split) == [(1, None, "a"), (2, "b", "c")]
@@ -154,7 +155,8 @@ def test_filters_reach_the_scan(spark, scratch):
 
 def test_key_collisions(spark):
     rows, frame = skewed(spark)
-    report = {row.table: tuple(row)[1:] for row in audit.key_collisions(frame, {"k": ["k"], "ks": ["s", "k"]}).collect()}
+    counted = audit.key_collisions(frame, {"k": ["k"], "ks": ["s", "k"]})
+    report = {row.table: tuple(row)[1:] for row in counted.collect()}
     for name, pick in (("k", lambda r: r[0]), ("ks", lambda r: (r[0], r[4]))):
         counts = {}
         for row in rows:
@@ -191,7 +193,8 @@ def test_full_outer_equals_sparks_own(spark):
 
     def side(name):
         keys = [rng.choice([None, "hot", f"k{rng.randrange(30)}"]) for _ in range(60)]
-        return spark.createDataFrame([(k, rng.randrange(2), i) for i, k in enumerate(keys)], f"k string, j int, {name} int")
+        rows = [(key, rng.randrange(2), i) for i, key in enumerate(keys)]
+        return spark.createDataFrame(rows, f"k string, j int, {name} int")
 
     left, right = side("l"), side("r")
     for on, other in ((["k"], right.drop("j")), (["k", "j"], right)):

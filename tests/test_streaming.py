@@ -162,7 +162,8 @@ def test_memory_and_console_outputs(spark, scratch):
 
 def test_trigger_and_stop(spark, scratch):
     source = ticks(spark, f"{scratch}/in")
-    running = start(spark, [Job("t", source(), sink=files_sink(f"{scratch}/out"))], f"{scratch}/ck", trigger={"processingTime": "1 second"})
+    job = Job("t", source(), sink=files_sink(f"{scratch}/out"))
+    running = start(spark, [job], f"{scratch}/ck", trigger={"processingTime": "1 second"})
     running[0].processAllAvailable()
     stop(running)
     assert not running[0].isActive and spark.read.parquet(f"{scratch}/out").count() == 40
@@ -317,8 +318,9 @@ def test_unbounded_outer_stream_join_is_refused(spark, scratch, messages):
 
 
 def test_standing_jobs_write_tables_and_dead_letters(spark, scratch, messages):
-    events = messages({"device": "a", "event": "1", "receiveTime": "2024-01-01T00:00:00Z", "persistTime": "2024-01-01T00:00:00Z"}, "{bad")
-    telemetry = messages({"device": "a", "lastReceiveTime": "2024-01-01T00:00:00Z"}, {"device": "a"})
+    time = "2024-01-01T00:00:00Z"
+    events = messages({"device": "a", "event": "1", "receiveTime": time, "persistTime": time}, "{bad")
+    telemetry = messages({"device": "a", "lastReceiveTime": time}, {"device": "a"})
     events.write.parquet(f"{scratch}/events")
     telemetry.write.parquet(f"{scratch}/telemetry")
     sources = {
@@ -334,7 +336,8 @@ def test_standing_jobs_write_tables_and_dead_letters(spark, scratch, messages):
     run_available(spark, jobs, f"{scratch}/ck")
     assert spark.read.parquet(f"{scratch}/out/events").count() == 1
     assert spark.read.parquet(f"{scratch}/out/telemetry").count() == 1
-    dead = {row["_error"] for name in ("event", "telemetry") for row in spark.read.parquet(f"{scratch}/dead/{name}").collect()}
+    logs = [spark.read.parquet(f"{scratch}/dead/{name}") for name in ("event", "telemetry")]
+    dead = {row["_error"] for log in logs for row in log.collect()}
     assert dead == {"not one JSON object", "missing lastReceiveTime"}
     progress = start(spark, feed_jobs(sources, sink_for, dead_letters=f"{scratch}/dead2"), f"{scratch}/ck2")
     for query in progress:

@@ -58,7 +58,10 @@ def observed(rows: DataFrame, name: str) -> DataFrame:
     micro-batch under ``name`` in its progress.
     """
     return rows.observe(
-        name, F.count("*").alias("rows"), F.count(ERROR).alias("errors"), F.count_if(F.col(ERROR).isNull()).alias("good")
+        name,
+        F.count("*").alias("rows"),
+        F.count(ERROR).alias("errors"),
+        F.count_if(F.col(ERROR).isNull()).alias("good"),
     )
 
 

@@ -35,7 +35,8 @@ def join_inner_device_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "join_last_telemetry",
     f"""select * from ({DEVICE_SIDE}) left join
-        (select device, max(last_telemetry) as last_telemetry from ({TELEMETRY_SIDE}) group by device) using (device)""",
+        (select device, max(last_telemetry) as last_telemetry from ({TELEMETRY_SIDE}) group by device)
+        using (device)""",
 )
 def join_last_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every device with its last telemetry only: the latest view per device, then a one-to-one join."""

@@ -108,7 +108,8 @@ def _maybe_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_type") == "click", F.array(k))
         .otherwise(F.array(k, k + 1))
     )
-    rows = events.select(F.col("event_id").alias("offset"), wire.json({"id": F.col("event_id"), "group": group}).alias("value"))
+    value = wire.json({"id": F.col("event_id"), "group": group})
+    rows = events.select(F.col("event_id").alias("offset"), value.alias("value"))
     return expand(decode(rows, "id bigint, `group` array<int>")).drop("_offset")
 
 
@@ -144,7 +145,9 @@ def parallel_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
         records, "consumptionDataPoints", {"point_values": "value", "qualities": "quality"}
     )
     return arrays.select(
-        "device", F.array_join("point_values", ",").alias("point_values"), F.array_join("qualities", ",").alias("qualities")
+        "device",
+        F.array_join("point_values", ",").alias("point_values"),
+        F.array_join("qualities", ",").alias("qualities"),
     )
 
 

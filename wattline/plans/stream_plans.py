@@ -14,7 +14,7 @@ from wattline.plans.feed_plans import EVENT_ROWS, PARAMETER_ROWS
 from wattline.plans.join_plans import DEVICE_SIDE, JOINED, TELEMETRY_SIDE
 from wattline.plans.registry import query
 from wattline.sources import message_files
-from wattline.streaming.runner import Job, run_available
+from wattline.streaming.runner import Job, run_available, stateful_session
 from wattline.streaming.sinks import files_sink, guarded, outcome_sink
 from wattline.streaming.storage import run_dir
 from wattline.streaming.upsert import KeyedTable
@@ -23,18 +23,6 @@ _ARRIVAL = ("persisttime", "_partition", "_offset")
 _EVENTS_WITH_ID = EVENT_ROWS.replace("from events", ", event_id from events")
 
 
-def _session(spark: SparkSession) -> SparkSession:
-    """A session of its own for the settings a stateful query fixes at its first start."""
-    own = spark.newSession()
-    own.conf.set("spark.sql.session.timeZone", "UTC")
-    own.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
-    own.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
-    return own
-
-
 def _topic(spark: SparkSession, messages: DataFrame, path: str, batches: int) -> DataFrame:
     """The messages as a file topic, read in ``batches`` micro-batches or more: at most two files per core each."""
     messages.write.option("maxRecordsPerFile", 1_000_000).parquet(path)
@@ -191,7 +179,7 @@ def _joined_to_files(spark: SparkSession, name: str, rows: DataFrame) -> DataFra
 @query("join_inner_stream", JOINED)
 def join_inner_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Device and telemetry streams joined without a time bound."""
-    own = _session(spark)
+    own = stateful_session(spark)
     devices = feeds.device_for_join(wire.device_messages(own, sf_dir, stream=True))
     telemetry = feeds.telemetry_for_join(wire.telemetry_messages(own, sf_dir, stream=True))
     joined = joins.join_versions(devices, telemetry, "device", salts=4)
@@ -204,7 +192,7 @@ def join_inner_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def join_inner_bounded_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Telemetry within ten days of the device version; watermarks bound the join's state."""
-    own = _session(spark)
+    own = stateful_session(spark)
     joined = joins.join_versions_within(
         feeds.device_for_join(wire.device_messages(own, sf_dir, stream=True)),
         feeds.telemetry_for_join(wire.telemetry_messages(own, sf_dir, stream=True)),

@@ -64,6 +64,14 @@ def merge_keep_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(keyed.latest_values(rows, ["device", "event"], _ARRIVAL))
 
 
+@query("history_collapses_redeliveries", EVENT_ROWS)
+def history_collapses_redeliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message delivered twice: under the history key each row is kept once and none is lost."""
+    messages = wire.event_messages(spark, sf_dir)
+    rows = feeds.events(messages.unionByName(messages), meta=True)
+    return _stored(keyed.latest_row(rows, C.EVENT.history_key, _ARRIVAL))
+
+
 @query(
     "latest_by_manufacturer",
     """

@@ -39,8 +39,9 @@ def feed_jobs(
     """One job per feed name in ``messages``.
 
     With ``dead_letters`` unreadable messages and rows that do not fit their table go to ``<dead_letters>/<query>``
-    instead of being written with nulls, and the query's progress counts both. ``keep_failed_batches`` keeps a batch whose sink fails for good there
-    too, and goes on; otherwise the query stops and its restart replays the batch.
+    instead of being written with nulls, and the query's progress counts both. ``keep_failed_batches`` keeps a
+    batch whose sink fails for good there too, and goes on; otherwise the query stops and its restart replays the
+    batch.
     """
     if keep_failed_batches and dead_letters is None:
         raise ValueError("failed batches need a dead-letter folder")

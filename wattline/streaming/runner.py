@@ -12,6 +12,7 @@ from wattline.streaming.sinks import Sink
 
 # Formats whose output is gone when the query ends, so that a checkpoint would protect nothing.
 _VOLATILE = ("console", "memory", "noop")
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 @dataclass(frozen=True)
@@ -35,6 +36,27 @@ def console(name: str, rows: DataFrame) -> Job:
     return Job(name, rows, format="console", options={"truncate": "false"})
 
 
+def stateful_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """A session with the settings that a stream-stream join fixes for good at its first start.
+
+    State is split into ``partitions`` (default: the cores there are now), kept in RocksDB outside the heap, and
+    checkpointed as changes; its rows are not counted, which would cost a read per write. Expired state of an
+    inner join is dropped with the next data, not by a batch of its own. The session's time zone is UTC; open the
+    sources and build the join on it.
+    """
+    own = spark.newSession()
+    for key, value in {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism),
+        "spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+        "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    }.items():
+        own.conf.set(key, value)
+    return own
+
+
 def plan(jobs: Iterable[Job], checkpoint_root: str | None) -> list[tuple[Job, str | None]]:
     """Each job with its checkpoint folder; refuses what would lose or repeat rows.
 
