@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tests.conftest import tuples
 from wattline import contracts as C
 from wattline import feeds
+from wattline.__main__ import arguments, sink_maker
 from wattline.operators import joins, keyed
 from wattline.sources import message_files
 from wattline.streaming import storage, upsert
@@ -115,6 +116,17 @@ def test_external_sink_checks_the_contract_and_passes_options(spark, scratch):
         sink(rows.withColumnRenamed("lastreceivetime", "lasttelemetry"), 2)
 
 
+def test_command_line_sinks(spark, scratch):
+    rows = spark.createDataFrame([("2024-01-01", "a")], "current_date string, device string")
+    rows = rows.withColumn("current_date", F.col("current_date").cast("date")).withColumn("receivetime", F.now())
+    base = ["--servers", "h:1", "--checkpoints", "c"]
+    sink_maker(arguments([*base, "--out", scratch]))(C.EVENT.table)(rows, 0)
+    assert storage.exists(spark, f"{scratch}/events/batch_id=0/current_date=2024-01-01")
+    external = ["--format", "parquet", "--option", f"path={scratch}/x", "--null-option", "skipNulls"]
+    sink_maker(arguments([*base, *external]))(C.EVENT.table)(rows, 0)
+    assert spark.read.parquet(f"{scratch}/x").count() == 1
+
+
 # --- runner
 
 

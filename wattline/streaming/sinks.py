@@ -31,7 +31,8 @@ def files_sink(path: str, *, partition_by: Sequence[str] = (), gather: bool = Tr
     def write(batch: DataFrame, batch_id: int) -> None:
         target = f"{path}/batch_id={batch_id}"
         rows = gathered(batch, partition_by) if gather else batch
-        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(*partition_by).parquet(target)
 
     return write
 
