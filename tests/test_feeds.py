@@ -8,6 +8,7 @@ from tests.conftest import SF, tuples
 from wattline import contracts as C
 from wattline import feeds
 from wattline.plans import wire
+from wattline.sources import json_files
 from wattline.streaming.runner import Job, run_available
 from wattline.streaming.sinks import files_sink
 
@@ -129,6 +130,13 @@ def test_metering_point(messages):
     assert created.previous_group is None and created.current_group == "H"
 
 
+def test_json_files_with_and_without_a_schema(spark, scratch):
+    spark.createDataFrame([('{"id": 1, "at": "2024-01-01T00:00:00Z"}',)], "value string").write.text(f"{scratch}/j")
+    assert json_files(spark, f"{scratch}/j").dtypes == [("at", "string"), ("id", "bigint")]
+    typed = json_files(spark, f"{scratch}/j", "id int, at timestamp").first()
+    assert tuple(typed) == (1, at("2024-01-01 00:00:00"))
+
+
 SOURCES = {
     C.EVENT: wire.event_messages, C.TELEMETRY: wire.telemetry_messages, C.DEVICE: wire.device_messages,
     C.MEASUREMENT: wire.measurement_messages, C.REGISTER_STATISTIC: wire.register_statistic_messages,

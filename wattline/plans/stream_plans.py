@@ -23,11 +23,16 @@ _ARRIVAL = ("persisttime", "_partition", "_offset")
 _EVENTS_WITH_ID = EVENT_ROWS.replace("from events", ", event_id from events")
 
 
+def _files(spark: SparkSession) -> int:
+    """Files per micro-batch: bounds what a failed batch repeats, with work for every core."""
+    return 2 * spark.sparkContext.defaultParallelism
+
+
 def _topic(spark: SparkSession, messages: DataFrame, path: str, batches: int) -> DataFrame:
     """The messages as a file topic, read in ``batches`` micro-batches or more: at most two files per core each."""
     messages.write.option("maxRecordsPerFile", 1_000_000).parquet(path)
     files = len(spark.read.parquet(path).inputFiles())
-    each = min(-(-files // batches), 2 * spark.sparkContext.defaultParallelism)
+    each = min(-(-files // batches), _files(spark))
     return message_files(spark, path, stream=True, max_files_per_trigger=max(1, each))
 
 
@@ -35,7 +40,7 @@ def _topic(spark: SparkSession, messages: DataFrame, path: str, batches: int) ->
 def stream_append_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events from their stream into a date-partitioned append log."""
     run = run_dir(spark, "append-events")
-    rows = feeds.events(wire.event_messages(spark, sf_dir, stream=True))
+    rows = feeds.events(wire.event_messages(spark, sf_dir, stream=_files(spark)))
     job = Job("event", rows, sink=files_sink(f"{run}/events", partition_by=["current_date"]))
     run_available(spark, [job], f"{run}/checkpoints")
     return spark.read.parquet(f"{run}/events").select(*C.EVENT.table.columns)
@@ -103,7 +108,7 @@ def stream_retry_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
             raise RuntimeError("sink failed after writing")
 
     def job() -> Job:
-        rows = feeds.events(wire.event_messages(spark, sf_dir, stream=True))
+        rows = feeds.events(wire.event_messages(spark, sf_dir, stream=_files(spark)))
         return Job("event", rows, sink=guarded(fails_once))
 
     try:
@@ -157,9 +162,9 @@ def multi_feed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three feeds at once, each a named query with its own checkpoint and table."""
     run = run_dir(spark, "multi-feed")
     rows = {
-        "event": feeds.events(wire.event_messages(spark, sf_dir, stream=True)),
-        "telemetry": feeds.telemetry(wire.telemetry_messages(spark, sf_dir, stream=True)),
-        "parameter": feeds.parameter(wire.parameter_messages(spark, sf_dir, stream=True)),
+        "event": feeds.events(wire.event_messages(spark, sf_dir, stream=_files(spark))),
+        "telemetry": feeds.telemetry(wire.telemetry_messages(spark, sf_dir, stream=_files(spark))),
+        "parameter": feeds.parameter(wire.parameter_messages(spark, sf_dir, stream=_files(spark))),
     }
     jobs = [Job(name, frame, sink=files_sink(f"{run}/{name}")) for name, frame in rows.items()]
     run_available(spark, jobs, f"{run}/checkpoints")
@@ -180,8 +185,8 @@ def _joined_to_files(spark: SparkSession, name: str, rows: DataFrame) -> DataFra
 def join_inner_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Device and telemetry streams joined without a time bound."""
     own = stateful_session(spark)
-    devices = feeds.device_for_join(wire.device_messages(own, sf_dir, stream=True))
-    telemetry = feeds.telemetry_for_join(wire.telemetry_messages(own, sf_dir, stream=True))
+    devices = feeds.device_for_join(wire.device_messages(own, sf_dir, stream=_files(own)))
+    telemetry = feeds.telemetry_for_join(wire.telemetry_messages(own, sf_dir, stream=_files(own)))
     joined = joins.join_versions(devices, telemetry, "device", salts=4)
     return _joined_to_files(spark, "join-unbounded", conform(joined, C.DEVICE_TELEMETRY))
 
@@ -191,7 +196,11 @@ def join_inner_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"select * from ({JOINED}) where last_telemetry between persisttime and persisttime + INTERVAL 10 DAY",
 )
 def join_inner_bounded_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Telemetry within ten days of the device version; watermarks bound the join's state."""
+    """Telemetry within ten days of the device version; watermarks bound the join's state.
+
+    The files are not in time order, so all of them are one micro-batch: between batches, rows older than the
+    watermark would be late.
+    """
     own = stateful_session(spark)
     joined = joins.join_versions_within(
         feeds.device_for_join(wire.device_messages(own, sf_dir, stream=True)),
@@ -214,7 +223,7 @@ def join_stream_static(spark: SparkSession, sf_dir: str) -> DataFrame:
     devices = feeds.device_for_join(wire.device_messages(spark, sf_dir), meta=True)
     state = keyed.latest(devices, feed.state_key, [feed.order, "_partition", "_offset"], feed.table.nulls)
     state.select(*feed.table.columns).write.parquet(run)
-    telemetry = feeds.telemetry_for_join(wire.telemetry_messages(spark, sf_dir, stream=True))
+    telemetry = feeds.telemetry_for_join(wire.telemetry_messages(spark, sf_dir, stream=_files(spark)))
 
     out = run_dir(spark, "enriched")
     write = files_sink(f"{out}/rows")

@@ -24,12 +24,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def source(spark: SparkSession, sf_dir: str, name: str, *, stream: bool = False) -> DataFrame:
-    """A table to make messages of, spread over the cores when it is small."""
+def source(spark: SparkSession, sf_dir: str, name: str, *, stream: bool | int = False) -> DataFrame:
+    """A table to make messages of, spread over the cores when it is small.
+
+    ``stream`` reads it as a stream: ``True`` in one micro-batch, a number in batches of at most that many files.
+    """
     rows = table(spark, sf_dir, name)
     if stream:
+        reader = spark.readStream.schema(rows.schema)
+        if stream is not True:
+            reader = reader.option("maxFilesPerTrigger", stream)
         # A stream's plain path must be a directory; as a pattern it may be one file or a directory of files.
-        rows = spark.readStream.schema(rows.schema).parquet(f"{sf_dir}/{{{name}}}.parquet")
+        rows = reader.parquet(f"{sf_dir}/{{{name}}}.parquet")
     cores = spark.sparkContext.defaultParallelism
     small = size(spark, f"{sf_dir}/{name}.parquet") < cores * _SMALL
     return rows.repartition(cores, *_SPREAD[name]) if small else rows
@@ -72,7 +78,7 @@ _K = F.get_json_object
 _CHANGED = "o_orderdate + make_dt_interval(1, 0, 0, o_orderkey % 86400)"
 
 
-def event_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) -> DataFrame:
+def event_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int = False) -> DataFrame:
     rows = source(spark, sf_dir, "events", stream=stream)
     value = json(
         {
@@ -90,13 +96,13 @@ def event_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) ->
     return _events_envelope(rows, value, C.EVENT.topic)
 
 
-def telemetry_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) -> DataFrame:
+def telemetry_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int = False) -> DataFrame:
     rows = source(spark, sf_dir, "events", stream=stream)
     value = json({"device": coded("D", "user_id"), "lastReceiveTime": F.col("ts")})
     return _events_envelope(rows, value, C.TELEMETRY.topic)
 
 
-def parameter_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) -> DataFrame:
+def parameter_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int = False) -> DataFrame:
     rows = source(spark, sf_dir, "events", stream=stream)
     value = json(
         {
@@ -112,7 +118,7 @@ def parameter_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False
     return _events_envelope(rows, value, C.PARAMETER.topic)
 
 
-def profile_facts_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) -> DataFrame:
+def profile_facts_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int = False) -> DataFrame:
     rows = source(spark, sf_dir, "events", stream=stream)
     value = json(
         {
@@ -135,7 +141,7 @@ def _events_envelope(rows: DataFrame, value: Column, topic: str) -> DataFrame:
     )
 
 
-def device_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) -> DataFrame:
+def device_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int = False) -> DataFrame:
     rows = (
         source(spark, sf_dir, "customer", stream=stream)
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -180,7 +186,7 @@ def device_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) -
     )
 
 
-def measurement_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) -> DataFrame:
+def measurement_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int = False) -> DataFrame:
     rows = source(spark, sf_dir, "lineitem", stream=stream)
     received = F.expr("l_shipdate + make_dt_interval(0, 0, l_linenumber, 0)")
     points = [
@@ -212,7 +218,7 @@ def measurement_messages(spark: SparkSession, sf_dir: str, *, stream: bool = Fal
     return _lineitem_envelope(rows, value, C.MEASUREMENT.topic, coded("P", "l_partkey"))
 
 
-def register_statistic_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) -> DataFrame:
+def register_statistic_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int = False) -> DataFrame:
     rows = source(spark, sf_dir, "lineitem", stream=stream)
     reads = {
         "expected": F.lit(24), "received": F.col("l_quantity").cast("int"), "edited": F.col("l_linenumber"),
@@ -235,7 +241,7 @@ def register_statistic_messages(spark: SparkSession, sf_dir: str, *, stream: boo
     return _lineitem_envelope(rows, value, C.REGISTER_STATISTIC.topic, coded("P", "l_partkey"))
 
 
-def topology_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) -> DataFrame:
+def topology_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int = False) -> DataFrame:
     rows = source(spark, sf_dir, "lineitem", stream=stream)
     children = [
         obj({"childDevice": child, "addTime": F.col("l_shipdate"), "dataSource": F.lit(origin)})
@@ -252,7 +258,7 @@ def topology_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False)
     return _lineitem_envelope(rows, value, C.TOPOLOGY.topic, coded("O", "l_orderkey"))
 
 
-def derived_measurement_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) -> DataFrame:
+def derived_measurement_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int = False) -> DataFrame:
     rows = source(spark, sf_dir, "lineitem", stream=stream)
     points = [
         obj({"time": after("l_shipdate", f"{hour} hours"), "value": value, "quality": F.col("l_returnflag")})
@@ -278,7 +284,7 @@ def _lineitem_envelope(rows: DataFrame, value: Column, topic: str, key: Column)
 
 
 def process_messages(
-    spark: SparkSession, sf_dir: str, *, stream: bool = False, text_times: bool = False
+    spark: SparkSession, sf_dir: str, *, stream: bool | int = False, text_times: bool = False
 ) -> DataFrame:
     """``text_times`` puts text that is no instant into the start time of orders in progress."""
     rows = source(spark, sf_dir, "orders", stream=stream)
@@ -315,7 +321,7 @@ def process_messages(
     return _orders_envelope(rows, value, C.PROCESS.topic)
 
 
-def operational_process_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) -> DataFrame:
+def operational_process_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int = False) -> DataFrame:
     rows = source(spark, sf_dir, "orders", stream=stream)
     value = json(
         {
@@ -371,7 +377,7 @@ def metering_point_json(rows: DataFrame) -> Column:
     )
 
 
-def metering_point_messages(spark: SparkSession, sf_dir: str, *, stream: bool = False) -> DataFrame:
+def metering_point_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int = False) -> DataFrame:
     rows = source(spark, sf_dir, "orders", stream=stream)
     return _orders_envelope(rows, metering_point_json(rows), C.METERING_POINT.topic)
 
