@@ -42,7 +42,7 @@ def test_shared_folder_comes_from_the_session():
 
 def ticks(spark, path, parts=4, rows=40):
     """A stream of ``parts`` micro-batches over numbered rows."""
-    spark.range(rows).repartition(parts).write.parquet(path)
+    spark.range(0, rows, 1, parts).write.parquet(path)
     return lambda: spark.readStream.schema("id bigint").option("maxFilesPerTrigger", 1).parquet(path)
 
 
