@@ -84,3 +84,27 @@ def components(edges: DataFrame) -> DataFrame:
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, per_class: int, extra: tuple[str, ...] = ()):
+    """Documents to fit a classifier on, and how many labels there are of either class.
+
+    Only labels outside the held-out part count. Of each class at most ``per_class`` ids are taken, in the order of a
+    hash, which is the documented bound of what the driver receives: rows ``(doc_id, label, text, *extra)``. Several
+    labels of one id count as the greatest; several texts of one id as the least. Null ids and null labels are left
+    out.
+    """
+    marks = (
+        labels.where(F.col("doc_id").isNotNull() & F.col(target).isNotNull() & ~held_out(F.col("doc_id")))
+        .groupBy("doc_id")
+        .agg((F.max(target) > 0).cast("int").alias("label"))
+    )
+    counts = {row["label"]: row["count"] for row in marks.groupBy("label").count().collect()}
+    chosen = reduce(
+        DataFrame.unionByName,
+        [marks.where(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for v in (0, 1)],
+    )
+    taken = docs.select("doc_id", "text", *extra).join(F.broadcast(chosen), "doc_id")
+    taken = taken.groupBy("doc_id", "label").agg(*[F.min(name).alias(name) for name in ("text", *extra)])
+    rows = sorted(taken.collect(), key=lambda row: row.doc_id)
+    return rows, (counts.get(0, 0), counts.get(1, 0))

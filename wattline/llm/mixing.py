@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 #: Documents of one source in a block, slots in a period, rows of a source that one task numbers.
 BLOCK_ROWS = 16
 PERIOD = 1000
-RANGE_ROWS = 20_000
+RANGE_ROWS = 4_000
 #: A mix has dataset-sized sources; more of them than this is an error, since their list is held by the driver.
 MAX_SOURCES = 10_000
 #: Without target weights, a source's weight is its size to this power.

@@ -69,4 +69,23 @@ SELECT doc_id, class_id, CAST(coalesce(k, 0) AS BIGINT) AS n_links
 FROM d JOIN least_id l ON l.a = d.r LEFT JOIN links k ON k.a = d.r
 """
 
-SQL = {"op1_decontaminate": OP1, "op3_mix_sources": OP3, "op10_ngram_jaccard": OP10}
+OP6 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+n AS (SELECT *, row_number() OVER w AS i, count(*) OVER (PARTITION BY conv_id) AS k,
+             length('<|im_start|>') + length(role) + length(regexp_replace(role, '[^\\\n]', '', 'g'))
+               + len(regexp_extract_all(role, '<\\*\|')) + 1
+               + length(text) + len(regexp_extract_all(text, '<\\*\|')) + length('<|im_end|>') + 1 AS size
+      FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+s AS (SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS upto FROM n)
+SELECT conv_id, CAST(any_value(k) AS BIGINT) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(upto) FILTER (role = 'assistant' OR i = k) AS BIGINT) AS formatted_chars
+FROM s GROUP BY conv_id
+"""
+
+SQL = {"op6_chat_format": OP6, "op1_decontaminate": OP1, "op3_mix_sources": OP3, "op10_ngram_jaccard": OP10}
