@@ -16,9 +16,9 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from wattline.llm import textbytes
 from wattline.llm.common import components, cut, sized_broadcast
@@ -54,15 +54,13 @@ def _sketches(shingle: int, bands: int, rows: int):
     factor = rng.integers(0, 2**31, bands * rows, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
     offset = rng.integers(0, 2**32, bands * rows, dtype=np.uint32)
 
-    def sketch(text: pd.Series) -> pd.DataFrame:
-        import numpy as np
-
+    def sketch(text: pa.Array) -> pa.Array:
         words = np.zeros(len(text), dtype=np.int64)
         runs = np.zeros(len(text), dtype=np.int64)
         copy = np.zeros(len(text), dtype=np.int64)
-        band: list[np.ndarray | None] = [None] * len(text)
+        band = np.zeros((len(text), bands), dtype=np.int64)
         mix = textbytes._powers(0xD6E8FEB86659FD93, bands * rows).reshape(bands, rows)
-        for begun, raws in textbytes.chunks(text.tolist()):
+        for begun, raws in textbytes.chunks(textbytes.views(text)):
             cut_up = textbytes.tokenize(raws)
             hashes = cut_up.hashes()
             grams, first = textbytes.rolling(hashes, cut_up.first, shingle)
@@ -83,22 +81,27 @@ def _sketches(shingle: int, bands: int, rows: int):
                 factors, _ = textbytes._Tables.of(len(own))
                 copy[i] = textbytes.mixed((own * factors).sum(keepdims=True) + np.uint64(len(own)))[0].astype(np.int64)
                 band[i] = keys.view(np.int64)
-        return pd.DataFrame({"n_words": words, "n_runs": runs, "copy": copy, "bands": band})
+        lists = pa.ListArray.from_arrays(
+            np.arange(0, band.size + 1, bands, dtype=np.int32), pa.array(band.ravel()), mask=pa.array(words == 0)
+        )
+        return pa.StructArray.from_arrays(
+            [pa.array(words), pa.array(runs), pa.array(copy), lists], names=["n_words", "n_runs", "copy", "bands"]
+        )
 
-    return pandas_udf(sketch, "n_words bigint, n_runs bigint, copy bigint, bands array<bigint>")
+    return F.arrow_udf(sketch, "n_words bigint, n_runs bigint, copy bigint, bands array<bigint>")
 
 
 def _sets(shingle: int):
-    def sets(text: pd.Series) -> pd.Series:
+    def sets(text: pa.Array) -> pa.Array:
         out = [b""] * len(text)
-        for begun, raws in textbytes.chunks(text.tolist()):
+        for begun, raws in textbytes.chunks(textbytes.views(text)):
             cut_up = textbytes.tokenize(raws)
             grams, first = textbytes.rolling(cut_up.hashes(), cut_up.first, shingle)
             for d in range(len(raws)):
                 out[begun + d] = np.unique(grams[first[d] : first[d + 1]]).tobytes()
-        return pd.Series(out)
+        return pa.array(out, pa.binary())
 
-    return pandas_udf(sets, "binary")
+    return F.arrow_udf(sets, "binary")
 
 
 def linked(sets: list[np.ndarray], threshold: float) -> np.ndarray:

@@ -15,11 +15,11 @@ import re
 from collections import Counter
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
+from wattline.llm import textbytes
 from wattline.llm.common import words
 
 #: Wording of notices and headers, by license. Fixed values.
@@ -143,10 +143,15 @@ def fit(files: DataFrame, text: str = "text") -> Model:
 
 
 def own_license(model: Model, text: Column) -> Column:
-    def of(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([model.scan(x) for x in texts.tolist()], columns=["license", "cosine", "is_file"])
-
-    return pandas_udf(of, "license string, cosine double, is_file boolean")(text)
+    def of(texts: pa.Array) -> pa.Array:
+        found = [model.scan(str(own, "utf-8", "replace")) for own in textbytes.views(texts)]
+        names, cosines, short = zip(*found) if found else ((), (), ())
+        return pa.StructArray.from_arrays(
+            [pa.array(names, pa.string()), pa.array(cosines, pa.float64()), pa.array(short, pa.bool_())],
+            names=["license", "cosine", "is_file"],
+        )
+
+    return F.arrow_udf(of, "license string, cosine double, is_file boolean")(text)
 
 
 def directories(path: Column) -> Column:

@@ -59,7 +59,7 @@ def choose_pivots(rows: DataFrame, pivots: int = PIVOTS) -> tuple[np.ndarray, fl
     most = rows.agg(F.max(square).alias("m")).first().m or 0.0
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(4 * pivots).collect()
     chosen = list(dict.fromkeys(tuple(row.vector) for row in sample))[:pivots]
-    found = np.array(chosen, dtype=np.float64).reshape(len(chosen), -1)
+    found = np.array(chosen, dtype=np.float64).reshape(len(chosen), len(chosen[0]) if chosen else 1)
     return np.column_stack([found, _lift(found, most)]), float(most)
 
 

@@ -11,16 +11,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from wattline.llm import textbytes
 from wattline.llm.common import cut, labelled_sample, sized_broadcast
 
 #: The bound of the training sample: so many labelled documents of either class.
-PER_CLASS = 8000
+PER_CLASS = 3000
 #: Documents with a lower posterior are rejected.
 KEEP_AT = 0.5
 #: Most (host, path) groups that are broadcast to the documents; beyond it that join is shuffled.
@@ -42,16 +41,16 @@ def features(texts) -> np.ndarray:
     for begun, raws in textbytes.chunks(texts):
         cut_up = textbytes.tokenize(raws)
         hashes, first = cut_up.hashes(), cut_up.first
-        raw = np.frombuffer(b" " + b" ".join(raws) + b" ", dtype=np.uint8)
+        cased = np.frombuffer(b" " + b" ".join(raws) + b" ", dtype=np.uint8)
         low = cut_up.low
         symbol = ~textbytes._IN_WORD[low] & ~_PLAIN[low]
         after = cut_up.end[cut_up.end < len(low)]
         sums = {
-            "upper": _sums(_UPPER[raw]),
+            "upper": _sums(_UPPER[cased]),
             "symbol": _sums(symbol),
             "runs": _sums(np.append(False, (low[1:] == low[:-1]) & ~textbytes._IN_WORD[low[1:]] & (low[1:] != 32))),
-            "line": _sums(raw == 10),
-            "bar": _sums(raw == ord("|")),
+            "line": _sums(cased == 10),
+            "bar": _sums(cased == ord("|")),
             "digit": _sums((low >= 48) & (low <= 57)),
         }
         repeated = np.zeros(len(hashes), dtype=bool)
@@ -132,10 +131,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
 
 
 def evidence(model: Model, text: Column) -> Column:
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.evidence(texts.tolist()))
+    def of(texts: pa.Array) -> pa.Array:
+        return pa.array(model.evidence(textbytes.views(texts)))
 
-    return pandas_udf(of, "double")(text)
+    return F.arrow_udf(of, "double")(text)
 
 
 def _logistic(x: Column) -> Column:

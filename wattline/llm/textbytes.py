@@ -6,9 +6,10 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 
 #: Bytes of text that are worked on together; a longer text is a chunk of its own.
-CHUNK = 1 << 20
+CHUNK = 1 << 17
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -73,27 +74,48 @@ class Words:
         return mixed((self.sums[end] - self.sums[start]) * self.down[start])
 
 
-def chunks(texts: Sequence[str | None], size: int = CHUNK) -> Iterator[tuple[int, list[bytes]]]:
+Raw = bytes | memoryview
+
+
+def views(column: pa.Array) -> list[memoryview]:
+    """The texts of an Arrow column as the bytes that they are, without a copy; null is empty."""
+    if not len(column):
+        return []
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, dtype=kind)[column.offset : column.offset + len(column) + 1].tolist()
+    whole = memoryview(data if data is not None else b"")
+    out = [whole[a:b] for a, b in zip(at, at[1:])]
+    for i in np.flatnonzero(column.is_null().to_numpy(zero_copy_only=False)) if column.null_count else ():
+        out[i] = whole[:0]
+    return out
+
+
+def raw(text: str | Raw | None) -> Raw:
+    return text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b"" if text is None else text
+
+
+def chunks(texts: Sequence[str | Raw | None], size: int = CHUNK) -> Iterator[tuple[int, list[Raw]]]:
     """Runs of texts of about ``size`` bytes, with the number of the first; null counts as empty."""
-    held: list[bytes] = []
+    held: list[Raw] = []
     begun = total = 0
     for i, text in enumerate(texts):
-        raw = (text or "").encode("utf-8", "surrogatepass")
-        if held and total + len(raw) > size:
+        own = raw(text)
+        if held and total + len(own) > size:
             yield begun, held
             begun, held, total = i, [], 0
-        held.append(raw)
-        total += len(raw) + 1
+        held.append(own)
+        total += len(own) + 1
     if held:
         yield begun, held
 
 
-def tokenize(raws: list[bytes]) -> Words:
+def tokenize(raws: list[Raw]) -> Words:
     low = _LOWER[np.frombuffer(b" " + b" ".join(raws) + b" ", dtype=np.uint8)]
     inside = _IN_WORD[low]
     edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     start, end = edge[0::2], edge[1::2]
-    lengths = np.fromiter((len(raw) + 1 for raw in raws), dtype=np.int64, count=len(raws))
+    lengths = np.fromiter((len(own) + 1 for own in raws), dtype=np.int64, count=len(raws))
     text_start = 1 + np.concatenate([[0], np.cumsum(lengths)])
     first = np.searchsorted(start, text_start)
     up, down = _Tables.of(len(low) + 1)

@@ -10,10 +10,9 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from wattline.llm import textbytes
 from wattline.llm.common import labelled_sample
@@ -23,7 +22,7 @@ DIM = 8
 FILTERS = 8
 WIDTHS = (1, 2, 3)
 #: The bound of the training sample: so many labelled documents of either class.
-PER_CLASS = 8000
+PER_CLASS = 4000
 #: Passes over the sample, and the least number of steps, for which small samples are passed over more often.
 EPOCHS = 4
 STEPS = 120
@@ -94,14 +93,14 @@ class Model:
     def scores(self, texts) -> np.ndarray:
         """Calibrated probabilities of whole texts; null counts as empty."""
         out = np.zeros(len(texts))
-        for begun, raws in textbytes.chunks(texts, textbytes.CHUNK // 2):
+        for begun, raws in textbytes.chunks(texts):
             cut_up = textbytes.tokenize(raws)
             out[begun : begun + len(raws)] = self.logits(word_features(cut_up), cut_up.first)
         return 1 / (1 + np.exp(-np.clip(self.scale[0] * out + self.scale[1], -40, 40)))
 
 
 def _features(text: str | None) -> np.ndarray:
-    return word_features(textbytes.tokenize([(text or "").encode("utf-8", "surrogatepass")]))
+    return word_features(textbytes.tokenize([textbytes.raw(text)]))
 
 
 def _log_odds(texts: list[str], labels: np.ndarray) -> np.ndarray:
@@ -248,10 +247,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
 
 
 def score(model: Model, text: Column) -> Column:
-    def scores(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.scores(texts.tolist()))
+    def scores(texts: pa.Array) -> pa.Array:
+        return pa.array(model.scores(textbytes.views(texts)))
 
-    return pandas_udf(scores, "double")(text)
+    return F.arrow_udf(scores, "double")(text)
 
 
 def threshold(model: Model, lang: Column) -> Column:
