@@ -26,10 +26,18 @@ def test_projection_refuses_one_name_twice():
         C.TELEMETRY.using(columns=("device", "x.device")).projection
 
 
-@pytest.mark.parametrize("name", C.EARLIER_KEYS)
-def test_earlier_tables_have_their_keys(name):
+@pytest.mark.parametrize("name", C.EARLIER_TABLES)
+def test_earlier_tables_hold_their_keys_and_columns_of_their_feed(name):
     table = C.earlier_table(name)
-    assert set(table.key) <= set(table.columns)
+    newest = C.feed(C.EARLIER_TABLES[name][0]).table
+    renamed = {C.earlier_names(name).get(column, column) for column in newest.columns}
+    assert set(table.key) <= set(table.columns) <= renamed
+
+
+@pytest.mark.parametrize("name", C.EARLIER_KEYS)
+def test_earlier_keys_are_columns(name):
+    which, key = C.EARLIER_KEYS[name]
+    assert set(key) <= set(C.feed(which).table.columns)
 
 
 def test_earlier_types_differ():

@@ -51,9 +51,9 @@ def test_opaque_subtrees_stay_text(messages):
 
 
 def test_instants_of_all_widths(messages):
-    payload = {"a": "2022-11-04T07:20:47Z", "b": "2022-11-04T07:20:47.991Z", "c": "2022-11-04T07:20:47.510820Z"}
+    payload = {"a": "2031-05-06T07:08:09Z", "b": "2031-05-06T07:08:09.123Z", "c": "2031-05-06T07:08:09.123456Z"}
     row = expand(decode(messages(payload), "a timestamp, b timestamp, c timestamp")).first()
-    assert [value.microsecond for value in (row.a, row.b, row.c)] == [0, 991000, 510820]
+    assert [value.microsecond for value in (row.a, row.b, row.c)] == [0, 123000, 123456]
 
 
 def test_payload_text(messages):
@@ -108,35 +108,59 @@ def test_dead_letters(messages):
 
 def test_bad_elements_are_reported(messages):
     point = {"register": "r", "value": "1", "unit": "V"}
-    time = "2023-01-18T22:01:05Z"
+    time = "2031-05-06T07:08:09Z"
     payloads = [
         {"device": "a", "receiveTime": time, "dataPoints": [point, {**point, "value": "much"}]},
         {"device": "a", "receiveTime": time, "dataPoints": []},
         {"device": "a", "dataPoints": [point]},
+        {"device": "a", "receiveTime": time},
+        {"device": "a", "receiveTime": time, "dataPoints": point},
+        {"device": "a", "receiveTime": time, "dataPoints": [None, {**point, "value": 2.5}]},
+        {"device": "a", "receiveTime": "soon", "dataPoints": [point]},
     ]
     rows = feeds.checked(C.MEASUREMENT, messages(*payloads))
-    assert [(row["_offset"], row["_error"]) for row in rows.orderBy("_offset", "value").collect()] == [
-        (0, "value is not float"),
-        (0, None),
-        (2, "missing receiveTime"),
+    assert [(row["_offset"], row["_error"], row["value"]) for row in rows.orderBy("_offset", "value").collect()] == [
+        (0, "value is not float", None),
+        (0, None, 1.0),
+        (2, "missing receiveTime", 1.0),
+        (3, "no array dataPoints", None),
+        (4, "badly typed field", None),
+        (5, "null element of dataPoints", None),
+        (5, None, 2.5),
+        (6, "badly typed field", 1.0),
     ]
+    lenient = feeds.checked(C.MEASUREMENT, messages(*payloads), strict=False)
+    errors = {row["_offset"]: row["_error"] for row in lenient.where("_offset in (4, 6)").collect()}
+    assert errors == {4: "no array dataPoints", 6: "missing receiveTime"}
+
+
+def test_quoted_numbers_are_numbers(messages):
+    base = {"device": "a", "event": "e", "receiveTime": "2031-05-06T07:08:09Z", "persistTime": "2031-05-06T07:08:09Z"}
+    counts = [5, "5", "many", None]
+    source = messages(*[{**base, "occurrenceCount": count} for count in counts])
+    assert [row.occurrencecount for row in feeds.events(source, meta=True).orderBy("_offset").collect()] == [5, 5, None, None]
+    errors = [row["_error"] for row in feeds.checked(C.EVENT, source).orderBy("_offset").collect()]
+    assert errors == [None, None, "occurrencecount is not int", None]
+    facts = {"device": "a", "profile": "p", "gatheredAt": "2031-05-06T07:08:09Z", "actual": "1.5", "expected": 24}
+    row = feeds.profile_facts(messages(facts)).first()
+    assert (row.actual, row.expected) == (1.5, 24.0)
 
 
 def test_casts_of_bad_text(spark):
     row = spark.range(1).select(
-        to_number(F.lit("2.5E+2")).alias("a"),
+        to_number(F.lit("7.5E+1")).alias("a"),
         to_number(F.lit("bad")).alias("b"),
         to_number(F.lit("NaN")).alias("c"),
-        to_instant(F.lit("2022-11-04T07:20:47.991Z")).alias("d"),
+        to_instant(F.lit("2031-05-06T07:08:09.123Z")).alias("d"),
         to_instant(F.lit("soon")).alias("e"),
         default_text(F.lit(None).cast("string")).alias("f"),
         default_text(F.lit("")).alias("g"),
         default_text(F.lit(""), empty=True).alias("h"),
     )
     row = row.first()
-    assert (row.a, row.b, row.e, row.f, row.g, row.h) == (250.0, None, None, "unknown", "", "unknown")
+    assert (row.a, row.b, row.e, row.f, row.g, row.h) == (75.0, None, None, "unknown", "", "unknown")
     assert row.c != row.c
-    assert row.d == dt.datetime(2022, 11, 4, 7, 20, 47, 991000)
+    assert row.d == dt.datetime(2031, 5, 6, 7, 8, 9, 123000)
 
 
 TEXT = st.text(alphabet=st.characters(exclude_categories=["Cs", "Cc"]), max_size=8)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tempfile
 from types import SimpleNamespace
 
 import pytest
@@ -8,17 +9,18 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tests.conftest import tuples
+from tests.conftest import SF, executed, tuples
 from wattline import contracts as C
 from wattline import feeds
-from wattline.__main__ import arguments, sink_maker
+from wattline.__main__ import arguments, main, sink_maker
 from wattline.operators import joins, keyed
+from wattline.plans.stream_plans import bounded_join
 from wattline.sources import message_files
 from wattline.streaming import storage, upsert
 from wattline.streaming.jobs import device_telemetry_job, feed_jobs
 from wattline.streaming.runner import Job, console, plan, run_available, run_until_stopped, start, stop
 from wattline.streaming.sinks import external_sink, files_sink, guarded, outcome_sink, split_sink
-from wattline.streaming.upsert import KeyedTable
+from wattline.streaming.upsert import KeyedTable, LatestLog
 
 # --- storage
 
@@ -34,7 +36,7 @@ def test_shared_folder_comes_from_the_session():
     assert storage.run_dir(cluster, "x").startswith("hdfs://n/shared/wattline/x-")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         storage.shared_dir(session_with(None, "yarn"))
-    assert storage.shared_dir(session_with(None, "local[2]")).startswith("/tmp/wattline-")
+    assert storage.shared_dir(session_with(None, "local[2]")).startswith(f"{tempfile.gettempdir()}/wattline-")
 
 
 # --- sinks
@@ -120,10 +122,10 @@ def test_command_line_sinks(spark, scratch):
     rows = spark.createDataFrame([("2024-01-01", "a")], "current_date string, device string")
     rows = rows.withColumn("current_date", F.col("current_date").cast("date")).withColumn("receivetime", F.now())
     base = ["--servers", "h:1", "--checkpoints", "c"]
-    sink_maker(arguments([*base, "--out", scratch]))(C.EVENT.table)(rows, 0)
-    assert storage.exists(spark, f"{scratch}/events/batch_id=0/current_date=2024-01-01")
+    sink_maker(arguments([*base, "--out", scratch]))(C.EVENT)(rows, 0)
+    assert storage.exists(spark, f"{scratch}/events/query_id=none/batch_id=0/current_date=2024-01-01")
     external = ["--format", "parquet", "--option", f"path={scratch}/x", "--null-option", "skipNulls"]
-    sink_maker(arguments([*base, *external]))(C.EVENT.table)(rows, 0)
+    sink_maker(arguments([*base, *external]))(C.EVENT)(rows, 0)
     assert spark.read.parquet(f"{scratch}/x").count() == 1
 
 
@@ -141,6 +143,8 @@ def test_plan_refuses_what_loses_rows(spark):
         plan([Job("a", rows, sink=sink)], None)
     with pytest.raises(ValueError, match="a sink or a format"):
         plan([Job("a", rows)], "ck")
+    with pytest.raises(ValueError, match="share an output"):
+        plan([Job("a", rows, sink=guarded(sink)), Job("b", rows, sink=outcome_sink("x/"))], "ck")
     planned = plan([Job("a", rows, sink=sink), console("b", rows), Job("c", rows, format="parquet")], "ck/")
     assert [folder for _, folder in planned] == ["ck/a", None, "ck/c"]
 
@@ -166,6 +170,40 @@ def test_one_failed_query_ends_the_run_and_stops_the_others(spark, scratch):
     assert not spark.streams.active
 
 
+def test_other_queries_of_the_session_do_not_end_a_run(spark, scratch):
+    import threading
+    import time
+
+    source = ticks(spark, f"{scratch}/in")
+    other = start(spark, [Job("other", source(), format="noop")])[0]
+    failures = []
+
+    def run():
+        try:
+            run_until_stopped(spark, [Job("mine", source(), sink=files_sink(f"{scratch}/out"))], f"{scratch}/ck")
+        except Exception as error:
+            failures.append(error)
+
+    running = threading.Thread(target=run)
+    running.start()
+    while not (mine := [query for query in spark.streams.active if query.name == "mine"]):
+        time.sleep(0.1)
+    other.stop()
+    time.sleep(3)
+    assert mine[0].isActive and running.is_alive()
+    mine[0].stop()
+    running.join(30)
+    assert not running.is_alive() and not failures
+
+
+def test_a_fresh_checkpoint_adds_to_the_log(spark, scratch):
+    source = ticks(spark, f"{scratch}/in")
+    for checkpoint in ("one", "one", "two"):
+        run_available(spark, [Job("log", source(), sink=files_sink(f"{scratch}/out"))], f"{scratch}/{checkpoint}")
+    stored = spark.read.parquet(f"{scratch}/out")
+    assert stored.count() == 80 and stored.select("query_id").distinct().count() == 2
+
+
 def test_memory_and_console_outputs(spark, scratch):
     source = ticks(spark, f"{scratch}/in")
     run_available(spark, [Job("seen", source(), format="memory"), console("shown", source().limit(1))])
@@ -204,18 +242,20 @@ def change_rows(rng, n=120):
 
 def keyed_table(scratch, nulls, partition=None, key=("k",)):
     return KeyedTable(
-        path=f"{scratch}/table", stage=f"{scratch}/stage", columns=COLUMNS, key=key, order=("at", "seq"),
-        partition=partition, buckets=3, nulls=nulls,
+        path=f"{scratch}/table", columns=COLUMNS, key=key, order=("at", "seq"), partition=partition, buckets=3,
+        nulls=nulls,
     )
 
 
+def expected(spark, rows, key, nulls):
+    return keyed.latest(spark.createDataFrame(rows, SCHEMA), key, ["at", "seq"], nulls)
+
+
 @pytest.mark.parametrize("nulls", [C.KEEP, C.OVERWRITE])
 @pytest.mark.parametrize("partition, key", [("d", ("d", "k")), (None, ("k",))])
 @settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(seed=st.integers(0, 10**6), cuts=st.lists(st.integers(0, 120), max_size=3))
 def test_merging_any_split_equals_the_whole(spark, nulls, partition, key, seed, cuts):
-    import tempfile
-
     scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     rng = random.Random(seed)
     rows = change_rows(rng)
@@ -223,12 +263,8 @@ def test_merging_any_split_equals_the_whole(spark, nulls, partition, key, seed,
     edges = [0, *sorted(cuts), len(rows)]
     for batch_id, (low, high) in enumerate(zip(edges, edges[1:])):
         table.merge(spark.createDataFrame(rows[low:high], SCHEMA), batch_id)
-    whole = keyed.latest(spark.createDataFrame(rows, SCHEMA), key, ["at", "seq"], nulls)
-    columns = ["d", "k", "v", "s"] if nulls == C.KEEP else list(COLUMNS)
-    if nulls == C.KEEP and partition is None:
-        # the date is an ordinary value here
-        columns = ["k", "v", "s", "d"]
-    assert tuples(table.read(spark).select(columns)) == tuples(whole.select(columns))
+    columns = ["k", "v", "s", "d"] if nulls == C.KEEP else list(COLUMNS)
+    assert tuples(table.read(spark).select(columns)) == tuples(expected(spark, rows, key, nulls).select(columns))
 
 
 @pytest.mark.parametrize("nulls", [C.KEEP, C.OVERWRITE])
@@ -244,7 +280,7 @@ def test_merging_a_batch_again_changes_nothing(spark, scratch, nulls):
     assert tuples(table.read(spark)) == once
 
 
-def test_a_merge_cut_short_is_finished_by_its_replay(spark, scratch, monkeypatch):
+def test_a_merge_cut_short_has_not_happened(spark, scratch, monkeypatch):
     rows = change_rows(random.Random(2))
     table = keyed_table(scratch, C.OVERWRITE, "d", ("d", "k"))
     table.merge(spark.createDataFrame(rows[:60], SCHEMA), 0)
@@ -254,45 +290,80 @@ def test_a_merge_cut_short_is_finished_by_its_replay(spark, scratch, monkeypatch
         raise RuntimeError("driver lost")
 
     second = spark.createDataFrame(rows[60:], SCHEMA)
-    with monkeypatch.context() as patched:
-        patched.setattr(upsert, "gathered", cut)
-        with pytest.raises(RuntimeError):
-            table.merge(second, 1)
-    assert tuples(table.read(spark)) == before
-    # the replacement had deleted a directory when it stopped: the stage still has its rows
-    storage.delete(spark, f"{scratch}/table/d=2024-01-01")
+    for step in ("gathered", "write_whole"):  # before the directories are written, and before they count
+        with monkeypatch.context() as patched:
+            patched.setattr(upsert, step, cut)
+            with pytest.raises(RuntimeError):
+                table.merge(second, 1)
+        assert tuples(table.read(spark)) == before
     table.merge(second, 1)
-    whole = keyed.latest_row(spark.createDataFrame(rows, SCHEMA), ["d", "k"], ["at", "seq"])
-    assert tuples(table.read(spark)) == tuples(whole)
-    assert not storage.exists(spark, f"{scratch}/stage/batch_id=1")
+    assert tuples(table.read(spark)) == tuples(expected(spark, rows, ["d", "k"], C.OVERWRITE))
+
 
+def test_readers_keep_the_state_that_they_opened(spark, scratch):
+    rows = change_rows(random.Random(5))
+    table = keyed_table(scratch, C.OVERWRITE, "d", ("d", "k"))
+    table.merge(spark.createDataFrame(rows[:60], SCHEMA), 0)
+    opened = table.read(spark)
+    table.merge(spark.createDataFrame(rows[60:], SCHEMA), 1)
+    assert tuples(opened) == tuples(expected(spark, rows[:60], ["d", "k"], C.OVERWRITE))
 
-def test_a_merge_leaves_other_directories_alone(spark, scratch):
+
+def test_a_merge_writes_and_reads_touched_directories_only(spark, scratch):
     from pathlib import Path
 
     rows = change_rows(random.Random(3))
     table = keyed_table(scratch, C.OVERWRITE, "d", ("d", "k"))
     table.merge(spark.createDataFrame(rows, SCHEMA), 0)
-
-    def files():
-        return {str(path) for path in Path(scratch, "table").glob("d=*/*.parquet")}
-
-    before = files()
     one_day = [row for row in rows if row[0].day == 2]
-    table.merge(spark.createDataFrame([(*row[:4], 99, row[5]) for row in one_day], SCHEMA), 1)
-    assert {path for path in before ^ files() if "d=2024-01-02" not in path} == set()
-    table.merge(spark.createDataFrame([], SCHEMA), 2)
-    assert len({path.split("/")[-2] for path in files()}) == 4
+    late = [(*row[:4], 99, row[5]) for row in one_day]
+    for batch_id in (1, 2):
+        table.merge(spark.createDataFrame(late, SCHEMA), batch_id)
+    table.merge(spark.createDataFrame([], SCHEMA), 3)
+    folders = {str(path.relative_to(f"{scratch}/table/data")) for path in Path(scratch, "table/data").glob("*/d=*")}
+    others = {f"version=1/d=2024-01-0{day}" for day in (1, 3, 4)}
+    assert folders == others | {"version=2/d=2024-01-02", "version=3/d=2024-01-02"}
+    assert table.read(spark).count() == expected(spark, rows, ["d", "k"], C.OVERWRITE).count()
 
 
-def test_many_touched_directories(spark, scratch, monkeypatch):
-    monkeypatch.setattr(upsert, "_MANY_DIRECTORIES", 1)
+def test_reads_are_pruned_to_directories(spark, scratch):
+    import datetime as dt
+
     rows = change_rows(random.Random(4))
     table = keyed_table(scratch, C.OVERWRITE, "d", ("d", "k"))
-    for batch_id, low in enumerate((0, 60)):
-        table.merge(spark.createDataFrame(rows[low : low + 60], SCHEMA), batch_id)
-    whole = keyed.latest_row(spark.createDataFrame(rows, SCHEMA), ["d", "k"], ["at", "seq"])
-    assert tuples(table.read(spark)) == tuples(whole)
+    table.merge(spark.createDataFrame(rows, SCHEMA), 0)
+    days = dt.date(2024, 1, 2), dt.date(2024, 1, 3)
+    part = table.read(spark, only=days)
+    assert {path.split("/")[-2] for path in part.inputFiles()} == {"d=2024-01-02", "d=2024-01-03"}
+    filtered = table.read(spark).where(F.col("d") == F.lit(days[0]))
+    assert "PartitionFilters: [isnotnull(d" in executed(filtered)
+
+
+def test_null_dates_and_a_key_under_two_dates(spark, scratch):
+    table = keyed_table(scratch, C.OVERWRITE, "d", ("d", "k"))
+    rows = [(None, "a", 1, "x", 1, 1), (None, "a", 2, "x", 2, 2)]
+    for batch_id, row in enumerate(rows):
+        table.merge(spark.createDataFrame([row], SCHEMA), batch_id)
+    assert [(row.d, row.v) for row in table.read(spark).collect()] == [(None, 2)]
+    with pytest.raises(ValueError, match="several values of d"):
+        keyed_table(scratch, C.OVERWRITE, "d", ("k",))
+    with pytest.raises(ValueError, match="nothing is stored"):
+        keyed_table(f"{scratch}/new", C.OVERWRITE).read(spark)
+
+
+@pytest.mark.parametrize("nulls", [C.KEEP, C.OVERWRITE])
+def test_a_compacted_log_reads_like_the_whole(spark, scratch, nulls):
+    rows = change_rows(random.Random(6))
+    log = LatestLog(f"{scratch}/log", keyed_table(scratch, nulls))
+    columns = ["k", "v", "s", "d"] if nulls == C.KEEP else list(COLUMNS)
+    for batch_id, low in enumerate(range(0, 120, 20)):
+        log.append(spark.createDataFrame(rows[low : low + 20], SCHEMA), batch_id)
+        if batch_id == 2:
+            assert log.compact(spark) == 3 and log.compact(spark) == 0
+        want = expected(spark, rows[: low + 20], ["k"], nulls)
+        assert tuples(log.read(spark).select(columns)) == tuples(want.select(columns))
+    assert log.compact(spark) == 3
+    assert tuples(log.read(spark).select(columns)) == tuples(expected(spark, rows, ["k"], nulls).select(columns))
 
 
 # --- joins and standing jobs
@@ -321,6 +392,17 @@ def test_stream_joins_equal_the_batch_join(spark, scratch, messages):
     assert len(stored("2 days", "near")) == 4
 
 
+def test_join_state_falls_between_batches(spark, scratch):
+    rows = bounded_join(spark, SF, scratch)
+    query = start(rows.sparkSession, [Job("j", rows, sink=files_sink(f"{scratch}/rows"))], f"{scratch}/ck")[0]
+    query.processAllAvailable()
+    progress = [p for p in query.recentProgress if p["numInputRows"]]
+    stop([query])
+    assert len(progress) >= 3
+    assert sum(p["stateOperators"][0]["numRowsRemoved"] for p in progress) > 0
+    assert sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in progress) == 0
+
+
 def test_unbounded_outer_stream_join_is_refused(spark, scratch, messages):
     messages({"device": "a"}).write.parquet(f"{scratch}/m")
     stream = feeds.telemetry(message_files(spark, f"{scratch}/m", stream=True))
@@ -340,8 +422,8 @@ def test_standing_jobs_write_tables_and_dead_letters(spark, scratch, messages):
         "device-telemetry": message_files(spark, f"{scratch}/telemetry", stream=True),
     }
 
-    def sink_for(table):
-        return files_sink(f"{scratch}/out/{table.name}")
+    def sink_for(which):
+        return files_sink(f"{scratch}/out/{which.table.name}")
 
     jobs = feed_jobs(sources, sink_for, dead_letters=f"{scratch}/dead")
     assert [job.name for job in jobs] == ["event", "telemetry"]
@@ -381,3 +463,41 @@ def test_split_sink_evaluates_a_batch_once(spark, scratch):
     split_sink(files_sink(f"{scratch}/good"), files_sink(f"{scratch}/bad"))(rows, 0)
     assert counted.value == 10
     assert spark.read.parquet(f"{scratch}/bad").count() == 3
+
+
+def test_command_line_runs_feeds_and_join_on_file_topics(spark, scratch, messages):
+    time = "2024-01-0{}T00:00:00Z"
+    events = [{"device": "a", "event": str(n % 2), "receiveTime": time.format(n), "persistTime": time.format(n),
+               "firstOccurrenceTime": time.format(1), "state": "open" if n == 1 else None} for n in (1, 2, 3)]
+    points = [{"register": r, "value": v, "measureTime": time.format(1)} for r, v in (("x", "1"), ("y", 2))]
+    reading = {"device": "a", "receiveTime": time.format(1), "persistTime": time.format(1), "dataPoints": points,
+               "profile": "p"}
+    topics = {
+        C.EVENT: [*events, "{bad"], C.MEASUREMENT: [reading],
+        C.DEVICE: [{"persistTime": time.format(1), "current": {"device": d}} for d in "ab"],
+        C.TELEMETRY: [{"device": "a", "lastReceiveTime": time.format(n)} for n in (1, 2)],
+    }
+    for which, payloads in topics.items():
+        messages(*payloads, topic=which.topic).write.parquet(f"{scratch}/topics/{which.topic}")
+    base = ["--files", f"{scratch}/topics", "--available-now"]
+    two = ["--feed", "device-event", "--feed", "device-measurement"]
+    for by in ("table", "state", "history"):
+        folders = ["--checkpoints", f"{scratch}/ck-{by}", "--out", f"{scratch}/{by}", "--dead-letters", f"{scratch}/d-{by}"]
+        main([*base, *two, *folders, "--keyed", by, "--pools"])
+    event = KeyedTable(f"{scratch}/table/events", tuple(C.EVENT.table.columns), C.EVENT.table.key,
+                       ("persisttime", "_partition", "_offset"), partition="current_date")
+    assert event.read(spark).count() == 3
+    log = spark.read.parquet(f"{scratch}/state/events/log")
+    assert log.count() == 3 and spark.read.parquet(f"{scratch}/d-state/event").count() == 1
+    points = spark.read.parquet(f"{scratch}/history/measurement_points/log")
+    assert sorted((row.register, row.value) for row in points.collect()) == [("x", 1.0), ("y", 2.0)]
+    main([*base, *two, "--checkpoints", f"{scratch}/ck-o", "--out", f"{scratch}/o", "--outcomes"])
+    outcomes = spark.read.parquet(f"{scratch}/o/events").groupBy("outcome").count().collect()
+    assert {row.outcome: row["count"] for row in outcomes} == {"good": 3, "bad": 1}
+    join = ["--join", "device-telemetry", "--state-partitions", "2", "--salts", "2"]
+    main([*base, *join, "--checkpoints", f"{scratch}/ck-j", "--out", f"{scratch}/j"])
+    assert spark.read.parquet(f"{scratch}/j/device_telemetry").count() == 2
+    with pytest.raises(SystemExit):
+        arguments([*base, "--checkpoints", "c", "--out", "o", "--join", "device-telemetry"])
+    with pytest.raises(SystemExit):
+        arguments([*base, "--checkpoints", "c", "--out", "o", "--keyed", "state"])

@@ -40,7 +40,8 @@ class Table:
 class Feed:
     """One topic: message schema, projected paths, target table and the keys that lose no rows.
 
-    ``columns`` holds message paths; a path is named by its lower-cased leaf unless it says ``path as name``.
+    ``columns`` holds message paths; a path is named by its lower-cased leaf unless it says ``path as name``, and
+    ``path | path`` is the first that is present.
     ``repeat`` names a repeated group that becomes one row per element, addressed as ``element.<field>``.
     ``date`` is ``(date column, column it is derived from)``.
     """
@@ -58,7 +59,7 @@ class Feed:
 
     @property
     def topic(self) -> str:
-        return f"ext_{self.name}_10121"
+        return TOPIC.format(self.name)
 
     @property
     def projection(self) -> dict[str, str]:
@@ -76,7 +77,9 @@ class Feed:
         return replace(self, **changes)
 
 
-# Message schemas, output columns and table contracts of the wire format.
+# Topic names, message schemas, output columns and table contracts of the wire format.
+
+TOPIC = "ext_{}_10121"
 
 _ADDRESS = (
     "city: string, postalCode: string, street: string, houseNumber: string, floor: string, company: string, "
@@ -350,7 +353,7 @@ METERING_POINT = Feed(
     message=f"persistTime timestamp, previous {_METERING_POINT_IMAGE}, current {_METERING_POINT_IMAGE}",
     columns=(
         "persistTime",
-        "current.meteringPoint as meteringpoint",
+        "current.meteringPoint | previous.meteringPoint as meteringpoint",
         *(
             f"{side}.{path} as {side}_{name}"
             for side in ("previous", "current")
@@ -371,7 +374,7 @@ METERING_POINT = Feed(
     history_key=("meteringpoint", "persisttime"),
     state_key=("meteringpoint",),
     order="persisttime",
-    required=("current.meteringPoint", "persistTime"),
+    required=("current.meteringPoint | previous.meteringPoint", "persistTime"),
 )
 
 FEEDS: dict[str, Feed] = {
@@ -391,27 +394,62 @@ DEVICE_TELEMETRY = Table(
     clustering=("persisttime", "last_telemetry"),
 )
 
-# Keys of earlier table generations, for "latest by key" views under those keys.
+# The tables of an earlier generation, as (feed, key, columns and types).
+EARLIER_TABLES: dict[str, tuple[str, tuple[str, ...], str]] = {
+    "dev_event": (
+        "device-event", ("device", "event"),
+        "device string, event int, receivetime timestamp, firstoccurrencetime timestamp, "
+        "lastoccurrencetime timestamp, occurrencecount int, persisttime timestamp, state string",
+    ),
+    "dev_measurement": (
+        "device-measurement", ("device", "register"),
+        "device string, measuretime string, receivetime string, persisttime string, readingreason string, "
+        "register string, value float, unit string, profile string",
+    ),
+    "dev_parameter": (
+        "device-parameter", ("device", "parameter", "changetime"),
+        "device string, parameter string, changetime timestamp, receivetime timestamp, persisttime timestamp, "
+        "newvalue string, oldvalue string",
+    ),
+    "dev_process": (
+        "device-process", ("id",),
+        "id int, type string, device string, persisttime timestamp, inittime timestamp, starttime timestamp, "
+        "previous_status string, status string, error string, completiontime timestamp, executiontype string, "
+        "profile_id string, reading_reason_code string",
+    ),
+    "dev_profile_facts": (
+        "device-profile-facts", ("device", "profile", "gatheredat"),
+        "device string, profile string, gatheredat timestamp, actual double, expected double, completeness string, "
+        "from_time timestamp, to_time timestamp",
+    ),
+    "dev_telemetry": ("device-telemetry", ("device",), "device string, lastreceivetime timestamp"),
+    "device_by_manufacturer": (
+        "device", ("manufacturer",),
+        "persisttime timestamp, device string, type string, group string, inventorystate string, "
+        "managementstate string, communicationid string, manufacturer string, description string, model string, "
+        "latitude double, longitude double, city string, postalcode string, street string, housenumber string, "
+        "floor string, company string, country string, reference string, timezone string, region string, "
+        "district string, logicalinstallationpoint string",
+    ),
+    "register_statistics": (
+        "register-statistic", ("device", "register", "date"),
+        "device string, register string, date string, mr_expected int, mr_received int, mr_edited int, "
+        "mr_invalidated int, mr_estimated int, dd_minimum int, dd_maximum int, dd_average float",
+    ),
+}
+
+# Columns that an earlier table names otherwise than the feed's newest table.
+EARLIER_NAMES: dict[str, dict[str, str]] = {
+    "dev_process": {"current_status": "status", "current_error": "error"},
+    "dev_profile_facts": {"fromtime": "from_time", "totime": "to_time"},
+}
+
+# Keys that other revisions gave to a feed's table, for "latest by key" views.
 EARLIER_KEYS: dict[str, tuple[str, tuple[str, ...]]] = {
-    "dev_event": ("device-event", ("device", "event")),
+    **{name: (which, key) for name, (which, key, _) in EARLIER_TABLES.items()},
     "dev_event_by_receivetime": ("device-event", ("device", "event", "receivetime")),
     "device_event": ("device-event", ("device",)),
-    "dev_measurement": ("device-measurement", ("device", "register")),
     "dev_measurement1": ("device-measurement", ("device", "receivetime")),
-    "dev_parameter": ("device-parameter", ("device", "parameter", "changetime")),
-    "dev_process": ("device-process", ("id",)),
-    "dev_profile_facts": ("device-profile-facts", ("device", "profile", "gatheredat")),
-    "dev_telemetry": ("device-telemetry", ("device",)),
-    "device_by_manufacturer": ("device", ("manufacturer",)),
-    "register_statistics": ("register-statistic", ("device", "register", "date")),
-}
-
-# Column types of the earlier generation that differ from the newest tables.
-EARLIER_TYPES: dict[str, dict[str, str]] = {
-    "dev_event": {"event": "int"},
-    "dev_measurement": {"measuretime": "string", "receivetime": "string", "persisttime": "string"},
-    "device_by_manufacturer": {"latitude": "double", "longitude": "double"},
-    "register_statistics": {"date": "string"},
 }
 
 
@@ -423,9 +461,11 @@ def feed(name: str) -> Feed:
 
 
 def earlier_table(name: str) -> Table:
-    """A table of an earlier generation: the newest columns under the earlier key and types."""
-    feed_name, key = EARLIER_KEYS[name]
-    newest = FEEDS[feed_name].table
-    types = {**newest.types, **EARLIER_TYPES.get(name, {})}
-    ddl = ", ".join(f"{column} {kind}" for column, kind in types.items())
-    return Table(name, ddl, partition=key, nulls=newest.nulls)
+    """A table of the earlier generation: its own columns, types and key."""
+    which, key, ddl = EARLIER_TABLES[name]
+    return Table(name, ddl, partition=key, nulls=FEEDS[which].table.nulls)
+
+
+def earlier_names(name: str) -> dict[str, str]:
+    """New column name by the feed's column name, for rows that go into an earlier table."""
+    return dict(EARLIER_NAMES.get(name, {}))

@@ -15,7 +15,17 @@ from wattline import contracts as C
 from wattline.contracts import Feed, Table
 from wattline.functions import default_text, partition_date
 from wattline.operators.conform import check_contract, conform
-from wattline.operators.decode import ERROR, META, PAYLOAD, decode, decode_checked, needed
+from wattline.operators.decode import (
+    ERROR,
+    META,
+    PAYLOAD,
+    alternatives,
+    decode,
+    decode_checked,
+    needed,
+    numbers_as_text,
+    present,
+)
 from wattline.operators.project import explode_rows, pick, split_change
 
 
@@ -32,47 +42,62 @@ def rows(feed: Feed, messages: DataFrame, *, meta: bool = False, outer: bool = F
 
 
 def checked(
-    feed: Feed, messages: DataFrame, *, strict: bool = False, position: str | None = None
+    feed: Feed, messages: DataFrame, *, strict: bool = True, position: str | None = None
 ) -> DataFrame:
     """``rows`` with message coordinates, ``_error`` (null when the row can be written) and ``_payload``.
 
-    A message that is itself bad gives one row. A bad element of a good message gives a row that names the
-    column; its payload is found by the coordinates. ``position`` adds the element number and the flags that
-    the audit counts.
+    No message is lost without a word: one that is itself bad, or whose repeated group is missing or no array, gives
+    one row with an error, and so does an element that is null or does not fit its columns. Only an empty group gives
+    no row. ``strict`` also refuses messages in which a used field has a wrong type; without it such a field is null.
+    ``position`` adds the element number, keeps a row for a message with an empty group, and adds the flags that the
+    audit counts.
     """
-    message = feed.message if strict else _used(feed, feed.required)
-    records = decode_checked(messages, message, feed.required, strict=strict)
+    records = decode_checked(messages, _used(feed, feed.required), feed.required, strict=strict)
     made = F.lit(True)
     if feed.repeat:
+        group = F.col(f"data.{feed.repeat}")
+        error = F.coalesce(F.col(ERROR), F.when(group.isNull(), f"no array {feed.repeat}"))
+        records = records.withColumn(PAYLOAD, F.when(error.isNotNull(), F.col(PAYLOAD))).withColumn(ERROR, error)
+        records = records.withColumn("_bad_message", F.col(ERROR).isNotNull())
         records = explode_rows(records, f"data.{feed.repeat}", outer=True, position="_pos")
         made = F.col("_pos").isNotNull()
+        empty_element = made & F.col("element").isNull()
+        records = records.withColumn(
+            ERROR, F.coalesce(F.col(ERROR), F.when(empty_element, f"null element of {feed.repeat}"))
+        )
         if position is None:
             records = records.filter(made | F.col(ERROR).isNotNull())
+    else:
+        records = records.withColumn("_bad_message", F.col(ERROR).isNotNull())
     passed = [name for name in (*META.values(), ERROR, PAYLOAD) if name in records.columns]
     if position is not None:
         pos = F.col("_pos") if feed.repeat else F.lit(0)
         records = records.select(
             "*",
             pos.alias(position),
-            F.col(ERROR).isNotNull().alias("_bad_message"),
-            (made & F.col(ERROR).isNull()).alias("_made"),
+            (made & ~F.col("_bad_message")).alias("_made"),
+            (~made & ~F.col("_bad_message")).alias("_empty"),
         )
-        passed += [position, "_bad_message", "_made"]
+        passed += [position, "_bad_message", "_made", "_empty"]
     return conform(_projected(feed, records, passed), feed.table, errors=True)
 
 
 def _used(feed: Feed, also: Iterable[str] = ()) -> str:
-    """The part of the feed's message schema that its columns come from."""
-    paths = [path.replace("element.", f"{feed.repeat}.") for path in feed.projection.values()]
-    return needed(feed.message, [*paths, *also])
+    """The part of the feed's message schema that its columns come from, numbers as text."""
+    paths = [
+        part.replace("element.", f"{feed.repeat}.")
+        for path in (*feed.projection.values(), *also)
+        for part in alternatives(path)
+    ]
+    return numbers_as_text(needed(feed.message, paths))
 
 
 def _projected(feed: Feed, records: DataFrame, passed: list[str]) -> DataFrame:
-    paths = {
-        name: path if path.startswith("element.") else f"data.{path}"
+    columns = {
+        name: F.col(path) if path.startswith("element.") else present(path)
         for name, path in feed.projection.items()
     }
-    flat = pick(records, paths, keep=passed)
+    flat = records.select(*passed, *[column.alias(name) for name, column in columns.items()])
     if feed.date:
         date, instant = feed.date
         flat = flat.withColumn(date, partition_date(instant))
@@ -124,15 +149,12 @@ def process(messages: DataFrame, **kw) -> DataFrame:
 PROCESS_TEXT_TIMES = C.PROCESS.using(message=C.PROCESS.message.replace(" timestamp", " string"))
 
 
-def process_text_times(messages: DataFrame, **kw) -> DataFrame:
+def process_text_times(messages: DataFrame, *, meta: bool = False) -> DataFrame:
     """``process`` for payload times that may not be valid instants; a bad one is null, the rest is kept."""
     feed = PROCESS_TEXT_TIMES
     records = decode(messages, _used(feed))
-    flat = _projected(
-        feed.using(date=None),
-        records,
-        [name for name in META.values() if kw.get("meta") and name in records.columns],
-    )
+    kept = [name for name in META.values() if meta and name in records.columns]
+    flat = _projected(feed.using(date=None), records, kept)
     flat = flat.withColumn("date", partition_date(F.col("persisttime").try_cast("timestamp")))
     return conform(flat, feed.table)
 
@@ -172,7 +194,7 @@ def metering_point_from_files(changes: DataFrame) -> DataFrame:
     """The same rows from already typed change records, such as a JSON file scan."""
     flat = split_change(changes, C.METERING_POINT_FIELDS, keep=["persistTime"])
     flat = flat.withColumnRenamed("persistTime", "persisttime")
-    flat = flat.withColumn("meteringpoint", F.col("current_meteringpoint"))
+    flat = flat.withColumn("meteringpoint", F.coalesce("current_meteringpoint", "previous_meteringpoint"))
     check_contract(flat, C.METERING_POINT.table)
     return conform(flat, C.METERING_POINT.table)
 

@@ -66,9 +66,11 @@ def observed(rows: DataFrame, name: str) -> DataFrame:
 
 
 def reconcile(feed: Feed, messages: DataFrame, key: Sequence[str] | None = None) -> DataFrame:
-    """One row of counts for a feed: messages read, decoded, dead-lettered, rows produced, rejected, kept by key.
+    """One row of counts for a feed: messages read, dead-lettered, without rows and with rows, and the rows produced,
+    rejected, and kept by the key.
 
-    The payload is parsed once. Rows are counted per key first, so the shuffle carries one row per key and task.
+    Always ``messages = dead_letters + messages_without_rows + messages_with_rows``. The payload is parsed once. Rows
+    are counted per key first, so the shuffle carries one row per key and task.
     """
     key = tuple(key or feed.table.key)
     rows = feeds.checked(feed, messages, position="_element")
@@ -77,17 +79,40 @@ def reconcile(feed: Feed, messages: DataFrame, key: Sequence[str] | None = None)
     produced = F.col("_made")
     per_key = rows.groupBy(*key).agg(
         F.count_if(first).alias("messages"),
-        F.count_if(F.col("_bad_message")).alias("dead_letters"),
+        F.count_if(F.col("_bad_message") & first).alias("dead_letters"),
+        F.count_if(F.col("_empty")).alias("messages_without_rows"),
+        F.count_if(produced & first).alias("messages_with_rows"),
         F.count_if(produced).alias("rows_out"),
         F.count_if(produced & ~good).alias("rows_rejected"),
         F.count_if(produced & good).alias("_n"),
     )
     zero = F.lit(0).cast("bigint")
+    counts = ("messages", "dead_letters", "messages_without_rows", "messages_with_rows", "rows_out", "rows_rejected")
     return per_key.agg(
-        *[
-            F.coalesce(F.sum(name), zero).alias(name)
-            for name in ("messages", "dead_letters", "rows_out", "rows_rejected")
-        ],
+        *[F.coalesce(F.sum(name), zero).alias(name) for name in counts],
         F.coalesce(F.sum("_n"), zero).alias("rows_writable"),
         F.count_if(F.col("_n") > 0).alias("rows_kept_by_key"),
     ).select(F.lit(feed.name).alias("feed"), "*")
+
+
+def reconcile_written(feed: Feed, messages: DataFrame, written: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Per date, the keys that the topic's good rows have, and how many of them the stored table holds or lacks.
+
+    ``written`` is what was really stored, read back; a loss anywhere between topic and table shows here. Both sides
+    are reduced to their keys before the join, so copies of a key cost nothing. Feeds without a date give one row.
+    """
+    key = list(key)
+    date = F.col(feed.date[0]) if feed.date else F.lit(None).cast("date")
+    good = feeds.checked(feed, messages).where(F.col(ERROR).isNull())
+    expected = good.groupBy(*key).agg(F.min(date).alias("date"))
+    stored = written.select(*[F.col(name).alias(f"_{name}") for name in key], F.lit(True).alias("_found")).distinct()
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in key]
+    return (
+        expected.join(stored, same, "left")
+        .groupBy("date")
+        .agg(
+            F.count("*").alias("rows_expected"),
+            F.count("_found").alias("rows_found"),
+            F.count_if(F.col("_found").isNull()).alias("rows_missing"),
+        )
+    )

@@ -32,6 +32,37 @@ def needed(message: str, paths: Iterable[str]) -> str:
     )
 
 
+def numbers_as_text(message: str) -> str:
+    """The schema with numeric leaves as text, so that quoted and bare numbers decode alike.
+
+    ``conform`` then casts them, and can tell a number that is missing from one that cannot be read.
+    """
+    return ", ".join(
+        f"`{field.name}` {_text_for_numbers(field.dataType).simpleString()}"
+        for field in T.StructType.fromDDL(message).fields
+    )
+
+
+def _text_for_numbers(kind: T.DataType) -> T.DataType:
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _text_for_numbers(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_text_for_numbers(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return T.MapType(kind.keyType, _text_for_numbers(kind.valueType))
+    return T.StringType() if isinstance(kind, T.NumericType) else kind
+
+
+def alternatives(path: str) -> list[str]:
+    """The paths of a column: ``a | b`` is the first that is present."""
+    return [part.strip() for part in path.split("|")]
+
+
+def present(path: str, prefix: str = "data.") -> Column:
+    """The value at a path, or at the first present of its alternatives."""
+    return F.coalesce(*[F.col(f"{prefix}{part}") for part in alternatives(path)])
+
+
 def _pruned(struct: T.StructType, paths: list[list[str]]) -> T.StructType:
     fields = []
     for field in struct.fields:
@@ -109,7 +140,7 @@ def decode_checked(
     if strict:
         error = error.when(corrupt, "badly typed field")
     for path in required:
-        error = error.when(F.col(f"data.{path}").isNull(), f"missing {path}")
+        error = error.when(present(path).isNull(), f"missing {' and '.join(alternatives(path))}")
     records = records.withColumn(ERROR, error)
     return records.withColumn(PAYLOAD, F.when(F.col(ERROR).isNotNull(), F.col(PAYLOAD)))
 

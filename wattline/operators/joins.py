@@ -62,27 +62,21 @@ def join_state(readings: DataFrame, state: DataFrame, on: str, *, how: str = "in
     return readings.join(state, on, how)
 
 
-def full_outer(left: DataFrame, right: DataFrame, on: Sequence[str], *, skewed: bool = True) -> DataFrame:
+def full_outer(left: DataFrame, right: DataFrame, on: Sequence[str], *, hot_keys: bool = False) -> DataFrame:
     """Batch full outer equi-join with the key coalesced; rows with a null key are kept and match nothing.
 
-    Adaptive execution cannot split a hot key of a full outer join, and all null keys would meet in one task.
-    So matches, left rows without a partner and right rows without one are three joins that it can split, and
-    null keys do not take part. Each side is read more than once: give it stored tables. Where no key is hot,
-    ``skewed=False`` is a single join.
+    Adaptive execution cannot split a hot key of a full outer join. With ``hot_keys`` it is a left join and, for the
+    right rows without a partner, an anti join, which it can split; null keys, which would all meet in one task, take
+    no part. Each side is then read twice: give it stored tables.
     """
     on = list(on)
-    if not skewed:
+    if not hot_keys:
         return left.join(right, on, "full")
     complete = reduce(Column.__and__, [F.col(name).isNotNull() for name in on])
-    keyed_left, keyed_right = left.filter(complete), right.filter(complete)
-    alone = [
-        keyed_left.join(keyed_right.select(*on).distinct(), on, "left_anti"),
-        left.filter(~complete),
-        keyed_right.join(keyed_left.select(*on).distinct(), on, "left_anti"),
-        right.filter(~complete),
-    ]
-    matched = keyed_left.join(keyed_right, on)
-    return reduce(lambda done, more: done.unionByName(more, allowMissingColumns=True), alone, matched)
+    partners = left.filter(complete).select(*on).distinct()
+    joined = left.join(right.filter(complete), on, "left")
+    alone = right.filter(complete).join(partners, on, "left_anti").unionByName(right.filter(~complete))
+    return joined.unionByName(alone, allowMissingColumns=True)
 
 
 def _salted(

@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 
 from wattline.contracts import KEEP
 
-# Up to here Spark itself limits each key's rows before the shuffle (windowGroupLimitThreshold).
-_GROUP_LIMIT = 1000
-
 
 def latest_row(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The newest whole row of each key, its nulls included; of equally new rows, the largest by value.
@@ -68,9 +65,9 @@ def top_newest(
 ) -> DataFrame:
     """The ``n`` newest rows of each key.
 
-    Spark limits every key to ``n`` rows per task before the shuffle while ``n`` is small. For a large ``n`` it
-    does not, so a first ranking per (key, salt) does it: the newest ``n`` of a key are among the newest ``n``
-    of its salted parts.
+    Rows are ranked per (key, salt) first and then per key, whatever ``n`` is: the newest ``n`` of a key are among
+    the newest ``n`` of its salted parts. A key of any size is so spread over ``salts`` tasks, and at most
+    ``n * salts`` of its rows meet in one; choose ``salts`` by the largest key.
     """
     newest = [F.col(name).desc_nulls_last() for name in order]
 
@@ -78,8 +75,6 @@ def top_newest(
         number = F.row_number().over(Window.partitionBy(*by).orderBy(*newest))
         return frame.withColumn("_rank", number).filter(F.col("_rank") <= n).drop("_rank")
 
-    if n <= _GROUP_LIMIT:
-        return ranked(rows, *key)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
     return ranked(ranked(salted, *key, "_salt").drop("_salt"), *key)
 

@@ -214,10 +214,12 @@ def _image_sql(side: str, group: str, present: str) -> str:
     return ", ".join(columns)
 
 
+_KEPT = "not (o_orderstatus = 'F' and o_orderkey % 5 = 0)"
+
 METERING_POINT_ROWS = f"""
     select {_CHANGED} as persisttime, 'M' || o_custkey as meteringpoint,
            {_image_sql("previous", "'before'", "o_orderstatus <> 'O'")},
-           {_image_sql("current", "o_orderpriority", "true")}
+           {_image_sql("current", "o_orderpriority", _KEPT)}
     from orders"""
 
 
@@ -239,10 +241,10 @@ def metering_point_json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
     select {_CHANGED} as persisttime, 'M' || o_custkey as meteringpoint, 0 as position, 'D' || o_custkey as device,
            o_orderdate as assigntime, case when o_orderstatus = 'F' then o_orderdate + INTERVAL 30 DAY end as removetime
-    from orders
+    from orders where {_KEPT}
     union all
     select {_CHANGED}, 'M' || o_custkey, 1, 'N' || o_orderkey, o_orderdate + INTERVAL 30 DAY, null
-    from orders where o_orderstatus = 'F'""",
+    from orders where o_orderstatus = 'F' and {_KEPT}""",
 )
 def metering_point_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.metering_point_devices(wire.metering_point_messages(spark, sf_dir))

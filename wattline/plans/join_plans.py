@@ -14,20 +14,23 @@ from wattline.plans import wire
 from wattline.plans.registry import query
 from wattline.streaming.storage import run_dir
 
+VERSIONS = 3  # of each device, nine days apart
 DEVICE_SIDE = """
-    select 'D' || c_custkey as device, timestamp '2024-01-01' + to_seconds(c_custkey) as persisttime,
+    select 'D' || c_custkey as device,
+           timestamp '2024-01-01' + to_days(9 * version) + to_seconds(c_custkey) as persisttime,
            c_mktsegment as type, 'unknown' as inventorystate,
            case when c_acctbal < 0 then 'suspended' else 'registered' end as managementstate,
            cast(c_custkey as varchar) as communicationid,
            case when c_acctbal >= 1000 then 'M' || c_nationkey when c_acctbal >= 0 then '' end as manufacturer
-    from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey"""
+    from (select *, unnest([0, 1, 2]) as version from customer)
+    join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey"""
 TELEMETRY_SIDE = "select 'D' || user_id as device, ts as last_telemetry from events"
 JOINED = f"select * from ({DEVICE_SIDE}) join ({TELEMETRY_SIDE}) using (device)"
 
 
 @query("join_inner_device_telemetry", JOINED)
 def join_inner_device_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    devices = feeds.device_for_join(wire.device_messages(spark, sf_dir))
+    devices = feeds.device_for_join(wire.device_messages(spark, sf_dir, versions=VERSIONS))
     telemetry = feeds.telemetry_for_join(wire.telemetry_messages(spark, sf_dir))
     return conform(joins.join_versions(devices, telemetry, "device"), C.DEVICE_TELEMETRY)
 
@@ -40,7 +43,7 @@ def join_inner_device_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def join_last_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every device with its last telemetry only: the latest view per device, then a one-to-one join."""
-    devices = feeds.device_for_join(wire.device_messages(spark, sf_dir))
+    devices = feeds.device_for_join(wire.device_messages(spark, sf_dir, versions=VERSIONS))
     telemetry = feeds.telemetry_for_join(wire.telemetry_messages(spark, sf_dir))
     last = keyed.latest_row(telemetry, ["device"], ["last_telemetry"])
     return joins.join_state(devices, last, "device", how="left")
@@ -80,4 +83,4 @@ def join_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = spark.read.parquet(sides).filter(F.col(f"{name}_point").isNotNull())
         return rows.select("persisttime", F.col(f"{name}_point").alias("meteringpoint"), f"{name}_group")
 
-    return joins.full_outer(side("previous"), side("current"), ["persisttime", "meteringpoint"])
+    return joins.full_outer(side("previous"), side("current"), ["persisttime", "meteringpoint"], hot_keys=True)

@@ -38,8 +38,8 @@ def decode_opaque_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "dead_letter_split",
-    """
-    select 'ext_device-event_10121' as topic, event_id as id, cast(null as varchar) as error,
+    f"""
+    select '{C.EVENT.topic}' as topic, event_id as id, cast(null as varchar) as error,
            cast(null as bigint) as payload_chars from events
     union all
     select 'documents', doc_id, case when trim(text, E' \\t\\r\\n') = '' then 'empty payload'
@@ -56,6 +56,50 @@ def dead_letter_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("decode_quoted_numbers", EVENT_ROWS)
+def decode_quoted_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Senders differ in whether they quote numbers: every second message has its count as text."""
+    messages = wire.event_messages(spark, sf_dir)
+    quoted = F.regexp_replace(F.col("value").cast("string"), r'"occurrenceCount":(\d+)', '"occurrenceCount":"$1"')
+    value = F.when(F.col("offset") % 2 == 0, quoted.cast("binary")).otherwise(F.col("value"))
+    checked = feeds.checked(C.EVENT, messages.withColumn("value", value))
+    return checked.where(F.col(ERROR).isNull()).select(*C.EVENT.table.columns)
+
+
+@query(
+    "dead_letter_bad_group",
+    """
+    with m as (select event_id as id, event_id % 6 as kind, cast(json_extract(props, '$.k') as float) as k from events)
+    select id, cast(null as varchar) as register, cast(null as float) as value, 'badly typed field' as error
+    from m where kind = 0
+    union all select id, null, null, 'no array dataPoints' from m where kind = 1
+    union all select id, null, null, 'null element of dataPoints' from m where kind = 2
+    union all select id, 'b', k, null from m where kind = 2
+    union all select id, 'a', null, 'value is not float' from m where kind = 4
+    union all select id, 'a', k, null from m where kind in (4, 5)""",
+)
+def dead_letter_bad_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings whose group is an object, missing, has a null element, is empty, has a bad number, or is good."""
+    k = F.get_json_object("props", "$.k")
+    good, bad = F.concat(F.lit('{"register":"a","value":'), k, F.lit("}")), F.lit('{"register":"a","value":"much"}')
+    quoted = F.concat(F.lit('{"register":"b","value":"'), k, F.lit('"}'))
+    group = (
+        F.when(F.col("event_id") % 6 == 0, F.concat(F.lit(',"dataPoints":'), good))
+        .when(F.col("event_id") % 6 == 1, F.lit(""))
+        .when(F.col("event_id") % 6 == 2, F.concat(F.lit(',"dataPoints":[null,'), quoted, F.lit("]")))
+        .when(F.col("event_id") % 6 == 3, F.lit(',"dataPoints":[]'))
+        .when(F.col("event_id") % 6 == 4, F.concat(F.lit(',"dataPoints":['), bad, F.lit(","), good, F.lit("]")))
+        .otherwise(F.concat(F.lit(',"dataPoints":['), good, F.lit("]")))
+    )
+    head = F.lit('{"device":"D","receiveTime":"2024-01-01T00:00:00Z"')
+    events = wire.source(spark, sf_dir, "events")
+    messages = events.select(
+        F.col("event_id").alias("offset"), F.concat(head, group, F.lit("}")).cast("binary").alias("value")
+    )
+    rows = feeds.checked(C.MEASUREMENT, messages)
+    return rows.select(F.col("_offset").alias("id"), "register", "value", F.col(ERROR).alias("error"))
+
+
 @query(
     "read_feed_topic",
     "select event_id as id, 'D' || user_id as device from events",
@@ -210,7 +254,8 @@ def drop_nested_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 def split_change_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = expand(decode(wire.metering_point_messages(spark, sf_dir), C.METERING_POINT.message))
     sides = project.split_change(records, C.METERING_POINT_FIELDS, keep=["persistTime"])
-    sides = project.lower_names(sides).withColumn("meteringpoint", F.col("current_meteringpoint"))
+    sides = project.lower_names(sides)
+    sides = sides.withColumn("meteringpoint", F.coalesce("current_meteringpoint", "previous_meteringpoint"))
     return conform(sides, C.METERING_POINT.table)
 
 
@@ -266,7 +311,8 @@ def try_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def conform_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The earlier event table stores the event as a number: text that is none is reported, not written."""
-    rows = feeds.events(wire.event_messages(spark, sf_dir))
+    table = C.earlier_table("dev_event")
+    rows = feeds.events(wire.event_messages(spark, sf_dir)).drop("current_date")
     coded = F.when(F.col("event") == "view", F.col("occurrencecount").cast("string")).otherwise(F.col("event"))
-    fitted = conform(rows.withColumn("event", coded), C.earlier_table("dev_event"), key=["device"], errors=True)
+    fitted = conform(rows.withColumn("event", coded), table, key=["device"], errors=True)
     return fitted.select("device", "event", "receivetime", F.col(ERROR).alias("error"))

@@ -16,13 +16,12 @@ SQL: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query; it runs on UTC and returns instants as zone-less timestamps."""
+    """Register a query; it runs on a UTC session of its own and returns instants as zone-less timestamps."""
 
     def register(build: Query) -> Query:
         @wraps(build)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return zoneless(build(spark, sf_dir))
+            return zoneless(build(utc_session(spark), sf_dir))
 
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
@@ -34,6 +33,16 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def utc_session(spark: SparkSession) -> SparkSession:
+    """A session with the caller's settings but UTC; the caller's own session stays as it is."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.session.timeZone", "UTC")
+    return own
+
+
 def zoneless(rows: DataFrame) -> DataFrame:
     return rows.select(
         *[

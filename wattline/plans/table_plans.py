@@ -43,10 +43,18 @@ def latest_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(keyed.latest_row(_events(spark, sf_dir), key, _ARRIVAL))
 
 
-@query("latest_by_table_key", _latest_sql('"current_date", receivetime'))
+@query(
+    "latest_by_table_key",
+    """
+    select cast(l_shipdate as date) as receive_date, l_shipdate + to_minutes(l_linenumber) as receivetime,
+           max(l_orderkey * 8 + l_linenumber) as last_arrival from lineitem group by all""",
+)
 def latest_by_table_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = C.EVENT.table
-    return _stored(keyed.latest(_events(spark, sf_dir), table.key, _ARRIVAL, table.nulls))
+    """Readings under the table's key, in which all readings received at one instant collide."""
+    feed = C.MEASUREMENT
+    rows = feeds.measurement(wire.measurement_messages(spark, sf_dir), meta=True)
+    newest = keyed.latest_row(rows, feed.table.key, ["_offset"])
+    return newest.select(*feed.table.key, F.col("_offset").alias("last_arrival"))
 
 
 @query(
@@ -85,7 +93,7 @@ def history_collapses_redeliveries(spark: SparkSession, sf_dir: str) -> DataFram
 def latest_by_manufacturer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The earlier device table: keyed by manufacturer, coordinates as numbers, devices without the key refused."""
     table = C.earlier_table("device_by_manufacturer")
-    devices = feeds.device(wire.device_messages(spark, sf_dir), meta=True)
+    devices = feeds.device(wire.device_messages(spark, sf_dir), meta=True).drop("date")
     good, _ = split_errors(conform(devices, table, errors=True).withColumn(PAYLOAD, F.lit(None)))
     newest = keyed.latest(good, table.key, _ARRIVAL, table.nulls)
     return newest.select("manufacturer", F.col("_offset").alias("last_id"), "device", "latitude", "persisttime")
@@ -122,13 +130,14 @@ def top_n_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "top_n_newest_large",
-    f"""select * from ({_TELEMETRY})
-        qualify row_number() over (partition by device order by lastreceivetime desc, id desc) <= 2000""",
+    """select event_type as event, ts as persisttime, event_id as id from events
+       qualify row_number() over (partition by event_type order by ts desc, event_id desc) <= 1500""",
 )
 def top_n_newest_large(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = feeds.telemetry(wire.telemetry_messages(spark, sf_dir), meta=True)
-    top = keyed.top_newest(rows, ["device"], ["lastreceivetime", "_offset"], 2000)
-    return top.select("device", "lastreceivetime", F.col("_offset").alias("id"))
+    """A few kinds of events hold all rows: the newest 1500 of each."""
+    rows = feeds.events(wire.event_messages(spark, sf_dir), meta=True)
+    top = keyed.top_newest(rows, ["event"], ["firstoccurrencetime", "_offset"], 1500)
+    return top.select("event", F.col("firstoccurrencetime").alias("persisttime"), F.col("_offset").alias("id"))
 
 
 @query("newest_first", "select 'D' || user_id as device, ts as lastreceivetime from events")
@@ -183,10 +192,11 @@ def key_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
-def _reconcile_sql(feed: str, rows: str, key: str) -> str:
+def _reconcile_sql(feed: str, rows: str, key: str, source: str) -> str:
     return f"""
-    select '{feed}' as feed, cast((select count(*) from {{source}}) + (select count(*) from documents) as bigint)
-           as messages, (select count(*) from documents) as dead_letters, cast(sum(n) as bigint) as rows_out,
+    select '{feed}' as feed, cast((select count(*) from {source}) + (select count(*) from documents) as bigint)
+           as messages, (select count(*) from documents) as dead_letters, cast(0 as bigint) as messages_without_rows,
+           (select count(*) from {source}) as messages_with_rows, cast(sum(n) as bigint) as rows_out,
            cast(0 as bigint) as rows_rejected, cast(sum(n) as bigint) as rows_writable,
            count(*) as rows_kept_by_key
     from (select count(*) as n from ({rows}) group by {key})"""
@@ -194,9 +204,9 @@ def _reconcile_sql(feed: str, rows: str, key: str) -> str:
 
 @query(
     "reconcile_feed",
-    _reconcile_sql("device-event", *_AUDITED["events"]).format(source="events")
+    _reconcile_sql("device-event", *_AUDITED["events"], "events")
     + " union all "
-    + _reconcile_sql("device-measurement", *_AUDITED["measurement"]).format(source="lineitem"),
+    + _reconcile_sql("device-measurement", *_AUDITED["measurement"], "lineitem"),
 )
 def reconcile_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts per stage of two feeds whose topics also carry payloads that are not messages."""
@@ -207,3 +217,19 @@ def reconcile_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     reports = [audit.reconcile(feed, messages.unionByName(junk)) for feed, messages in sources.items()]
     return reduce(DataFrame.unionByName, reports)
+
+
+@query(
+    "reconcile_written_table",
+    f"""
+    select "current_date" as date, count(*) as rows_expected, count(*) filter (written) as rows_found,
+           count(*) filter (not written) as rows_missing
+    from (select "current_date", device, event, firstoccurrencetime, persisttime, bool_or(event_id % 7 <> 0) as written
+          from ({_EVENTS_WITH_ID}) group by all) group by "current_date\"""",
+)
+def reconcile_written_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which rows of the topic never reached the stored table, per date: the table was written with losses."""
+    path = run_dir(spark, "lossy-events")
+    messages = wire.event_messages(spark, sf_dir)
+    feeds.events(messages.where("offset % 7 <> 0")).write.parquet(path)
+    return audit.reconcile_written(C.EVENT, messages, spark.read.parquet(path), C.EVENT.history_key)

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from wattline import contracts as C
 from wattline.sources import envelope_columns
-from wattline.streaming.storage import size
 
 # Instants with all six fraction digits; the default would cut them to milliseconds.
 _JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"}
@@ -24,21 +23,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def source(spark: SparkSession, sf_dir: str, name: str, *, stream: bool | int = False) -> DataFrame:
-    """A table to make messages of, spread over the cores when it is small.
-
-    ``stream`` reads it as a stream: ``True`` in one micro-batch, a number in batches of at most that many files.
-    """
-    rows = table(spark, sf_dir, name)
-    if stream:
-        reader = spark.readStream.schema(rows.schema)
-        if stream is not True:
-            reader = reader.option("maxFilesPerTrigger", stream)
-        # A stream's plain path must be a directory; as a pattern it may be one file or a directory of files.
-        rows = reader.parquet(f"{sf_dir}/{{{name}}}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    small = size(spark, f"{sf_dir}/{name}.parquet") < cores * _SMALL
-    return rows.repartition(cores, *_SPREAD[name]) if small else rows
+def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table to make messages of, dealt out by a hash of near-unique columns as a producer would to its topic's
+    partitions: a table in one file is one task however many cores there are."""
+    return table(spark, sf_dir, name).repartition(*_SPREAD[name])
 
 
 def obj(fields: Mapping[str, Column]) -> Column:
@@ -62,10 +50,6 @@ def small_id(column: str) -> Column:
     return (F.col(column) % 2147483647).cast("int")
 
 
-# Below this many bytes per core a table is dealt out to all cores before the costly JSON work, since a small
-# file is one task however many cores there are. Larger tables are read as they are split, without a shuffle.
-_SMALL = 16 * 1024 * 1024
-# By a hash of near-unique columns: unlike dealing out rows in turn it needs no sort to be repeatable.
 _SPREAD = {
     "customer": ["c_custkey"],
     "documents": ["doc_id"],
@@ -78,8 +62,8 @@ _K = F.get_json_object
 _CHANGED = "o_orderdate + make_dt_interval(1, 0, 0, o_orderkey % 86400)"
 
 
-def event_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int = False) -> DataFrame:
-    rows = source(spark, sf_dir, "events", stream=stream)
+def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = source(spark, sf_dir, "events")
     value = json(
         {
             "device": coded("D", "user_id"),
@@ -96,14 +80,14 @@ def event_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int = Fal
     return _events_envelope(rows, value, C.EVENT.topic)
 
 
-def telemetry_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int = False) -> DataFrame:
-    rows = source(spark, sf_dir, "events", stream=stream)
+def telemetry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = source(spark, sf_dir, "events")
     value = json({"device": coded("D", "user_id"), "lastReceiveTime": F.col("ts")})
     return _events_envelope(rows, value, C.TELEMETRY.topic)
 
 
-def parameter_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int = False) -> DataFrame:
-    rows = source(spark, sf_dir, "events", stream=stream)
+def parameter_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = source(spark, sf_dir, "events")
     value = json(
         {
             "device": coded("D", "user_id"),
@@ -118,8 +102,8 @@ def parameter_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int =
     return _events_envelope(rows, value, C.PARAMETER.topic)
 
 
-def profile_facts_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int = False) -> DataFrame:
-    rows = source(spark, sf_dir, "events", stream=stream)
+def profile_facts_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = source(spark, sf_dir, "events")
     value = json(
         {
             "device": coded("D", "user_id"),
@@ -141,13 +125,15 @@ def _events_envelope(rows: DataFrame, value: Column, topic: str) -> DataFrame:
     )
 
 
-def device_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int = False) -> DataFrame:
+def device_messages(spark: SparkSession, sf_dir: str, *, versions: int = 1) -> DataFrame:
+    """``versions`` gives each device so many versions, nine days apart."""
     rows = (
-        source(spark, sf_dir, "customer", stream=stream)
+        source(spark, sf_dir, "customer")
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    persisted = F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, c_custkey)")
+    rows = rows.withColumn("_version", F.explode(F.sequence(F.lit(0), F.lit(versions - 1))))
+    persisted = F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(9 * _version, 0, 0, c_custkey)")
     geo = obj({"latitude": _text("c_nationkey", ".5"), "longitude": _text("r_regionkey", ".25")})
     address = obj(
         {
@@ -182,12 +168,17 @@ def device_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int = Fa
         }
     )
     return envelope_columns(
-        rows, value, topic=C.DEVICE.topic, key=coded("D", "c_custkey"), offset=F.col("c_custkey"), at=persisted
+        rows,
+        value,
+        topic=C.DEVICE.topic,
+        key=coded("D", "c_custkey"),
+        offset=F.col("c_custkey") * versions + F.col("_version"),
+        at=persisted,
     )
 
 
-def measurement_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int = False) -> DataFrame:
-    rows = source(spark, sf_dir, "lineitem", stream=stream)
+def measurement_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = source(spark, sf_dir, "lineitem")
     received = F.expr("l_shipdate + make_dt_interval(0, 0, l_linenumber, 0)")
     points = [
         obj(
@@ -218,8 +209,8 @@ def measurement_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int
     return _lineitem_envelope(rows, value, C.MEASUREMENT.topic, coded("P", "l_partkey"))
 
 
-def register_statistic_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int = False) -> DataFrame:
-    rows = source(spark, sf_dir, "lineitem", stream=stream)
+def register_statistic_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = source(spark, sf_dir, "lineitem")
     reads = {
         "expected": F.lit(24), "received": F.col("l_quantity").cast("int"), "edited": F.col("l_linenumber"),
         "invalidated": F.when(F.col("l_returnflag") == "R", F.col("l_linenumber")),
@@ -241,8 +232,8 @@ def register_statistic_messages(spark: SparkSession, sf_dir: str, *, stream: boo
     return _lineitem_envelope(rows, value, C.REGISTER_STATISTIC.topic, coded("P", "l_partkey"))
 
 
-def topology_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int = False) -> DataFrame:
-    rows = source(spark, sf_dir, "lineitem", stream=stream)
+def topology_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = source(spark, sf_dir, "lineitem")
     children = [
         obj({"childDevice": child, "addTime": F.col("l_shipdate"), "dataSource": F.lit(origin)})
         for child, origin in ((coded("P", "l_partkey"), "part"), (coded("S", "l_suppkey"), "supplier"))
@@ -258,8 +249,8 @@ def topology_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int =
     return _lineitem_envelope(rows, value, C.TOPOLOGY.topic, coded("O", "l_orderkey"))
 
 
-def derived_measurement_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int = False) -> DataFrame:
-    rows = source(spark, sf_dir, "lineitem", stream=stream)
+def derived_measurement_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = source(spark, sf_dir, "lineitem")
     points = [
         obj({"time": after("l_shipdate", f"{hour} hours"), "value": value, "quality": F.col("l_returnflag")})
         for hour, value in enumerate(
@@ -284,10 +275,10 @@ def _lineitem_envelope(rows: DataFrame, value: Column, topic: str, key: Column)
 
 
 def process_messages(
-    spark: SparkSession, sf_dir: str, *, stream: bool | int = False, text_times: bool = False
+    spark: SparkSession, sf_dir: str, *, text_times: bool = False
 ) -> DataFrame:
     """``text_times`` puts text that is no instant into the start time of orders in progress."""
-    rows = source(spark, sf_dir, "orders", stream=stream)
+    rows = source(spark, sf_dir, "orders")
     started = after("o_orderdate", "1 hour")
     if text_times:
         started = F.when(F.col("o_orderstatus") == "P", "not yet").otherwise(
@@ -321,8 +312,8 @@ def process_messages(
     return _orders_envelope(rows, value, C.PROCESS.topic)
 
 
-def operational_process_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int = False) -> DataFrame:
-    rows = source(spark, sf_dir, "orders", stream=stream)
+def operational_process_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = source(spark, sf_dir, "orders")
     value = json(
         {
             "id": small_id("o_orderkey"),
@@ -335,8 +326,10 @@ def operational_process_messages(spark: SparkSession, sf_dir: str, *, stream: bo
 
 
 def metering_point_json(rows: DataFrame) -> Column:
-    """A change record per order: no previous image while it is open, a replaced device once it is finished."""
+    """A change record per order: no previous image while it is open, a replaced device once it is finished; every
+    fifth finished one is a deletion, without a current image."""
     finished = F.col("o_orderstatus") == "F"
+    deleted = finished & (F.col("o_orderkey") % 5 == 0)
     replaced = after("o_orderdate", "30 days")
     never = F.lit(None).cast("timestamp_ntz")
 
@@ -372,13 +365,13 @@ def metering_point_json(rows: DataFrame) -> Column:
         {
             "persistTime": F.expr(_CHANGED),
             "previous": F.when(F.col("o_orderstatus") != "O", image(F.array(first), F.lit("before"))),
-            "current": image(now, F.col("o_orderpriority")),
+            "current": F.when(~deleted, image(now, F.col("o_orderpriority"))),
         }
     )
 
 
-def metering_point_messages(spark: SparkSession, sf_dir: str, *, stream: bool | int = False) -> DataFrame:
-    rows = source(spark, sf_dir, "orders", stream=stream)
+def metering_point_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = source(spark, sf_dir, "orders")
     return _orders_envelope(rows, metering_point_json(rows), C.METERING_POINT.topic)
 
 

@@ -17,7 +17,11 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 
 @dataclass(frozen=True)
 class Job:
-    """A named streaming query: either a ``sink`` for its micro-batches, or a built-in output format."""
+    """A named streaming query: either a ``sink`` for its micro-batches, or a built-in output format.
+
+    ``pool`` is the scheduler pool of its tasks; with ``spark.scheduler.mode=FAIR`` a query with a backlog then
+    leaves the others their share of the cores.
+    """
 
     name: str
     rows: DataFrame
@@ -25,6 +29,7 @@ class Job:
     format: str | None = None
     options: Mapping[str, str] = field(default_factory=dict)
     checkpoint: str | None = None
+    pool: str | None = None
 
     @property
     def durable(self) -> bool:
@@ -36,18 +41,18 @@ def console(name: str, rows: DataFrame) -> Job:
     return Job(name, rows, format="console", options={"truncate": "false"})
 
 
-def stateful_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+def stateful_session(spark: SparkSession, partitions: int) -> SparkSession:
     """A session with the settings that a stream-stream join fixes for good at its first start.
 
-    State is split into ``partitions`` (default: the cores there are now), kept in RocksDB outside the heap, and
-    checkpointed as changes; its rows are not counted, which would cost a read per write. Expired state of an
+    State is split into ``partitions``, which the checkpoint keeps for its life, so choose it for the largest cluster
+    the query will have. It is kept in RocksDB outside the heap and checkpointed as changes; its rows are not counted, which would cost a read per write. Expired state of an
     inner join is dropped with the next data, not by a batch of its own. The session's time zone is UTC; open the
     sources and build the join on it.
     """
     own = spark.newSession()
     for key, value in {
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism),
+        "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
@@ -79,6 +84,9 @@ def plan(jobs: Iterable[Job], checkpoint_root: str | None) -> list[tuple[Job, st
         raise ValueError("two queries share a name")
     if len(set(folders)) < len(folders):
         raise ValueError("two queries share a checkpoint folder")
+    outputs = [path.rstrip("/") for job in jobs if (path := getattr(job.sink, "path", None))]
+    if len(set(outputs)) < len(outputs):
+        raise ValueError("two queries share an output folder")
     return planned
 
 
@@ -95,10 +103,13 @@ def start(
             if trigger:
                 writer = writer.trigger(**trigger)
             writer = writer.foreachBatch(job.sink) if job.sink else writer.format(job.format)
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", job.pool)
             running.append(writer.start())
     except Exception:
         stop(running)
         raise
+    finally:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
     return running
 
 
@@ -116,11 +127,14 @@ def run_available(spark: SparkSession, jobs: Iterable[Job], checkpoint_root: str
 def run_until_stopped(
     spark: SparkSession, jobs: Iterable[Job], checkpoint_root: str, *, trigger: Mapping | None = None
 ) -> None:
-    """Run until any query ends, then stop the others; raises if it ended with an error."""
-    spark.streams.resetTerminated()
+    """Run until one of these queries ends, then stop the others; raises if it ended with an error.
+
+    Other queries of the session neither end the run nor lose their records of how they ended.
+    """
     running = start(spark, jobs, checkpoint_root, trigger=trigger)
     try:
-        spark.streams.awaitAnyTermination()
+        while not any(query.awaitTermination(1) for query in running):  # raises the error of a failed query
+            pass
     finally:
         stop(running)
 

@@ -22,21 +22,31 @@ Sink = Callable[[DataFrame, int], None]
 
 
 def files_sink(path: str, *, partition_by: Sequence[str] = (), gather: bool = True) -> Sink:
-    """Append log: each batch owns ``batch_id=N`` and replaces it, so a replayed batch is written once.
+    """Append log: each batch owns ``query_id=…/batch_id=N`` and replaces it, so a replayed batch is written once.
+
+    The query's id stays with its checkpoint. A query with a fresh checkpoint, whose batches count from 0 again, has
+    another id, and so never replaces what an earlier one wrote.
 
     ``gather`` shuffles rows to their directories first, for batches that span many of them; without it every
-    task writes its own files, which is cheaper when a batch falls in one or two.
+    task writes its own files. After a stateful stream adaptive execution is off and a hot directory would be one
+    task, so pass ``gather=False`` there.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        target = f"{path}/batch_id={batch_id}"
+        target = f"{path}/query_id={query_id(batch)}/batch_id={batch_id}"
         rows = gathered(batch, partition_by) if gather else batch
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
         writer.partitionBy(*partition_by).parquet(target)
 
+    write.path = path
     return write
 
 
+def query_id(batch: DataFrame) -> str:
+    """The persistent id of the streaming query that a micro-batch belongs to; ``none`` outside of one."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+
+
 def outcome_sink(path: str) -> Sink:
     """Good and bad rows of a frame with an ``_error`` column in one pass, under ``outcome=good`` and ``=bad``.
 
@@ -47,6 +57,7 @@ def outcome_sink(path: str) -> Sink:
     def outcome(batch: DataFrame, batch_id: int) -> None:
         write(batch.withColumn("outcome", F.when(F.col(ERROR).isNull(), "good").otherwise("bad")), batch_id)
 
+    outcome.path = path
     return outcome
 
 
@@ -117,4 +128,5 @@ def guarded(
                 else:
                     keep(batch, batch_id)
 
+    attempt.path = getattr(write, "path", None)
     return attempt

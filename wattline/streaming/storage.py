@@ -12,19 +12,19 @@ from pyspark.sql import SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local master, as in tests, may fall back to a temporary folder of this machine.
+    Only a local master, as in tests, may fall back to a temporary folder of this machine, which goes with the process.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_fallback()
+    return _local_fallback().name
 
 
 @cache
-def _local_fallback() -> str:
-    return tempfile.mkdtemp(prefix="wattline-")
+def _local_fallback() -> tempfile.TemporaryDirectory:
+    return tempfile.TemporaryDirectory(prefix="wattline-", ignore_cleanup_errors=True)
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
@@ -37,10 +37,32 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
-def size(spark: SparkSession, path: str) -> int:
-    """Bytes under a file or folder."""
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder, sorted; none if there is no such folder."""
     fs, where = _hadoop(spark, path)
-    return fs.getContentSummary(where).getLength()
+    return sorted(entry.getPath().getName() for entry in fs.listStatus(where)) if fs.exists(where) else []
+
+
+def write_whole(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there as a whole or not at all."""
+    fs, where = _hadoop(spark, path)
+    _, temporary = _hadoop(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(temporary, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not fs.rename(temporary, where):
+        raise OSError(f"{path} is already there or cannot be written")
+
+
+def read_whole(spark: SparkSession, path: str) -> str:
+    fs, where = _hadoop(spark, path)
+    stream = fs.open(where)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
 
 
 def delete(spark: SparkSession, path: str) -> None:

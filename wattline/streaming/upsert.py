@@ -1,46 +1,50 @@
-"""A keyed Parquet table that micro-batches are merged into."""
+"""A keyed Parquet table that micro-batches are merged into, and an append log that is compacted into one."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime
+import json
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.contracts import KEEP, OVERWRITE
 from wattline.operators.keyed import latest_row, newest_present
-from wattline.streaming.sinks import gathered
-from wattline.streaming.storage import delete, exists
+from wattline.streaming.sinks import files_sink, gathered
+from wattline.streaming.storage import delete, names, read_whole, write_whole
 
 _BUCKET = "_bucket"
 _ORDER = "_order"
 _STAMPS = "_stamps"
-# Beyond this many touched directories they are found by a join instead of a list in the plan.
-_MANY_DIRECTORIES = 2000
+_NULL_DIRECTORY = "__HIVE_DEFAULT_PARTITION__"
+_KEPT_STATES = 2
 
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """Latest row per key, stored in directories that a merge rewrites one by one.
+    """Latest row per key, stored in directories that a merge replaces one by one.
 
-    ``partition`` is a date column that the key holds or determines; without one, rows are put in ``buckets``
-    directories by key hash. A merge reads and rewrites only the directories its batch touches,
-    so it suits feeds whose batches fall in few of them; for others append with ``files_sink`` and read through
-    ``operators.keyed.latest``.
+    ``partition`` is a date or text column; it is part of the key, or ``partition_follows_key`` states that each key
+    always has the same value there. Without a partition, rows are put in ``buckets`` directories by key hash. A merge
+    reads and rewrites only the directories its batch touches, so it suits feeds whose batches fall in few of them;
+    for others see ``LatestLog``.
 
-    ``stage`` belongs to one query: keep it with that query's checkpoint and drop both together.
+    A merge writes its directories once, under a version of its own, and then puts a manifest of all live directories
+    in place as one small file; that is the moment it happens. Readers take the newest manifest, and the directories
+    of the one before stay, so a reader never misses one. One merge at a time.
 
     Each row keeps the order it was written under, and with ``nulls="keep"`` each cell that is older than its
     row does too. A merge is then the same whatever the batches are and however often one is replayed.
     """
 
     path: str
-    stage: str
     columns: tuple[str, ...]
     key: tuple[str, ...]
     order: tuple[str, ...]
     partition: str | None = None
+    partition_follows_key: bool = False
     buckets: int = 64
     nulls: str = OVERWRITE
 
@@ -48,6 +52,8 @@ class KeyedTable:
         unknown = [name for name in self.key if name not in self.columns]
         if unknown:
             raise ValueError(f"key columns not stored: {', '.join(unknown)}")
+        if self.partition and self.partition not in self.key and not self.partition_follows_key:
+            raise ValueError(f"a key could be stored under several values of {self.partition}: put it into the key")
 
     @property
     def directory(self) -> str:
@@ -58,45 +64,94 @@ class KeyedTable:
         return [name for name in self.columns if name not in self.key]
 
     def merge(self, batch: DataFrame, batch_id: int) -> None:
-        """Merge one batch; a sink for ``foreachBatch``.
-
-        The merged directories are written to the stage first and then replace the stored ones. If that is cut
-        short, the batch's replay finds the finished stage and only repeats the replacement.
-        """
+        """Merge one batch; a sink for ``foreachBatch``. Cut short at any point, it has not happened."""
         spark = batch.sparkSession
-        stage = f"{self.stage}/batch_id={batch_id}"
-        incoming = self._incoming(batch)
-        if not exists(spark, f"{stage}/_SUCCESS"):
-            if exists(spark, self.path):
-                self._stage_with_stored(spark, incoming, stage)
-            else:
-                self._reduced(incoming).write.mode("overwrite").parquet(stage)
-        staged = gathered(spark.read.schema(incoming.schema).parquet(stage), [self.directory])
-        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            self.directory
-        ).parquet(self.path)
-        delete(spark, stage)
-
-    def _stage_with_stored(self, spark: SparkSession, incoming: DataFrame, stage: str) -> None:
-        incoming = incoming.persist()
+        incoming = self._reduced(self._incoming(batch)).persist()
         try:
-            directories = incoming.select(self.directory).distinct()
-            touched = [row[0] for row in directories.limit(_MANY_DIRECTORIES + 1).collect()]
-            stored = spark.read.schema(incoming.schema).parquet(self.path)
-            if len(touched) > _MANY_DIRECTORIES:
-                same = stored[self.directory].eqNullSafe(directories[self.directory])
-                stored = stored.join(directories, same, "semi")
-            else:
-                here = F.col(self.directory)
-                wanted = here.isin([value for value in touched if value is not None])
-                stored = stored.filter(wanted | here.isNull() if None in touched else wanted)
-            self._reduced(stored.unionByName(incoming)).write.mode("overwrite").parquet(stage)
+            here = F.col(self.directory)
+            seen = incoming.agg(
+                F.min(here).alias("low"), F.max(here).alias("high"), F.count_if(here.isNull()).alias("nulls"),
+                F.count("*").alias("rows"),
+            ).first()
+            if not seen.rows:
+                return
+            number, live = self._state(spark)
+            within = {
+                name: version
+                for name, version in live.items()
+                if (bool(seen.nulls) if name == _NULL_DIRECTORY else self._between(name, seen.low, seen.high))
+            }
+            merged = incoming
+            if within:
+                touched = incoming.select(here.alias("_touched")).distinct()
+                stored = self._stored(spark, within, incoming.schema)
+                stored = stored.join(touched, here.eqNullSafe(F.col("_touched")), "left_semi")
+                merged = self._reduced(stored.unionByName(incoming))
+            target = f"{self.path}/data/version={number + 1}"
+            gathered(merged, [self.directory]).write.mode("overwrite").partitionBy(self.directory).parquet(target)
+            written = [name.partition("=")[2] for name in names(spark, target) if "=" in name]
+            state = live | dict.fromkeys(written, number + 1)
+            write_whole(spark, f"{self.path}/manifest/{number + 1:012d}", json.dumps(state))
         finally:
             incoming.unpersist()
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        """The stored rows; a filter on the partition column prunes directories."""
-        return spark.read.parquet(self.path).select(*self.columns)
+        self._clean(spark)
+
+    def read(self, spark: SparkSession, only: tuple | None = None) -> DataFrame:
+        """The stored rows; ``only``, the least and greatest partition value, leaves other directories unread."""
+        _, live = self._state(spark)
+        if only is not None:
+            live = {name: version for name, version in live.items() if self._between(name, *only)}
+        if not live:
+            raise ValueError(f"nothing is stored in {self.path}")
+        return self._stored(spark, live).select(*self.columns)
+
+    def with_rows(self, more: DataFrame) -> DataFrame:
+        """The table as it would be with these rows merged, without merging them."""
+        spark = more.sparkSession
+        incoming = self._incoming(more)
+        _, live = self._state(spark)
+        rows = self._stored(spark, live, incoming.schema).unionByName(incoming) if live else incoming
+        return self._reduced(rows).select(*self.columns)
+
+    def _state(self, spark: SparkSession) -> tuple[int, dict[str, int]]:
+        """Number of the newest manifest and the version of each live directory: one entry per date or bucket."""
+        manifests = [name for name in names(spark, f"{self.path}/manifest") if name.isdigit()]
+        if not manifests:
+            return 0, {}
+        return int(manifests[-1]), json.loads(read_whole(spark, f"{self.path}/manifest/{manifests[-1]}"))
+
+    def _between(self, name: str, low, high) -> bool:
+        if low is None or name == _NULL_DIRECTORY:
+            return False
+        if self.partition is None:
+            return low <= int(name) <= high
+        value = unquote(name)
+        if isinstance(low, datetime.date):
+            return low <= datetime.date.fromisoformat(value) <= high
+        return low.encode() <= value.encode() <= high.encode()
+
+    def _stored(self, spark: SparkSession, live: dict[str, int], schema=None) -> DataFrame:
+        paths = [f"{self.path}/data/version={version}/{self.directory}={name}" for name, version in live.items()]
+        reader = spark.read.option("basePath", f"{self.path}/data")
+        rows = (reader if schema is None else reader.schema(schema)).parquet(*paths)
+        return rows if schema is None else rows.select(*schema.names)
+
+    def _clean(self, spark: SparkSession) -> None:
+        """Delete what the newest manifests do not name."""
+        manifests = [name for name in names(spark, f"{self.path}/manifest") if name.isdigit()]
+        kept = [json.loads(read_whole(spark, f"{self.path}/manifest/{name}")) for name in manifests[-_KEPT_STATES:]]
+        named = {(version, name) for state in kept for name, version in state.items()}
+        for name in manifests[:-_KEPT_STATES]:
+            delete(spark, f"{self.path}/manifest/{name}")
+        versions = {version for version, _ in named}
+        for entry in names(spark, f"{self.path}/data"):
+            version, folder = int(entry.partition("=")[2]), f"{self.path}/data/{entry}"
+            if version not in versions:
+                delete(spark, folder)
+                continue
+            for directory in names(spark, folder):
+                if "=" in directory and (version, directory.partition("=")[2]) not in named:
+                    delete(spark, f"{folder}/{directory}")
 
     def _incoming(self, batch: DataFrame) -> DataFrame:
         rows = batch.select(*self.columns, F.struct(*self.order).alias(_ORDER))
@@ -124,3 +179,47 @@ class KeyedTable:
 
     def _stamp(self, name: str) -> Column:
         return F.coalesce(F.col(f"{_STAMPS}.{name}"), F.col(_ORDER))
+
+
+@dataclass(frozen=True)
+class LatestLog:
+    """Latest row per key for feeds whose batches touch keys everywhere: append every batch, compact now and then.
+
+    ``append`` is a sink that only writes the batch. ``compact`` merges all whole batches of the log into ``table`` in
+    one pass over its directories and deletes them; run it on a schedule, at which a rewrite of the table is worth it.
+    ``read`` is the table and what the log holds beyond it. Merging is repeatable, so a compaction that was cut short
+    between its steps only leaves batches that are merged again.
+    """
+
+    path: str
+    table: KeyedTable
+
+    @property
+    def append(self):
+        return files_sink(self.path)
+
+    def compact(self, spark: SparkSession) -> int:
+        """Merge and delete the batches that the log holds now; returns how many they were."""
+        batches = self._batches(spark)
+        if batches:
+            self.table.merge(self._rows(spark, batches), 0)
+            for batch in batches:
+                delete(spark, batch)
+        return len(batches)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The latest row of every key."""
+        batches = self._batches(spark)
+        return self.table.with_rows(self._rows(spark, batches)) if batches else self.table.read(spark)
+
+    def _batches(self, spark: SparkSession) -> list[str]:
+        """Folders of the batches that are whole: the log is kept short by compaction, so they are listed."""
+        return [
+            folder
+            for query in names(spark, self.path)
+            for name in names(spark, f"{self.path}/{query}")
+            if "_SUCCESS" in names(spark, folder := f"{self.path}/{query}/{name}")
+        ]
+
+    def _rows(self, spark: SparkSession, batches: list[str]) -> DataFrame:
+        return spark.read.option("basePath", self.path).parquet(*batches)
