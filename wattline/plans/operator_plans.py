@@ -100,6 +100,25 @@ def dead_letter_bad_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("_offset").alias("id"), "register", "value", F.col(ERROR).alias("error"))
 
 
+@query(
+    "dead_letter_null_key",
+    """
+    select case event_id % 4 when 0 then 'missing device' when 1 then 'null key current_date' end as error,
+           count(*) as n from events group by 1""",
+)
+def dead_letter_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events without a required field, or without the time that their table's key is derived from."""
+    text = F.col("value").cast("string")
+    value = (
+        F.when(F.col("offset") % 4 == 0, F.regexp_replace(text, '"device":"[^"]*",', ""))
+        .when(F.col("offset") % 4 == 1, F.regexp_replace(text, '"persistTime":"[^"]*",', ""))
+        .otherwise(text)
+    )
+    messages = wire.event_messages(spark, sf_dir).withColumn("value", value.cast("binary"))
+    rows = feeds.checked(C.EVENT, messages)
+    return rows.groupBy(F.col(ERROR).alias("error")).agg(F.count("*").alias("n"))
+
+
 @query(
     "read_feed_topic",
     "select event_id as id, 'D' || user_id as device from events",

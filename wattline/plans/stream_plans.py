@@ -15,7 +15,7 @@ from wattline.plans.join_plans import DEVICE_SIDE, JOINED, TELEMETRY_SIDE, VERSI
 from wattline.plans.registry import query
 from wattline.sources import message_files
 from wattline.streaming.runner import Job, run_available, stateful_session
-from wattline.streaming.sinks import files_sink, guarded, outcome_sink
+from wattline.streaming.sinks import external_sink, files_sink, guarded, outcome_sink
 from wattline.streaming.storage import run_dir
 from wattline.streaming.upsert import KeyedTable, LatestLog
 
@@ -166,6 +166,30 @@ def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{run}/rows").groupBy("outcome").agg(F.count("*").alias("messages"))
 
 
+@query("store_append_events", EVENT_ROWS)
+def store_append_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Micro-batches appended to a store through its data source, each checked against the table's contract first."""
+    run = run_dir(spark, "store")
+    source = _topic(spark, wire.event_messages(spark, sf_dir), f"{run}/topic")
+    sink = external_sink("parquet", C.EVENT.table, options={"path": f"{run}/store"})
+    run_available(spark, [Job("event", feeds.events(source, meta=True), sink=sink)], f"{run}/checkpoints")
+    return spark.read.parquet(f"{run}/store").select(*C.EVENT.table.columns)
+
+
+@query("stream_rate_limit", "select count(*) as n, true as several_batches, true as all_bounded from events")
+def stream_rate_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first start reads the whole topic, but in batches of a bounded number of files."""
+    run = run_dir(spark, "rate-limit")
+    rows = feeds.telemetry(_topic(spark, wire.telemetry_messages(spark, sf_dir), f"{run}/topic"))
+    run_available(spark, [Job("telemetry", rows, sink=files_sink(f"{run}/log"))], f"{run}/checkpoints")
+    batches = spark.read.parquet(f"{run}/log").groupBy("batch_id").agg(F.count("*").alias("n"))
+    return batches.agg(
+        F.sum("n").alias("n"),
+        (F.count("*") > 1).alias("several_batches"),
+        (F.max("n") <= FILES_PER_BATCH * FILE_MESSAGES).alias("all_bounded"),
+    )
+
+
 @query(
     "append_log_latest_view",
     "select 'D' || user_id as device, max(ts) as lastreceivetime from events group by user_id",
