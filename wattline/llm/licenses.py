@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.llm import textbytes
-from wattline.llm.common import words
+from wattline.llm.common import cut, words
 
 #: Wording of notices and headers, by license. Fixed values.
 TEMPLATES = {
@@ -198,4 +198,4 @@ def scan(files: DataFrame, path: Column, text: str = "text", key: str = "doc_id"
     model = fit(files, text)
     found = own_license(model, F.col(text))
     rows = files.select(F.col(key).alias("key"), path.alias("path"), found.alias("s")).select("key", "path", "s.*")
-    return inherit(rows)
+    return inherit(cut(rows))  # three branches read the scan's result: texts are scanned once
