@@ -134,7 +134,8 @@ def evidence(model: Model, text: Column) -> Column:
     def of(texts: pa.Array) -> pa.Array:
         return pa.array(model.evidence(textbytes.views(texts)))
 
-    return F.arrow_udf(of, "double")(text)
+    # as a non-deterministic function, which it is not, it is run once per row even where a filter uses its result
+    return F.arrow_udf(of, "double").asNondeterministic()(text)
 
 
 def _logistic(x: Column) -> Column:
