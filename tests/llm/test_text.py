@@ -42,7 +42,7 @@ def pages(spark, rows):
     return spark.createDataFrame(rows, "page_id bigint, url string, html string")
 
 
-def test_site_templates_go_and_repeated_prose_stays(spark):
+def test_site_templates_go_and_repeated_prose_stays(spark, monkeypatch):
     rows = [
         (i, f"https://h.example/{i}", f"{SITE}<article><p>quoted by all</p><p>own {i}</p><div>Share it</div></article>") for i in range(8)
     ]
@@ -57,6 +57,8 @@ def test_site_templates_go_and_repeated_prose_stays(spark):
     want += [(100 + i, f"Home Shop Call us text {i}") for i in range(3)]
     want += [(200 + i, "same page") for i in range(9)] + [(300, ""), (301, ""), (None, "new")]
     assert got == sorted(want, key=repr)
+    monkeypatch.setattr(extract, "BROADCAST_BOUND", 0)
+    assert sorted(((r.page_id, r.main_text) for r in extract.extract(frame).collect()), key=repr) == got
     assert extract.extract(pages(spark, [])).collect() == []
 
 

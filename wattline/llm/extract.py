@@ -21,11 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from wattline.llm.common import cut
+from wattline.llm.common import cut, sized_broadcast
 
 #: A subtree is the site's if it stands on at least so many different pages of its host, and on this share of them.
 MIN_PAGES = 5
 MIN_SHARE = 0.02
+#: Most pages and hashes to delete, together, that are broadcast to the pages; beyond it that join is shuffled.
+BROADCAST_BOUND = 1_000_000
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -341,9 +343,13 @@ def extract(
     templates = site_templates(seen, min_pages, min_share).select(F.col("host").alias("_site"), F.col("key").alias("_key"))
     own = seen.select("host", "digest", F.explode("keys").alias("key")).distinct()
     theirs = own.join(templates, (F.col("key") == F.col("_key")) & F.col("host").eqNullSafe(F.col("_site")))
-    removed = theirs.groupBy(F.col("host").alias("_r_host"), F.col("digest").alias("_r_digest")).agg(
-        F.collect_set("key").alias("keys")
+    removed = cut(
+        theirs.groupBy(F.col("host").alias("_r_host"), F.col("digest").alias("_r_digest")).agg(
+            F.collect_set("key").alias("keys")
+        )
     )
+    size = removed.agg(F.coalesce(F.sum(F.size("keys") + 1), F.lit(0))).first()[0]
     same = F.col("_host").eqNullSafe(F.col("_r_host")) & (F.col("_digest") == F.col("_r_digest"))
     text = pandas_udf(_texts, "string")(F.struct(F.col(page).alias("html"), F.col("keys").alias("keys")))
+    removed = sized_broadcast(removed, size, BROADCAST_BOUND)
     return marked.join(removed, same, "left").select(*[f"`{name}`" for name in kept], text.alias("main_text"))
