@@ -208,6 +208,31 @@ def test_ngram_counts_are_exact(spark, docs):
     assert got == {k: n for k, n in want.items() if k[1].strip()}
 
 
+def test_language_models_hold_every_ngram(spark, docs):
+    rng = random.Random(3)
+    wide = ["".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(4000)) for _ in range(30)]
+    rows = [(i, text, "zh") for i, text in enumerate(wide)] + [(100 + i, "la casa de la rosa " * 3, "es") for i in range(9)]
+    counted = langid.count_ngrams(docs(*rows))
+    by_lang = {}
+    for r in counted.collect():
+        by_lang.setdefault(r.lang, {})[r.gram] = r.n
+    assert len(by_lang["zh"]) > 110_000
+    langs, tables = langid.store(counted)
+    assert langs == ["es", "zh"]
+    for name, own in zip(langs, tables):
+        want = langid.build(list(by_lang[name]), list(by_lang[name].values()))
+        assert own.floor == want.floor
+        for got, expected in zip((own.seen, own.contexts), (want.seen, want.contexts)):
+            assert all(np.array_equal(a, b) for a, b in zip(got, expected, strict=True))
+        for got, expected in zip((own.prob, own.backoff), (want.prob, want.backoff)):
+            assert all(np.allclose(a, b, rtol=1e-12) for a, b in zip(got, expected, strict=True))
+
+
+def test_any_number_of_languages(spark, docs):
+    model = langid.fit(docs(*[(i, f"word{chr(0x4E00 + i % 120)} " * 3, f"l{i % 120}") for i in range(1200)]))
+    assert len(model.langs) == 120 and model.predict([f"word{chr(0x4E00 + 7)}"])[0] == ["l7"]
+
+
 def test_language_of_unseen_documents(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text", "lang")
     model = langid.fit(docs)
