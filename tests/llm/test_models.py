@@ -353,3 +353,36 @@ def test_licenses_are_inherited_from_the_nearest_directory(spark, docs):
     assert got["e.py"] == got["f/g/h"] == got[None] == (None, "Apache-2.0", "", False)
     assert licenses.scan(frame, F.col("source")).count() == len(files) + 1
     assert licenses.scan(docs(), F.col("source")).collect() == []
+
+
+def test_notices_in_paragraphs_and_long_license_files(spark, docs):
+    mit, apache = licenses.TEMPLATES["MIT"], licenses.TEMPLATES["Apache-2.0"]
+    filler = " ".join(f"w{i}" for i in range(150))
+    wrapped = "\n".join(apache[1].split())
+    files = {
+        "LICENSE": f"Copyright\n{mit[2]}\n{filler}", "a.py": "code " * 99, "p/q.txt": f"{filler} {mit[0]} {filler}",
+        "p/r.txt": f"{filler}\n{wrapped}\n{filler}", "license.py": f"{filler} {mit[0]} {filler}", "q/COPYING.txt": filler,
+        "q/b.py": "code " * 99, "z/1": f"{wrapped} " * 3, "z/2": "code " * 99,
+    }
+    frame = docs(*[(i, text, "en", path) for i, (path, text) in enumerate(files.items())])
+    got = {r.path: (r.license, r.final, r.inherited_from, r.is_file) for r in licenses.scan(frame, F.col("source")).collect()}
+    assert got["LICENSE"] == ("MIT", "MIT", None, True)
+    assert got["a.py"] == (None, "MIT", "", False)
+    assert got["p/q.txt"] == got["license.py"] == ("MIT", "MIT", None, False)
+    assert got["p/r.txt"] == ("Apache-2.0", "Apache-2.0", None, False)
+    assert got["q/COPYING.txt"] == got["q/b.py"] == (None, "MIT", "", False)
+    assert got["z/1"] == ("Apache-2.0", "Apache-2.0", None, True) and got["z/2"] == (None, "Apache-2.0", "z", False)
+
+
+def test_windows_are_those_of_the_definition():
+    model = licenses.build(1000, {w: 900 if len(w) < 4 else 3 for w in licenses.vocabulary()})
+    rng = random.Random(4)
+    known = licenses.vocabulary()
+    texts = [t for own in licenses.TEMPLATES.values() for t in own]
+    for _ in range(60):
+        text = " ".join(rng.choices(known, k=70)) + " " + rng.choice(texts) + " " + " ".join(rng.choices(known, k=70))
+        own, best = licenses.split_words(text), 0.0
+        for i, width in enumerate(model.widths):
+            best = max(best, *(model._cosine(i, own[at : at + width]) for at in range(len(own) - width + 1)))
+        license, cosine, _ = model.find(text)
+        assert license and cosine == pytest.approx(max(best, model.scan(text)[1]))

@@ -1,6 +1,7 @@
 """License scans: TF-IDF cosine to license templates, then inheritance from the nearest directory above.
 
-Every line of a text, and a short text as a whole, is a passage. A passage's cosine to each template is taken over
+Every line of a text, a short text as a whole, and every run of as many words as a template has around a cue word,
+whatever the line breaks, is a passage. A passage's cosine to each template is taken over
 sparse TF-IDF vectors, whose document frequencies are counted over the whole corpus for the templates' words; a word
 that no template has counts as one that no document has, and so pushes a passage away from all templates.
 
@@ -61,6 +62,13 @@ TEMPLATES = {
 THRESHOLD = 0.7
 #: A text of at most so many words is also compared as a whole; with a notice it is its directory's license file.
 FILE_WORDS = 60
+#: So is a longer text with a notice if its name says so, or if passages with a license are this share of its words.
+FILE_SHARE = 0.5
+FILE_NAME = re.compile(
+    r"(?!.*\.(?:py|pyi|c|cc|cpp|h|hpp|cs|java|kt|scala|js|jsx|ts|tsx|go|rs|rb|php|sh|json|xml|ya?ml|toml)$)"
+    r"(?:un)?(?:licen[cs]es?|copying|copyright)(?:[-_.].*)?",
+    re.IGNORECASE,
+)
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -79,6 +87,8 @@ class Model:
     idf: dict[str, float]
     unknown: float
     templates: list[tuple[str, dict[str, float], float]]  # license, weights, length
+    widths: list[int]  # of the templates, in words
+    own_cues: list[frozenset[str]]  # of the templates
     cues: re.Pattern
     threshold: float
 
@@ -109,6 +119,70 @@ class Model:
             return None, found[1], False
         return *found, short
 
+    def find(self, text: str | None, name: str = "") -> tuple[str | None, float, bool]:
+        """As ``scan``, with notices inside or across lines, and with license files of any length."""
+        found = self.scan(text)
+        if not text or not self.cues.search(text.lower()):
+            return found
+        all_words = split_words(text)
+        present, covered, best = set(all_words), bytearray(len(all_words)), found[:2]
+        for i, (license, weights, size) in enumerate(self.templates):
+            # no passage's cosine exceeds the length of what the text has of the template
+            if sum(x * x for word, x in weights.items() if word in present) < (self.threshold * size) ** 2 - 1e-9:
+                continue
+            width = min(self.widths[i], len(all_words))
+            for at, cosine in self._windows(i, all_words, width):
+                if cosine >= self.threshold - 1e-9:
+                    exact = self._cosine(i, all_words[at : at + width])
+                    if exact >= self.threshold:
+                        covered[at : at + width] = b"\1" * width
+                        if exact > best[1] + 1e-12:
+                            best = license, exact
+        if best[0] is None:
+            return found
+        named = FILE_NAME.fullmatch(name) is not None
+        return *best, found[2] or named or len(all_words) <= FILE_WORDS or sum(covered) >= FILE_SHARE * len(all_words)
+
+    def _cosine(self, i: int, passage: list[str]) -> float:
+        _, weights, size = self.templates[i]
+        own = {word: (1 + math.log(n)) * self.idf.get(word, self.unknown) for word, n in Counter(passage).items()}
+        length = math.sqrt(sum(x * x for x in own.values()))
+        return sum(weight * own[word] for word, weight in weights.items() if word in own) / (length * size)
+
+    def _windows(self, i: int, all_words: list[str], width: int):
+        """First words and cosines of all windows of a text that hold one of the template's cues, by sliding."""
+        _, weights, size = self.templates[i]
+        cues, last = self.own_cues[i], len(all_words) - width
+        held: dict[str, int] = {}
+        square = dot = 0.0
+        begin = end = 0  # what is held
+
+        def change(word: str, by: int) -> None:
+            nonlocal square, dot
+            n = held.get(word, 0)
+            idf = self.idf.get(word, self.unknown)
+            before = (1 + math.log(n)) * idf if n else 0.0
+            after = (1 + math.log(n + by)) * idf if n + by else 0.0
+            held[word] = n + by
+            square += after * after - before * before
+            dot += weights.get(word, 0.0) * (after - before)
+
+        done = 0
+        for at, word in enumerate(all_words):
+            if word not in cues:
+                continue
+            for start in range(max(done, at - width + 1), min(at, last) + 1):
+                if start >= end:
+                    held, square, dot, begin, end = {}, 0.0, 0.0, start, start
+                while begin < start:
+                    change(all_words[begin], -1)
+                    begin += 1
+                while end < start + width:
+                    change(all_words[end], 1)
+                    end += 1
+                yield start, dot / (math.sqrt(square) * size) if square > 0 else 0.0
+                done = start + 1
+
 
 def build(n_docs: int, frequency: dict[str, int], threshold: float = THRESHOLD) -> Model:
     """The templates' vectors from the corpus's document frequencies.
@@ -117,21 +191,25 @@ def build(n_docs: int, frequency: dict[str, int], threshold: float = THRESHOLD)
     shorter than the threshold's share of its length, and the cosine can't exceed that share.
     """
     idf = {word: math.log((1 + n_docs) / (1 + frequency.get(word, 0))) + 1 for word in vocabulary()}
-    templates, cues = [], set()
+    templates, cues, widths, own_cues = [], set(), [], []
     for license, texts in TEMPLATES.items():
         for text in texts:
             weights = {word: (1 + math.log(n)) * idf[word] for word, n in Counter(split_words(text)).items()}
             size = math.sqrt(sum(x * x for x in weights.values()))
             templates.append((license, weights, size))
-            rest = size * size
+            widths.append(len(split_words(text)))
+            rest, own = size * size, set()
             for word in sorted(weights, key=lambda w: (-weights[w], w)):
                 if rest < (threshold * size) ** 2:
                     break
-                cues.add(word)
+                own.add(word)
                 rest -= weights[word] ** 2
+            own_cues.append(frozenset(own))
+            cues |= own
     pattern = "|".join(sorted(map(re.escape, cues)))
     edge = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
-    return Model(idf, math.log(1 + n_docs) + 1, templates, re.compile(f"(?<!{edge})(?:{pattern})(?!{edge})"), threshold)
+    found = re.compile(f"(?<!{edge})(?:{pattern})(?!{edge})")
+    return Model(idf, math.log(1 + n_docs) + 1, templates, widths, own_cues, found, threshold)
 
 
 def fit(files: DataFrame, text: str = "text") -> Model:
@@ -142,16 +220,21 @@ def fit(files: DataFrame, text: str = "text") -> Model:
     return build(files.count(), {row.word: row.n for row in counted})
 
 
-def own_license(model: Model, text: Column) -> Column:
-    def of(texts: pa.Array) -> pa.Array:
-        found = [model.scan(str(own, "utf-8", "replace")) for own in textbytes.views(texts)]
+def own_license(model: Model, text: Column, path: Column) -> Column:
+    """License, cosine, and whether the text is a license file, by its name too. Whole texts are read."""
+
+    def of(texts: pa.Array, names: pa.Array) -> pa.Array:
+        own = zip(textbytes.views(texts), names.to_pylist())
+        found = [model.find(str(text, "utf-8", "replace"), name) for text, name in own]
         names, cosines, short = zip(*found) if found else ((), (), ())
         return pa.StructArray.from_arrays(
             [pa.array(names, pa.string()), pa.array(cosines, pa.float64()), pa.array(short, pa.bool_())],
             names=["license", "cosine", "is_file"],
         )
 
-    return F.arrow_udf(of, "license string, cosine double, is_file boolean")(text)
+    return F.arrow_udf(of, "license string, cosine double, is_file boolean")(
+        text, F.element_at(F.split(F.coalesce(path, F.lit("")), "/"), -1)
+    )
 
 
 def directories(path: Column) -> Column:
@@ -196,6 +279,6 @@ def scan(files: DataFrame, path: Column, text: str = "text", key: str = "doc_id"
     repeated results; ties between templates go to the first one.
     """
     model = fit(files, text)
-    found = own_license(model, F.col(text))
+    found = own_license(model, F.col(text), path)
     rows = files.select(F.col(key).alias("key"), path.alias("path"), found.alias("s")).select("key", "path", "s.*")
     return inherit(cut(rows))  # three branches read the scan's result: texts are scanned once
