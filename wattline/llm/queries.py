@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wattline.llm import (
     chat,
+    collocations,
     decontaminate,
     extract,
     jaccard,
@@ -17,6 +18,8 @@ from wattline.llm import (
     mixing,
     permutation,
     quality,
+    repair,
+    sharding,
     toxicity,
 )
 from wattline.llm.common import held_out, table
@@ -113,6 +116,33 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.audits(repair.damaged(table(spark, sf_dir, "conversations")), here="here")
+
+
+def op12_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    dealt = sharding.shards(
+        docs, 8, sharding.text_key(F.col("text")), sharding.text_size(F.col("text")), carry={"text_crc32": crc}
+    )
+    return dealt.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("text", "lang")
+    best = collocations.best_of_each(collocations.collocations(docs))
+    return best.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -126,5 +156,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_language_id,
         op9_license_scan,
         op10_ngram_jaccard,
+        op11_conversation_repair,
+        op12_sampled_splitters,
+        op13_collocations,
     )
 }

@@ -88,4 +88,149 @@ SELECT conv_id, CAST(any_value(k) AS BIGINT) AS n_turns,
 FROM s GROUP BY conv_id
 """
 
-SQL = {"op6_chat_format": OP6, "op1_decontaminate": OP1, "op3_mix_sources": OP3, "op10_ngram_jaccard": OP10}
+
+
+def _crc32(text: str) -> str:
+    """SQL for the unsigned crc32 of a text's bytes, by half bytes."""
+    steps = []
+    for half in range(16):
+        for _ in range(4):
+            half = half >> 1 ^ (0xEDB88320 if half & 1 else 0)
+        steps.append(str(half))
+    halves = f"string_split(regexp_replace(hex({text}), '(.)(.)', '\\2\\1', 'g'), '')"
+    return f"""CASE WHEN {text} = '' THEN 0 ELSE xor(4294967295, list_reduce(
+        list_transform({halves}, lambda c: CAST(strpos('0123456789ABCDEF', c) - 1 AS BIGINT)),
+        lambda crc, h: xor(CAST([{", ".join(steps)}][1 + (xor(crc, h) & 15)] AS BIGINT), crc >> 4), 4294967295)) END"""
+
+
+def _edit(prefix: str, cost: str, edit: str, when: str = "true") -> str:
+    """SQL for an audit prefix, written as its cost in ten digits and its edits, after one more edit."""
+    return f"""CASE WHEN {when} THEN lpad(CAST(CAST({prefix}[1:10] AS BIGINT) + {cost} AS VARCHAR), 10, '0')
+                 || {prefix}[11:] || '{edit}' END"""
+
+
+def _audit_steps() -> tuple[str, str]:
+    """SQL lists of the four states' best prefixes (nothing, system, user, assistant) after a turn, then after inserts."""
+    n, s, u, a = (f"p[{i}]" for i in range(1, 5))
+    live = "NOT must"
+    kept = lambda role: f"{live} AND ini = '{role}'"
+    after_u = [_edit(x, "2 + cut", "R", live) for x in (n, s, a)] + [_edit(x, "cut", "K", kept("u")) for x in (n, s, a)]
+    turn = [
+        _edit(n, "3", "D"),
+        f"least({_edit(s, '3', 'D')}, {_edit(n, 'cut', 'K', kept('s'))})",
+        f"least({_edit(u, '3', 'D')}, {', '.join(after_u)})",
+        f"least({_edit(a, '3', 'D')}, {_edit(u, '2 + cut', 'R', live)}, {_edit(u, 'cut', 'K', kept('a'))})",
+    ]
+    to_u = f"least({u}, {', '.join(_edit(x, '2', 'I') for x in (n, s, a))})"
+    inserted = [n, s, to_u, f"least({a}, {_edit(to_u, '2', 'I')})"]
+    return f"[{', '.join(turn)}]", f"[{', '.join(inserted)}]"
+
+
+_TURN, _INSERTED = _audit_steps()
+
+OP11 = rf"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+h AS (SELECT *, {_crc32("k")} % 20 AS h FROM c),
+d AS (SELECT conv_id, turn, CASE h WHEN 4 THEN 'user' ELSE role END AS role,
+             CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(range(CASE h WHEN 3 THEN 2 ELSE 1 END)) AS copy
+      FROM h WHERE h <> 0),
+f AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+             row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+             regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS tail FROM d),
+g AS (SELECT conv_id, turn, role, text, i, role[1:1] AS ini, tail = '' AS blank, tail <> '' AND nth > 1 AS dup,
+             tail <> '' AND nth = 1 AND tail NOT IN ('.', '!', '?') AS trunc,
+             lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1:1] AS pair FROM f),
+sums AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                count(*) FILTER (blank) AS blank, count(*) FILTER (dup) AS duplicate,
+                count(*) FILTER (trunc) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal,
+                max(i) AS n FROM g GROUP BY conv_id),
+walk AS (
+  SELECT conv_id, n, CAST(0 AS BIGINT) AS i, p FROM (SELECT conv_id, n, {_INSERTED} AS p
+    FROM (SELECT conv_id, n, ['0000000000', NULL, NULL, NULL] AS p FROM sums))
+  UNION ALL
+  SELECT conv_id, n, i, {_INSERTED} AS p
+  FROM (SELECT w.conv_id, w.n, w.i + 1 AS i, {_TURN} AS p
+        FROM (SELECT walk.*, ini, blank OR dup AS must, CAST(trunc AS BIGINT) AS cut
+              FROM walk JOIN g ON walk.conv_id IS NOT DISTINCT FROM g.conv_id AND g.i = walk.i + 1) w)),
+done AS (SELECT conv_id, CAST(least(p[1], p[4])[1:10] AS BIGINT) AS cost, least(p[1], p[4])[11:] AS audit
+         FROM walk WHERE i = n),
+e AS (SELECT conv_id, k, audit[k] AS edit, length(replace(audit[1:k], 'I', '')) AS i,
+             length(replace(audit[1:k], 'D', '')) AS place
+      FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS k FROM done)),
+r AS (SELECT e.conv_id, e.k, place, edit, text, role,
+             max(CASE WHEN place = 1 AND edit = 'K' AND ini = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY e.conv_id) AS led
+      FROM e LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM e.conv_id AND g.i = e.i AND e.edit <> 'I' WHERE edit <> 'D'),
+said AS (SELECT conv_id, string_agg(CASE edit WHEN 'K' THEN role WHEN 'I' THEN own ELSE own END || ':'
+                                    || CASE edit WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY k) AS said
+         FROM (SELECT *, CASE WHEN (place - led) % 2 = 1 THEN 'user' ELSE 'assistant' END AS own FROM r)
+         GROUP BY conv_id)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(said, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN sums ON sums.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN said ON said.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+OP12 = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, strlen(coalesce(text, '')) + 1 AS size,
+         md5(coalesce(text, ''))[1:16] AS key, md5(coalesce(CAST(doc_id AS VARCHAR), ''))[1:16] AS tie FROM documents),
+o AS (SELECT *, row_number() OVER (ORDER BY key, tie) - 1 AS nth,
+             CAST(sum(size) OVER (ORDER BY key, tie ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto,
+             CAST(sum(size) OVER () AS BIGINT) AS total FROM d),
+g AS (SELECT key, min(upto - size) AS g_start, max(upto) AS g_end, min(nth) AS g_first, max(nth) AS g_last FROM o GROUP BY key),
+b AS (SELECT s, g.*, o.nth, o.upto - o.size AS start, o.upto, total,
+             100 * 8 * (g_end - g_start) <= total AS whole
+      FROM range(1, 8) t(s), o JOIN g USING (key) WHERE 8 * (upto - size) < s * total AND s * total <= 8 * upto),
+c AS (SELECT s, CASE WHEN whole AND 16 * CAST(s AS BIGINT) * total < 64 * (g_start + g_end) THEN g_first
+                     WHEN whole THEN g_last + 1
+                     WHEN 16 * CAST(s AS BIGINT) * total < 64 * (start + upto) THEN nth ELSE nth + 1 END AS cut_at FROM b),
+e AS (SELECT list(cut_at ORDER BY s) AS ats FROM (SELECT s, max(cut_at) OVER (ORDER BY s) AS cut_at FROM c)),
+p AS (SELECT o.*, len(list_filter(ats, lambda x: x <= nth)) AS shard FROM o, e)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST({_crc32("text")} AS BIGINT) AS text_crc32, 'bytes' AS law,
+       CAST(shard AS INTEGER) AS shard,
+       CAST(row_number() OVER (PARTITION BY shard ORDER BY nth) - 1 AS BIGINT) AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard
+FROM p
+"""
+
+OP13 = r"""
+WITH p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)),
+o AS (SELECT lang, k, array_to_string(w[s:s + k - 1], ' ') AS g
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM p, range(1, 4) t(k) WHERE len(w) >= k)),
+f AS MATERIALIZED (SELECT lang, k, g, count(*) AS f FROM o GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, g, f AS a, string_split(g, ' ') AS w, unnest(range(1, k)) AS cut FROM f WHERE k > 1 AND f >= 10),
+h AS (SELECT *, array_to_string(w[1:cut], ' ') AS head, array_to_string(w[cut + 1:], ' ') AS tail FROM c),
+s AS MATERIALIZED (
+  SELECT h.*, x.f AS l, y.f AS r, (CAST(1000000 AS HUGEINT) * a * a) // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM h JOIN f x ON x.lang = h.lang AND x.g = h.head JOIN f y ON y.lang = h.lang AND y.g = h.tail
+  QUALIFY row_number() OVER (PARTITION BY h.lang, h.g ORDER BY score, cut) = 1),
+inside AS (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part FROM s WHERE k = 3),
+most AS (SELECT lang, part, max(a) AS most FROM inside GROUP BY lang, part),
+kept AS (SELECT s.* FROM s LEFT JOIN most m ON m.lang = s.lang AND m.part = s.g WHERE 100 * coalesce(most, 0) < 50 * a)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM (
+  SELECT kept.lang, CAST(row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, g) AS BIGINT) AS rank,
+         g AS phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM kept JOIN n ON n.lang = kept.lang)
+WHERE rank <= 2000
+"""
+
+SQL = {
+    "op6_chat_format": OP6,
+    "op1_decontaminate": OP1,
+    "op3_mix_sources": OP3,
+    "op10_ngram_jaccard": OP10,
+    "op11_conversation_repair": OP11,
+    "op12_sampled_splitters": OP12,
+    "op13_collocations": OP13,
+}

@@ -133,7 +133,7 @@ def rolling(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarr
     n = len(hashes)
     counts = np.diff(first)
     whole = np.zeros(n, dtype=np.uint64)
-    for k in range(width):
+    for k in range(min(width, n)):
         part = hashes[k:] * np.uint64(pow(_BASE, k + 1, 1 << 64))
         whole[: n - k] += part
     text = np.repeat(np.arange(len(counts)), counts)
