@@ -31,7 +31,7 @@ LEAST = 10
 ABSORB = 50
 TOP = 2000
 #: Bytes of text counted together before they leave the task.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 #: Bits for each frequent phrase, and most bits of all: 64 MB, sent to every task.
 BITS_EACH = 16
 MOST_BITS = 1 << 29
