@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -137,8 +138,12 @@ class _Chunk:
         return places, np.bincount(code, minlength=len(places[0]))
 
 
-def _counter(length: int, longest: int, bits: list[bytes]):
-    """Partial counts of the phrases of a length; with one word also the number of all words, under null."""
+def _counter(length: int, bits: list[bytes]):
+    """Partial counts of the phrases of a length, as ``key, f``; with one word also the number of all words.
+
+    A key is the words, joined by blanks, a tab and the language; the number of all words has none. One column is less
+    to shuffle than several, and no word holds a blank or a tab.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = [_Bits(raw) for raw in bits]
@@ -153,14 +158,14 @@ def _counter(length: int, longest: int, bits: list[bytes]):
                     chunk = _Chunk(raws, salt)
                     places, counts = chunk.counts(length, known)
                     columns = [chunk.words.take(pa.array(place)) for place in places]
+                    key = pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.large_binary())) if length > 1 else columns[0]
                     if length == 1:
-                        columns = [pa.concat_arrays([columns[0], pa.array([None], pa.large_binary())])]
+                        key = pa.concat_arrays([key, pa.array([b""], pa.large_binary())])
                         counts = np.append(counts, len(chunk.id))
-                    columns = [column.cast(pa.binary()) for column in columns]
-                    rest = [pa.nulls(len(counts), pa.binary())] * (longest - length)
-                    name = pa.array([lang]).take(pa.array(np.zeros(len(counts), dtype=np.int32)))
+                    mark = pa.scalar(b"\t" + lang.encode("utf-8", "surrogatepass"), pa.large_binary())
+                    key = pc.binary_join_element_wise(key, mark, pa.scalar(b"", pa.large_binary()))
                     yield pa.RecordBatch.from_arrays(
-                        [name, *columns, *rest, pa.array(counts.astype(np.int64))], ["lang", *_names(longest), "f"]
+                        [key.view(pa.large_string()).cast(pa.string()), pa.array(counts.astype(np.int64))], ["key", "f"]
                     )
 
     return count
@@ -174,7 +179,7 @@ def _bits_of(frequent: DataFrame, length: int) -> bytes:
 
     def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [column.cast(pa.large_binary()) for column in batch.columns]
+            columns = [column.cast(pa.binary()).cast(pa.large_binary()) for column in batch.columns]
             salt = _word_hashes(columns[0])
             hashes = _joined(_word_hashes(columns[1]), salt)
             for column in columns[2:]:
@@ -200,7 +205,7 @@ def _bits_of(frequent: DataFrame, length: int) -> bytes:
         return pa.table({"block": table.column("block")[:1], "bits": pa.array([packed])})
 
     found = (
-        frequent.select(F.col("lang").cast("binary").alias("lang"), *_names(length))
+        frequent.select("lang", *_names(length))
         .mapInArrow(positions, "block bigint, at array<int>")
         .groupBy("block")
         .applyInArrow(pack, "block bigint, bits binary")
@@ -214,17 +219,21 @@ def _bits_of(frequent: DataFrame, length: int) -> bytes:
 def counts(docs: DataFrame, text: str, lang: str, longest: int = LONGEST, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """Counts ``lang, w1 …, f`` of all phrases that occur ``least`` times, and ``lang, n`` of all words.
 
-    Words are binary, absent ones null.
+    Absent words are null.
     """
     names = _names(longest)
     read = docs.select(F.coalesce(F.col(f"`{lang}`"), F.lit("und")).alias("lang"), F.col(f"`{text}`").alias("text"))
-    schema = f"lang string, {', '.join(f'{name} binary' for name in names)}, f bigint"
+    said = F.substring_index("key", "\t", 1)
     levels, bits = [], []
     for length in range(1, longest + 1):
-        partial = read.mapInArrow(_counter(length, longest, bits), schema)
-        summed = partial.groupBy("lang", *names[:length]).agg(F.sum("f").alias("f"))
-        frequent = cut(summed.where((F.col("f") >= least) | F.col("w1").isNull()))
-        levels.append(frequent.where("w1 IS NOT NULL").select("lang", *names[:length], "f"))
+        summed = read.mapInArrow(_counter(length, bits), "key string, f bigint").groupBy("key").agg(F.sum("f").alias("f"))
+        frequent = summed.where((F.col("f") >= least) | (said == "")).select(
+            F.expr("substring(key, char_length(substring_index(key, '\t', 1)) + 2)").alias("lang"),
+            F.when(said != "", F.split(said, " ")).alias("words"),
+            "f",
+        )
+        frequent = cut(frequent.select("lang", *[F.get("words", F.lit(k)).alias(name) for k, name in enumerate(names[:length])], "f"))
+        levels.append(frequent.where("w1 IS NOT NULL"))
         if length == 1:
             totals = frequent.where("w1 IS NULL").select("lang", F.col("f").alias("n"))
         if length < longest:
@@ -267,15 +276,15 @@ def _beginnings(stream: DataFrame, keys: list[str], out: list[str]) -> DataFrame
     # what precedes each range: the counts of its first phrase's beginnings, at most one row per range and length
     first = laid.groupBy(F.spark_partition_id().alias("nth")).agg(F.min(F.struct(*order)).alias("first"))
     firsts = [row.first for row in first.collect()]
-    wanted = {tuple(bytes(v) if isinstance(v, bytearray) else v for v in row) for row in firsts}
+    wanted = {tuple(row) for row in firsts}
     begun = [
         (row[0], *row[1 : k + 1], *[None] * (len(keys) - k)) for row in wanted for k in range(1, len(out) + 1) if row[k] is not None
     ]
-    kinds = ", ".join(f"{key} binary" for key in keys)
+    kinds = ", ".join(f"{key} string" for key in keys)
     asked = laid.sparkSession.createDataFrame(sorted(set(begun), key=repr), f"lang string, {kinds}").alias("asked")
     same = [F.col(f"asked.{name}").eqNullSafe(laid[name]) for name in order]
     found = laid.join(F.broadcast(asked), same).select(*[laid[name] for name in order], "f").collect()
-    known = {tuple(bytes(v) if isinstance(v, bytearray) else v for v in row[:-1]): row.f for row in found}
+    known = {tuple(row[:-1]): row.f for row in found}
     heads = {
         row: [known.get((row[0], *row[1 : k + 1], *[None] * (len(keys) - k)), 0) for k in range(1, len(out) + 1)]
         for row in wanted
@@ -352,8 +361,8 @@ def collocations(
         kept = scored.join(absorbed.hint("merge"), ["lang", "key"], "left_anti")
     return kept.join(F.broadcast(totals), "lang").select(
         "lang",
-        F.array_join(F.transform("key", lambda w: w.cast("string")), " ").alias("phrase"),
-        F.transform("key", lambda w: w.cast("string")).alias("words"),
+        F.array_join("key", " ").alias("phrase"),
+        F.col("key").alias("words"),
         F.col("f").alias("a"),
         F.col("best.l").alias("l"),
         F.col("best.r").alias("r"),

@@ -35,6 +35,10 @@ STEPS = ({"s": SYSTEM, "u": USER}, {"u": USER}, {"a": ASSISTANT}, {"u": USER})
 ENOUGH = (NONE, ASSISTANT)
 NAMES = {"u": "user", "a": "assistant"}
 
+#: From any state two inserts and, for a later system turn, one delete stand in for whatever another state can do, so a
+#: prefix that costs more than this above the cheapest is part of no cheapest audit.
+CATCH_UP = 2 * COST["I"] + COST["D"]
+
 #: Undecided nodes at which a walk looks for a common beginning, first after so many.
 FLUSH = 256
 _BASE, _MOD = 1_000_003, (1 << 61) - 1
@@ -151,6 +155,8 @@ class Walk:
                     self._better(table, after, own[0] + COST["K"] + truncated, own[1], "K", row)
         self.best = table
         self._insert()
+        least = min(own[0] for own in table if own is not None)
+        self.best = [own if own is not None and own[0] <= least + CATCH_UP else None for own in table]
 
     def settled(self) -> list[tuple[str, str | None, object]]:
         """Edits that every state's prefix begins with: ``(edit, role after it or None, row)``; they leave the tree."""
