@@ -1,6 +1,14 @@
 """Runnable queries over the given tables, each with the SQL that states its result."""
 
-from wattline.plans import feed_plans, join_plans, operator_plans, stream_plans, table_plans  # noqa: F401
+from wattline.plans import (  # noqa: F401
+    feed_plans,
+    join_plans,
+    operator_plans,
+    stream_plans,
+    table_plans,
+    topology_plans,
+    window_plans,
+)
 from wattline.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

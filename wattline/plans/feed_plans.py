@@ -236,16 +236,16 @@ def metering_point_json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.metering_point_from_files(json_files(spark, path, C.METERING_POINT.message))
 
 
-@query(
-    "metering_point_devices",
-    f"""
+METERING_POINT_DEVICE_ROWS = f"""
     select {_CHANGED} as persisttime, 'M' || o_custkey as meteringpoint, 0 as position, 'D' || o_custkey as device,
            o_orderdate as assigntime, case when o_orderstatus = 'F' then o_orderdate + INTERVAL 30 DAY end as removetime
     from orders where {_KEPT}
     union all
     select {_CHANGED}, 'M' || o_custkey, 1, 'N' || o_orderkey, o_orderdate + INTERVAL 30 DAY, null
-    from orders where o_orderstatus = 'F' and {_KEPT}""",
-)
+    from orders where o_orderstatus = 'F' and {_KEPT}"""
+
+
+@query("metering_point_devices", METERING_POINT_DEVICE_ROWS)
 def metering_point_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.metering_point_devices(wire.metering_point_messages(spark, sf_dir))
 

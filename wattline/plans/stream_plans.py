@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,8 @@ _EVENTS_WITH_ID = EVENT_ROWS.replace("from events", ", event_id from events")
 TOPIC_PARTITIONS = 16
 FILE_MESSAGES = 1_000_000
 FILES_PER_BATCH = 4
+#: Days of a slice of a topic in the order of time.
+SLICE_DAYS = 8
 #: Partitions of join state, which the checkpoint keeps.
 STATE_PARTITIONS = 8
 
@@ -38,12 +42,22 @@ def _topic(spark: SparkSession, messages: DataFrame, path: str) -> DataFrame:
     return message_files(spark, path, stream=True, max_files_per_trigger=FILES_PER_BATCH)
 
 
-def _timed_topic(spark: SparkSession, messages: DataFrame, path: str, days: range) -> DataFrame:
-    """A file topic whose files come in the order of their messages' time, one slice of January after the other."""
-    for first, last in zip(days, [*days[1:], 400]):
-        age = F.datediff("timestamp", F.lit("2024-01-01").cast("date"))
-        part = messages.where((age >= first) & (age < last)).repartition(FILES_PER_BATCH, F.xxhash64("offset"))
+def timed_topic(spark: SparkSession, messages: DataFrame, path: str, last: Sequence[DataFrame] = ()) -> DataFrame:
+    """A file topic whose files come in the order of their messages' time, in slices of ``SLICE_DAYS``.
+
+    Slices follow from the messages' own times, so none is wider and none is left out; messages without a time come
+    first. ``last`` are messages that come after all others, each frame as a batch of its own.
+    """
+    number = F.floor(F.datediff("timestamp", F.lit("1970-01-01").cast("date")) / SLICE_DAYS)
+    staged = messages.withColumn("_slice", F.coalesce(number, F.lit(-(2**31)).cast("bigint")))
+    staged = staged.repartition(TOPIC_PARTITIONS, F.xxhash64("offset"))
+    staged.write.partitionBy("_slice").parquet(f"{path}-staged")
+    slices = spark.read.parquet(f"{path}-staged")
+    for row in slices.select("_slice").distinct().orderBy("_slice").collect():
+        part = slices.where(F.col("_slice") == row[0]).drop("_slice").repartition(FILES_PER_BATCH, F.xxhash64("offset"))
         part.write.mode("append").option("maxRecordsPerFile", FILE_MESSAGES).parquet(path)
+    for part in last:
+        part.coalesce(1).write.mode("append").parquet(path)
     return message_files(spark, path, stream=True, max_files_per_trigger=FILES_PER_BATCH)
 
 
@@ -250,7 +264,7 @@ def join_inner_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _joined_to_files(spark, run, conform(joined, C.DEVICE_TELEMETRY))
 
 
-_WITHIN, _LATENESS = "10 days", "8 days"
+_WITHIN, _LATENESS = "10 days", f"{SLICE_DAYS} days"
 
 
 def bounded_join(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
@@ -260,9 +274,8 @@ def bounded_join(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
     it is late, and state that no later reading can match is dropped on the way.
     """
     own = stateful_session(spark, STATE_PARTITIONS)
-    days = range(0, 32, 8)
-    devices = _timed_topic(own, wire.device_messages(spark, sf_dir, versions=VERSIONS), f"{run}/devices", days)
-    telemetry = _timed_topic(own, wire.telemetry_messages(spark, sf_dir), f"{run}/telemetry", days)
+    devices = timed_topic(own, wire.device_messages(spark, sf_dir, versions=VERSIONS), f"{run}/devices")
+    telemetry = timed_topic(own, wire.telemetry_messages(spark, sf_dir), f"{run}/telemetry")
     joined = joins.join_versions_within(
         feeds.device_for_join(devices),
         feeds.telemetry_for_join(telemetry),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wattline import contracts as C
 from wattline import feeds
-from wattline.operators import audit, keyed
+from wattline.operators import audit, keyed, layout
 from wattline.operators.conform import conform
 from wattline.operators.decode import PAYLOAD, split_errors
 from wattline.plans import wire
@@ -157,6 +157,29 @@ def slice_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return day.select(*C.EVENT.table.columns)
 
 
+@query(
+    "slice_by_device",
+    f"""select * from ({EVENT_ROWS}) where "current_date" = date '2024-01-15' and device = 'D8'""",
+)
+def slice_by_device(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events stored by date and clustered by device, then one device's rows of one date: other row groups are skipped."""
+    path = run_dir(spark, "events-by-device")
+    rows = feeds.events(wire.event_messages(spark, sf_dir))
+    layout.write_clustered(rows, path, ["current_date"], ["device"], ["receivetime"])
+    one = keyed.slice_by(spark.read.parquet(path), current_date=datetime.date(2024, 1, 15), device="D8")
+    return one.select(*C.EVENT.table.columns)
+
+
+@query("device_history", f"""select * from ({EVENT_ROWS}) where device = 'D8'""")
+def device_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same store read across all dates, newest first: a few row groups of every date."""
+    path = run_dir(spark, "events-by-device")
+    rows = feeds.events(wire.event_messages(spark, sf_dir))
+    layout.write_clustered(rows, path, ["current_date"], ["device"], ["receivetime"])
+    one = keyed.slice_by(spark.read.parquet(path), device="D8").select(*C.EVENT.table.columns)
+    return keyed.newest_first(one, ["device"], ["receivetime"])
+
+
 _AUDITED = {
     "events": (EVENT_ROWS, '"current_date", receivetime'),
     "measurement": (MEASUREMENT_ROWS, "receive_date, receivetime"),

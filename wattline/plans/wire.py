@@ -249,6 +249,37 @@ def topology_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lineitem_envelope(rows, value, C.TOPOLOGY.topic, coded("O", "l_orderkey"))
 
 
+def tree_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topology of several levels: a link per message, four made of each row.
+
+    Parts are a binary tree, suppliers rings of up to seven, ``H`` lies above all orders and orders above their parts.
+    """
+    rows = source(spark, sf_dir, "lineitem")
+
+    def link(parent: str, child: str) -> Column:
+        return F.struct(F.expr(parent).alias("parent"), F.expr(child).alias("child"))
+
+    links = F.array(
+        link("concat('P', l_partkey div 2)", "concat('P', l_partkey)"),
+        link("concat('S', l_suppkey)", "concat('S', l_suppkey div 7 * 7 + (l_suppkey + 1) % 7)"),
+        link("'H'", "concat('O', l_orderkey)"),
+        link("concat('O', l_orderkey)", "concat('P', l_partkey)"),
+    )
+    each = rows.select("*", F.inline(links))
+    children = F.array(
+        obj({"childDevice": F.col("child"), "addTime": F.col("l_shipdate"), "dataSource": F.lit("tree")})
+    )
+    value = json(
+        {
+            "device": F.col("parent"),
+            "receiveTime": F.col("l_shipdate"),
+            "persistTime": after("l_shipdate", "1 second"),
+            "children": children,
+        }
+    )
+    return _lineitem_envelope(each, value, C.TOPOLOGY.topic, F.col("parent"))
+
+
 def derived_measurement_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = source(spark, sf_dir, "lineitem")
     points = [

@@ -41,13 +41,15 @@ def console(name: str, rows: DataFrame) -> Job:
     return Job(name, rows, format="console", options={"truncate": "false"})
 
 
-def stateful_session(spark: SparkSession, partitions: int) -> SparkSession:
-    """A session with the settings that a stream-stream join fixes for good at its first start.
+def stateful_session(spark: SparkSession, partitions: int, *, idle_batches: bool = False) -> SparkSession:
+    """A session with the settings that a stream with state fixes for good at its first start.
 
     State is split into ``partitions``, which the checkpoint keeps for its life, so choose it for the largest cluster
-    the query will have. It is kept in RocksDB outside the heap and checkpointed as changes; its rows are not counted, which would cost a read per write. Expired state of an
-    inner join is dropped with the next data, not by a batch of its own. The session's time zone is UTC; open the
-    sources and build the join on it.
+    the query will have. It is kept in RocksDB outside the heap and checkpointed as
+    changes; its rows are not counted, which would cost a read per write. Expired state is dropped with the next data:
+    right for an inner join. ``idle_batches`` runs a batch for it also when no data comes, for what writes rows when
+    state expires: windows, timers, outer joins. The session's time zone is UTC; open the sources and build the query
+    on it.
     """
     own = spark.newSession()
     for key, value in {
@@ -56,7 +58,7 @@ def stateful_session(spark: SparkSession, partitions: int) -> SparkSession:
         "spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
-        "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+        "spark.sql.streaming.noDataMicroBatches.enabled": str(idle_batches).lower(),
     }.items():
         own.conf.set(key, value)
     return own

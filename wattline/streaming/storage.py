@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,6 +32,25 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/wattline/{name}-{uuid.uuid4().hex}"
 
 
+def cut(frame: DataFrame) -> DataFrame:
+    """The frame checkpointed in the shared folder, so that an iteration's lineage does not grow."""
+    context = frame.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(frame.sparkSession))
+    return frame.checkpoint()
+
+
+def row_group_options(size: int) -> dict[str, str]:
+    """Parquet writer options for row groups of about so many bytes, their size checked often enough to hold."""
+    return {
+        "parquet.block.size": str(size),
+        "parquet.page.size": str(max(1024, min(1 << 20, size // 8))),
+        "parquet.page.size.row.check.min": "100",
+        "parquet.block.size.row.check.min": "100",
+        "parquet.block.size.row.check.max": "10000",
+    }
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, where = _hadoop(spark, path)
     return fs.exists(where)
