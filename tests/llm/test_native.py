@@ -88,31 +88,59 @@ def test_spans_are_cut_out(spark, docs):
     assert sorted(((r.doc_id, r.text) for r in cut.collect())) == [(0, "--One, end."), (1, "nothing"), (2, None), (3, "")]
 
 
+def deviations(weights, blocks):
+    """While all sources last: the greatest deviation of any source, at any slot, from its target weight, in blocks."""
+    slots = mixing.schedule(mixing.parts_of(weights), blocks)
+    assert sorted(x for one in slots for x in one) == list(range(sum(blocks)))
+    total, most, last = sum(weights), 0.0, min(one[-1] for one in slots if one)
+    for weight, one in zip(weights, slots):
+        done = 0
+        for slot in [*[x for x in one if x <= last], last + 1]:
+            most = max(most, abs(done - slot * weight / total), abs(done + (slot <= last) - (slot + (slot <= last)) * weight / total))
+            done += 1
+    return most
+
+
 def test_pfair_deviation_is_below_one_block():
     rng = random.Random(1)
     for _ in range(40):
-        share = mixing.shares([rng.random() ** 3 for _ in range(rng.randint(1, 15))], 300)
-        slots = mixing.one_period(share)
-        assert sum(share) == 300 and sorted(x for one in slots for x in one) == list(range(300))
-        for a, one in zip(share, slots):
-            assert all(abs(sum(x < t for x in one) - t * a / 300) < 1 for t in range(301))
+        weights = [rng.random() ** 3 for _ in range(rng.randint(1, 15))]
+        assert deviations(weights, [rng.randint(1, 80) for _ in weights]) < 1
+    assert deviations([0.9995, 0.0005], [6000, 3]) < 1
+    thousand = [0.5002] + [0.4998 / 999] * 999
+    assert deviations(thousand, [5002] + [6] * 999) < 1
+    assert mixing.parts_of([0.9995, 0.0005])[1] / mixing.PARTS == pytest.approx(0.0005, abs=1e-12)
+
+
+def test_when_a_source_runs_out_the_others_go_on_in_proportion():
+    slots = mixing.schedule(mixing.parts_of([0.0, 3, 1, 8]), [4, 30, 20, 2])
+    assert slots[0] == list(range(52, 56))
+    begun = slots[3][-1] + 1
+    for slot in range(begun, 40):
+        assert abs(sum(begun <= x < slot for x in slots[1]) - 0.75 * (slot - begun)) < 1
 
 
 def test_mix_keeps_every_row_and_follows_the_weights(spark, docs, monkeypatch):
     monkeypatch.setattr(mixing, "RANGE_ROWS", 7)
     rows = [(i, f"t{i}", "en", "a" if i % 3 else "b") for i in range(300)] + [(7, "x", "en", None), (None, None, "en", "a")]
     frame = docs(*rows, *rows[:5]).withColumn("mix_pos", F.lit("clash"))
-    mixed = mixing.mix(frame, {"a": 3.0, "b": 1.0}, block_rows=4, period=20).orderBy("mix_slot", "mix_pos").collect()
+    mixed = mixing.mix(frame, {"a": 3.0, "b": 1.0}, block_rows=4).orderBy("mix_slot", "mix_pos").collect()
     assert Counter((r.doc_id, r.text, r.source) for r in mixed) == Counter((r[0], r[1], r[3]) for r in [*rows, *rows[:5]])
     assert len({(r.mix_slot, r.mix_pos) for r in mixed}) == len(mixed)
+    assert {r.mix_slot for r in mixed} == set(range(max(r.mix_slot for r in mixed) + 1))
     shares = {r.source: r.mix_share for r in mixed}
-    assert shares[None] == 1 / 20 and shares["a"] > 0.6
-    # until the first source runs out, blocks of each source follow its share
-    last = {s: max(r.mix_slot for r in mixed if r.source == s) for s in shares}
-    for t in range(1, min(last.values())):
-        for s, share in shares.items():
+    assert shares["a"] == pytest.approx(0.75) and shares[None] < 1e-9 and mixed[-1].source is None
+    last = min(max(r.mix_slot for r in mixed if r.source == s) for s in "ab")
+    for t in range(1, last):
+        for s in "ab":
             done = len({r.mix_block for r in mixed if r.source == s and r.mix_slot < t})
-            assert abs(done - share * t) < 1
+            assert abs(done - shares[s] * t) < 1
+
+
+def test_blocks_grow_with_the_corpus(docs, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_BLOCKS", 5)
+    rows = mixing.mix(docs(*[(i, "t", "en", "ab"[i % 2]) for i in range(200)])).collect()
+    assert len({r.mix_slot for r in rows}) <= 7 and len(rows) == 200
 
 
 def test_numbering_is_that_of_one_window(spark, docs, monkeypatch):

@@ -35,6 +35,16 @@ def bind(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def whole(docs: DataFrame, *but: str) -> Column:
+    """All columns of the rows but the named as one struct ``row``, so that no name of theirs meets an operator's own."""
+    return F.struct(*[F.col(f"`{name}`") for name in docs.columns if name not in but]).alias("row")
+
+
+def column(name: str) -> Column:
+    """The column of just that name, dots and all."""
+    return F.col(f"`{name}`")
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether labels of this document are kept for measuring: crc32 of the id as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import INSIDE, OUTSIDE, bind, sized_broadcast, words
+from wattline.llm.common import INSIDE, OUTSIDE, bind, column, cut, sized_broadcast, whole, words
 
 #: Words in a window; a shorter item is one window of its own length.
 NGRAM = 13
@@ -133,9 +133,11 @@ def contamination(
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents that are not contaminated, all columns and repeated rows kept."""
     found = contamination(docs, benchmark, doc_id, text, **options).where("contaminated")
-    bad = found.select(F.col("doc_id").alias("_bad_id"), F.col("digest").alias("_bad_digest")).distinct()
-    same = docs[doc_id].eqNullSafe(F.col("_bad_id")) & (F.xxhash64(docs[text]) == F.col("_bad_digest"))
-    return docs.join(bad, same, "left_anti")
+    bad = cut(found.select(F.col("doc_id").alias("bad_id"), F.col("digest").alias("bad_digest")).distinct())
+    rows = docs.select(whole(docs), column(doc_id).alias("id"), F.xxhash64(column(text)).alias("digest"))
+    same = F.col("id").eqNullSafe(F.col("bad_id")) & (F.col("digest") == F.col("bad_digest"))
+    # the few that go are sent to the documents, so that no text is shuffled
+    return rows.join(sized_broadcast(bad, bad.count(), BROADCAST_BOUND), same, "left_anti").select("row.*")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -145,20 +147,24 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     """
     found = contamination(docs, benchmark, doc_id, text, **options).where("n_hit > 0")
     spans = found.select(
-        F.col("doc_id").alias("_hit_id"), F.col("digest").alias("_hit_digest"), F.col("spans").alias("_hit_spans")
-    ).dropDuplicates(["_hit_id", "_hit_digest"])
-    same = docs[doc_id].eqNullSafe(F.col("_hit_id")) & (F.xxhash64(docs[text]) == F.col("_hit_digest"))
-    pieces = F.regexp_extract_all(F.col(text), F.lit(f"({INSIDE}+{OUTSIDE}*)"), F.lit(1))
-    lead = F.regexp_extract(F.col(text), f"^({OUTSIDE}*)", 1)
+        F.col("doc_id").alias("hit_id"), F.col("digest").alias("hit_digest"), F.col("spans").alias("hit_spans")
+    ).dropDuplicates(["hit_id", "hit_digest"])
+    rows = docs.select(
+        whole(docs), column(doc_id).alias("id"), column(text).alias("text"), F.xxhash64(column(text)).alias("digest")
+    )
+    same = F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("digest") == F.col("hit_digest"))
+    pieces = F.regexp_extract_all(F.col("text"), F.lit(f"({INSIDE}+{OUTSIDE}*)"), F.lit(1))
+    lead = F.regexp_extract(F.col("text"), f"^({OUTSIDE}*)", 1)
     covered = F.array_distinct(
         F.flatten(
-            F.transform("_hit_spans", lambda s: F.sequence(s["start"] - 1, s["start"] + s["length"] - 2))
+            F.transform("hit_spans", lambda s: F.sequence(s["start"] - 1, s["start"] + s["length"] - 2))
         )
     )
     kept = bind(
         F.map_from_arrays(covered, F.transform(covered, lambda i: F.lit(True))),
         lambda hit: F.filter(pieces, lambda piece, i: ~F.map_contains_key(hit, i)),
     )
-    cut_text = F.when(F.col("_hit_spans").isNull(), F.col(text)).otherwise(F.concat(lead, F.array_join(kept, "")))
-    columns = [cut_text.alias(text) if name == text else docs[f"`{name}`"] for name in docs.columns]
-    return docs.join(spans, same, "left").select(*columns)
+    cut_text = F.when(F.col("hit_spans").isNull(), F.col("text")).otherwise(F.concat(lead, F.array_join(kept, "")))
+    return rows.join(spans, same, "left").select(
+        *[cut_text.alias(name) if name == text else F.col(f"row.`{name}`") for name in docs.columns]
+    )

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from wattline.llm.common import cut, sized_broadcast
+from wattline.llm.common import column, cut, sized_broadcast, whole
 
 #: A subtree is the site's if it stands on at least so many different pages of its host, and on this share of them.
 MIN_PAGES = 5
@@ -332,13 +332,13 @@ def extract(
     Null and empty pages have an empty text. A null URL is a host of its own. Repeated rows, other columns and pages
     of any length are kept. Unclosed or cut markup is read as far as it goes.
     """
-    kept = [name for name in pages.columns if name != "main_text"]
     marked = pages.select(
-        *[f"`{name}`" for name in kept],
-        host_of(F.col(url)).alias("_host"),
-        F.xxhash64(F.coalesce(F.col(page), F.lit(""))).alias("_digest"),
+        whole(pages, "main_text"),
+        column(page).alias("html"),
+        host_of(column(url)).alias("_host"),
+        F.xxhash64(F.coalesce(column(page), F.lit(""))).alias("_digest"),
     )
-    rows = marked.select(F.col("_host").alias("host"), F.col(page).alias("html"), F.col("_digest").alias("digest"))
+    rows = marked.select(F.col("_host").alias("host"), "html", F.col("_digest").alias("digest"))
     seen = cut(rows.mapInPandas(_subtree_batches, "host string, digest bigint, main bigint, keys array<bigint>"))
     templates = site_templates(seen, min_pages, min_share).select(F.col("host").alias("_site"), F.col("key").alias("_key"))
     own = seen.select("host", "digest", F.explode("keys").alias("key")).distinct()
@@ -350,6 +350,6 @@ def extract(
     )
     size = removed.agg(F.coalesce(F.sum(F.size("keys") + 1), F.lit(0))).first()[0]
     same = F.col("_host").eqNullSafe(F.col("_r_host")) & (F.col("_digest") == F.col("_r_digest"))
-    text = pandas_udf(_texts, "string")(F.struct(F.col(page).alias("html"), F.col("keys").alias("keys")))
+    text = pandas_udf(_texts, "string")(F.struct("html", "keys"))
     removed = sized_broadcast(removed, size, BROADCAST_BOUND)
-    return marked.join(removed, same, "left").select(*[f"`{name}`" for name in kept], text.alias("main_text"))
+    return marked.join(removed, same, "left").select("row.*", text.alias("main_text"))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattline.llm import textbytes
-from wattline.llm.common import components, cut, sized_broadcast
+from wattline.llm.common import column, components, cut, sized_broadcast, whole
 
 #: Words in a shingle, least similarity, wanted recall of a pair of just that similarity, MinHash values affordable.
 SHINGLE = 5
@@ -243,12 +243,12 @@ def near_duplicates(
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One document of each class, all columns kept; rows equal in id and text are one document."""
-    kept = near_duplicates(docs, doc_id, text, **options).where("stays")
-    keys = kept.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    marked = docs.withColumn("_own", F.xxhash64(docs[text]))
-    same = marked[doc_id].eqNullSafe(F.col("_id")) & (F.col("_own").eqNullSafe(F.col("_hash")))
-    return (
-        marked.join(keys.distinct(), same)
-        .dropDuplicates(["_id", "_hash"])
-        .select(*[marked[f"`{name}`"] for name in docs.columns])
-    )
+    found = cut(near_duplicates(docs, doc_id, text, **options).select("doc_id", "text_hash", "stays"))
+    listed = found.groupBy("doc_id", "text_hash").agg(F.min("stays").alias("stays"), F.count("*").alias("n"))
+    gone = cut(listed.where("NOT stays OR n > 1").withColumnsRenamed({"doc_id": "their_id", "text_hash": "their_hash"}))
+    rows = docs.select(whole(docs), column(doc_id).alias("id"), F.xxhash64(column(text)).alias("hash"))
+    same = F.col("id").eqNullSafe(F.col("their_id")) & F.col("hash").eqNullSafe(F.col("their_hash"))
+    # those that go, and those that repeat, are sent to the documents, so that no other text is shuffled
+    marked = rows.join(sized_broadcast(gone, gone.count(), BROADCAST_BOUND), same, "left")
+    repeated = marked.where("stays").dropDuplicates(["id", "hash"]).select("row.*")
+    return marked.where("n IS NULL").select("row.*").unionByName(repeated)

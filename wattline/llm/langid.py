@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.llm import textbytes
-from wattline.llm.common import cut, held_out
+from wattline.llm.common import column, cut, held_out, whole
 from wattline.streaming.storage import run_dir
 
 #: Characters of the longest n-gram.
@@ -413,11 +413,12 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     is not accepted if its margin is below that of nearly all calibration texts of the language; ties go to the first
     language in order of name. Repeated rows and other columns are kept.
     """
-    kept = [f"`{name}`" for name in docs.columns if name not in ("lang_pred", "lang_score", "lang_accepted")]
-    out = docs.withColumn("_found", predict(model, F.col(text)))
-    found = F.col("_found")
+    out = docs.select(
+        whole(docs, "lang_pred", "lang_score", "lang_accepted"), predict(model, column(text)).alias("found")
+    )
+    found = F.col("found")
     return out.select(
-        *kept,
+        "row.*",
         found["lang_pred"].alias("lang_pred"),
         found["score"].alias("lang_score"),
         found["accepted"].alias("lang_accepted"),

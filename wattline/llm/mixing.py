@@ -2,11 +2,12 @@
 
 Every source's documents are cut into blocks. Block ``j`` of a source with weight ``w`` is released at slot
 ``floor(j / w)`` and due by slot ``ceil((j + 1) / w)``; earliest deadline first gives each slot to one block, so that
-at any slot each source has had its share of the blocks with a deviation below one block.
+at any slot each source has had its share of the slots with a deviation below one block. When a source has run out, the
+others start a new schedule among themselves, with the same weights.
 
-Weights are whole shares of a period, so the schedule repeats after each period, and the slot of any block follows
-from its number alone: only one period, whose length is a parameter, is laid out when the query is built. Blocks are
-numbered without bringing a source together: a source is split into ranges of the hashed id, small enough for a task.
+The schedule is a list of slots for each source, laid out when the query is built from nothing but the sources' sizes and
+weights. Blocks grow with the corpus, so that it has a bounded number of them. Rows are numbered without bringing a
+source together: a source is split into ranges of the hashed id, small enough for a task; a block then picks up its slot.
 """
 
 from __future__ import annotations
@@ -19,44 +20,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Documents of one source in a block, slots in a period, rows of a source that one task numbers.
+from wattline.llm.common import column, whole
+
+#: Documents of one source in a block of a small corpus, blocks of a large one, rows of a source that one task numbers.
 BLOCK_ROWS = 16
-PERIOD = 1000
+MOST_BLOCKS = 250_000
 RANGE_ROWS = 4_000
-#: A mix has dataset-sized sources; more of them than this is an error, since their list is held by the driver.
-MAX_SOURCES = 10_000
+#: Weights are whole parts of about so many, finer than one block in the longest schedule.
+PARTS = 1 << 40
 #: Without target weights, a source's weight is its size to this power.
 TEMPER = 0.5
 
 OUT = ("mix_share", "mix_block", "mix_slot", "mix_pos")
 
 
-def shares(weights: list[float], period: int) -> list[int]:
-    """Whole shares of the period by largest remainder, at least one each; ties go to the earlier source."""
-    spare, total = period - len(weights), sum(weights)
-    exact = [spare * weight / total for weight in weights]
-    out = [1 + math.floor(x) for x in exact]
-    by_rest = sorted(range(len(out)), key=lambda i: (-(exact[i] - math.floor(exact[i])), i))
-    for i in by_rest[: period - sum(out)]:
-        out[i] += 1
-    return out
-
-
-def one_period(share: list[int]) -> list[list[int]]:
-    """For each source the slots of its blocks in one period, by earliest deadline among the released."""
-    period = sum(share)
-    slots: list[list[int]] = [[] for _ in share]
-    released: list[tuple[int, int]] = []
-    waiting = [(0, i) for i in range(len(share))]
-    for slot in range(period):
-        while waiting and waiting[0][0] <= slot:
-            _, i = heapq.heappop(waiting)
-            heapq.heappush(released, (-(-(len(slots[i]) + 1) * period // share[i]), i))
-        deadline, i = heapq.heappop(released)
-        assert slot < deadline
-        slots[i].append(slot)
-        if len(slots[i]) < share[i]:
-            heapq.heappush(waiting, (len(slots[i]) * period // share[i], i))
+def parts_of(weights: list[float]) -> list[int]:
+    """Weights as whole numbers of a sum near ``PARTS``, 1 at least."""
+    total = sum(weights)
+    return [max(1, math.floor(PARTS * weight / total + 0.5)) for weight in weights]
+
+
+def schedule(parts: list[int], blocks: list[int]) -> list[list[int]]:
+    """For each source the slots of its blocks, by earliest deadline among the released; ties go to the earlier source."""
+    slots: list[list[int]] = [[] for _ in parts]
+    alive = [i for i, n in enumerate(blocks) if n]
+    slot = 0
+    while alive:
+        total, begun, done = sum(parts[i] for i in alive), slot, dict.fromkeys(alive, 0)
+        waiting, released = [(0, i) for i in alive], []
+        ended = None
+        while ended is None:
+            while waiting and waiting[0][0] <= slot - begun:
+                _, i = heapq.heappop(waiting)
+                heapq.heappush(released, (-(-(done[i] + 1) * total // parts[i]), i))
+            _, i = heapq.heappop(released)
+            slots[i].append(slot)
+            slot += 1
+            done[i] += 1
+            if len(slots[i]) == blocks[i]:
+                ended = i
+            else:
+                heapq.heappush(waiting, (done[i] * total // parts[i], i))
+        alive.remove(ended)
     return slots
 
 
@@ -65,67 +70,66 @@ def mix(
     weights: Mapping[str | None, float] | None = None,
     source: str = "source",
     doc_id: str = "doc_id",
-    block_rows: int = BLOCK_ROWS,
-    period: int = PERIOD,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Every row with its place in the mix; sorting by ``mix_slot, mix_pos`` gives the mixed order.
 
-    ``mix_share`` is the source's share of the slots, ``mix_block`` its block's number, ``mix_slot`` the block's slot
-    in the whole mix, ``mix_pos`` the row's place in its block. A source's rows are taken in the order of the md5 of
-    their id, then id, then a hash of all columns; equal rows are interchangeable and all kept. When a source has
-    run out, its later slots stay empty and the others go on in proportion. Null is a source of its own, and so are
-    null ids an id. Sources without a target weight, or with none above 0, get the least share, one slot a period.
-    Columns of ``docs`` named like a result's are replaced. An empty table gives an empty mix.
+    ``mix_share`` is the source's share of the slots while all sources last, ``mix_block`` its block's number,
+    ``mix_slot`` the block's slot in the whole mix, where no slot stays empty, ``mix_pos`` the row's place in its block.
+    A block has ``block_rows`` rows; by default ``BLOCK_ROWS``, and more in a corpus of more than ``MOST_BLOCKS`` such
+    blocks.
+
+    A source's rows are taken in the order of the md5 of their id, then id, then a hash of all columns; equal rows are
+    interchangeable and all kept. Null is a source of its own, and so are null ids an id. Sources without a target
+    weight, or with none above 0, come when the others have run out. Columns of ``docs`` named like a result's are
+    replaced, all others kept, whatever their names. An empty table gives an empty mix. The driver holds the list of
+    sources and slots, of which there are ``MOST_BLOCKS`` and one more for each source at most.
     """
-    sizes = docs.groupBy(F.col(source).alias("s")).agg(F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
-    if len(sizes) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
+    sizes = docs.groupBy(column(source).alias("s")).agg(F.count("*").alias("n")).collect()
     sizes.sort(key=lambda row: (row.s is not None, str(row.s)))
-    period = max(period, 4 * len(sizes))
+    block_rows = block_rows or max(BLOCK_ROWS, math.ceil(sum(row.n for row in sizes) / MOST_BLOCKS))
     if weights is None:
         target = [row.n**TEMPER for row in sizes]
     else:
         target = [max(0.0, float(weights.get(row.s) or 0.0)) for row in sizes]
         target = target if sum(target) else [1.0] * len(sizes)
-    share = shares(target, period) if sizes else []
-    slots = one_period(share) if sizes else []
-    kind = docs.schema[source].dataType.simpleString()
+    parts = parts_of(target) if sizes else []
+    slots = schedule(parts, [-(-row.n // block_rows) for row in sizes])
+    kind = docs.select(column(source)).schema[0].dataType.simpleString()
     plan = docs.sparkSession.createDataFrame(
-        [(row.s, i, -(-row.n // RANGE_ROWS), slots[i]) for i, row in enumerate(sizes)],
-        f"_source {kind}, _nth int, _ranges bigint, _slots array<int>",
+        [(row.s, i, -(-row.n // RANGE_ROWS), parts[i] / sum(parts), slots[i]) for i, row in enumerate(sizes)],
+        f"own {kind}, nth int, ranges bigint, mix_share double, slots array<bigint>",
     )
-    kept = [name for name in docs.columns if name not in OUT]
-    order = F.md5(F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("")).cast("binary"))
+    sources = F.broadcast(plan.drop("slots"))
+    each_slot = F.broadcast(plan.select("nth", F.posexplode("slots").alias("mix_block", "mix_slot")))
+    order = F.md5(F.coalesce(column(doc_id).cast("string"), F.lit("")).cast("binary"))
     placed = (
-        docs.select(*[f"`{name}`" for name in kept])
-        .join(F.broadcast(plan), F.col(source).eqNullSafe(F.col("_source")))
-        .withColumn("_order", order)
+        docs.select(
+            whole(docs, *OUT),
+            column(source).alias("source"),
+            column(doc_id).alias("id"),
+            order.alias("order"),
+            F.xxhash64(*[column(name) for name in docs.columns if name not in OUT]).alias("hash"),
+        )
+        .join(sources, F.col("source").eqNullSafe(F.col("own")))
+        .drop("own", "source")
         .withColumn(
-            "_range",
-            F.floor(F.conv(F.substring("_order", 1, 8), 16, 10).cast("bigint") * F.col("_ranges") / F.lit(2**32)),
+            "range",
+            F.floor(F.conv(F.substring("order", 1, 8), 16, 10).cast("bigint") * F.col("ranges") / F.lit(2**32)),
         )
     )
-    whole = Window.partitionBy("_nth").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        placed.groupBy("_nth", "_range")
-        .agg(F.count("*").alias("_n"))
-        .select("_nth", "_range", F.coalesce(F.sum("_n").over(whole), F.lit(0)).alias("_before"))
-    )
-    within = Window.partitionBy("_nth", "_range").orderBy(
-        "_order", F.col(f"`{doc_id}`"), F.xxhash64(*[F.col(f"`{name}`") for name in kept])
+    before = Window.partitionBy("nth").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = (
+        placed.groupBy("nth", "range")
+        .agg(F.count("*").alias("n"))
+        .select("nth", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     )
-    number = F.col("_before") + F.col("_row") - 1
-    blocks = F.size("_slots")
-    block = F.col("mix_block")
+    within = Window.partitionBy("nth", "range").orderBy("order", "id", "hash")
+    number = F.col("before") + F.col("number") - 1
     return (
-        placed.withColumn("_row", F.row_number().over(within))
-        .join(before, ["_nth", "_range"])
-        .withColumn("mix_block", F.floor(number / block_rows))
-        .withColumn("mix_pos", (number % block_rows).cast("long"))
-        .withColumn("mix_share", blocks / F.lit(float(period)))
-        .withColumn(
-            "mix_slot",
-            F.floor(block / blocks) * period + F.element_at("_slots", (block % blocks + 1).cast("int")),
-        )
-        .select(*[f"`{name}`" for name in kept], *OUT)
+        placed.withColumn("number", F.row_number().over(within))
+        .join(counts, ["nth", "range"])
+        .select("row", "nth", "mix_share", F.floor(number / block_rows).alias("mix_block"), (number % block_rows).cast("long").alias("mix_pos"))
+        .join(each_slot, ["nth", "mix_block"])
+        .select("row.*", *OUT)
     )

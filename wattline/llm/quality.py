@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.llm import textbytes
-from wattline.llm.common import cut, labelled_sample, sized_broadcast
+from wattline.llm.common import column, cut, labelled_sample, sized_broadcast, whole
 
 #: The bound of the training sample: so many labelled documents of either class.
 PER_CLASS = 3000
@@ -187,24 +187,27 @@ def posteriors(
     """
     names = ("quality_evidence", "quality_site", "quality", "rejected")
     prior = float(np.log(model.good / (1 - model.good)))
-    scored = docs.drop(*names).withColumn("quality_evidence", evidence(model, F.col(text)))
-    kept = [f"`{name}`" for name in scored.columns]
-    scored = scored.select(*kept, host.alias("_host"), path.alias("_path")).withColumn(
-        "_p", _logistic(F.col("quality_evidence") + prior)
-    )
-    sites = cut(site_posteriors(scored.selectExpr("_host AS host", "_path AS path", "_p AS p")))
-    sites = sites.toDF(*[f"_site_{name}" for name in sites.columns])
-    same = F.col("_host").eqNullSafe(F.col("_site_host")) & F.col("_path").eqNullSafe(F.col("_site_path"))
-    strength = F.col("_site_weight")
-    others = F.col("_site_sum_p") - F.col("_p") + strength * F.col("_site_host_rate")
-    rate = others / (F.col("_site_n") - 1 + strength)
+    scored = docs.select(
+        whole(docs, *names), evidence(model, column(text)).alias("evidence"), host.alias("host"), path.alias("path")
+    ).withColumn("p", _logistic(F.col("evidence") + prior))
+    sites = cut(site_posteriors(scored.select("host", "path", "p")))
+    sites = sites.toDF(*[f"site_{name}" for name in sites.columns])
+    same = F.col("host").eqNullSafe(F.col("site_host")) & F.col("path").eqNullSafe(F.col("site_path"))
+    strength = F.col("site_weight")
+    others = F.col("site_sum_p") - F.col("p") + strength * F.col("site_host_rate")
+    rate = others / (F.col("site_n") - 1 + strength)
     odds = F.greatest(F.least(F.log(rate / (1 - rate)), F.lit(MOST_PRIOR)), F.lit(-MOST_PRIOR))
     return (
         scored.join(sized_broadcast(sites, sites.count(), BROADCAST_BOUND), same)
-        .withColumn("quality_site", rate)
-        .withColumn("quality", _logistic(F.col("quality_evidence") + odds))
-        .withColumn("rejected", F.col("quality") < keep_at)
-        .select(*kept, "quality_site", "quality", "rejected")
+        .withColumn("site", rate)
+        .withColumn("quality", _logistic(F.col("evidence") + odds))
+        .select(
+            "row.*",
+            F.col("evidence").alias("quality_evidence"),
+            F.col("site").alias("quality_site"),
+            "quality",
+            (F.col("quality") < keep_at).alias("rejected"),
+        )
     )
 
 

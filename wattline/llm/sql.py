@@ -27,32 +27,31 @@ FROM d LEFT JOIN cov USING (r) LEFT JOIN it USING (r)
 
 OP3 = """
 WITH RECURSIVE n AS (
-  SELECT source, count(*) AS n, sqrt(count(*)) AS t,
+  SELECT source, count(*) AS n, sqrt(count(*)) AS t, CAST(ceil(count(*) / 16.0) AS BIGINT) AS b,
          row_number() OVER (ORDER BY source NULLS FIRST) AS i FROM documents GROUP BY source),
-z AS (SELECT count(*) AS k, greatest(1000, 4 * count(*)) AS q, sum(t) AS total FROM n),
-e AS (SELECT n.*, q, (q - k) * t / total AS x FROM n, z),
-f AS (SELECT *, row_number() OVER (ORDER BY x - floor(x) DESC, i) AS rest,
-             q - sum(1 + CAST(floor(x) AS BIGINT)) OVER () AS spare FROM e),
-a AS (SELECT source, i, CAST(q AS BIGINT) AS q,
-             CAST(1 + floor(x) + CASE WHEN rest <= spare THEN 1 ELSE 0 END AS BIGINT) AS a FROM f),
-l AS (SELECT list(a ORDER BY i) AS a, any_value(q) AS q FROM a),
+a AS (SELECT source, i, b, greatest(1, CAST(floor(1099511627776 * t / sum(t) OVER () + 0.5) AS BIGINT)) AS m FROM n),
+l AS (SELECT list(m ORDER BY i) AS m, list(b ORDER BY i) AS b FROM a),
 sched AS (
-  SELECT CAST(0 AS BIGINT) AS t, list_transform(a, lambda x: CAST(0 AS BIGINT)) AS ks, CAST(NULL AS BIGINT) AS pick, a, q
-  FROM l
+  SELECT CAST(0 AS BIGINT) AS t, CAST(0 AS BIGINT) AS t0, list_transform(b, lambda x: CAST(0 AS BIGINT)) AS ks,
+         list_transform(b, lambda x: CAST(0 AS BIGINT)) AS base, CAST(NULL AS BIGINT) AS pick, m, b FROM l
   UNION ALL
-  SELECT t + 1, list_transform(ks, lambda k, j: CASE WHEN j = pick2 THEN k + 1 ELSE k END), pick2, a, q
-  FROM (SELECT *, list_min(list_filter(list_transform(range(1, len(a) + 1), lambda j:
-          CASE WHEN ks[j] < a[j] AND (ks[j] * q) // a[j] <= t
-               THEN (((ks[j] + 1) * q + a[j] - 1) // a[j]) * 100000 + j END), lambda y: y IS NOT NULL)) % 100000 AS pick2
-        FROM sched WHERE t < q)),
+  SELECT t + 1, CASE WHEN over THEN t + 1 ELSE t0 END, ks2, CASE WHEN over THEN ks2 ELSE base END, pick2, m, b
+  FROM (SELECT *, ks2[pick2] = b[pick2] AS over
+    FROM (SELECT *, list_transform(ks, lambda k, j: CASE WHEN j = pick2 THEN k + 1 ELSE k END) AS ks2
+      FROM (SELECT *, CAST(list_min(list_filter(list_transform(range(1, len(m) + 1), lambda j:
+              CASE WHEN ks[j] < b[j] AND (ks[j] - base[j]) * whole // m[j] <= t - t0
+                   THEN ((ks[j] - base[j] + 1) * whole + m[j] - 1) // m[j] * 100000 + j END),
+              lambda y: y IS NOT NULL)) % 100000 AS BIGINT) AS pick2
+        FROM (SELECT *, CAST(list_sum(list_transform(m, lambda x, j: CASE WHEN ks[j] < b[j] THEN x ELSE 0 END)) AS HUGEINT)
+                     AS whole FROM sched WHERE t < list_sum(b)))))),
 slots AS (SELECT pick AS i, t - 1 AS slot, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS k
           FROM sched WHERE t > 0),
-r AS (SELECT doc_id, d.source, a.i, a.a, a.q,
+r AS (SELECT doc_id, d.source, a.i, a.m,
              row_number() OVER (PARTITION BY a.i ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), doc_id) - 1 AS nth
       FROM documents d JOIN a ON d.source IS NOT DISTINCT FROM a.source)
-SELECT doc_id, source, a / CAST(q AS DOUBLE) AS mix_share, CAST(nth // 16 AS BIGINT) AS mix_block,
-       CAST(((nth // 16) // a) * q + slot AS BIGINT) AS mix_slot, CAST(nth % 16 AS BIGINT) AS mix_pos
-FROM r JOIN slots s ON s.i = r.i AND s.k = (r.nth // 16) % r.a
+SELECT doc_id, source, m / (SELECT CAST(sum(m) AS DOUBLE) FROM a) AS mix_share, CAST(nth // 16 AS BIGINT) AS mix_block,
+       CAST(slot AS BIGINT) AS mix_slot, CAST(nth % 16 AS BIGINT) AS mix_pos
+FROM r JOIN slots s ON s.i = r.i AND s.k = r.nth // 16
 """
 
 OP10 = rf"""
