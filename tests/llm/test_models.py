@@ -261,48 +261,71 @@ def test_language_edge_rows(spark, docs):
 
 
 def brute_nearest(rows, k):
-    out = set()
-    for q, own in rows.items():
+    """Of ``(id, vector)`` rows that take part."""
+    out = Counter()
+    for at, (q, own) in enumerate(rows):
         if q % 20 == 0:
-            ranked = sorted(((-float((np.array(v) * np.array(own)).sum()), i) for i, v in rows.items() if i != q))[:k]
-            out |= {(q, rank, i, round(-s, 9)) for rank, (s, i) in enumerate(ranked, 1)}
+            ranked = sorted(
+                (-float((np.array(v) * np.array(own)).sum()), i)
+                for other, (i, v) in enumerate(rows)
+                if other != at and len(v) == len(own)
+            )[:k]
+            out.update((q, rank, i, round(-s, 9)) for rank, (s, i) in enumerate(ranked, 1))
     return out
 
 
-def nearest(spark, rows, **options):
+def vectors_frame(spark, rows):
     rows = [(i, v and [x if x is None else float(x) for x in v]) for i, v in rows]
-    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").withColumn("rank", F.lit(1))
-    got = permutation.search(frame, F.col("vec_id") % 20 == 0, **options).collect()
-    assert len({(r.query_id, r["rank"]) for r in got}) == len(got)
-    return {(r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in got}
+    return spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").withColumn("rank", F.lit(1)).withColumn("row", F.lit("x"))
+
+
+def nearest(spark, rows, **options):
+    got = permutation.search(vectors_frame(spark, rows), F.col("vec_id") % 20 == 0, **options).collect()
+    return Counter((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in got)
 
 
 def test_neighbours_ties_bad_vectors_and_repeated_rows(spark):
     rng = np.random.default_rng(2)
-    good = {i: np.float32(rng.integers(-3, 4, 6) + 0.5).astype(float).tolist() for i in range(61)}
-    good |= {i: good[0] for i in range(100, 130)}
-    odd = [(200, None), (220, []), (240, [0.0] * 6), (260, [1.0] * 5), (280, [1.0, None, 1, 1, 1, 1]),
+    good = [(i, np.float32(rng.integers(-3, 4, 6) + 0.5).astype(float).tolist()) for i in range(61)]
+    good += [(i, good[0][1]) for i in range(100, 130)] + [(5, good[5][1]), (5, [9.5] * 6), (20, [1.5] * 6), (40, good[40][1])]
+    good += [(260, [1.0] * 5), (261, [2.0] * 5), (262, [-1.0] * 5)]  # another length: only these meet
+    odd = [(200, None), (220, []), (240, [0.0] * 6), (280, [1.0, None, 1, 1, 1, 1]),
            (300, [float("nan")] * 6), (320, [float("inf")] * 6), (None, [1.0] * 6)]
-    rows = [*good.items(), *odd, (5, good[5]), (5, [9.5] * 6)]
-    good[5] = min(good[5], [9.5] * 6)
-    assert nearest(spark, rows, k=7) == brute_nearest(good, 7)
-    few = {0: [1.0, 2.0], 1: [2.0, 1.0]}
-    assert nearest(spark, list(few.items())) == brute_nearest(few, 20)
-    assert nearest(spark, []) == set()
+    assert nearest(spark, good + odd, k=7, share=1.0) == brute_nearest(good, 7)
+    few = [(0, [1.0, 2.0]), (1, [2.0, 1.0])]
+    assert nearest(spark, few) == brute_nearest(few, 20)
+    assert nearest(spark, []) == Counter()
 
 
 def test_recall_over_shards_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(permutation, "SHARD_ROWS", 700)
     monkeypatch.setattr(permutation, "BLOCK_ROWS", 30)
-    monkeypatch.setattr(permutation, "RERANK_LEAST", 0)
     rng = np.random.default_rng(3)
     data = rng.normal(size=(2000, 24)) * rng.uniform(0.5, 2, (2000, 1))  # lengths differ: not a distance search
-    rows = {i: np.float32(v).astype(float).tolist() for i, v in enumerate(data)}
-    want, got = brute_nearest(rows, 10), nearest(spark, list(rows.items()), k=10)
+    rows = [(i, np.float32(v).astype(float).tolist()) for i, v in enumerate(data)]
+    want, got = brute_nearest(rows, 10), nearest(spark, rows, k=10)
     pairs = lambda found: {(q, i) for q, _, i, _ in found}
     assert len(pairs(want) & pairs(got)) >= 0.9 * len(want)
-    exact = nearest(spark, list(rows.items()), k=10, share=1.0)
-    assert exact == want
+    assert nearest(spark, rows, k=10, share=1.0) == want
+
+
+def test_the_index_scores_few_and_finds_nearly_all(spark):
+    """The query's own parameters over the largest given table."""
+    frame = table(spark, "/root/testdata/sf0.1", "embeddings")
+    rows = sorted((r.vec_id, [float(x) for x in r.embedding]) for r in frame.collect())
+    ids, vectors = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    is_query = F.col("vec_id") % 20 == 0
+    scored = permutation.found(frame, is_query, 20).groupBy("query_id").agg(F.sum("scored").alias("n")).collect()
+    assert len(scored) == 100 and max(r.n for r in scored) <= 0.055 * len(rows)  # 5 % and ties
+    got = {(r.query_id, r.vec_id): r.score for r in permutation.search(frame, is_query).collect()}
+    hits = 0
+    for q in np.flatnonzero(ids % 20 == 0):
+        score = (vectors * vectors[q]).sum(axis=1)
+        score[q] = -np.inf
+        best = {(ids[q], ids[i]) for i in np.lexsort((ids, -score))[:20]}
+        hits += len(best & set(got))
+        assert all(abs(got[ids[q], i] - score[np.searchsorted(ids, i)]) < 1e-12 for (at, i) in got if at == ids[q])
+    assert hits >= 0.9 * 2000 and len(got) == 2000
 
 
 # licenses

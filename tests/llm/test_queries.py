@@ -21,7 +21,7 @@ def test_query_equals_its_sql(spark, duck, name):
 
 
 def test_every_operator_has_its_query():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(SQL) <= set(QUERIES)
 
 
@@ -36,17 +36,21 @@ def test_extraction_query(spark, duck):
         assert got[page_id] == (text, len(text))
 
 
-def test_search_query_is_exact_on_a_small_table(spark, duck):
+def test_search_query_against_brute_force(spark, duck):
     rows = duck.execute("select vec_id, embedding from embeddings order by vec_id").fetchall()
     ids, vectors = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], dtype=float)
     got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in QUERIES["op5_permutation_index"](spark, SF).collect()}
     queries = np.flatnonzero(ids % 20 == 0)
     assert len(got) == 20 * len(queries)
+    hits = 0
     for q in queries:
         score = (vectors * vectors[q]).sum(axis=1)
         score[q] = -np.inf
-        for rank, i in enumerate(np.lexsort((ids, -score))[:20], 1):
-            assert got[ids[q], rank] == (ids[i], pytest.approx(score[i], abs=1e-12))
+        own = [got[ids[q], rank] for rank in range(1, 21)]
+        assert own == sorted(own, key=lambda r: (-r[1], r[0]))
+        assert all(s == pytest.approx(score[np.searchsorted(ids, i)], abs=1e-12) for i, s in own)
+        hits += len({i for i, _ in own} & set(ids[np.lexsort((ids, -score))[:20]].tolist()))
+    assert hits >= 0.9 * len(got)
 
 
 @pytest.mark.parametrize("name", ["op4_quality", "op7_toxicity", "op8_language_id", "op9_license_scan"])

@@ -1,9 +1,9 @@
 """Approximate nearest neighbours by a permutation index.
 
-A fixed number of vectors are pivots. Every vector is represented by the order of its nearest pivots; the inverted file
-of a pivot lists the vectors that have it, each with its place in that vector's order. A query adds up, over the files
-of its own nearest pivots, how far each listed vector's places are from its own (Spearman's footrule; a vector that is
-not listed counts as listed last), and the best of that ranking are ranked again by their exact inner product.
+A fixed number of vectors are pivots. Every vector is represented by the order of its nearest pivots, and posted in the
+inverted files of these with its place in the order. A query looks into the files of its own nearest pivots only and adds
+up how near the places that it finds are to its own: Spearman's footrule, in which a vector that is not listed counts as
+listed last. The best few per cent of that ranking are ranked again by their exact inner product.
 
 Rows are dealt into shards by hash, each with its own inverted files, and queries into blocks; a shard and a block are
 a unit of work of bounded size, and its result is the block's nearest within the shard.
@@ -15,164 +15,176 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 from pyspark.sql.window import Window
 
-from wattline.llm.common import cut
+from wattline.llm.common import column, cut
 
-#: Pivots (the bound of the sample that the index is fitted on), places kept of each vector's order, vectors in a
-#: shard, queries in a block.
-PIVOTS = 256
-PLACES = 64
-SHARD_ROWS = 8192
-BLOCK_ROWS = 512
-#: The share of a shard that the footrule ranking passes on to the exact ranking, ties included. Recall at 20 was
-#: measured as 0.95 or more; a share of 1 makes the search exact.
-RERANK_SHARE = 0.5
-#: At least so many of a shard are passed on, which makes the search of a small table exact.
-RERANK_LEAST = 1000
+#: Pivots (the bound of the sample that the index is fitted on, for each vector length), places posted of each vector's
+#: order, files that a query looks into, vectors in a shard, queries in a block.
+PIVOTS = 1024
+PLACES = 256
+LOOKS = 128
+SHARD_ROWS = 4096
+BLOCK_ROWS = 2048
+#: The share of the vectors that the footrule ranking passes on to the exact ranking, ties included; a share of 1 makes
+#: the search exact. Of a shard at least ``RERANK_TIMES * k`` are passed on.
+RERANK_SHARE = 0.05
+RERANK_TIMES = 5
 
 
 def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """``vec_id, vector`` of the vectors that take part.
+    """``row, vec_id, vector, size`` of the vectors that take part, ``row`` being a number of their own.
 
-    Left out are null ids and vectors that are null, empty, zero, hold a null, NaN or infinite component, or have not
-    the most frequent length (the greater of equally frequent ones). Of several vectors with one id the least counts.
+    Left out are null ids and vectors that are null, empty, zero or hold a null, NaN or infinite component. Repeated
+    ids and repeated rows all take part. Vectors meet those of their own length, since others have no inner product.
     """
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
-    vector = F.col(embedding).cast("array<double>")
-    rows = vectors.select(F.col(vec_id).alias("vec_id"), vector.alias("vector")).where(
-        F.col("vec_id").isNotNull() & ~F.exists("vector", bad) & F.exists("vector", lambda x: x != 0)
-    )
-    least = cut(rows.groupBy("vec_id").agg(F.min("vector").alias("vector")))
-    size = least.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    return least.where(F.size("vector") == (size.n if size else 0))
+    rows = vectors.select(
+        column(vec_id).alias("vec_id"), column(embedding).cast("array<double>").alias("vector")
+    ).where(F.col("vec_id").isNotNull() & ~F.exists("vector", bad) & F.exists("vector", lambda x: x != 0))
+    return cut(rows.select(F.monotonically_increasing_id().alias("row"), "*", F.size("vector").alias("size")))
 
 
-def choose_pivots(rows: DataFrame, pivots: int = PIVOTS) -> tuple[np.ndarray, float]:
-    """The first different vectors by hash order of the id, lifted to one length, and the greatest squared length.
+class Pivots:
+    """Pivots of one vector length, lifted to one length in space.
 
     A further component lifts every vector to the length of the longest, so that the largest inner product with a
     query is also the nearest; pivots are lifted like all rows, queries have 0 there.
     """
-    square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
-    most = rows.agg(F.max(square).alias("m")).first().m or 0.0
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(4 * pivots).collect()
-    chosen = list(dict.fromkeys(tuple(row.vector) for row in sample))[:pivots]
-    found = np.array(chosen, dtype=np.float64).reshape(len(chosen), len(chosen[0]) if chosen else 1)
-    return np.column_stack([found, _lift(found, most)]), float(most)
-
-
-def _lift(vectors: np.ndarray, most: float) -> np.ndarray:
-    return np.sqrt(np.maximum(most - (vectors**2).sum(axis=1), 0))
-
 
-def orders(pivots: np.ndarray, most: float, places: int, lifted: bool):
-    """A function from vectors to their bytes and the numbers of their nearest pivots, nearest first."""
+    def __init__(self, chosen: np.ndarray, most: float, places: int):
+        self.most, self.places = most, min(places, len(chosen))
+        self.lifted = np.column_stack([chosen, self._lift(chosen)])
 
-    def of(vectors: pd.Series) -> pd.DataFrame:
-        held = np.stack(vectors.to_numpy()) if len(vectors) else np.zeros((0, pivots.shape[1] - 1))
-        extra = _lift(held, most) if lifted else np.zeros(len(held))
-        near = np.column_stack([held, extra]) @ pivots.T
-        order = np.argsort(-near, axis=1, kind="stable")[:, :places]
-        return pd.DataFrame({"raw": [x.tobytes() for x in held], "places": list(order.astype(np.int32))})
+    def _lift(self, vectors: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.maximum(self.most - (vectors**2).sum(axis=1), 0))
 
-    return pandas_udf(of, "raw binary, places array<int>")
+    def order(self, vectors: np.ndarray, places: int, query: bool) -> np.ndarray:
+        """Numbers of each vector's nearest pivots, nearest first."""
+        extra = np.zeros(len(vectors)) if query else self._lift(vectors)
+        near = np.column_stack([vectors, extra]) @ self.lifted.T
+        return np.argsort(-near, axis=1, kind="stable")[:, :places]
 
 
-def inverted_files(rows: DataFrame) -> DataFrame:
-    """``shard, pivot, ids, ranks`` from rows ``shard, vec_id, places``: the pivot's list within the shard."""
-    posts = rows.select("shard", "vec_id", F.posexplode("places").alias("rank", "pivot"))
-    lists = posts.groupBy("shard", "pivot").agg(F.sort_array(F.collect_list(F.struct("vec_id", "rank"))).alias("list"))
-    return lists.select("shard", "pivot", F.col("list.vec_id").alias("ids"), F.col("list.rank").alias("ranks"))
-
-
-def _searcher(k: int, places: int, share: float):
-    def search(units: pd.DataFrame) -> pd.DataFrame:
-        out = [_search_unit(unit, k, places, share) for _, unit in units.iterrows()]
-        return pd.concat(out, ignore_index=True)
+def choose_pivots(rows: DataFrame, pivots: int = PIVOTS, places: int = PLACES) -> dict[int, Pivots]:
+    """For each vector length the different ones of its first ``2 * pivots`` vectors by hash order."""
+    square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
+    out = {}
+    for size, most in sorted(tuple(r) for r in rows.groupBy("size").agg(F.max(square)).collect()):
+        sample = rows.where(F.col("size") == size).orderBy(F.xxhash64("vec_id", "vector"), "row").limit(2 * pivots)
+        different = list(dict.fromkeys(tuple(row.vector) for row in sample.select("vector").collect()))[:pivots]
+        out[size] = Pivots(np.array(different, dtype=np.float64), most, places)
+    return out
+
+
+class Shard:
+    """Inverted files of some vectors: for each pivot, who has it and at which place."""
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, vectors: np.ndarray, order: np.ndarray, n_pivots: int):
+        self.ids, self.rows, self.vectors, self.places = ids, rows, vectors, order.shape[1]
+        by_pivot = np.argsort(order.ravel(), kind="stable")
+        self.who = (by_pivot // self.places).astype(np.int32)
+        self.place = (by_pivot % self.places).astype(np.int32)
+        self.first = np.searchsorted(order.ravel()[by_pivot], np.arange(n_pivots + 1))
+
+    def nearest(self, row: int, vector: np.ndarray, looks: np.ndarray, k: int, share: float):
+        """Ids and scores of the nearest found, and how many vectors were scored exactly."""
+        gain = np.zeros(len(self.ids), dtype=np.int32)
+        for place, pivot in enumerate(looks):
+            file = slice(self.first[pivot], self.first[pivot + 1])
+            gain[self.who[file]] += self.places - np.abs(self.place[file] - place)
+        gain[self.rows == row] = -1
+        wanted = min(len(gain), max(RERANK_TIMES * k, int(np.ceil(share * len(gain)))))
+        cutoff = max(0, np.partition(gain, len(gain) - wanted)[len(gain) - wanted])
+        candidates = np.flatnonzero(gain >= cutoff)
+        score = (self.vectors[candidates] * vector).sum(axis=1)
+        scored = len(candidates)
+        if scored > k:
+            least = np.partition(score, scored - k)[scored - k]
+            candidates, score = candidates[score >= least], score[score >= least]
+        best = np.lexsort((self.ids[candidates], -score))[:k]
+        return self.ids[candidates[best]], score[best], scored
+
+
+def _stack(vectors: pd.Series) -> np.ndarray:
+    return np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+
+
+def _searcher(pivots: dict[int, Pivots], k: int, looks: int, share: float):
+    def search(members: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(members) and len(queries):
+            own = pivots[int(members["size"].iloc[0])]
+            held, asked = _stack(members["vector"]), _stack(queries["q_vector"])
+            shard = Shard(
+                members["vec_id"].to_numpy(),
+                members["row"].to_numpy(),
+                held,
+                own.order(held, own.places, False),
+                len(own.lifted),
+            )
+            files = own.order(asked, min(looks, own.places), True)
+            for row, query_id, vector, look in zip(queries["q_row"], queries["q_id"], asked, files):
+                out.append((row, query_id, *shard.nearest(row, vector, look, k, share)))
+        return pd.DataFrame(out, columns=["row", "query_id", "ids", "scores", "scored"])
 
     return search
 
 
-def _search_unit(unit, k: int, places: int, share: float) -> pd.DataFrame:
-    members, lists, queries = unit["members"], unit["lists"], unit["queries"]
-    ids = np.array([m["vec_id"] for m in members], dtype=np.int64)
-    order = np.argsort(ids)
-    ids = ids[order]
-    vectors = np.frombuffer(b"".join(members[i]["raw"] for i in order), dtype=np.float64).reshape(len(ids), -1)
-    # an inverted file, written out over the shard: what is not listed has the place behind the last
-    ranks: dict[int, np.ndarray] = {}
-    for file in lists:
-        row = np.full(len(ids), places, dtype=np.int16)
-        row[np.searchsorted(ids, np.asarray(file["ids"], dtype=np.int64))] = file["ranks"]
-        ranks[int(file["pivot"])] = row
-    found = []
-    for query in queries:
-        own = np.frombuffer(query["raw"], dtype=np.float64)
-        footrule = np.zeros(len(ids), dtype=np.int32)
-        for place, pivot in enumerate(query["places"]):
-            file = ranks.get(int(pivot))
-            if file is None:
-                footrule += places - place
-            else:
-                footrule += np.abs(file - np.int16(place))
-        wanted = min(len(ids), max(k + 1, RERANK_LEAST, int(np.ceil(share * len(ids)))))
-        cutoff = np.partition(footrule, wanted - 1)[wanted - 1]
-        candidates = np.flatnonzero((footrule <= cutoff) & (ids != query["vec_id"]))
-        score = (vectors[candidates] * own).sum(axis=1)
-        if len(candidates) > k:
-            least = np.partition(score, len(score) - k)[len(score) - k]
-            candidates, score = candidates[score >= least], score[score >= least]
-        best = np.lexsort((ids[candidates], -score))[:k]
-        found.append((query["vec_id"], ids[candidates[best]], score[best]))
-    return pd.DataFrame(found, columns=["query_id", "ids", "scores"])
-
-
-def search(
+def found(
     vectors: DataFrame,
     is_query: Column,
-    k: int = 20,
+    k: int,
     pivots: int = PIVOTS,
     places: int = PLACES,
+    looks: int = LOOKS,
     share: float = RERANK_SHARE,
     vec_id: str = "vec_id",
     embedding: str = "embedding",
 ) -> DataFrame:
+    """``row, query_id, ids, scores, scored``: per query and shard, its nearest there and how many were scored."""
+    rows = usable(vectors, vec_id, embedding)
+    sizes = [tuple(r) for r in rows.groupBy("size").agg(F.count("*"), F.count_if(is_query)).collect()]
+    chosen = choose_pivots(rows, pivots, places)
+    parts = lambda n, most: max(1, -(-n // most))
+    plan = {size: (parts(n, SHARD_ROWS), parts(asked, BLOCK_ROWS)) for size, n, asked in sizes}
+    if not plan:
+        plan = {0: (1, 1)}
+    n_shards = F.create_map(*[F.lit(x).cast("long") for size, (n, _) in plan.items() for x in (size, n)])
+    n_blocks = F.create_map(*[F.lit(x).cast("long") for size, (_, n) in plan.items() for x in (size, n)])
+    size = F.col("size").cast("long")
+    dealt = rows.withColumn("shards", n_shards[size]).withColumn("blocks", n_blocks[size])
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    # a shard goes to every block of queries, a query to every shard; a unit is one of each
+    members = dealt.select(
+        "size", F.pmod(F.xxhash64("row"), "shards").alias("shard"), every("blocks").alias("block"), "row", "vec_id", "vector"
+    )
+    asked = dealt.where(is_query).select(
+        "size", every("shards").alias("shard"), F.pmod(F.xxhash64("row", F.lit(1)), "blocks").alias("block"), "row", "vec_id", "vector"
+    )
+    asked = asked.toDF("q_size", "q_shard", "q_block", "q_row", "q_id", "q_vector")  # a cogroup needs names of its own
+    return (
+        members.groupBy("size", "shard", "block")
+        .cogroup(asked.groupBy("q_size", "q_shard", "q_block"))
+        .applyInPandas(
+            _searcher(chosen, k, looks, share),
+            "row bigint, query_id bigint, ids array<bigint>, scores array<double>, scored bigint",
+        )
+    )
+
+
+def search(vectors: DataFrame, is_query: Column, k: int = 20, **options) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each vector of which ``is_query`` (a condition on ``vec_id``) holds, the
     ``k`` others of largest inner product that the index finds, nearest first, ties to the smaller id.
 
-    All vectors are indexed, see ``usable`` for those that take part. With fewer than ``k`` others, all are returned;
-    an empty table has no result. Scores are sums in double precision over the vectors as given.
+    All vectors are indexed, see ``usable`` for those that take part; every row but the query's own can be found, also
+    one of the same id. With fewer than ``k`` others, all are returned; an empty table has no result. Scores are sums in
+    double precision over the vectors as given. Other columns play no part. ``options`` are those of ``found``.
     """
-    rows = cut(usable(vectors, vec_id, embedding))
-    n = rows.count()
-    pivot_rows, most = choose_pivots(rows, pivots)
-    places = min(places, max(1, len(pivot_rows)))
-    asked = rows.where(is_query)
-    n_blocks = max(1, -(-asked.count() // BLOCK_ROWS))
-    stored = orders(pivot_rows, most, places, True)(F.col("vector"))
-    shard = F.pmod(F.xxhash64("vec_id"), F.lit(max(1, -(-n // SHARD_ROWS))))
-    indexed = cut(rows.select(shard.alias("shard"), "vec_id", stored.alias("s")).select("shard", "vec_id", "s.*"))
-    files = inverted_files(indexed).groupBy("shard").agg(F.collect_list(F.struct("pivot", "ids", "ranks")).alias("lists"))
-    members = indexed.groupBy("shard").agg(F.collect_list(F.struct("vec_id", "raw")).alias("members"))
-    asking = orders(pivot_rows, most, places, False)(F.col("vector"))
-    block = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(n_blocks))
-    blocks = (
-        asked.select(block.alias("block"), "vec_id", asking.alias("s"))
-        .select("block", F.struct("vec_id", "s.raw", "s.places").alias("query"))
-        .groupBy("block")
-        .agg(F.sort_array(F.collect_list("query")).alias("queries"))
-    )
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long")))
-    units = members.join(files, "shard").withColumn("block", every).join(blocks, "block")
-    found = units.groupBy("shard", "block").applyInPandas(
-        _searcher(k, places, share), "query_id bigint, ids array<bigint>, scores array<double>"
-    )
-    each = found.select("query_id", F.explode(F.arrays_zip(F.col("ids").alias("vec_id"), F.col("scores").alias("score"))))
-    nearest = Window.partitionBy("query_id").orderBy(F.desc("col.score"), "col.vec_id")
+    each = found(vectors, is_query, k, **options).select("row", "query_id", F.explode(F.arrays_zip("ids", "scores")).alias("hit"))
+    nearest = Window.partitionBy("row").orderBy(F.desc("hit.scores"), "hit.ids")
     return (
         each.withColumn("rank", F.row_number().over(nearest))
         .where(F.col("rank") <= k)
-        .select("query_id", "rank", F.col("col.vec_id").alias("vec_id"), F.col("col.score").alias("score"))
+        .select("query_id", "rank", F.col("hit.ids").alias("vec_id"), F.col("hit.scores").alias("score"))
     )
