@@ -111,3 +111,56 @@ def test_long_conversation(spark):
     read = chat.read_back(chat.examples(conversations(spark, rows))).first()
     assert len(read.turns) == 60
     assert hashlib.sha256(read.loss.encode()).digest() == hashlib.sha256("".join(x for _, _, r, x in rows if r == "assistant").encode()).digest()
+
+
+# pages whose markup misleads
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<div class=content><h1>Title</h1><p>" + "long text " * 20 + "</p></div><article><p>teaser</p></article>", "Title " + "long text " * 20 + "teaser"),
+        ('<article class="label social-science"><p>About people.</p></article>', "About people."),
+        ('<div class="post-comment-free story"><p>A story.</p></div><nav>Menu</nav>', "A story."),
+        ('<article><p>Own text that is the longest here.</p><div class="related">More</div></article>', "Own text that is the longest here."),
+        ("<p>a < b <c", "a < b"),
+        ("x <a href='>'>y</a> z", "x y z"),
+        ("<p>a</p><!-- > --><p>b</p></ x><![CDATA[c]]>d", "a b d"),
+    ],
+)
+def test_misleading_markup(page, text):
+    assert extract.main_text(page) == text.strip()
+
+
+@pytest.mark.parametrize("part", ["<a ", "<a b='", '<a b="', "</ ", "<a", "<!-", "<main>", "<div class=ad>", "<b>x", "'<a \""])
+@pytest.mark.parametrize("end", ["", ">", "'>", "<p>end"])
+def test_hostile_pages_take_linear_time(part, end):
+    import time
+
+    page = part * (1_000_000 // len(part)) + end
+    begun = time.perf_counter()
+    extract.main_text(page[: len(page) // 4])
+    quarter = time.perf_counter() - begun
+    begun = time.perf_counter()
+    extract.main_text(page)
+    assert time.perf_counter() - begun < max(2.0, 8 * quarter)
+
+
+def test_host_counts_alone_remove_neutral_boilerplate(spark):
+    """Tags and classes say nothing; on one host the line stands on six pages, on the other on one only."""
+    line = "<div><div>We are the best site of all</div></div>"
+    rows = [(f"https://a.example/{i}", f"{line}<div><div>Own words {i}</div></div>") for i in range(6)]
+    rows += [(f"https://b.example/{i}", f"{line if not i else ''}<div><div>Own words {i}</div></div>") for i in range(6)]
+    frame = spark.createDataFrame(rows, "url string, html string")
+    got = {r.url: r.main_text for r in extract.extract(frame).collect()}
+    assert all(got[f"https://a.example/{i}"] == f"Own words {i}" for i in range(6))
+    assert got["https://b.example/0"] == "We are the best site of all Own words 0"
+    few = {r.url: r.main_text for r in extract.extract(frame, min_pages=7).collect()}
+    assert few["https://a.example/0"] == "We are the best site of all Own words 0"
+
+
+def test_a_host_of_any_size_loses_its_boilerplate(spark):
+    banner = "<div>Section banner</div>"
+    rows = [(f"https://big.example/{i}", f"{banner if i < 6 else ''}<div>Page {i}</div>") for i in range(600)]
+    got = extract.extract(spark.createDataFrame(rows, "url string, html string")).where("main_text LIKE '%banner%'")
+    assert got.count() == 0

@@ -11,6 +11,7 @@ be quoted by many pages. Its other parts, such as share bars, are.
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 from collections.abc import Iterator
@@ -23,9 +24,14 @@ from pyspark.sql.functions import pandas_udf
 
 from wattline.llm.common import column, cut, sized_broadcast, whole
 
-#: A subtree is the site's if it stands on at least so many different pages of its host, and on this share of them.
+#: A subtree is the site's if it stands on at least so many different pages of its host, whatever the host's size. Callers
+#: may also ask for a share of the host's pages.
 MIN_PAGES = 5
-MIN_SHARE = 0.02
+MIN_SHARE = 0.0
+#: Paragraphs outside of the main elements count as the page's own if they hold so many times the text of those.
+OUTWEIGH = 2
+#: An element whose name says noise is no noise if it holds more than this share of the page's text.
+OWN_SHARE = 0.5
 #: Most pages and hashes to delete, together, that are broadcast to the pages; beyond it that join is shuffled.
 BROADCAST_BOUND = 1_000_000
 
@@ -76,21 +82,87 @@ _CLOSES = {
 _CLOSES_P = _BLOCK - {"br", "body", "html", "li", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "caption",
                       "option", "optgroup"}
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
-    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|</[^>]*>|"
-    r"<[a-zA-Z/!?][^<>]*\Z",
-    re.S,
-)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_COMMENT_END = re.compile(r"--!?>")
+_QUOTE_OR_END = re.compile(r"[>'\"]")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'=<>`]+)))?")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+class _Ends:
+    """Where a tag ends: the first ``>`` outside of quotes, found in time linear in the page for all its tags."""
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        self.at: list[int] | None = None
+
+    def of(self, start: int) -> int:
+        """The end of a tag whose attributes begin at ``start``, -1 if it has none."""
+        if start > self.last:
+            return -1
+        if self.at is None:
+            end = self.page.find(">", start)
+            if self.page.find('"', start, end) < 0 and self.page.find("'", start, end) < 0:
+                return end
+            self._all()
+        nth = bisect.bisect_left(self.at, start)
+        return self.ends[nth]
+
+    def _all(self) -> None:
+        """From each quote or ``>`` on, outside of quotes, the next end: from the last backwards."""
+        self.at = [found.start() for found in _QUOTE_OR_END.finditer(self.page)]
+        self.ends = [-1] * (len(self.at) + 1)
+        following: dict[str, int] = {}
+        for nth in range(len(self.at) - 1, -1, -1):
+            sign = self.page[self.at[nth]]
+            if sign == ">":
+                self.ends[nth] = self.at[nth]
+            else:
+                other = following.get(sign)
+                self.ends[nth] = -1 if other is None else self.ends[other + 1]
+                following[sign] = nth
+
+
+def _tokens(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """Markup of a page: ``start, end, slash, tag, attributes``; without a tag for comments and the like.
+
+    A ``<`` that begins nothing is text. Markup that the page's end cuts off is left out.
+    """
+    ends, last = _Ends(page), page.rfind("<")
+    at = page.find("<")
+    while at >= 0:
+        sign, found, end = page[at + 1 : at + 2], None, -1
+        if page.startswith("<!--", at):
+            closed = _COMMENT_END.search(page, at + 4)
+            end = closed.end() if closed else len(page)
+        elif page.startswith("<![CDATA[", at):
+            end = page.find("]]>", at) + 3
+            end = end if end > 2 else len(page)
+        elif sign in ("!", "?"):
+            end = page.find(">", at) + 1 or len(page)
+        elif at < ends.last and (sign == "/" or sign.isascii() and sign.isalpha()):
+            found = _TAG.match(page, at)
+            end = ends.of(found.end()) + 1 if found else 0
+            if not end and sign == "/":
+                found, end = None, page.find(">", at) + 1
+        if end <= 0 and at == last and sign and (sign in "/!?" or sign.isascii() and sign.isalpha()) and at > ends.last:
+            end = len(page)
+        if end > 0:
+            if found:
+                yield at, end, found[1], found[2].lower(), page[found.end() : end - 1]
+            else:
+                yield at, end, "", "", ""
+        else:
+            end = at + 1
+        at = page.find("<", end)
+
+
 @dataclass(eq=False)
 class Node:
     tag: str
     noise: bool = False
+    named: bool = False  # noise by its class or id alone
     header: bool = False
     children: list[Node | str] = field(default_factory=list)
 
@@ -112,7 +184,7 @@ def _judge(node: Node, attributes: str) -> bool:
         names = f"{found.get('class', '')} {found.get('id', '')}".split()
         words = {part.lower() for name in names if not name.startswith(_LAYOUT) for part in _NAME.findall(name)}
         node.header |= bool(words & _HEADER_NAMES)
-        node.noise = bool(words & _NOISE_NAMES)
+        node.noise = node.named = bool(words & _NOISE_NAMES)
         return node.noise or node.header
     return False
 
@@ -124,17 +196,14 @@ def parse(page: str) -> Node:
     """
     root = Node("#root")
     stack = [root]
-    by_name: list[Node] = []
+    by_name: set[Node] = set()
     at = 0
-    while True:
-        token = _TOKEN.search(page, at)
-        text = page[at : token.start()] if token else page[at:]
-        if text:
-            stack[-1].children.append(text)
-        if token is None:
-            return root
-        at = token.end()
-        closing, tag = token[1], (token[2] or "").lower()
+    for start, end, closing, tag, attributes in _tokens(page):
+        if start < at:
+            continue  # inside a script or the like
+        if start > at:
+            stack[-1].children.append(page[at:start])
+        at = end
         if not tag:
             continue
         if closing:
@@ -150,20 +219,42 @@ def parse(page: str) -> Node:
         elif tag in _CLOSES:
             _close(stack, *_CLOSES[tag])
         node = Node(tag)
-        if _judge(node, token[3]):
-            by_name.append(node)
+        if _judge(node, attributes):
+            by_name.add(node)
         if tag == "main":
             for outer in stack:
                 if outer in by_name:
-                    outer.noise = outer.header = False
+                    outer.noise = outer.named = outer.header = False
         if tag in _RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            closed = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            at = closed.end() if closed else len(page)
         if tag in _BLOCK or node.noise:
             stack[-1].children.append(node)
             deep = len(stack) > _DEPTH and not (node.noise and not any(outer.noise for outer in stack))
             if tag not in _VOID and tag not in _RAW and not deep:
                 stack.append(node)
+    if at < len(page):
+        stack[-1].children.append(page[at:])
+    _weigh(root)
+    return root
+
+
+def _weigh(root: Node) -> None:
+    """Clear the noise of elements whose name alone says so although they hold most of the page's text."""
+    mass: dict[Node, int] = {}
+
+    def of(node: Node) -> int:
+        own = 0
+        if not node.noise or node.named:
+            for child in node.children:
+                own += len(child) - child.count(" ") if isinstance(child, str) else of(child)
+        mass[node] = own
+        return own
+
+    total = of(root)
+    for node, own in mass.items():
+        if node.named and own > OWN_SHARE * total:
+            node.noise = node.named = False
 
 
 def _close(stack: list[Node], tags: tuple[str, ...], within: tuple[str, ...]) -> None:
@@ -276,7 +367,19 @@ def main_text(page: str, removed: frozenset[int] = frozenset()) -> str:
             else:
                 write(child, in_main)
 
+    def prose(node: Node, inside: bool, outer: bool) -> int:
+        """Characters of kept paragraphs below; ``outer`` counts those outside of the main parts only."""
+        own = 0
+        for child in node.children:
+            if isinstance(child, str):
+                own += len(child) if inside else 0
+            elif kept(child, False) and not child.header and not (outer and child.tag in _MAIN):
+                own += prose(child, inside or child.tag == "p", outer)
+        return own
+
     found = list(mains(root))
+    if found and prose(root, False, True) > OUTWEIGH * sum(prose(part, True, False) for part in found):
+        found = []  # teasers beside the text
     for part in found or [root]:
         write(part, bool(found))
         flush()
