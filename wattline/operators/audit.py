@@ -51,6 +51,49 @@ def _collisions(set_id: int) -> Column:
     )
 
 
+#: Relative standard error of a sketch of ``2^k`` registers is about ``1.04 / sqrt(2^k)``.
+SKETCH_REGISTERS = 12
+
+
+def key_sketches(rows: DataFrame, keys: Mapping[str, Sequence[str]], by: Sequence[str] = ()) -> DataFrame:
+    """Per group of ``by`` and named key: rows, and a mergeable sketch of the keys among them.
+
+    A micro-batch appends its own, a few kilobytes for each group and key; ``sketched_collisions`` merges those of any
+    batches without a look at the rows. Each task sketches its rows before the shuffle. Null parts of a key are values.
+    """
+    sketches = [
+        F.struct(
+            F.lit(name).alias("table"),
+            F.col("n").alias("rows"),
+            F.col(f"`sketch {name}`").alias("sketch"),
+        )
+        for name in keys
+    ]
+    counted = rows.groupBy(*by).agg(
+        F.count("*").alias("n"),
+        *[
+            F.hll_sketch_agg(F.xxhash64(*key, *[F.col(part).isNull() for part in key]), F.lit(SKETCH_REGISTERS)).alias(
+                f"sketch {name}"
+            )
+            for name, key in keys.items()
+        ],
+    )
+    return counted.select(*by, F.inline(F.array(*sketches)))
+
+
+def sketched_collisions(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``rows_in`` (exact), ``rows_kept`` and ``rows_lost`` (estimates) per group and table, from stored sketches.
+
+    A replayed batch must have replaced its sketches (``files_sink`` does that): its rows would be counted twice, though
+    its keys would not.
+    """
+    merged = sketches.groupBy(*by, "table").agg(
+        F.sum("rows").alias("rows_in"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("kept")
+    )
+    kept = F.least("kept", "rows_in")
+    return merged.select(*by, "table", "rows_in", kept.alias("rows_kept"), (F.col("rows_in") - kept).alias("rows_lost"))
+
+
 def observed(rows: DataFrame, name: str) -> DataFrame:
     """The same rows, counted on their way to a sink without another pass.
 

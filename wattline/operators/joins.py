@@ -31,22 +31,28 @@ def join_versions_within(
     within: str,
     lateness: str,
     salts: int = 1,
+    how: str = "inner",
 ) -> DataFrame:
     """``join_versions`` for readings at most ``within`` after their version.
 
-    Both sides carry a watermark of ``lateness``, so the state holds only rows that can still match.
+    Both sides carry a watermark of ``lateness``, so the state holds only rows that can still match. With ``how="left"``
+    a version without a reading comes once, when the watermark has passed the last instant at which one could match; on
+    a stream that takes a session with idle batches. A version must then be in one place only, so ``salts`` spreads the
+    versions of a key and copies its readings, which costs their state that many times over: keep them few.
     """
-    versions, readings, keys = _salted(
-        versions.withWatermark(version_time, lateness),
-        readings.withWatermark(reading_time, lateness),
-        on,
-        salts,
-    )
+    if how not in ("inner", "left"):
+        raise ValueError(f"a join of versions within a time is inner or left, not {how!r}")
+    versions = versions.withWatermark(version_time, lateness)
+    readings = readings.withWatermark(reading_time, lateness)
+    if how == "left":
+        readings, versions, keys = _salted(readings, versions, on, salts)
+    else:
+        versions, readings, keys = _salted(versions, readings, on, salts)
     left, right = versions.alias("v"), readings.alias("r")
     start, at = F.col(f"v.{version_time}"), F.col(f"r.{reading_time}")
     same = [F.col(f"v.{name}") == F.col(f"r.{name}") for name in keys]
     in_time = (at >= start) & (at <= start + F.expr(f"interval {within}"))
-    joined = left.join(right, reduce(Column.__and__, same) & in_time)
+    joined = left.join(right, reduce(Column.__and__, same) & in_time, how)
     return joined.select(
         *[F.col(f"v.{name}") for name in versions.columns if name != "_salt"],
         *[F.col(f"r.{name}") for name in readings.columns if name not in keys],

@@ -1,6 +1,7 @@
 """Runnable queries over the given tables, each with the SQL that states its result."""
 
 from wattline.plans import (  # noqa: F401
+    coverage_plans,
     feed_plans,
     join_plans,
     operator_plans,

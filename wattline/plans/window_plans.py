@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline import contracts as C
@@ -18,19 +18,22 @@ from wattline.streaming.sinks import files_sink, outcome_sink
 from wattline.streaming.storage import run_dir
 
 _LATENESS = f"{SLICE_DAYS} days"
-_HEARTBEAT = "heartbeat"
+HEARTBEAT = "heartbeat"
 
 
-def heartbeat(messages: DataFrame) -> DataFrame:
+def _event_payload(device: Column, instant: Column) -> Column:
+    times = [instant.alias(name) for name in ("receiveTime", "persistTime", "firstOccurrenceTime")]
+    return F.struct(device.alias("device"), device.alias("event"), *times)
+
+
+def heartbeat(messages: DataFrame, topic: str = C.EVENT.topic, payload=_event_payload) -> DataFrame:
     """A last message of a device of its own, so late that the watermark passes all that came before it."""
     at = F.col("at") + F.make_dt_interval(F.lit(100))
     instant = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    fields = [F.lit(_HEARTBEAT).alias(name) for name in ("device", "event")]
-    fields += [instant.alias(name) for name in ("receiveTime", "persistTime", "firstOccurrenceTime")]
     return messages.agg(F.max("timestamp").alias("at")).select(
         F.lit(None).cast("binary").alias("key"),
-        F.to_json(F.struct(*fields)).cast("binary").alias("value"),
-        F.lit(C.EVENT.topic).alias("topic"),
+        F.to_json(payload(F.lit(HEARTBEAT), instant)).cast("binary").alias("value"),
+        F.lit(topic).alias("topic"),
         F.lit(0).alias("partition"),
         F.lit(-1).cast("bigint").alias("offset"),
         at.cast("timestamp").alias("timestamp"),
@@ -57,7 +60,7 @@ def hourly_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = windows.window_counts(rows, "receivetime", ["event"], lateness=_LATENESS, sums=["occurrencecount"])
     sink = files_sink(f"{run}/rows", gather=False)
     run_available(own, [Job("hourly-counts", counted, sink=sink)], f"{run}/checkpoints")
-    stored = spark.read.parquet(f"{run}/rows").where(F.col("event") != _HEARTBEAT)
+    stored = spark.read.parquet(f"{run}/rows").where(F.col("event") != HEARTBEAT)
     return stored.select(*counted.columns)
 
 
@@ -96,7 +99,7 @@ def silence_alarms_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     sink = files_sink(f"{run}/rows", gather=False)
     run_available(own, [Job("silence", alarms, sink=sink)], f"{run}/checkpoints")
-    stored = spark.read.parquet(f"{run}/rows").where(F.col("device") != _HEARTBEAT)
+    stored = spark.read.parquet(f"{run}/rows").where(F.col("device") != HEARTBEAT)
     return stored.select("device", "last_seen", "alarm_time", F.col("last_value").alias("last_event"))
 
 

@@ -80,6 +80,24 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events_envelope(rows, value, C.EVENT.topic)
 
 
+def drifted_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of a producer that has moved on: fields that nobody declared, one of another type, others no longer sent."""
+    rows = source(spark, sf_dir, "events")
+    firmware = {"major": F.col("user_id") % 5, "build": F.when(F.col("value") >= 20, F.col("event_type"))}
+    value = json(
+        {
+            "device": coded("D", "user_id"),
+            "event": F.col("event_type"),
+            "occurrenceCount": F.from_json("props", "k int"),
+            "receiveTime": F.col("ts"),
+            "context": F.from_json("props", "k int"),
+            "firmware": obj(firmware),
+            "tags": F.array(obj({"name": F.col("event_type")})),
+        }
+    )
+    return _events_envelope(rows, value, C.EVENT.topic)
+
+
 def telemetry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = source(spark, sf_dir, "events")
     value = json({"device": coded("D", "user_id"), "lastReceiveTime": F.col("ts")})
