@@ -228,6 +228,43 @@ def test_language_models_hold_every_ngram(spark, docs):
             assert all(np.allclose(a, b, rtol=1e-12) for a, b in zip(got, expected, strict=True))
 
 
+def test_no_language_is_lost(spark, docs):
+    greek = [(i, "και το της στην " * 3, "el") for i in range(4000, 6000)]
+    apart = F.pmod(F.xxhash64("doc_id"), F.lit(langid.CALIBRATION_PART)) == 0
+    rows = docs(*greek).where(apart & ~held_out(F.col("doc_id"))).limit(3)
+    assert rows.count() == 3
+    model = langid.fit(rows.unionByName(docs(*[(i, "the of and in " * 5, "en") for i in range(60)])))
+    assert model.langs == ["el", "en"] and model.predict(["το της και"])[0] == ["el"]
+    assert model.accept[0] == -np.inf  # no other text of it to calibrate by
+    assert langid.fit(rows).langs == ["el"]
+
+
+def test_calibration_is_the_margin_of_unseen_texts(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text", "lang")
+    known = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    apart = F.pmod(F.xxhash64("doc_id"), F.lit(langid.CALIBRATION_PART)) == 0
+    langs, tables = langid.store(langid.count_ngrams(known.where(~apart)))
+    trial = langid.Model(langs, tables, [-np.inf] * len(langs))
+    margins = {name: [] for name in langs}
+    for row in known.where(apart).collect():
+        if any(map(str.isalpha, row.text)):
+            bits = trial.bits([row.text])
+            if langs[bits.argmin()] == row.lang:
+                margins[row.lang].append(langid._margins(bits, bits.argmin(axis=1))[0])
+    model = langid.fit(docs)
+    for name, least in zip(model.langs, model.accept):
+        assert np.isclose(least, np.quantile(margins[name], langid.ACCEPT_SHARE, method="inverted_cdf"))
+
+
+def test_counts_of_more_signs_than_fit_64_bits():
+    signs = [chr(c) for c in range(0x10000, 0x10000 + 70_000)]
+    text = "".join(signs) + "".join(signs[:50])
+    grams, counts = langid._count([text])
+    padded = "   " + text.lower() + " "
+    want = Counter(padded[i : i + 4] for i in range(len(padded) - 3))
+    assert dict(zip(grams.tolist(), counts.tolist())) == want
+
+
 def test_any_number_of_languages(spark, docs):
     model = langid.fit(docs(*[(i, f"word{chr(0x4E00 + i % 120)} " * 3, f"l{i % 120}") for i in range(1200)]))
     assert len(model.langs) == 120 and model.predict([f"word{chr(0x4E00 + 7)}"])[0] == ["l7"]

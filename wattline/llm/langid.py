@@ -11,7 +11,7 @@ from __future__ import annotations
 import fcntl
 import os
 from dataclasses import dataclass
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -32,15 +32,14 @@ CHUNK = 1 << 20
 #: A language is accepted if its evidence against the runner-up is at least as great as that of this share of the
 #: calibration texts of its language.
 ACCEPT_SHARE = 0.01
-#: Rejection is calibrated on one in so many training texts, which the models don't see, and on at most so many of a
-#: language.
+#: Rejection is calibrated on one in so many training texts, all of them, by models that have not seen these; the models
+#: that then predict have learnt them as well.
 CALIBRATION_PART = 16
-CALIBRATION_TEXTS = 500
 UNKNOWN = "und"
 
-_SPACE, _FOREIGN = 32, 1
-#: Signs of a run that four fit into 64 bits of.
-_PACKED = (1 << 16) - 2
+_SPACE = 32
+#: So many different signs four of which fit into 64 bits.
+_PACKED = (1 << 16) - 1
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -99,40 +98,57 @@ def _count(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     chars, begin = characters(texts)
     where = np.flatnonzero(_starts(begin, len(chars)))
     ids, alphabet = pd.factorize(chars)
-    if len(alphabet) > _PACKED:  # the rest of a huge alphabet counts as one sign
-        ids, alphabet = np.minimum(ids, _PACKED), np.append(alphabet[:_PACKED], np.uint32(_FOREIGN))
-    bits = max(1, len(alphabet).bit_length())
-    packed = np.zeros(len(where), dtype=np.uint64)
-    for k in range(ORDER):
-        packed = (packed << np.uint64(bits)) | ids[where - (ORDER - 1 - k)].astype(np.uint64)
-    codes, values = pd.factorize(packed)
     signs = np.array([chr(c) for c in alphabet.tolist()], dtype=object)
-    mask = np.uint64((1 << bits) - 1)
-    letters = [signs[((values >> np.uint64(bits * (ORDER - 1 - k))) & mask).astype(np.int64)] for k in range(ORDER)]
-    return sum(letters[1:], letters[0]), np.bincount(codes, minlength=len(values))
+    if len(alphabet) > _PACKED:
+        codes, columns = _by_pairs([ids[where - (ORDER - 1 - k)].astype(np.int64) for k in range(ORDER)])
+    else:
+        bits = max(1, len(alphabet).bit_length())
+        packed = np.zeros(len(where), dtype=np.uint64)
+        for k in range(ORDER):
+            packed = (packed << np.uint64(bits)) | ids[where - (ORDER - 1 - k)].astype(np.uint64)
+        codes, values = pd.factorize(packed)
+        mask = np.uint64((1 << bits) - 1)
+        columns = [((values >> np.uint64(bits * (ORDER - 1 - k))) & mask).astype(np.int64) for k in range(ORDER)]
+    letters = [signs[column] for column in columns]
+    return sum(letters[1:], letters[0]), np.bincount(codes, minlength=len(letters[0]))
+
+
+def _by_pairs(columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Numbers of the different rows of some columns, and the columns of these rows, when a row is too wide for 64 bits."""
+    codes, rows = columns[0], [np.arange(columns[0].max(initial=-1) + 1)]
+    for column in columns[1:]:
+        width = int(column.max(initial=0)) + 1
+        codes, pairs = pd.factorize(codes * width + column)
+        rows = [own[pairs // width] for own in rows] + [pairs % width]
+    return codes, rows
 
 
 def _counter(batches):
     for batch in batches:
-        names = batch.column("lang").to_pylist()
+        groups = list(zip(batch.column("lang").to_pylist(), batch.column("apart").to_pylist()))
         texts = textbytes.views(batch.column("text"))
-        for lang in dict.fromkeys(names):
+        for lang, apart in dict.fromkeys(groups):
             held: dict[str, int] = {}
-            own = [text for text, name in zip(texts, names) if name == lang]
+            own = [text for text, group in zip(texts, groups) if group == (lang, apart)]
             for _, run in _runs(own):
                 for gram, n in zip(*map(np.ndarray.tolist, _count(run))):
                     held[gram] = held.get(gram, 0) + n
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(held)), pa.array(list(held)), pa.array(list(held.values()), pa.int64())],
-                names=["lang", "gram", "n"],
-            )
+            counts = pa.array(list(held.values()), pa.int64())
+            zero = pa.array(np.zeros(len(held), dtype=np.int64))
+            columns = [pa.array([lang] * len(held)), pa.array(list(held)), counts, zero if apart else counts]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "gram", "n", "seen"])
+
 
+def count_ngrams(docs: DataFrame, text: str = "text", lang: str = "lang", apart: Column | None = None) -> DataFrame:
+    """``lang, gram, n, seen`` over every training text in full: batches count first, then one aggregation.
 
-def count_ngrams(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """``lang, gram, n`` over every training text in full: batches count first, then one aggregation."""
-    rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
-    counted = rows.mapInArrow(_counter, "lang string, gram string, n bigint")
-    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    ``seen`` leaves out the texts that are ``apart``.
+    """
+    rows = docs.select(
+        F.col(lang).alias("lang"), F.col(text).alias("text"), (F.lit(False) if apart is None else apart).alias("apart")
+    ).where("lang IS NOT NULL AND text IS NOT NULL")
+    counted = rows.mapInArrow(_counter, "lang string, gram string, n bigint, seen bigint")
+    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
 
 
 @dataclass
@@ -297,7 +313,7 @@ class Stored:
             )
 
 
-@cache
+@lru_cache(maxsize=1)
 def _mapped(name: str, files: tuple[str, ...], parts: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
     """Keys and values of all parts one after another, mapped, and where each part begins and the last one ends.
 
@@ -374,26 +390,43 @@ def _margins(bits: np.ndarray, best: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
-    """Models of all languages of the documents outside the held-out part, from all their texts in full but for the
-    part that rejection is calibrated on.
+    """Models of all languages of the documents outside the held-out part, from all their texts in full.
 
-    Every n-gram of these texts is in the models, whatever their size and number. A language without calibration texts is always accepted.
+    The texts are counted once. Models of the texts outside the calibration part say by how much the texts in it win,
+    in one pass over them for all languages; the models returned are those of all texts. So no language is lost, however
+    few its texts are; one without calibration texts that its own model wins is always accepted. Null texts and
+    languages teach nothing, repeated rows count as often as they stand there, and without any rows there is no language.
     """
     known = docs.where(~held_out(F.col(doc_id)) & F.col(lang).isNotNull() & F.col(text).isNotNull())
     apart = F.pmod(F.xxhash64(doc_id), F.lit(CALIBRATION_PART)) == 0
-    train = known.where(~apart)
-    langs, tables = store(count_ngrams(train, text, lang))
-    model = Model(langs, tables, [-np.inf] * len(langs))
-    for i, name in enumerate(langs):
-        rows = known.where(apart & (F.col(lang) == name)).orderBy(F.xxhash64(doc_id), doc_id).limit(CALIBRATION_TEXTS)
-        margins: list[float] = []
-        for _, run in _runs([row[0] for row in rows.select(text).collect()]):
-            bits = model.bits([own for own in run if any(map(str.isalpha, own))])
-            bits = bits[bits.argmin(axis=1) == i]
-            margins.extend(_margins(bits, bits.argmin(axis=1)))
-        if margins:
-            model.accept[i] = float(np.quantile(margins, ACCEPT_SHARE))
-    return model
+    counted = cut(count_ngrams(known, text, lang, apart))
+    langs, tables = store(counted.where("seen > 0").select("lang", "gram", F.col("seen").alias("n")))
+    trial = Model(langs, tables, [-np.inf] * len(langs))
+    won = known.where(apart).select(F.col(lang).alias("own"), margin(trial, F.col(text)).alias("found"))
+    margins = F.when(F.col("own") == F.col("found.lang"), F.col("found.margin"))
+    least = won.groupBy("own").agg(F.percentile_approx(margins, F.lit(ACCEPT_SHARE), F.lit(10_000)).alias("least"))
+    accept = {row.own: row.least for row in least.collect() if row.least is not None}
+    langs, tables = store(counted)
+    return Model(langs, tables, [accept.get(name, -np.inf) for name in langs])
+
+
+def margin(model: Model, text: Column) -> Column:
+    """``lang, margin`` of whole texts: the language that wins, and by how many bits a character; null without a letter."""
+
+    def of(texts: pa.Array) -> pa.Array:
+        langs: list[str | None] = [None] * len(texts)
+        margins = np.zeros(len(texts))
+        for at, run in _runs(textbytes.views(texts)):
+            some = [i for i, own in enumerate(run) if any(map(str.isalpha, own))]
+            if some and model.langs:
+                bits = model.bits([run[i] for i in some])
+                best = bits.argmin(axis=1)
+                margins[at + np.array(some)] = _margins(bits, best)
+                for i, k in zip(some, best):
+                    langs[at + i] = model.langs[k]
+        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(margins)], names=["lang", "margin"])
+
+    return F.arrow_udf(of, "lang string, margin double")(text)
 
 
 def predict(model: Model, text: Column) -> Column:
