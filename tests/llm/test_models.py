@@ -235,25 +235,25 @@ def test_no_language_is_lost(spark, docs):
     assert rows.count() == 3
     model = langid.fit(rows.unionByName(docs(*[(i, "the of and in " * 5, "en") for i in range(60)])))
     assert model.langs == ["el", "en"] and model.predict(["το της και"])[0] == ["el"]
-    assert model.accept[0] == -np.inf  # no other text of it to calibrate by
+    assert model.accept[0] == np.inf  # no other text of it to calibrate by
     assert langid.fit(rows).langs == ["el"]
 
 
-def test_calibration_is_the_margin_of_unseen_texts(spark):
+def test_calibration_is_the_entropy_of_unseen_texts(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text", "lang")
     known = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     apart = F.pmod(F.xxhash64("doc_id"), F.lit(langid.CALIBRATION_PART)) == 0
     langs, tables = langid.store(langid.count_ngrams(known.where(~apart)))
-    trial = langid.Model(langs, tables, [-np.inf] * len(langs))
-    margins = {name: [] for name in langs}
+    trial = langid.Model(langs, tables, [np.inf] * len(langs))
+    entropies = {name: [] for name in langs}
     for row in known.where(apart).collect():
         if any(map(str.isalpha, row.text)):
             bits = trial.bits([row.text])
             if langs[bits.argmin()] == row.lang:
-                margins[row.lang].append(langid._margins(bits, bits.argmin(axis=1))[0])
+                entropies[row.lang].append(bits.min())
     model = langid.fit(docs)
-    for name, least in zip(model.langs, model.accept):
-        assert np.isclose(least, np.quantile(margins[name], langid.ACCEPT_SHARE, method="inverted_cdf"))
+    for name, most in zip(model.langs, model.accept):
+        assert np.isclose(most, np.quantile(entropies[name], langid.ACCEPT_SHARE, method="inverted_cdf"))
 
 
 def test_counts_of_more_signs_than_fit_64_bits():

@@ -29,9 +29,9 @@ from wattline.streaming.storage import run_dir
 ORDER = 4
 #: Bytes of text that are worked on together.
 CHUNK = 1 << 20
-#: A language is accepted if its evidence against the runner-up is at least as great as that of this share of the
-#: calibration texts of its language.
-ACCEPT_SHARE = 0.01
+#: A language is accepted if its model codes the text no worse than it codes this share of its calibration texts. By how
+#: much the runner-up is worse would say less: one text of mixed languages in its training changes that.
+ACCEPT_SHARE = 0.99
 #: Rejection is calibrated on one in so many training texts, all of them, by models that have not seen these; the models
 #: that then predict have learnt them as well.
 CALIBRATION_PART = 16
@@ -374,26 +374,17 @@ class Model:
             n = np.minimum([len(run[i]) for i in some], 200)
             weights = np.exp2(-np.clip((bits - bits.min(axis=1, keepdims=True)) * n[:, None], 0, 200))
             score[where] = 1 / weights.sum(axis=1)
-            accepted[where] = _margins(bits, best) >= np.array(self.accept)[best]
+            accepted[where] = bits.min(axis=1) <= np.array(self.accept)[best]
             for i, k in zip(where, best):
                 lang[i] = self.langs[k]
         return lang, score, accepted
 
 
-def _margins(bits: np.ndarray, best: np.ndarray) -> np.ndarray:
-    """Bits per character by which the runner-up is worse; with one language, how far it is below 8 bits."""
-    if bits.shape[1] == 1:
-        return 8 - bits[:, 0]
-    rest = bits.copy()
-    rest[np.arange(len(bits)), best] = np.inf
-    return rest.min(axis=1) - bits.min(axis=1)
-
-
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     """Models of all languages of the documents outside the held-out part, from all their texts in full.
 
-    The texts are counted once. Models of the texts outside the calibration part say by how much the texts in it win,
-    in one pass over them for all languages; the models returned are those of all texts. So no language is lost, however
+    The texts are counted once. Models of the texts outside the calibration part code the texts in it, in one pass
+    for all languages; the models returned are those of all texts. So no language is lost, however
     few its texts are; one without calibration texts that its own model wins is always accepted. Null texts and
     languages teach nothing, repeated rows count as often as they stand there, and without any rows there is no language.
     """
@@ -401,32 +392,31 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     apart = F.pmod(F.xxhash64(doc_id), F.lit(CALIBRATION_PART)) == 0
     counted = cut(count_ngrams(known, text, lang, apart))
     langs, tables = store(counted.where("seen > 0").select("lang", "gram", F.col("seen").alias("n")))
-    trial = Model(langs, tables, [-np.inf] * len(langs))
-    won = known.where(apart).select(F.col(lang).alias("own"), margin(trial, F.col(text)).alias("found"))
-    margins = F.when(F.col("own") == F.col("found.lang"), F.col("found.margin"))
-    least = won.groupBy("own").agg(F.percentile_approx(margins, F.lit(ACCEPT_SHARE), F.lit(10_000)).alias("least"))
-    accept = {row.own: row.least for row in least.collect() if row.least is not None}
+    trial = Model(langs, tables, [np.inf] * len(langs))
+    won = known.where(apart).select(F.col(lang).alias("own"), coded(trial, F.col(text)).alias("found"))
+    bits = F.when(F.col("own") == F.col("found.lang"), F.col("found.bits"))
+    most = won.groupBy("own").agg(F.percentile_approx(bits, F.lit(ACCEPT_SHARE), F.lit(10_000)).alias("most"))
+    accept = {row.own: row.most for row in most.collect() if row.most is not None}
     langs, tables = store(counted)
-    return Model(langs, tables, [accept.get(name, -np.inf) for name in langs])
+    return Model(langs, tables, [accept.get(name, np.inf) for name in langs])
 
 
-def margin(model: Model, text: Column) -> Column:
-    """``lang, margin`` of whole texts: the language that wins, and by how many bits a character; null without a letter."""
+def coded(model: Model, text: Column) -> Column:
+    """``lang, bits`` of whole texts: the language that wins, and its bits per character; null without a letter."""
 
     def of(texts: pa.Array) -> pa.Array:
         langs: list[str | None] = [None] * len(texts)
-        margins = np.zeros(len(texts))
+        least = np.zeros(len(texts))
         for at, run in _runs(textbytes.views(texts)):
             some = [i for i, own in enumerate(run) if any(map(str.isalpha, own))]
             if some and model.langs:
                 bits = model.bits([run[i] for i in some])
-                best = bits.argmin(axis=1)
-                margins[at + np.array(some)] = _margins(bits, best)
-                for i, k in zip(some, best):
+                least[at + np.array(some)] = bits.min(axis=1)
+                for i, k in zip(some, bits.argmin(axis=1)):
                     langs[at + i] = model.langs[k]
-        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(margins)], names=["lang", "margin"])
+        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(least)], names=["lang", "bits"])
 
-    return F.arrow_udf(of, "lang string, margin double")(text)
+    return F.arrow_udf(of, "lang string, bits double")(text)
 
 
 def predict(model: Model, text: Column) -> Column:
@@ -442,8 +432,8 @@ def predict(model: Model, text: Column) -> Column:
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows with ``lang_pred``, ``lang_score`` and ``lang_accepted``; columns of these names are replaced.
 
-    Null texts and texts without a letter are ``und``, score 0, not accepted. A text of the best model's language
-    is not accepted if its margin is below that of nearly all calibration texts of the language; ties go to the first
+    Null texts and texts without a letter are ``und``, score 0, not accepted. A text is not accepted
+    if the best model codes it worse than nearly all calibration texts of its language; ties of languages go to the first
     language in order of name. Repeated rows and other columns are kept.
     """
     out = docs.select(
