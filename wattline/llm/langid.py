@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.llm import textbytes
-from wattline.llm.common import column, cut, held_out, whole
-from wattline.streaming.storage import run_dir
+from wattline.llm.common import column, held_out, whole
+from wattline.streaming.storage import delete, run_dir
 
 #: Characters of the longest n-gram.
 ORDER = 4
@@ -235,17 +235,24 @@ def hashed(gram: Column, order: int) -> Column:
 _SIGN = np.uint64(1 << 63)
 
 
-def estimates(counted: DataFrame) -> tuple[dict[str, float], DataFrame]:
+def _stored(frame: DataFrame, path: str) -> DataFrame:
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def estimates(counted: DataFrame, work: str) -> tuple[dict[str, float], DataFrame]:
     """What ``build`` computes, by Spark, from ``lang, gram, n`` of any size, for every language.
 
+    Tables on the way are written under ``work``, which may go when the rows have been stored.
+
     The probability of a letter never seen by language, in order of name, and rows ``part, key, value``: ``part`` is
     ``2 * ORDER`` times the language's number and twice the order below the n-gram's, and one more for contexts. What
     is collected is a row per language.
     """
-    tables = {ORDER: cut(counted.select("lang", "gram", F.col("n").cast("double").alias("c")))}
+    tables = {ORDER: _stored(counted.select("lang", "gram", F.col("n").cast("double").alias("c")), f"{work}/{ORDER}")}
     for order in range(ORDER - 1, 0, -1):
         shorter = tables[order + 1].groupBy("lang", F.expr("substring(gram, 2)").alias("gram"))
-        tables[order] = cut(shorter.agg(F.count("*").cast("double").alias("c")))
+        tables[order] = _stored(shorter.agg(F.count("*").cast("double").alias("c")), f"{work}/{order}")
     letters = {row.lang: row["count"] for row in tables[1].groupBy("lang").count().collect()}
     floors = {name: 1.0 / (letters[name] + 1) for name in sorted(letters)}
     spark = counted.sparkSession
@@ -261,10 +268,11 @@ def estimates(counted: DataFrame) -> tuple[dict[str, float], DataFrame]:
         )
         contexts = split.groupBy("lang", "context").agg(F.sum("c").alias("total"), F.count("*").alias("kinds"))
         contexts = contexts.join(discounts, "lang")
-        contexts = cut(contexts.withColumn("left", F.col("discount") * F.col("kinds") / F.col("total")))
+        left = (F.col("discount") * F.col("kinds") / F.col("total")).alias("left")
+        contexts = _stored(contexts.select("lang", "context", "discount", "total", left), f"{work}/contexts-{order}")
         p = (F.col("c") - F.col("discount")) / F.col("total") + F.col("left") * F.col("base")
         found = split.join(contexts, ["lang", "context"]).join(lower, ["lang", "suffix"])
-        found = cut(found.select("lang", "gram", p.alias("p")))
+        found = _stored(found.select("lang", "gram", p.alias("p")), f"{work}/found-{order}")
         lower = found.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("base"))
         for kind, frame, gram, length, value in (
             (0, found, "gram", order, "p"),
@@ -285,9 +293,10 @@ def estimates(counted: DataFrame) -> tuple[dict[str, float], DataFrame]:
 def store(counted: DataFrame) -> tuple[list[str], Stored]:
     """Languages and models over all n-grams, written sorted to the shared folder and offered to every executor."""
     spark = counted.sparkSession
-    floors, rows = estimates(counted)
     folder = run_dir(spark, "langid")
+    floors, rows = estimates(counted, f"{folder}-work")
     rows.orderBy("part", "key").write.parquet(folder)
+    delete(spark, f"{folder}-work")
     files = sorted(spark.read.schema(rows.schema).parquet(folder).inputFiles())
     for file in files:
         spark.sparkContext.addFile(file)
@@ -390,7 +399,8 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     """
     known = docs.where(~held_out(F.col(doc_id)) & F.col(lang).isNotNull() & F.col(text).isNotNull())
     apart = F.pmod(F.xxhash64(doc_id), F.lit(CALIBRATION_PART)) == 0
-    counted = cut(count_ngrams(known, text, lang, apart))
+    work = run_dir(docs.sparkSession, "langid-counts")
+    counted = _stored(count_ngrams(known, text, lang, apart), work)
     langs, tables = store(counted.where("seen > 0").select("lang", "gram", F.col("seen").alias("n")))
     trial = Model(langs, tables, [np.inf] * len(langs))
     won = known.where(apart).select(F.col(lang).alias("own"), coded(trial, F.col(text)).alias("found"))
@@ -398,6 +408,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     most = won.groupBy("own").agg(F.percentile_approx(bits, F.lit(ACCEPT_SHARE), F.lit(10_000)).alias("most"))
     accept = {row.own: row.most for row in most.collect() if row.most is not None}
     langs, tables = store(counted)
+    delete(docs.sparkSession, work)
     return Model(langs, tables, [accept.get(name, np.inf) for name in langs])
 
 
