@@ -368,33 +368,126 @@ def test_the_index_scores_few_and_finds_nearly_all(spark):
 # licenses
 
 
-def brute_cosine(text, model):
-    own = Counter(licenses.split_words(text))
+NAMES = "apache mit isc gnu gpl lgpl agpl mozilla mpl creative cc cc0 bsd unlicense".split()
+LIMITS = "affero lesser endorse noncommercial nc sharealike sa noderivatives nd".split()
+
+
+def brute_agrees(template, passage, before=()):
+    """What names a license in the template is in the passage, and no other restriction or denial is."""
+    telling = [w for w in template if w in NAMES + LIMITS or w.isdigit()]
+    denials = [sum(w in ("not", "never", "no", "cannot", "isn") for w in x) for x in (template, [*before, *passage])]
+    return set(telling) <= set(passage) and not (set(LIMITS) - set(telling)) & set(passage) and denials[1] <= denials[0]
+
+
+def brute_cosine(own, other, model):
     weight = lambda bag: {w: (1 + math.log(n)) * model.idf.get(w, model.unknown) for w, n in bag.items()}
     norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
-    best = (0.0, None)
+    a, b = weight(Counter(own)), weight(Counter(other))
+    return (sum(a[w] * b.get(w, 0) for w in a) / norm(a) / norm(b) if a else 0.0), norm(b)
+
+
+def brute_license(text, model):
+    """All passages against all templates: lines, short texts, windows of each template's length."""
+    lines = [licenses.split_words(line) for line in text.split("\n")]
+    own = [w for line in lines for w in line]
+    ends = [sum(map(len, lines[: i + 1])) for i in range(len(lines))]
+    first = []
+    for sentence in re.split(r"(?<=[.!?;:])\s|\n\s*\n", text):
+        first += [len(first)] * len(licenses.split_words(sentence))
+    spans = [(end - len(line), end) for line, end in zip(lines, ends)] + [(0, len(own))] * (len(own) <= 60)
+    found, nth = [], -1
     for name, texts in licenses.TEMPLATES.items():
-        for other in texts:
-            a, b = weight(own), weight(Counter(licenses.split_words(other)))
-            if a and (cos := sum(a[w] * b.get(w, 0) for w in a) / norm(a) / norm(b)) > best[0] + 1e-12:
-                best = (cos, name)
-    return best
-
-
-def test_cosines_and_the_cue_filter_lose_nothing():
-    model = licenses.build(1000, {w: 900 if len(w) < 4 else 3 for w in licenses.vocabulary()})
-    rng = random.Random(9)
+        for other in map(licenses.split_words, texts):
+            nth, width = nth + 1, min(len(other), len(own))
+            for start, end in {*spans, *((at, at + width) for at in range(len(own) - width + 1))}:
+                cosine, size = brute_cosine(own[start:end], other, model)
+                if cosine < model.threshold:
+                    continue
+                if brute_agrees(other, own[start:end], own[max(first[start], start - 6) : start]):
+                    found.append((-round(cosine * size, 9), nth, start, end, cosine, name))
+    kept = []
+    for match in sorted(found):
+        if all(match[3] <= other[2] or match[2] >= other[3] for other in kept):
+            kept.append(match)
+    return min(((-round(m[4], 9), m[1], m[2], m[5]) for m in kept), default=(0, 0, 0, None))
+
+
+def license_model():
+    return licenses.build(1000, {w: 900 if len(w) < 4 else 3 for w in licenses.vocabulary()})
+
+
+def test_cosines_cues_and_windows_are_those_of_the_definition():
+    model, rng = license_model(), random.Random(9)
     known = licenses.vocabulary() + ["alpha", "beta", "gamma"]
-    lines = [t for texts in licenses.TEMPLATES.values() for t in texts]
-    lines += [" ".join(rng.sample(t.split(), max(1, len(t.split()) - rng.randint(0, 4))) + rng.sample(known, rng.randint(0, 4)))
-              for t in lines for _ in range(10)] + [" ".join(rng.sample(known, 6)) for _ in range(200)]
+    notices = [t for texts in licenses.TEMPLATES.values() for t in texts]
     hits = 0
-    for line in lines:
-        cosine, name = brute_cosine(line, model)
-        got = model.scan(line + "\n" + "filler " * 200)
-        assert got[0] == (name if cosine >= model.threshold else None)
-        hits += got[0] is not None
-    assert hits > 50
+    for _ in range(60):
+        words = rng.choice([t for t in notices if len(t) < 400]).split()
+        kept = rng.sample(words, max(1, len(words) - rng.randint(0, 3))) if rng.random() < 0.5 else words
+        noise = [" ".join(rng.choices(known, k=rng.choice([0, 3, 40]))) for _ in range(2)]
+        text = rng.choice([" ", "\n"]).join([noise[0], " ".join(kept), noise[1]])
+        cosine, _, _, name = brute_license(text, model)
+        got = model.find(text)
+        assert got[0] == name and got[1] == pytest.approx(-cosine, abs=1e-8)
+        hits += name is not None
+    assert hits > 20
+
+
+def test_every_template_is_its_own_license():
+    model, filler = license_model(), " ".join(f"w{i}" for i in range(90))
+    for name, texts in licenses.TEMPLATES.items():
+        for text in texts:
+            assert model.find(f"{filler} {text} {filler}")[0] == name, text
+            assert model.find("\n".join(text.split()))[::2] == (name, True), text
+
+
+CONFUSABLE = {
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+    "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any "
+    "later version.": "GPL-2.0",
+    "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+    "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+    "any later version.": "LGPL-3.0",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+    "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+    "any later version.": "AGPL-3.0",
+    "SPDX-License-Identifier: GPL-2.0-only": "GPL-2.0",
+    "SPDX-License-Identifier: BSD-2-Clause": "BSD-2-Clause",
+    "SPDX-License-Identifier: ISC": "ISC",
+    "SPDX-License-Identifier: EPL-2.0": None,
+    "Licensed under CC BY 4.0.": "CC-BY-4.0",
+    "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA-4.0",
+    "This work is licensed under a Creative Commons Attribution 4.0 International License.": "CC-BY-4.0",
+    "This work is not dedicated to the public domain.": None,
+    "This work is not licensed under the GNU General Public License, version 3.": None,
+    "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby "
+    "granted, provided that the above copyright notice and this permission notice appear in all copies.": "ISC",
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": "MPL-2.0",
+}
+
+
+def test_a_denial_counts_within_its_sentence():
+    model = license_model()
+    assert model.find("There is no warranty. Released under the MIT License.")[0] == "MIT"
+    assert model.find("This work is not\nreleased under the MIT License.")[0] is None
+
+
+@pytest.mark.parametrize("notice, name", CONFUSABLE.items())
+@pytest.mark.parametrize("around", ["{}", "some words\n{}\nother words", "word " * 40 + "{}" + " text" * 40])
+def test_relatives_are_told_apart(notice, name, around):
+    assert license_model().find(around.format(notice))[0] == name
+
+
+def test_license_files_of_the_bsd_family_and_short_files(spark, docs):
+    two = f"Copyright (c) 2024\n\n{licenses.TEMPLATES['BSD-2-Clause'][-1]}"
+    three = f"Copyright (c) 2024\n\n{licenses.TEMPLATES['BSD-3-Clause'][-1]} and so on " + "more " * 60
+    model = license_model()
+    assert model.find(two)[0] == "BSD-2-Clause" and model.find(three)[0] == "BSD-3-Clause"
+    short = "A program that counts words and lines in many files of all kinds. Released under the MIT License."
+    assert model.find(short)[0] == "MIT" and not model.find(short)[2] and model.find(short, "LICENSE.md")[2]
+    frame = docs((1, two, "en", "a/LICENSE"), (2, "code " * 70, "en", "a/b/c.c"), (3, "code", "en", "d.c"))
+    got = {r.path: r.final for r in licenses.scan(frame, F.col("source")).collect()}
+    assert got == {"a/LICENSE": "BSD-2-Clause", "a/b/c.c": "BSD-2-Clause", "d.c": None}
 
 
 def test_licenses_are_inherited_from_the_nearest_directory(spark, docs):
@@ -432,17 +525,3 @@ def test_notices_in_paragraphs_and_long_license_files(spark, docs):
     assert got["p/r.txt"] == ("Apache-2.0", "Apache-2.0", None, False)
     assert got["q/COPYING.txt"] == got["q/b.py"] == (None, "MIT", "", False)
     assert got["z/1"] == ("Apache-2.0", "Apache-2.0", None, True) and got["z/2"] == (None, "Apache-2.0", "z", False)
-
-
-def test_windows_are_those_of_the_definition():
-    model = licenses.build(1000, {w: 900 if len(w) < 4 else 3 for w in licenses.vocabulary()})
-    rng = random.Random(4)
-    known = licenses.vocabulary()
-    texts = [t for own in licenses.TEMPLATES.values() for t in own]
-    for _ in range(60):
-        text = " ".join(rng.choices(known, k=70)) + " " + rng.choice(texts) + " " + " ".join(rng.choices(known, k=70))
-        own, best = licenses.split_words(text), 0.0
-        for i, width in enumerate(model.widths):
-            best = max(best, *(model._cosine(i, own[at : at + width]) for at in range(len(own) - width + 1)))
-        license, cosine, _ = model.find(text)
-        assert license and cosine == pytest.approx(max(best, model.scan(text)[1]))

@@ -1,9 +1,11 @@
 """License scans: TF-IDF cosine to license templates, then inheritance from the nearest directory above.
 
 Every line of a text, a short text as a whole, and every run of as many words as a template has around a cue word,
-whatever the line breaks, is a passage. A passage's cosine to each template is taken over
+whatever the line breaks, is a passage. Templates are notices, headers and titles, and the whole text of short licenses. A passage's cosine to each template is taken over
 sparse TF-IDF vectors, whose document frequencies are counted over the whole corpus for the templates' words; a word
-that no template has counts as one that no document has, and so pushes a passage away from all templates.
+that no template has counts as one that no document has, and so pushes a passage away from all templates. Relatives
+share nearly all their words, so a passage must also have the template's version numbers and identifying words, must
+not have another relative's restriction, and must not deny what the template says.
 
 A file with a notice of its own has that license. Another one inherits from the nearest directory on its path that
 holds a license file; directories are joined by path.
@@ -23,13 +25,100 @@ from pyspark.sql import functions as F
 from wattline.llm import textbytes
 from wattline.llm.common import cut, words
 
-#: Wording of notices and headers, by license. Fixed values.
+def _gnu(title: str, short: str, version: str, what: str) -> tuple[str, ...]:
+    """Notices of a GNU license: naming it, its header in a source file, its title and its identifiers."""
+    header = (
+        f"This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {title} as "
+        f"published by the Free Software Foundation, either version {version} of the License, or"
+    )
+    identifier = version if "." in version else f"{version}.0"
+    return (
+        f"This work is licensed under the GNU {title}, version {version}.",
+        f"{header} any later version.",
+        f"{header} (at your option) any later version.",
+        f"GNU {title} Version {version}",
+        f"SPDX-License-Identifier: {short}-{identifier}-or-later",
+        f"SPDX-License-Identifier: {short}-{identifier}-only",
+    )
+
+
+def _creative_commons() -> dict[str, tuple[str, ...]]:
+    """Notices of the attribution licenses, each with its restrictions."""
+    restrictions = {"": "", "-SA": "-ShareAlike", "-NC": "-NonCommercial", "-ND": "-NoDerivatives",
+                    "-NC-SA": "-NonCommercial-ShareAlike", "-NC-ND": "-NonCommercial-NoDerivatives"}
+    return {
+        f"CC-BY{short}-{version}": (
+            f"Licensed under CC BY{short} {version}.",
+            f"This work is licensed under a Creative Commons Attribution{long} {version} {scope} License.",
+            f"SPDX-License-Identifier: CC-BY{short}-{version}",
+        )
+        for version, scope in (("4.0", "International"), ("3.0", "Unported"))
+        for short, long in restrictions.items()
+    }
+
+
+# Passages of the licenses' own texts.
+_AS_IS = (
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO '
+    "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. "
+)
+_MIT_TEXT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    'documentation files (the "Software"), to deal in the Software without restriction, including without limitation '
+    "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and "
+    "to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above "
+    "copyright notice and this permission notice shall be included in all copies or substantial portions of the "
+    "Software. " + _AS_IS + "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR "
+    "OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH "
+    "THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_ISC_TEXT = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+    "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS "
+    'PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED '
+    "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+    "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER "
+    "IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
+    "PERFORMANCE OF THIS SOFTWARE."
+)
+_BSD_LEAD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met."
+)
+_BSD_TWO = (
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+    "the following disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+_BSD_THIRD = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission. "
+)
+_BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE "
+    "USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_UNLICENSE_TEXT = (
+    "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+    "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+    "purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the "
+    "author or authors of this software dedicate any and all copyright interest in the software to the public domain."
+)
+
+#: Wording of notices and headers, titles, and the whole text of short licenses, by license. Fixed values.
 TEMPLATES = {
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
         "compliance with the License.",
         "SPDX-License-Identifier: Apache-2.0",
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, "
+        "REPRODUCTION, AND DISTRIBUTION",
     ),
     "MIT": (
         "Released under the MIT License.",
@@ -37,32 +126,70 @@ TEMPLATES = {
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files, to deal in the Software without restriction.",
         "SPDX-License-Identifier: MIT",
+        _MIT_TEXT,
+    ),
+    "ISC": (
+        "Released under the ISC License.",
+        "This project is licensed under the terms of the ISC license.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted.",
+        "SPDX-License-Identifier: ISC",
+        _ISC_TEXT,
+    ),
+    "GPL-3.0": _gnu("General Public License", "GPL", "3", "program"),
+    "GPL-2.0": _gnu("General Public License", "GPL", "2", "program"),
+    "LGPL-3.0": _gnu("Lesser General Public License", "LGPL", "3", "library"),
+    "LGPL-2.1": _gnu("Lesser General Public License", "LGPL", "2.1", "library"),
+    "AGPL-3.0": _gnu("Affero General Public License", "AGPL", "3", "program"),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+        "Mozilla Public License Version 2.0",
+        "SPDX-License-Identifier: MPL-2.0",
     ),
-    "GPL-3.0": (
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-        "Public License as published by the Free Software Foundation, either version 3 of the License, or any later "
-        "version.",
-        "SPDX-License-Identifier: GPL-3.0-or-later",
+    **_creative_commons(),
+    "CC0-1.0": (
+        "Released under CC0 1.0 Universal.",
+        "SPDX-License-Identifier: CC0-1.0",
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to "
+        "this work under CC0 1.0.",
     ),
-    "CC-BY-NC-4.0": (
-        "Licensed under CC BY-NC 4.0.",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "BSD": (_BSD_LEAD,),  # the clauses that would tell which one are not there
+    "BSD-2-Clause": (
+        "Released under the 2-Clause BSD License.",
+        "SPDX-License-Identifier: BSD-2-Clause",
+        f"{_BSD_LEAD} {_BSD_TWO}",
+        f"{_BSD_LEAD} {_BSD_TWO}{_BSD_END}",
     ),
     "BSD-3-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
-        "the following conditions are met.",
+        "Released under the 3-Clause BSD License.",
         "SPDX-License-Identifier: BSD-3-Clause",
+        f"{_BSD_LEAD} {_BSD_TWO}{_BSD_THIRD}",
+        f"{_BSD_LEAD} {_BSD_TWO}{_BSD_THIRD}{_BSD_END}",
+    ),
+    "Public-Domain": (
+        "This work is dedicated to the public domain.",
+        "This is free and unencumbered software released into the public domain.",
+        "SPDX-License-Identifier: Unlicense",
+        _UNLICENSE_TEXT,
     ),
-    "Public-Domain": ("This work is dedicated to the public domain.", "This is free and unencumbered software released "
-                      "into the public domain."),
 }
 
+#: Words that tell a license from its relatives: a passage has those of a template, and so it has the template's
+#: numbers; of the restrictions it has no other ones. Fixed values.
+RESTRICTIONS = frozenset("affero lesser endorse noncommercial nc sharealike sa noderivatives nd".split())
+NAMES = frozenset("apache mit isc gnu gpl lgpl agpl mozilla mpl creative cc cc0 bsd unlicense".split()) | RESTRICTIONS
+#: Words that deny a notice: a passage has no more of them than the template, counting so many words before it, as far
+#: as they belong to its sentence.
+DENIALS = frozenset("not never no cannot isn".split())
+BEFORE = 6
+
 #: Least cosine of a passage to a template.
 THRESHOLD = 0.7
-#: A text of at most so many words is also compared as a whole; with a notice it is its directory's license file.
-FILE_WORDS = 60
-#: So is a longer text with a notice if its name says so, or if passages with a license are this share of its words.
+#: A text of at most so many words is also compared as a whole.
+SHORT_WORDS = 60
+#: A text with a notice is a license file if its name says so, or if passages with a license are this share of its words.
 FILE_SHARE = 0.5
 FILE_NAME = re.compile(
     r"(?!.*\.(?:py|pyi|c|cc|cpp|h|hpp|cs|java|kt|scala|js|jsx|ts|tsx|go|rs|rb|php|sh|json|xml|ya?ml|toml)$)"
@@ -71,6 +198,8 @@ FILE_NAME = re.compile(
 )
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_LINE = re.compile(r"[\n-\r]")
+_SENTENCE = re.compile(r"(?<=[.!?;:])[\t-\r ]|\n[\t\r ]*\n")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -78,81 +207,128 @@ def split_words(text: str) -> list[str]:
     return _WORD.findall(text.translate(_LOWER))
 
 
+def chosen(found: list[Match]) -> Match:
+    """The match that names a text's license: the greatest cosine, ties to the first template, then the first place.
+
+    A passage in which a longer template is found is not judged by a shorter one that it holds too, as all licenses of
+    a family share sentences: matches that overlap a chosen one of more mass do not count.
+    """
+    taken = bytearray(max(match.end for match in found))
+    kept: list[Match] = []
+    for match in sorted(found, key=lambda m: (-round(m.mass, 9), m.template, m.start)):
+        if 1 not in taken[match.start : match.end]:
+            kept.append(match)
+            taken[match.start : match.end] = b"\1" * (match.end - match.start)
+    return max(kept, key=lambda m: (round(m.cosine, 9), -m.template, -m.start))
+
+
 def vocabulary() -> list[str]:
     return sorted({word for texts in TEMPLATES.values() for text in texts for word in split_words(text)})
 
 
+@dataclass
+class Template:
+    license: str
+    weights: dict[str, float]
+    size: float  # length of the weights
+    width: int  # in words
+    cues: frozenset[str]
+    marks: frozenset[str]  # names, restrictions and numbers in it
+    others: frozenset[str]  # restrictions that it does not have
+    denials: int
+
+    def agrees(self, passage: list[str], before: list[str]) -> bool:
+        """Whether what tells the license from its relatives is the same, and nothing denies it."""
+        held = set(passage)
+        denied = sum(word in DENIALS for word in (*before, *passage))
+        return self.marks <= held and not self.others & held and denied <= self.denials
+
+
+@dataclass(frozen=True)
+class Match:
+    cosine: float
+    template: int
+    start: int
+    end: int  # of its words in the text
+    mass: float  # cosine times length of the template: what of the template was found
+
+
 @dataclass
 class Model:
     idf: dict[str, float]
     unknown: float
-    templates: list[tuple[str, dict[str, float], float]]  # license, weights, length
-    widths: list[int]  # of the templates, in words
-    own_cues: list[frozenset[str]]  # of the templates
+    templates: list[Template]
     cues: re.Pattern
     threshold: float
 
-    def best(self, passage: list[str]) -> tuple[str | None, float]:
-        """The license of the most similar template and its cosine; ties go to the first template."""
-        own = {word: (1 + math.log(n)) * self.idf.get(word, self.unknown) for word, n in Counter(passage).items()}
-        length = math.sqrt(sum(x * x for x in own.values()))
-        name, most = None, 0.0
-        for license, weights, size in self.templates:
-            shared = sum(weight * own[word] for word, weight in weights.items() if word in own)
-            if length and shared / (length * size) > most + 1e-12:
-                name, most = license, shared / (length * size)
-        return name, most
-
-    def scan(self, text: str | None) -> tuple[str | None, float, bool]:
+    def find(self, text: str | None, name: str = "") -> tuple[str | None, float, bool]:
         """License, cosine, and whether the text is a license file. Whole texts are read, whatever their length."""
-        if not text or not self.cues.search(text.lower()):
+        all_words, found = self.matches(text)
+        if not found:
             return None, 0.0, False
-        found: tuple[str | None, float] = (None, 0.0)
-        for line in text.splitlines():
-            if self.cues.search(line.lower()):
-                found = max(found, self.best(split_words(line)), key=lambda x: x[1])
-        all_words = split_words(text)
-        short = len(all_words) <= FILE_WORDS
-        if short:
-            found = max(found, self.best(all_words), key=lambda x: x[1])
-        if found[1] < self.threshold:
-            return None, found[1], False
-        return *found, short
-
-    def find(self, text: str | None, name: str = "") -> tuple[str | None, float, bool]:
-        """As ``scan``, with notices inside or across lines, and with license files of any length."""
-        found = self.scan(text)
-        if not text or not self.cues.search(text.lower()):
-            return found
-        all_words = split_words(text)
-        present, covered, best = set(all_words), bytearray(len(all_words)), found[:2]
-        for i, (license, weights, size) in enumerate(self.templates):
-            # no passage's cosine exceeds the length of what the text has of the template
-            if sum(x * x for word, x in weights.items() if word in present) < (self.threshold * size) ** 2 - 1e-9:
-                continue
-            width = min(self.widths[i], len(all_words))
-            for at, cosine in self._windows(i, all_words, width):
+        best = chosen(found)
+        covered = bytearray(len(all_words))
+        for match in found:
+            covered[match.start : match.end] = b"\1" * (match.end - match.start)
+        is_file = FILE_NAME.fullmatch(name) is not None or sum(covered) >= FILE_SHARE * len(all_words)
+        return self.templates[best.template].license, best.cosine, is_file
+
+    def matches(self, text: str | None) -> tuple[list[str], list[Match]]:
+        """The text's words and its passages with a license: lines, a short text as a whole, and windows of words."""
+        if not text or not self.cues.search(text.translate(_LOWER)):
+            return [], []
+        lines = [split_words(line) for line in _LINE.split(text)]
+        all_words = [word for line in lines for word in line]
+        present = set(all_words)
+        possible = [i for i, template in enumerate(self.templates) if self._possible(template, present)]
+        if not possible:
+            return all_words, []
+        spans, at = [(0, len(all_words))] if len(all_words) <= SHORT_WORDS else [], 0
+        for line in lines:
+            spans.append((at, at + len(line)))
+            at += len(line)
+        sentences = [0] * (len(all_words) + 1)  # where the sentence of each word begins
+        at = 0
+        for sentence in map(split_words, _SENTENCE.split(text)):
+            sentences[at : at + len(sentence)] = [at] * len(sentence)
+            at += len(sentence)
+        found = []
+        for i in possible:
+            cues, width = self.templates[i].cues, min(self.templates[i].width, len(all_words))
+            for start, end in spans:
+                if not cues.isdisjoint(all_words[start:end]):
+                    found += self._match(i, all_words, sentences, start, end)
+            for start, cosine in self._windows(i, all_words, width):
                 if cosine >= self.threshold - 1e-9:
-                    exact = self._cosine(i, all_words[at : at + width])
-                    if exact >= self.threshold:
-                        covered[at : at + width] = b"\1" * width
-                        if exact > best[1] + 1e-12:
-                            best = license, exact
-        if best[0] is None:
-            return found
-        named = FILE_NAME.fullmatch(name) is not None
-        return *best, found[2] or named or len(all_words) <= FILE_WORDS or sum(covered) >= FILE_SHARE * len(all_words)
+                    found += self._match(i, all_words, sentences, start, start + width)
+        return all_words, found
+
+    def _possible(self, template: Template, present: set[str]) -> bool:
+        """No passage's cosine exceeds the length of what the text has of the template."""
+        if not template.marks <= present:
+            return False
+        shared = sum(x * x for word, x in template.weights.items() if word in present)
+        return shared >= (self.threshold * template.size) ** 2 - 1e-9
+
+    def _match(self, i: int, all_words: list[str], sentences: list[int], start: int, end: int) -> list[Match]:
+        passage, template = all_words[start:end], self.templates[i]
+        cosine = self._cosine(i, passage)
+        before = all_words[max(sentences[start], start - BEFORE) : start]
+        if cosine < self.threshold or not template.agrees(passage, before):
+            return []
+        return [Match(cosine, i, start, end, cosine * template.size)]
 
     def _cosine(self, i: int, passage: list[str]) -> float:
-        _, weights, size = self.templates[i]
+        template = self.templates[i]
         own = {word: (1 + math.log(n)) * self.idf.get(word, self.unknown) for word, n in Counter(passage).items()}
         length = math.sqrt(sum(x * x for x in own.values()))
-        return sum(weight * own[word] for word, weight in weights.items() if word in own) / (length * size)
+        shared = sum(template.weights[word] * weight for word, weight in own.items() if word in template.weights)
+        return shared / (length * template.size) if length else 0.0
 
     def _windows(self, i: int, all_words: list[str], width: int):
         """First words and cosines of all windows of a text that hold one of the template's cues, by sliding."""
-        _, weights, size = self.templates[i]
-        cues, last = self.own_cues[i], len(all_words) - width
+        weights, size, cues = self.templates[i].weights, self.templates[i].size, self.templates[i].cues
+        last = len(all_words) - width
         held: dict[str, int] = {}
         square = dot = 0.0
         begin = end = 0  # what is held
@@ -191,29 +367,35 @@ def build(n_docs: int, frequency: dict[str, int], threshold: float = THRESHOLD)
     shorter than the threshold's share of its length, and the cosine can't exceed that share.
     """
     idf = {word: math.log((1 + n_docs) / (1 + frequency.get(word, 0))) + 1 for word in vocabulary()}
-    templates, cues, widths, own_cues = [], set(), [], []
+    templates = []
     for license, texts in TEMPLATES.items():
         for text in texts:
-            weights = {word: (1 + math.log(n)) * idf[word] for word, n in Counter(split_words(text)).items()}
+            own = split_words(text)
+            weights = {word: (1 + math.log(n)) * idf[word] for word, n in Counter(own).items()}
             size = math.sqrt(sum(x * x for x in weights.values()))
-            templates.append((license, weights, size))
-            widths.append(len(split_words(text)))
-            rest, own = size * size, set()
+            rest, cues = size * size, set()
             for word in sorted(weights, key=lambda w: (-weights[w], w)):
                 if rest < (threshold * size) ** 2:
                     break
-                own.add(word)
+                cues.add(word)
                 rest -= weights[word] ** 2
-            own_cues.append(frozenset(own))
-            cues |= own
-    pattern = "|".join(sorted(map(re.escape, cues)))
+            marks = frozenset(word for word in own if word in NAMES or word.isdigit())
+            denials = sum(word in DENIALS for word in own)
+            templates.append(
+                Template(license, weights, size, len(own), frozenset(cues), marks, RESTRICTIONS - marks, denials)
+            )
+    pattern = "|".join(sorted({re.escape(word) for template in templates for word in template.cues}))
     edge = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
     found = re.compile(f"(?<!{edge})(?:{pattern})(?!{edge})")
-    return Model(idf, math.log(1 + n_docs) + 1, templates, widths, own_cues, found, threshold)
+    return Model(idf, math.log(1 + n_docs) + 1, templates, found, threshold)
 
 
 def fit(files: DataFrame, text: str = "text") -> Model:
-    """Document frequencies of the templates' words over all files; what is collected is one row per such word."""
+    """Document frequencies of the templates' words over all files; what is collected is one row per such word.
+
+    Null and empty texts count as files without words, and repeated rows count each time; without files all words of
+    templates weigh the same.
+    """
     known = vocabulary()
     marks = F.array_intersect(words(F.col(text)), F.array(*[F.lit(word) for word in known]))
     counted = files.select(F.explode(marks).alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()
