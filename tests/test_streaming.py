@@ -17,7 +17,7 @@ from wattline.operators import joins, keyed
 from wattline.plans.stream_plans import bounded_join
 from wattline.sources import message_files
 from wattline.streaming import storage, upsert
-from wattline.streaming.jobs import device_telemetry_job, feed_jobs
+from wattline.streaming.jobs import device_telemetry_job, feed_jobs, keyed_sink
 from wattline.streaming.runner import Job, console, plan, run_available, run_until_stopped, start, stop
 from wattline.streaming.sinks import external_sink, files_sink, guarded, outcome_sink, split_sink
 from wattline.streaming.upsert import KeyedTable, LatestLog
@@ -280,7 +280,9 @@ def test_merging_a_batch_again_changes_nothing(spark, scratch, nulls):
     assert tuples(table.read(spark)) == once
 
 
-def test_a_merge_cut_short_has_not_happened(spark, scratch, monkeypatch):
+def test_a_merge_cut_short_has_not_happened_or_is_finished(spark, scratch, monkeypatch):
+    import shutil
+
     rows = change_rows(random.Random(2))
     table = keyed_table(scratch, C.OVERWRITE, "d", ("d", "k"))
     table.merge(spark.createDataFrame(rows[:60], SCHEMA), 0)
@@ -289,44 +291,50 @@ def test_a_merge_cut_short_has_not_happened(spark, scratch, monkeypatch):
     def cut(*_):
         raise RuntimeError("driver lost")
 
-    second = spark.createDataFrame(rows[60:], SCHEMA)
-    for step in ("gathered", "write_whole"):  # before the directories are written, and before they count
-        with monkeypatch.context() as patched:
-            patched.setattr(upsert, step, cut)
-            with pytest.raises(RuntimeError):
-                table.merge(second, 1)
-        assert tuples(table.read(spark)) == before
+    second = spark.createDataFrame(rows[60:100], SCHEMA)
+    with monkeypatch.context() as patched:
+        patched.setattr(upsert, "gathered", cut)
+        with pytest.raises(RuntimeError):
+            table.merge(second, 1)
+    assert tuples(table.read(spark)) == before
+    finish = KeyedTable._finish
+    calls = []
+    with monkeypatch.context() as patched:  # staged, not yet overwritten
+        patched.setattr(KeyedTable, "_finish", lambda *given: cut() if calls else calls.append(finish(*given)))
+        with pytest.raises(RuntimeError):
+            table.merge(second, 1)
+    assert tuples(table.read(spark)) == before
+    shutil.rmtree(f"{scratch}/table/d=2024-01-02")  # as if lost between the old files' end and the new ones' place
+    table.merge(spark.createDataFrame(rows[100:], SCHEMA), 7)
+    assert tuples(table.read(spark)) == tuples(expected(spark, rows, ["d", "k"], C.OVERWRITE))
     table.merge(second, 1)
     assert tuples(table.read(spark)) == tuples(expected(spark, rows, ["d", "k"], C.OVERWRITE))
+    assert not storage.names(spark, table.staged)
 
 
-def test_readers_keep_the_state_that_they_opened(spark, scratch):
-    rows = change_rows(random.Random(5))
-    table = keyed_table(scratch, C.OVERWRITE, "d", ("d", "k"))
-    table.merge(spark.createDataFrame(rows[:60], SCHEMA), 0)
-    opened = table.read(spark)
-    table.merge(spark.createDataFrame(rows[60:], SCHEMA), 1)
-    assert tuples(opened) == tuples(expected(spark, rows[:60], ["d", "k"], C.OVERWRITE))
+def files_of(path):
+    from pathlib import Path
 
+    folders = {}
+    for file in Path(path).glob("*=*/*.parquet"):
+        folders.setdefault(file.parent.name, set()).add(file.name)
+    return folders
 
-def test_a_merge_writes_and_reads_touched_directories_only(spark, scratch):
-    from pathlib import Path
 
+def test_a_merge_writes_touched_partitions_only(spark, scratch):
     rows = change_rows(random.Random(3))
     table = keyed_table(scratch, C.OVERWRITE, "d", ("d", "k"))
     table.merge(spark.createDataFrame(rows, SCHEMA), 0)
-    one_day = [row for row in rows if row[0].day == 2]
-    late = [(*row[:4], 99, row[5]) for row in one_day]
-    for batch_id in (1, 2):
-        table.merge(spark.createDataFrame(late, SCHEMA), batch_id)
-    table.merge(spark.createDataFrame([], SCHEMA), 3)
-    folders = {str(path.relative_to(f"{scratch}/table/data")) for path in Path(scratch, "table/data").glob("*/d=*")}
-    others = {f"version=1/d=2024-01-0{day}" for day in (1, 3, 4)}
-    assert folders == others | {"version=2/d=2024-01-02", "version=3/d=2024-01-02"}
+    first = files_of(table.path)
+    late = [(*row[:4], 99, row[5]) for row in rows if row[0].day in (1, 3)]
+    table.merge(spark.createDataFrame(late, SCHEMA), 1)
+    table.merge(spark.createDataFrame([], SCHEMA), 2)
+    now = files_of(table.path)
+    assert {name for name in now if now[name] == first[name]} == {"d=2024-01-02", "d=2024-01-04"}
     assert table.read(spark).count() == expected(spark, rows, ["d", "k"], C.OVERWRITE).count()
 
 
-def test_reads_are_pruned_to_directories(spark, scratch):
+def test_reads_are_pruned_to_partitions(spark, scratch):
     import datetime as dt
 
     rows = change_rows(random.Random(4))
@@ -334,11 +342,45 @@ def test_reads_are_pruned_to_directories(spark, scratch):
     table.merge(spark.createDataFrame(rows, SCHEMA), 0)
     days = dt.date(2024, 1, 2), dt.date(2024, 1, 3)
     part = table.read(spark, only=days)
-    assert {path.split("/")[-2] for path in part.inputFiles()} == {"d=2024-01-02", "d=2024-01-03"}
+    assert {row.d for row in part.collect()} == set(days)
+    assert "PartitionFilters: [isnotnull(d" in executed(part)
     filtered = table.read(spark).where(F.col("d") == F.lit(days[0]))
     assert "PartitionFilters: [isnotnull(d" in executed(filtered)
 
 
+def test_text_partitions_keep_their_values(spark, scratch):
+    table = keyed_table(scratch, C.OVERWRITE, "k", ("k",))
+    for batch_id, value in enumerate((1, 2)):
+        rows = [(None, key, value, "x", value, n) for n, key in enumerate(("007", "", None, "a/b"))]
+        table.merge(spark.createDataFrame(rows, SCHEMA), batch_id)
+    got = sorted((row.k or "", row.v) for row in table.read(spark).collect())
+    assert got == [("", 2), ("007", 2), ("a/b", 2)]  # an empty text has no directory of its own
+
+
+def test_a_history_batch_writes_its_own_days_only(spark, scratch):
+    import datetime as dt
+
+    sink = keyed_sink(C.PARAMETER, f"{scratch}/h", "history")
+    columns = C.PARAMETER.table.types
+
+    def batch(day, n):
+        time, row = dt.datetime(2024, 1, day, 12), {}
+        for name, kind in columns.items():
+            row[name] = time if kind == "timestamp" else time.date() if kind == "date" else None
+        row |= {"device": f"D{n}", "parameter": "p", "_partition": 0, "_offset": n}
+        ddl = ", ".join(f"{name} {kind}" for name, kind in columns.items())
+        return spark.createDataFrame([row], f"{ddl}, _partition int, _offset bigint")
+
+    sink(batch(1, 1), 0)
+    first = files_of(f"{scratch}/h")
+    sink(batch(2, 2), 1)
+    sink(batch(2, 3), 2)
+    sink(batch(2, 3), 2)
+    now = files_of(f"{scratch}/h")
+    assert set(now) == {"_day=2024-01-01", "_day=2024-01-02"} and now["_day=2024-01-01"] == first["_day=2024-01-01"]
+    assert spark.read.parquet(f"{scratch}/h").count() == 3
+
+
 def test_null_dates_and_a_key_under_two_dates(spark, scratch):
     table = keyed_table(scratch, C.OVERWRITE, "d", ("d", "k"))
     rows = [(None, "a", 1, "x", 1, 1), (None, "a", 2, "x", 2, 2)]
@@ -347,6 +389,8 @@ def test_null_dates_and_a_key_under_two_dates(spark, scratch):
     assert [(row.d, row.v) for row in table.read(spark).collect()] == [(None, 2)]
     with pytest.raises(ValueError, match="several values of d"):
         keyed_table(scratch, C.OVERWRITE, "d", ("k",))
+    with pytest.raises(ValueError, match="several days of at"):
+        KeyedTable(f"{scratch}/t", COLUMNS, ("k",), ("seq",), day_of="at")
     with pytest.raises(ValueError, match="nothing is stored"):
         keyed_table(f"{scratch}/new", C.OVERWRITE).read(spark)
 
@@ -489,7 +533,7 @@ def test_command_line_runs_feeds_and_join_on_file_topics(spark, scratch, message
     assert event.read(spark).count() == 3
     log = spark.read.parquet(f"{scratch}/state/events/log")
     assert log.count() == 3 and spark.read.parquet(f"{scratch}/d-state/event").count() == 1
-    points = spark.read.parquet(f"{scratch}/history/measurement_points/log")
+    points = spark.read.parquet(f"{scratch}/history/measurement_points")
     assert sorted((row.register, row.value) for row in points.collect()) == [("x", 1.0), ("y", 2.0)]
     main([*base, *two, "--checkpoints", f"{scratch}/ck-o", "--out", f"{scratch}/o", "--outcomes"])
     outcomes = spark.read.parquet(f"{scratch}/o/events").groupBy("outcome").count().collect()

@@ -2,7 +2,7 @@
 
     (--servers HOST:PORT | --files DIR) --checkpoints DIR (--out DIR | --format NAME [--option K=V ...])
     [--feed NAME[=TOPIC] ...] [--starting earliest|latest] [--max-offsets N] [--min-partitions N]
-    [--dead-letters DIR [--keyed table|state|history] | --outcomes] [--lenient] [--attempts N] [--keep-failed-batches]
+    [--dead-letters DIR [--keyed table|state|history [--buckets N] [--compact-every N]] | --outcomes] [--lenient] [--attempts N] [--keep-failed-batches]
     [--join device-telemetry --state-partitions N [--within T] [--lateness T] [--salts N]]
     [--trigger TIME | --available-now] [--pools]
 
@@ -39,6 +39,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--max-offsets", type=int, help="messages (with --files: files) of a micro-batch")
     parser.add_argument("--min-partitions", type=int)
     parser.add_argument("--keyed", choices=("table", "state", "history"), help="write keyed tables, not append logs")
+    parser.add_argument("--buckets", type=int, default=64, help="partitions of a keyed table without dates")
+    parser.add_argument("--compact-every", type=int, default=16, help="batches between merges of such a table's log")
     parser.add_argument("--dead-letters")
     parser.add_argument("--outcomes", action="store_true", help="good and bad rows in one pass into the append log")
     parser.add_argument("--lenient", action="store_true", help="badly typed fields are null, not dead letters")
@@ -80,7 +82,8 @@ def sink_maker(args: argparse.Namespace):
     def make(which: Feed) -> Sink:
         table = which.table
         if args.out and args.keyed:
-            return keyed_sink(which, f"{args.out.rstrip('/')}/{table.name}", args.keyed)
+            target = f"{args.out.rstrip('/')}/{table.name}"
+            return keyed_sink(which, target, args.keyed, buckets=args.buckets, compact_every=args.compact_every)
         if args.out:
             dates = [name for name in table.partition if table.types[name] == "date"]
             return files_sink(f"{args.out.rstrip('/')}/{table.name}", partition_by=dates)

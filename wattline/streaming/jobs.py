@@ -44,9 +44,9 @@ def keyed_sink(which: Feed, path: str, by: str, *, buckets: int = 64, compact_ev
     """A sink into a keyed table under ``path``, with the table's null rule.
 
     ``by`` is ``table``, ``state`` or ``history``: the table's own key, one row per thing, or every change once. A key
-    with a date is merged batch by batch into the directories of its dates. Others touch the whole table with every
-    batch, so batches are only appended, and every ``compact_every``-th one merges the log into the table;
-    ``LatestLog(path/log, table)`` reads both.
+    with a date is merged batch by batch into the partitions of its dates, and a history, whose key has the time of the
+    change, into those of its days. Others touch the whole table with every batch, so batches are only appended, and
+    every ``compact_every``-th one merges the log into the table; ``LatestLog(path/log, table)`` reads both.
     """
     keys = {"table": which.table.key, "state": which.state_key, "history": which.history_key}
     if by not in keys:
@@ -55,16 +55,19 @@ def keyed_sink(which: Feed, path: str, by: str, *, buckets: int = 64, compact_ev
     order = tuple(dict.fromkeys([which.order, "_partition", "_offset"]))
     stored = (*which.table.columns, *[name for name in key if name not in which.table.columns])
     dates = [name for name in which.table.partition if name in key and which.table.types[name] == "date"]
+    times = [name for name in key if which.table.types.get(name) == "timestamp"] if by == "history" else []
+    dated = bool(dates or times)
     table = KeyedTable(
-        path=f"{path}/table" if not dates else path,
+        path=path if dated else f"{path}/table",
         columns=stored,
         key=key,
         order=order,
         partition=dates[0] if dates else None,
+        day_of=times[-1] if times and not dates else None,
         buckets=buckets,
         nulls=which.table.nulls,
     )
-    if dates:
+    if dated:
         return _at(table.merge, path)
     log = LatestLog(f"{path}/log", table)
     append = log.append

@@ -75,15 +75,6 @@ def write_whole(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"{path} is already there or cannot be written")
 
 
-def read_whole(spark: SparkSession, path: str) -> str:
-    fs, where = _hadoop(spark, path)
-    stream = fs.open(where)
-    try:
-        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
-    finally:
-        stream.close()
-
-
 def delete(spark: SparkSession, path: str) -> None:
     fs, where = _hadoop(spark, path)
     fs.delete(where, True)

@@ -1,39 +1,38 @@
-"""A keyed Parquet table that micro-batches are merged into, and an append log that is compacted into one."""
+"""A keyed Parquet table that micro-batches are merged into, and an append log that is merged into one now and then."""
 
 from __future__ import annotations
 
-import datetime
-import json
 from dataclasses import dataclass
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from wattline.contracts import KEEP, OVERWRITE
 from wattline.operators.keyed import latest_row, newest_present
-from wattline.streaming.sinks import files_sink, gathered
-from wattline.streaming.storage import delete, names, read_whole, write_whole
+from wattline.streaming.sinks import files_sink, gathered, query_id
+from wattline.streaming.storage import delete, exists, names
 
 _BUCKET = "_bucket"
+_DAY = "_day"
 _ORDER = "_order"
 _STAMPS = "_stamps"
-_NULL_DIRECTORY = "__HIVE_DEFAULT_PARTITION__"
-_KEPT_STATES = 2
 
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """Latest row per key, stored in directories that a merge replaces one by one.
+    """Latest row per key, stored in partitions that a merge overwrites.
 
     ``partition`` is a date or text column; it is part of the key, or ``partition_follows_key`` states that each key
-    always has the same value there. Without a partition, rows are put in ``buckets`` directories by key hash. A merge
-    reads and rewrites only the directories its batch touches, so it suits feeds whose batches fall in few of them;
-    for others see ``LatestLog``.
+    always has the same value there. ``day_of`` instead names a time in the key, whose day is the partition. Without
+    either, rows are put in ``buckets`` partitions by key hash. A merge reads and rewrites only the partitions its batch
+    touches, so it suits feeds whose batches fall in few of them; for others see ``LatestLog``.
 
-    A merge writes its directories once, under a version of its own, and then puts a manifest of all live directories
-    in place as one small file; that is the moment it happens. Readers take the newest manifest, and the directories
-    of the one before stay, so a reader never misses one. One merge at a time.
+    A merge first writes the touched partitions as they will be into a staging folder beside the table, and then
+    overwrites them from there by Spark's dynamic partition overwrite. Cut short before the staging folder is whole, it
+    has not happened; after that, the next merge, be it the same batch replayed or another, finishes it first. So no row
+    is lost, but a plain Parquet table has no snapshots: one merge at a time, and readers run between merges. Where
+    they must run beside them, give the batches to a table format's ``MERGE`` by ``external_sink``.
 
     Each row keeps the order it was written under, and with ``nulls="keep"`` each cell that is older than its
     row does too. A merge is then the same whatever the batches are and however often one is replayed.
@@ -45,6 +44,7 @@ class KeyedTable:
     order: tuple[str, ...]
     partition: str | None = None
     partition_follows_key: bool = False
+    day_of: str | None = None
     buckets: int = 64
     nulls: str = OVERWRITE
 
@@ -52,22 +52,31 @@ class KeyedTable:
         unknown = [name for name in self.key if name not in self.columns]
         if unknown:
             raise ValueError(f"key columns not stored: {', '.join(unknown)}")
+        if self.partition and self.day_of:
+            raise ValueError("a table is partitioned by a column or by the day of one, not both")
         if self.partition and self.partition not in self.key and not self.partition_follows_key:
             raise ValueError(f"a key could be stored under several values of {self.partition}: put it into the key")
+        if self.day_of and self.day_of not in self.key:
+            raise ValueError(f"a key could be stored under several days of {self.day_of}: put it into the key")
 
     @property
     def directory(self) -> str:
-        return self.partition or _BUCKET
+        return self.partition or (_DAY if self.day_of else _BUCKET)
 
     @property
     def values(self) -> list[str]:
         return [name for name in self.columns if name not in self.key]
 
+    @property
+    def staged(self) -> str:
+        return f"{self.path}_staged"
+
     def merge(self, batch: DataFrame, batch_id: int) -> None:
-        """Merge one batch; a sink for ``foreachBatch``. Cut short at any point, it has not happened."""
+        """Merge one batch; a sink for ``foreachBatch``."""
         spark = batch.sparkSession
         incoming = self._reduced(self._incoming(batch)).persist()
         try:
+            self._finish(spark, incoming.schema)
             here = F.col(self.directory)
             seen = incoming.agg(
                 F.min(here).alias("low"), F.max(here).alias("high"), F.count_if(here.isNull()).alias("nulls"),
@@ -75,87 +84,63 @@ class KeyedTable:
             ).first()
             if not seen.rows:
                 return
-            number, live = self._state(spark)
-            within = {
-                name: version
-                for name, version in live.items()
-                if (bool(seen.nulls) if name == _NULL_DIRECTORY else self._between(name, seen.low, seen.high))
-            }
             merged = incoming
-            if within:
+            if exists(spark, self.path):
+                within = F.lit(False) if seen.low is None else here.between(F.lit(seen.low), F.lit(seen.high))
+                within = within | here.isNull() if seen.nulls else within
                 touched = incoming.select(here.alias("_touched")).distinct()
-                stored = self._stored(spark, within, incoming.schema)
+                stored = self._stored(spark, self.path, incoming.schema).where(within)  # prunes by the range
                 stored = stored.join(touched, here.eqNullSafe(F.col("_touched")), "left_semi")
                 merged = self._reduced(stored.unionByName(incoming))
-            target = f"{self.path}/data/version={number + 1}"
-            gathered(merged, [self.directory]).write.mode("overwrite").partitionBy(self.directory).parquet(target)
-            written = [name.partition("=")[2] for name in names(spark, target) if "=" in name]
-            state = live | dict.fromkeys(written, number + 1)
-            write_whole(spark, f"{self.path}/manifest/{number + 1:012d}", json.dumps(state))
+            target = f"{self.staged}/query_id={query_id(batch)}-batch_id={batch_id}"
+            rows = gathered(merged, [self.directory]).write.mode("overwrite")
+            rows.option("partitionOverwriteMode", "static").partitionBy(self.directory).parquet(target)
+            self._finish(spark, incoming.schema)
         finally:
             incoming.unpersist()
-        self._clean(spark)
 
     def read(self, spark: SparkSession, only: tuple | None = None) -> DataFrame:
-        """The stored rows; ``only``, the least and greatest partition value, leaves other directories unread."""
-        _, live = self._state(spark)
-        if only is not None:
-            live = {name: version for name, version in live.items() if self._between(name, *only)}
-        if not live:
+        """The stored rows; ``only``, the least and greatest partition value, leaves other partitions unread."""
+        if not exists(spark, self.path):
             raise ValueError(f"nothing is stored in {self.path}")
-        return self._stored(spark, live).select(*self.columns)
+        rows = self._stored(spark, self.path)
+        if only is not None:
+            rows = rows.where(F.col(self.directory).between(F.lit(only[0]), F.lit(only[1])))
+        return rows.select(*self.columns)
 
     def with_rows(self, more: DataFrame) -> DataFrame:
         """The table as it would be with these rows merged, without merging them."""
         spark = more.sparkSession
-        incoming = self._incoming(more)
-        _, live = self._state(spark)
-        rows = self._stored(spark, live, incoming.schema).unionByName(incoming) if live else incoming
+        rows = incoming = self._incoming(more)
+        if exists(spark, self.path):
+            rows = self._stored(spark, self.path, incoming.schema).unionByName(incoming)
         return self._reduced(rows).select(*self.columns)
 
-    def _state(self, spark: SparkSession) -> tuple[int, dict[str, int]]:
-        """Number of the newest manifest and the version of each live directory: one entry per date or bucket."""
-        manifests = [name for name in names(spark, f"{self.path}/manifest") if name.isdigit()]
-        if not manifests:
-            return 0, {}
-        return int(manifests[-1]), json.loads(read_whole(spark, f"{self.path}/manifest/{manifests[-1]}"))
-
-    def _between(self, name: str, low, high) -> bool:
-        if low is None or name == _NULL_DIRECTORY:
-            return False
-        if self.partition is None:
-            return low <= int(name) <= high
-        value = unquote(name)
-        if isinstance(low, datetime.date):
-            return low <= datetime.date.fromisoformat(value) <= high
-        return low.encode() <= value.encode() <= high.encode()
-
-    def _stored(self, spark: SparkSession, live: dict[str, int], schema=None) -> DataFrame:
-        paths = [f"{self.path}/data/version={version}/{self.directory}={name}" for name, version in live.items()]
-        reader = spark.read.option("basePath", f"{self.path}/data")
-        rows = (reader if schema is None else reader.schema(schema)).parquet(*paths)
-        return rows if schema is None else rows.select(*schema.names)
-
-    def _clean(self, spark: SparkSession) -> None:
-        """Delete what the newest manifests do not name."""
-        manifests = [name for name in names(spark, f"{self.path}/manifest") if name.isdigit()]
-        kept = [json.loads(read_whole(spark, f"{self.path}/manifest/{name}")) for name in manifests[-_KEPT_STATES:]]
-        named = {(version, name) for state in kept for name, version in state.items()}
-        for name in manifests[:-_KEPT_STATES]:
-            delete(spark, f"{self.path}/manifest/{name}")
-        versions = {version for version, _ in named}
-        for entry in names(spark, f"{self.path}/data"):
-            version, folder = int(entry.partition("=")[2]), f"{self.path}/data/{entry}"
-            if version not in versions:
-                delete(spark, folder)
-                continue
-            for directory in names(spark, folder):
-                if "=" in directory and (version, directory.partition("=")[2]) not in named:
-                    delete(spark, f"{folder}/{directory}")
+    def _finish(self, spark: SparkSession, schema: StructType) -> None:
+        """Overwrite the partitions of a whole staging folder; one that is not whole belongs to a merge that was not."""
+        for name in names(spark, self.staged):
+            folder = f"{self.staged}/{name}"
+            if "_SUCCESS" in names(spark, folder):
+                writer = self._stored(spark, folder, schema).write.mode("overwrite").partitionBy(self.directory)
+                writer.option("partitionOverwriteMode", "dynamic").parquet(self.path)
+            delete(spark, folder)
+
+    def _stored(self, spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+        if schema is not None:
+            return spark.read.schema(schema).parquet(path).select(*schema.names)
+        rows = spark.read.parquet(path)
+        if self.partition and not isinstance(rows.schema[self.partition].dataType, DateType):  # a text, like 007
+            types = [StructField(f.name, StringType()) if f.name == self.partition else f for f in rows.schema]
+            rows = spark.read.schema(StructType(types)).parquet(path)
+        return rows
 
     def _incoming(self, batch: DataFrame) -> DataFrame:
         rows = batch.select(*self.columns, F.struct(*self.order).alias(_ORDER))
-        if not self.partition:
+        if self.day_of:
+            rows = rows.withColumn(_DAY, F.to_date(self.day_of))
+        elif self.partition and isinstance(rows.schema[self.partition].dataType, StringType):
+            rows = rows.withColumn(self.partition, F.nullif(F.col(self.partition), F.lit("")))  # one directory for both
+        elif not self.partition:
             bucket = F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
             rows = rows.withColumn(_BUCKET, bucket)
         if self.nulls == KEEP:
@@ -186,7 +171,8 @@ class LatestLog:
     """Latest row per key for feeds whose batches touch keys everywhere: append every batch, compact now and then.
 
     ``append`` is a sink that only writes the batch. ``compact`` merges all whole batches of the log into ``table`` in
-    one pass over its directories and deletes them; run it on a schedule, at which a rewrite of the table is worth it.
+    one pass over its partitions and deletes them; run it on a schedule, at which a rewrite of the table is worth it,
+    and readers between its runs.
     ``read`` is the table and what the log holds beyond it. Merging is repeatable, so a compaction that was cut short
     between its steps only leaves batches that are merged again.
     """
