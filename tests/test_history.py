@@ -226,6 +226,13 @@ def test_silence_is_that_of_the_whole(spark, scratch):
     assert tuples(got.select("device", "last_seen", "alarm_time", "last_value")) == sorted(want, key=repr)
 
 
+def test_silence_calls_no_python_per_message(spark):
+    rows = spark.createDataFrame([("a", at(0), "x"), ("a", at(60), None), ("a", at(121), "y")], "device string, time timestamp, kind string")
+    alarms = silence.silence_alarms(rows, "device", "time", "kind", after_seconds=3600, lateness="1 day")
+    assert "InPandas" not in alarms._jdf.queryExecution().analyzed().toString()
+    assert tuples(alarms) == [("a", at(60), at(120), None), ("a", at(121), at(181), "y")]
+
+
 def test_a_replayed_batch_is_audited_once(spark, scratch):
     log = audit_log.AuditLog(spark, f"{scratch}/audit", ["counts"])
     assert log.read(spark).count() == 0

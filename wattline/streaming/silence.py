@@ -1,63 +1,9 @@
-"""Devices that fall silent: keyed state with event-time timers."""
+"""Devices that fall silent: event-time sessions that end when nothing follows in time."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-
-
-class _Watch(StatefulProcessor):
-    """Per device the messages that may still be followed by another in time, and one timer for the first of them."""
-
-    def __init__(self, after_ms: int):
-        self.after = after_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.seen = handle.getMapState("seen", "at bigint", "value string")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        newest: dict[int, str | None] = {}
-        for frame in rows:
-            for at, value in zip(frame["micros"], frame["last_value"]):
-                at = int(at)
-                known = newest.get(at)
-                newest[at] = value if known is None else known if value is None else max(known, value)
-        for at, value in newest.items():
-            if self.seen.containsKey((at,)):
-                known = self.seen.getValue((at,))[0]
-                value = value if known is None else known if value is None else max(known, value)
-            self.seen.updateValue((at,), (value,))
-        yield from self._decide(key, timerValues.getCurrentWatermarkInMs())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._decide(key, timerValues.getCurrentWatermarkInMs())
-
-    def _decide(self, key, watermark: int) -> Iterator[pd.DataFrame]:
-        """Messages whose time to be followed is over: an alarm where no other came, and they are forgotten."""
-        after = self.after * 1000
-        times = sorted(at for (at,) in self.seen.keys())
-        alarms = []
-        for at, follower in zip(times, [*times[1:], None]):
-            if at + after > watermark * 1000:
-                break
-            if follower is None or follower > at + after:
-                alarms.append((key[0], at, self.seen.getValue((at,))[0]))
-            self.seen.removeKey((at,))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        left = [at for at in times if at + after > watermark * 1000]
-        if left:
-            self.handle.registerTimer(-(-(left[0] + after) // 1000))
-        if alarms:
-            yield pd.DataFrame(alarms, columns=["device", "at", "last_value"])
-
-    def close(self) -> None:
-        pass
 
 
 def silence_alarms(
@@ -68,8 +14,9 @@ def silence_alarms(
     A device is silent from the message that none of it follows within ``after_seconds``; a message exactly that much
     later still follows. The alarm carries that message's time and ``value`` (the greatest text of several at one time)
     and is sent once the watermark, the latest time seen less ``lateness``, has passed ``alarm_time``; so messages out
-    of order within the lateness raise none. State per device is the messages of one such span; a silent device has none.
-    Rows without a device or a time are left out. The session needs the RocksDB state store (``stateful_session``).
+    of order within the lateness raise none. Messages that follow each other in time are one session, of which the state
+    keeps the span and the last message; a silent device has none.
+    Rows without a device or a time are left out. The session needs idle batches (``stateful_session``).
     """
     watched = (
         rows.where(F.col(device).isNotNull() & F.col(time).isNotNull())
@@ -77,19 +24,16 @@ def silence_alarms(
         .select(
             F.col(device).alias("device"),
             F.col(time).alias("event_time"),
-            F.unix_micros(time).alias("micros"),
             F.col(value).cast("string").alias("last_value"),
         )
     )
-    alarms = watched.groupBy("device").transformWithStateInPandas(
-        statefulProcessor=_Watch(after_seconds * 1000),
-        outputStructType="device string, at bigint, last_value string",
-        outputMode="Append",
-        timeMode="EventTime",
-    )
+    # A session ends before its end, and a message exactly ``after_seconds`` later still belongs to it.
+    session = F.session_window("event_time", f"{after_seconds} seconds 1 microsecond")
+    last = F.max(F.struct("event_time", "last_value")).alias("last")
+    alarms = watched.groupBy("device", session.alias("session")).agg(last)
     return alarms.select(
         "device",
-        F.timestamp_micros("at").alias("last_seen"),
-        F.timestamp_micros(F.col("at") + after_seconds * 1_000_000).alias("alarm_time"),
-        "last_value",
+        F.col("last.event_time").alias("last_seen"),
+        (F.col("last.event_time") + F.make_dt_interval(secs=F.lit(after_seconds))).alias("alarm_time"),
+        F.col("last.last_value").alias("last_value"),
     )
