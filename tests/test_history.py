@@ -16,6 +16,7 @@ from wattline.plans.stream_plans import SLICE_DAYS, timed_topic
 from wattline.streaming import audit_log, silence, windows
 from wattline.streaming.runner import Job, run_available, start, stateful_session, stop
 from wattline.streaming.sinks import files_sink
+from wattline.streaming.storage import names
 
 DAY = datetime.date(2024, 1, 15)
 NOON = datetime.datetime(2024, 1, 15, 12)
@@ -98,6 +99,30 @@ def test_descendants_of_chains_cycles_and_a_hub(spark):
     rings = {(a, b) for a, b in links if a and b and (a == b or (b, a) in above)}
     assert {tuple(row) for row in closure.in_cycles(frame, pairs).collect()} == rings
     assert closure.descendants(frame.limit(0)).collect() == []
+    maybe = closure.ring_candidates(frame)
+    assert {tuple(row) for row in closure.in_cycles(frame, closure.descendants(maybe)).collect()} == rings
+    assert closure.ring_candidates(frame.where("device like 'c%'")).count() < 21
+    assert closure.ring_candidates(frame.limit(0)).collect() == []
+
+
+def test_descendants_keep_no_shuffles_and_store_pairs_once(spark, monkeypatch):
+    monkeypatch.setattr(closure, "SLICE_LINKS", 20)
+    links = [(f"t{i // 2}", f"t{i}") for i in range(1, 64)] + [(f"r{i}", f"r{(i + 1) % 7}") for i in range(7)]
+    frame = spark.createDataFrame(links, "device string, childdevice string").repartition(3)
+
+    def shuffles():
+        local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        found = [file.rsplit("/", 1)[-1].split("_") for file in local.getAllFiles().mkString(" ").split()]
+        return {parts[1] for parts in found if parts[0] == "shuffle"}
+
+    before = shuffles()
+    pairs = closure.descendants(frame)
+    assert len(shuffles() - before) < 12  # of counts, which carry no rows; the joins and groups make over sixty
+    want = brute_descendants(links)
+    assert {tuple(row) for row in pairs.collect()} == want and pairs.count() == len(want)
+    (folder,) = {file.split("/pairs/")[0] for file in pairs.inputFiles()}
+    assert names(spark, folder) == ["pairs"]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
 
 
 # --- intervals

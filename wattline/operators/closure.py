@@ -1,6 +1,7 @@
 """Who is below whom in a topology: the closure of parent and child links.
 
-Batch operators over links of any shape: trees, shared children, cycles.
+Batch operators over links of any shape: trees, shared children, cycles. What they find on the way is stored compressed
+in the shared folder, and a step's shuffle files go as soon as it is stored.
 """
 
 from __future__ import annotations
@@ -8,7 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.streaming.storage import cut
+from wattline.streaming.storage import delete, run_dir, shuffles_dropped
+
+#: A round is done in slices of its ancestors, one per so many links, so its shuffles take the disk of one slice.
+SLICE_LINKS = 4_000_000
+_PAIRS = "ancestor string, descendant string, depth int, reach int, _slice int"
 
 
 def descendants(links: DataFrame, parent: str = "device", child: str = "childdevice") -> DataFrame:
@@ -16,33 +21,81 @@ def descendants(links: DataFrame, parent: str = "device", child: str = "childdev
 
     Path doubling: when all pairs up to ``2^k`` links are known, a pair of up to ``2^(k+1)`` is one of exactly ``2^k``
     followed by a known one, so the rounds are logarithmic in the depth of the topology, and in a tree every new pair
-    is made once. A round is one join and one aggregation; a device with many links above and below is a hot key of
-    that join, which adaptive execution splits. Rounds are cut off in the shared folder.
+    is made once. A round is, per slice of the ancestors, one join and one aggregation; a device with many links above
+    and below is a hot key of that join, which adaptive execution splits. A round stores only its new pairs, and those
+    below what may be a middle of the next round: what lies ``2^(k+1)`` below something also lies ``2^k`` below
+    something, so they get fewer.
 
     Links from or to null and from a device to itself say nothing, repeated links count once, and ways round a cycle
     end where they come back: no device is below itself.
     """
-    pairs = cut(
-        links.where(F.col(f"`{parent}`") != F.col(f"`{child}`"))
-        .select(F.col(f"`{parent}`").alias("ancestor"), F.col(f"`{child}`").alias("descendant"), F.lit(1).alias("depth"))
-        .distinct()
-    )
-    reach = 1
-    while True:
-        steps = pairs.where(F.col("depth") == reach).select("ancestor", F.col("descendant").alias("via"))
-        onward = pairs.select(F.col("ancestor").alias("via"), "descendant", (F.col("depth") + reach).alias("depth"))
-        longer = (
-            steps.join(onward, "via")
-            .where("ancestor <> descendant")
-            .groupBy("ancestor", "descendant")
-            .agg(F.min("depth").alias("depth"))
-            .join(pairs.select("ancestor", "descendant"), ["ancestor", "descendant"], "left_anti")
-        )
-        longer = cut(longer)
-        if longer.isEmpty():
-            return pairs
-        pairs = cut(pairs.unionByName(longer))
-        reach *= 2
+    spark = links.sparkSession
+    folder = run_dir(spark, "closure")
+    found = f"{folder}/pairs"
+    with shuffles_dropped(spark):
+        first = _named(links, parent, child).where("ancestor <> descendant").distinct()
+        first = _stored(first.withColumn("depth", F.lit(1)), f"{folder}/links")
+        slices = max(1, -(-first.count() // SLICE_LINKS))
+        _add(first.withColumn("_slice", F.pmod(F.xxhash64("ancestor"), F.lit(slices)).cast("int")), found, 1)
+        delete(spark, f"{folder}/links")
+        reach, below = 1, None
+        while True:
+            known = spark.read.schema(_PAIRS).parquet(found)
+            newest = known.where(F.col("reach") == reach)
+            if newest.isEmpty():
+                break
+            steps = newest.where(F.col("depth") == reach)
+            middles = steps.select(F.col("descendant").alias("ancestor")).distinct()
+            more = newest.select("ancestor", "descendant", "depth")
+            more = more if below is None else below.unionByName(more)
+            below = _stored(more.join(middles, "ancestor", "left_semi"), f"{folder}/below-{reach}")
+            delete(spark, f"{folder}/below-{reach // 2}")
+            onward = below.select(F.col("ancestor").alias("via"), "descendant", (F.col("depth") + reach).alias("depth"))
+            for number in range(slices):
+                here = F.col("_slice") == number
+                longer = (
+                    steps.where(here)
+                    .select("ancestor", F.col("descendant").alias("via"))
+                    .join(onward, "via")
+                    .where("ancestor <> descendant")
+                    .groupBy("ancestor", "descendant")
+                    .agg(F.min("depth").alias("depth"))
+                    .join(known.where(here).select("ancestor", "descendant"), ["ancestor", "descendant"], "left_anti")
+                )
+                _add(longer.withColumn("_slice", F.lit(number)), found, 2 * reach)
+            reach *= 2
+        delete(spark, f"{folder}/below-{reach // 2}")
+    return known.select("ancestor", "descendant", "depth")
+
+
+def stored_links(links: DataFrame, parent: str = "device", child: str = "childdevice") -> DataFrame:
+    """Each link once, kept in the shared folder for what reads them several times."""
+    with shuffles_dropped(links.sparkSession):
+        return _stored(links.select(parent, child).distinct(), run_dir(links.sparkSession, "links"))
+
+
+def ring_candidates(links: DataFrame, parent: str = "device", child: str = "childdevice") -> DataFrame:
+    """Links between different devices, without most of those that cannot lie on a cycle.
+
+    On a cycle every device is above something and below something. Links of other devices are left out, again and
+    again while that takes away a tenth of them: what then remains are cycles, and ways between them or of great length.
+    """
+    spark = links.sparkSession
+    folder = run_dir(spark, "rings")
+    with shuffles_dropped(spark):
+        left = links.select(parent, child).where(F.col(parent) != F.col(child)).distinct()
+        left = _stored(left, f"{folder}/0")
+        number, many = 0, left.count()
+        while True:
+            above, under = left.select(F.col(parent).alias("_node")), left.select(F.col(child).alias("_node"))
+            both = above.distinct().join(under.distinct(), "_node")
+            kept = left.join(both, F.col(parent) == F.col("_node"), "left_semi")
+            kept = kept.join(both, F.col(child) == F.col("_node"), "left_semi")
+            left = _stored(kept, f"{folder}/{number + 1}")
+            delete(spark, f"{folder}/{number}")
+            before, many, number = many, left.count(), number + 1
+            if not many or 10 * many > 9 * before:
+                return left
 
 
 def in_cycles(links: DataFrame, pairs: DataFrame, parent: str = "device", child: str = "childdevice") -> DataFrame:
@@ -50,3 +103,17 @@ def in_cycles(links: DataFrame, pairs: DataFrame, parent: str = "device", child:
     back = pairs.select(F.col("ancestor").alias(child), F.col("descendant").alias(parent))
     itself = links.where(F.col(parent) == F.col(child)).select(parent, child)
     return links.select(parent, child).join(back, [parent, child], "left_semi").unionByName(itself).distinct()
+
+
+def _named(links: DataFrame, parent: str, child: str) -> DataFrame:
+    return links.select(F.col(f"`{parent}`").alias("ancestor"), F.col(f"`{child}`").alias("descendant"))
+
+
+def _stored(frame: DataFrame, path: str) -> DataFrame:
+    frame.write.option("compression", "zstd").parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def _add(pairs: DataFrame, path: str, reach: int) -> None:
+    rows = pairs.withColumn("reach", F.lit(reach)).write.mode("append").option("compression", "zstd")
+    rows.partitionBy("reach", "_slice").parquet(path)

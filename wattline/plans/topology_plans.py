@@ -47,8 +47,8 @@ def topology_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def topology_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The links that lie on a ring, or lead from a device to itself, which a topology should not have."""
-    links = _links(spark, sf_dir)
-    return closure.in_cycles(links, closure.descendants(links))
+    links = closure.stored_links(_links(spark, sf_dir))
+    return closure.in_cycles(links, closure.descendants(closure.ring_candidates(links)))
 
 
 @query(
