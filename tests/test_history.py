@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import executed, optimized, tuples
 from wattline.operators import closure, intervals, keyed, layout
+from wattline.plans import wire
 from wattline.plans.stream_plans import SLICE_DAYS, timed_topic
 from wattline.streaming import audit_log, silence, windows
 from wattline.streaming.runner import Job, run_available, start, stateful_session, stop
@@ -287,3 +288,10 @@ def test_a_timed_topic_leaves_nothing_out(spark, scratch, messages):
     run_available(spark, [Job("t", topic, sink=keep)], f"{scratch}/ck")
     assert sorted(n for part in order for n in part) == list(range(len(days)))
     assert SLICE_DAYS == 8
+
+
+def test_a_source_is_dealt_out_by_its_size(spark, scratch, monkeypatch):
+    monkeypatch.setattr(wire, "SOURCE_BYTES", 200)
+    spark.range(5_000).select(F.col("id").alias("event_id")).write.parquet(f"{scratch}/events.parquet")
+    dealt = wire.source(spark, scratch, "events")
+    assert dealt.rdd.getNumPartitions() > 20 and dealt.count() == 5_000

@@ -14,19 +14,30 @@ from pyspark.sql import functions as F
 
 from wattline import contracts as C
 from wattline.sources import envelope_columns
+from wattline.streaming.storage import size
 
 # Instants with all six fraction digits; the default would cut them to milliseconds.
 _JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"}
 
 
+#: Bytes of a table's files that a task makes messages of.
+SOURCE_BYTES = 4 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table to make messages of, dealt out by a hash of near-unique columns as a producer would to its topic's
-    partitions: a table in one file is one task however many cores there are."""
-    return table(spark, sf_dir, name).repartition(*_SPREAD[name])
+    partitions: a table in one file is one task however many cores there are.
+
+    A task gets at most about ``SOURCE_BYTES`` of a table's files. Left to itself, adaptive execution sizes tasks by the
+    narrow rows here, not by the many wider ones that messages unfold to.
+    """
+    parts = -(-size(spark, f"{sf_dir}/{name}.parquet") // SOURCE_BYTES)
+    spread = [parts] if parts > spark.sparkContext.defaultParallelism else []
+    return table(spark, sf_dir, name).repartition(*spread, *_SPREAD[name])
 
 
 def obj(fields: Mapping[str, Column]) -> Column:
