@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 
 from tests.conftest import executed, optimized, tuples
 from wattline.operators import closure, intervals, keyed, layout
-from wattline.plans import wire
+from wattline.plans import stream_plans, wire
 from wattline.plans.stream_plans import SLICE_DAYS, timed_topic
 from wattline.streaming import audit_log, silence, windows
 from wattline.streaming.runner import Job, run_available, start, stateful_session, stop
 from wattline.streaming.sinks import files_sink
-from wattline.streaming.storage import names
+from wattline.streaming.storage import names, size
 
 DAY = datetime.date(2024, 1, 15)
 NOON = datetime.datetime(2024, 1, 15, 12)
@@ -290,6 +290,17 @@ def test_a_timed_topic_leaves_nothing_out(spark, scratch, messages):
     assert SLICE_DAYS == 8
 
 
+def test_a_large_slice_of_a_timed_topic_is_more_files(spark, scratch, messages, monkeypatch):
+    monkeypatch.setattr(stream_plans, "FILE_BYTES", 4_000)
+    monkeypatch.setattr(stream_plans, "ROW_GROUP_BYTES", 2_000)
+    frame = messages(*[{"n": f"{random.Random(i).random()}" * 20} for i in range(2_000)])
+    frame = frame.withColumn("timestamp", F.timestamp_seconds(F.lit(1_704_067_200)))
+    timed_topic(spark, frame, f"{scratch}/topic")
+    files = [f"{scratch}/topic/{name}" for name in names(spark, f"{scratch}/topic") if name.startswith("part-")]
+    assert len(files) > 8 and max(size(spark, file) for file in files) < 20_000
+    assert spark.read.parquet(*files).select("offset").distinct().count() == spark.read.parquet(*files).count() == 2_000
+
+
 def test_a_source_is_dealt_out_by_its_size(spark, scratch, monkeypatch):
     monkeypatch.setattr(wire, "SOURCE_BYTES", 200)
     spark.range(5_000).select(F.col("id").alias("event_id")).write.parquet(f"{scratch}/events.parquet")

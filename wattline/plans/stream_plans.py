@@ -17,8 +17,8 @@ from wattline.plans.join_plans import DEVICE_SIDE, JOINED, TELEMETRY_SIDE, VERSI
 from wattline.plans.registry import query
 from wattline.sources import message_files
 from wattline.streaming.runner import Job, run_available, stateful_session
-from wattline.streaming.sinks import external_sink, files_sink, guarded, outcome_sink
-from wattline.streaming.storage import run_dir
+from wattline.streaming.sinks import external_sink, files_sink, gathered, guarded, outcome_sink
+from wattline.streaming.storage import row_group_options, run_dir, size
 from wattline.streaming.upsert import KeyedTable, LatestLog
 
 _ARRIVAL = ("persisttime", "_partition", "_offset")
@@ -29,6 +29,9 @@ _EVENTS_WITH_ID = EVENT_ROWS.replace("from events", ", event_id from events")
 TOPIC_PARTITIONS = 16
 FILE_MESSAGES = 1_000_000
 FILES_PER_BATCH = 4
+#: A slice of a timed topic has a file per so many stored bytes, and row groups that several tasks can share a file by.
+FILE_BYTES = 64 << 20
+ROW_GROUP_BYTES = 4 << 20
 #: Days of a slice of a topic in the order of time.
 SLICE_DAYS = 8
 #: Partitions of join state, which the checkpoint keeps.
@@ -46,16 +49,18 @@ def timed_topic(spark: SparkSession, messages: DataFrame, path: str, last: Seque
     """A file topic whose files come in the order of their messages' time, in slices of ``SLICE_DAYS``.
 
     Slices follow from the messages' own times, so none is wider and none is left out; messages without a time come
-    first. ``last`` are messages that come after all others, each frame as a batch of its own.
+    first. A slice has ``FILES_PER_BATCH`` files, or more if it is large, so that no task writes or reads much of it.
+    ``last`` are messages that come after all others, each frame as a batch of its own.
     """
     number = F.floor(F.datediff("timestamp", F.lit("1970-01-01").cast("date")) / SLICE_DAYS)
     staged = messages.withColumn("_slice", F.coalesce(number, F.lit(-(2**31)).cast("bigint")))
-    staged = staged.repartition(TOPIC_PARTITIONS, F.xxhash64("offset"))
-    staged.write.partitionBy("_slice").parquet(f"{path}-staged")
+    gathered(staged, ["_slice"]).write.partitionBy("_slice").parquet(f"{path}-staged")
     slices = spark.read.parquet(f"{path}-staged")
     for row in slices.select("_slice").distinct().orderBy("_slice").collect():
-        part = slices.where(F.col("_slice") == row[0]).drop("_slice").repartition(FILES_PER_BATCH, F.xxhash64("offset"))
-        part.write.mode("append").option("maxRecordsPerFile", FILE_MESSAGES).parquet(path)
+        files = max(FILES_PER_BATCH, -(-size(spark, f"{path}-staged/_slice={row[0]}") // FILE_BYTES))
+        part = slices.where(F.col("_slice") == row[0]).drop("_slice").repartition(files, F.xxhash64("offset"))
+        writer = part.write.mode("append").options(**row_group_options(ROW_GROUP_BYTES))
+        writer.option("maxRecordsPerFile", FILE_MESSAGES).parquet(path)
     for part in last:
         part.coalesce(1).write.mode("append").parquet(path)
     return message_files(spark, path, stream=True, max_files_per_trigger=FILES_PER_BATCH)
