@@ -8,6 +8,7 @@ from collections import Counter, defaultdict, deque
 from types import SimpleNamespace
 
 import pytest
+from pyarrow import parquet
 from pyspark.sql import functions as F
 
 from tests.conftest import executed, optimized, tuples
@@ -301,6 +302,15 @@ def test_a_large_slice_of_a_timed_topic_is_more_files(spark, scratch, messages,
     assert spark.read.parquet(*files).select("offset").distinct().count() == spark.read.parquet(*files).count() == 2_000
 
 
+def test_tasks_share_a_file_of_a_timed_topic(spark, scratch, messages, monkeypatch):
+    monkeypatch.setattr(stream_plans, "ROW_GROUP_BYTES", 20_000)
+    frame = messages(*[{"n": f"{random.Random(i).random()}" * 20} for i in range(2_000)])
+    timed_topic(spark, frame.withColumn("timestamp", F.timestamp_seconds(F.lit(1_704_067_200))), f"{scratch}/topic")
+    files = [file for file in names(spark, f"{scratch}/topic") if file.startswith("part-")]
+    assert len(files) == stream_plans.FILES_PER_BATCH
+    assert all(parquet.ParquetFile(f"{scratch}/topic/{file}").num_row_groups > 2 for file in files)
+
+
 def test_a_source_is_dealt_out_by_its_size(spark, scratch, monkeypatch):
     monkeypatch.setattr(wire, "SOURCE_BYTES", 200)
     spark.range(5_000).select(F.col("id").alias("event_id")).write.parquet(f"{scratch}/events.parquet")

@@ -34,8 +34,8 @@ FILE_BYTES = 64 << 20
 ROW_GROUP_BYTES = 4 << 20
 #: Days of a slice of a topic in the order of time.
 SLICE_DAYS = 8
-#: Partitions of join state, which the checkpoint keeps.
-STATE_PARTITIONS = 8
+#: Partitions of state, which the checkpoint keeps: one for each core of a cluster of 3 executors of 4.
+STATE_PARTITIONS = 12
 
 
 def _topic(spark: SparkSession, messages: DataFrame, path: str) -> DataFrame:
