@@ -12,6 +12,7 @@ from pyarrow import parquet
 from pyspark.sql import functions as F
 
 from tests.conftest import executed, optimized, tuples
+from wattline import feeds
 from wattline.operators import closure, intervals, keyed, layout
 from wattline.plans import stream_plans, wire
 from wattline.plans.stream_plans import SLICE_DAYS, timed_topic
@@ -127,6 +128,57 @@ def test_descendants_keep_no_shuffles_and_store_pairs_once(spark, monkeypatch):
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
 
 
+def test_descendants_of_layers_above_trees_are_not_stored(spark, monkeypatch):
+    rng = random.Random(5)
+    tree = [(f"p{i // 2}", f"p{i}") for i in range(127)]
+    orders = [(f"o{i}", f"p{rng.randrange(127)}") for i in range(200) for _ in range(3)]
+    near = [("h", f"o{i}") for i in range(200)] + [("o1", "z"), ("o2", "p1"), ("o2", "p0"), ("o3", "q")]
+    far = [(f"u{i}", f"v{i}") for i in range(30)] + [(f"v{i}", f"p{rng.randrange(30)}") for i in range(30)]
+    far += [(f"u{i}", f"p{rng.randrange(15)}") for i in range(30)]
+    links = tree + orders + near + far
+    meets = [("p3", "p9"), ("p20", "r0"), ("o1", "o2"), ("o4", "r1"), ("o4", "r3")]
+    meets += [(f"r{i}", f"r{(i + 1) % 5}") for i in range(5)]
+
+    def stored_share(links):
+        frame = spark.createDataFrame(links, "device string, childdevice string").repartition(3)
+        pairs = closure.descendants(frame)
+        want = brute_descendants(links)
+        assert {tuple(row) for row in pairs.collect()} == want and pairs.count() == len(want)
+        folder = next(file.split("/entries/")[0] for file in pairs.inputFiles() if "/entries/" in file)
+        kept = {"crowds", "entries", "grouped", "labels", "layer-0", "layer-1", "met", "pairs"}
+        assert set(names(spark, folder)) <= kept
+        stored = [spark.read.parquet(f"{folder}/{name}").count() for name in ("pairs", "grouped")]
+        return sum(stored) / len(want)
+
+    assert stored_share(links) < 0.6  # before, every pair was stored and grouped
+    monkeypatch.setattr(closure, "MOST_ENTRIES", 3)
+    monkeypatch.setattr(closure, "LARGE", 9)
+    monkeypatch.setattr(closure, "TASK_PAIRS", 1000)
+    monkeypatch.setattr(closure, "SLICE_PAIRS", 6000)
+    stored_share(links + meets)
+
+
+def test_fields_of_columns_that_are_not_read_are_skipped(spark, messages):
+    child = {"childDevice": "c", "addTime": "2024-01-01T00:00:00Z", "dataSource": "x"}
+    odd = messages(
+        {"device": "d", "receiveTime": "soon", "children": [child, None, {"addTime": 7}, {"childDevice": 5}]},
+        {"device": {"a": 1}, "children": [child]},
+        {"device": "e", "children": []},
+        {"device": "f", "children": "none"},
+        {"device": "g"},
+        '{"device": "h", "children": [{"childDevice": "c"',
+        "no json",
+        None,
+    )
+    every = feeds.topology(odd)
+    some = feeds.topology(odd, only=("device", "childdevice"))
+    assert some.columns == ["device", "childdevice"]
+    assert tuples(some) == tuples(every.select("device", "childdevice")) and some.count() > 4
+    assert "receiveTime" in optimized(every) and "receiveTime" not in optimized(some)
+    stat = feeds.topology(odd, only=("addtime",), meta=True)
+    assert tuples(stat) == tuples(feeds.topology(odd, meta=True).select(stat.columns))
+
+
 # --- intervals
 
 READINGS = "device string, time timestamp, id int"

@@ -6,7 +6,7 @@ shuffles, so parallelism is that of the source.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Collection, Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,16 +29,29 @@ from wattline.operators.decode import (
 from wattline.operators.project import explode_rows, pick, split_change
 
 
-def rows(feed: Feed, messages: DataFrame, *, meta: bool = False, outer: bool = False) -> DataFrame:
+def rows(
+    feed: Feed,
+    messages: DataFrame,
+    *,
+    meta: bool = False,
+    outer: bool = False,
+    only: Collection[str] | None = None,
+) -> DataFrame:
     """Decode, explode, project, derive the date and fit the table's types.
 
-    ``meta`` keeps the message coordinates, which order writes; ``outer`` keeps messages with no elements.
+    ``meta`` keeps the message coordinates, which order writes; ``outer`` keeps messages with no elements. ``only``
+    names the table's columns to return: the parser then skips the fields of others that are not in the key.
     """
-    records = decode(messages, _used(feed))
+    if only is not None:
+        wanted = {*only, *feed.table.key, *(feed.date or ())}
+        feed = feed.using(columns=tuple(f"{path} as {name}" for name, path in feed.projection.items() if name in wanted))
+    group = [feed.repeat] if feed.repeat and not any("element." in path for path in feed.columns) else []
+    records = decode(messages, _used(feed, group))
     if feed.repeat:
         records = explode_rows(records, f"data.{feed.repeat}", outer=outer)
-    flat = _projected(feed, records, [name for name in META.values() if meta and name in records.columns])
-    return conform(flat, feed.table)
+    passed = [name for name in META.values() if meta and name in records.columns]
+    fitted = conform(_projected(feed, records, passed), feed.table)
+    return fitted if only is None else fitted.select(*passed, *only)
 
 
 def checked(

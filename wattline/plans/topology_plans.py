@@ -27,7 +27,7 @@ _PAIRS = f"""
 
 
 def _links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feeds.topology(wire.tree_messages(spark, sf_dir)).select("device", "childdevice")
+    return feeds.topology(wire.tree_messages(spark, sf_dir), only=("device", "childdevice"))
 
 
 @query(

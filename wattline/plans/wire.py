@@ -48,6 +48,11 @@ def json(fields: Mapping[str, Column]) -> Column:
     return F.to_json(obj(fields), _JSON)
 
 
+def instant(of: Column) -> Column:
+    """A time without zone as the text that ``json`` makes of it; as queries do, on a UTC session."""
+    return F.date_format(of, _JSON["timestampNTZFormat"])
+
+
 def coded(prefix: str, column: str) -> Column:
     return F.concat(F.lit(prefix), F.col(column).cast("string"))
 
@@ -294,15 +299,15 @@ def tree_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         link("'H'", "concat('O', l_orderkey)"),
         link("concat('O', l_orderkey)", "concat('P', l_partkey)"),
     )
+    # Times are made text once a row, not once for each of its messages and fields.
+    rows = rows.withColumns({"_at": instant(F.col("l_shipdate")), "_after": instant(after("l_shipdate", "1 second"))})
     each = rows.select("*", F.inline(links))
-    children = F.array(
-        obj({"childDevice": F.col("child"), "addTime": F.col("l_shipdate"), "dataSource": F.lit("tree")})
-    )
+    children = F.array(obj({"childDevice": F.col("child"), "addTime": F.col("_at"), "dataSource": F.lit("tree")}))
     value = json(
         {
             "device": F.col("parent"),
-            "receiveTime": F.col("l_shipdate"),
-            "persistTime": after("l_shipdate", "1 second"),
+            "receiveTime": F.col("_at"),
+            "persistTime": F.col("_after"),
             "children": children,
         }
     )
